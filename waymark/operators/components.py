@@ -89,25 +89,33 @@ def _box_gap(unit: str) -> Column:
 
 
 def proximity_components(
-    points: DataFrame, radius: float, unit: str = "m", on: Sequence[str] = (), key: str = "id"
+    points: DataFrame, radius: float, unit: str = "m", on: Sequence[str] = (), key: str = "id", separate: str | None = None
 ) -> DataFrame:
     """(key, component) where rows within ``radius`` that agree on ``on`` are linked.
 
+    ``separate``: a text column whose values must agree too where both are filled; a row with an
+    empty value may link rows of any value.
+
     All rows of one clique cell are linked by definition, so edges are only looked for between
     cells: two cells are linked when their representatives are close, not linked when their boxes
     are too far apart, and only the pairs in between go down to finer cells and at last to the
     distinct spots near the common border. Pairs of rows inside a crowd are never listed.
     """
-    on = list(on)
-    rows = stage(clique_cells(points.select(key, "lat", "lon", *on), radius, unit), "clique")
+    traits = list(on)
+    if separate is not None:
+        points = points.withColumn("_value", F.coalesce(F.col(separate), F.lit("")))
+        traits.append("_value")
+    rows = stage(clique_cells(points.select(key, "lat", "lon", *traits), radius, unit), "clique")
     spot = F.min(F.struct("lat", "lon"))
     groups = stage(
-        rows.groupBy(*on, "q_b", "q_l").agg(F.min(key).alias("node"), spot.alias("at"), *bounds_columns()).select(
+        rows.groupBy(*traits, "q_b", "q_l").agg(F.min(key).alias("node"), spot.alias("at"), *bounds_columns()).select(
             "*", F.col("at.lat").alias("lat"), F.col("at.lon").alias("lon")
         ).drop("at"),
         "groups",
     )
     reach = radius_join(groups, groups, radius * 3, unit, on, distance="_d").where("l_node < r_node")
+    if separate is not None:
+        reach = reach.where("l__value = r__value or l__value = '' or r__value = ''")
     judged = reach.where(_box_gap(unit) <= radius).select(
         F.col("l_node").alias("src"), F.col("r_node").alias("dst"), (F.col("_d") <= radius).alias("sure")
     )
@@ -115,13 +123,13 @@ def proximity_components(
     edges = judged.where("sure").select("src", "dst")
     unsure = judged.where("not sure").select("src", "dst")
     if not unsure.isEmpty():
-        edges = edges.union(_border_edges(rows, groups, unsure, radius, unit, on))
+        edges = edges.union(_border_edges(rows, groups, unsure, radius, unit, traits))
     linked = connected_components(edges)
     of_group = groups.join(linked, groups["node"] == linked["id"], "left").select(
-        *on, "q_b", "q_l", F.coalesce("component", "node").alias("component")
+        *traits, "q_b", "q_l", F.coalesce("component", "node").alias("component")
     )
     same = (rows["q_b"] == of_group["q_b"]) & (rows["q_l"] == of_group["q_l"])
-    for c in on:
+    for c in traits:
         same = same & (rows[c] == of_group[c])
     return rows.join(of_group, same).select(rows[key], "component")
 

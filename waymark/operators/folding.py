@@ -23,12 +23,14 @@ def ordered_fold(
     output: T.StructType,
     state: T.StructType,
     chunk_rows: int = CHUNK_ROWS,
+    initial: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Run ``step(rows, state) -> (outputs, state)`` over each key's rows in order.
 
     A key longer than ``chunk_rows`` is worked off in chunks, one round each, with its state handed
     on through a stage table: a task never holds more than one chunk and one state of a key.
-    Returns all outputs and the final states, both with the key column added.
+    ``initial`` (key + state columns) gives keys a state to start from. Returns all outputs and the
+    final states of the keys seen, both with the key column added.
     """
     key_field = df.schema[key]
     fields = output.fieldNames()
@@ -56,17 +58,18 @@ def ordered_fold(
         records += [(keys[0], None, {f: s.get(f) for f in state_fields}) for s in held]
         return pd.DataFrame(records, columns=[key_field.name, "_out", "_state"])
 
-    empty_state = df.sparkSession.createDataFrame([], T.StructType([key_field, *state.fields]))
-    outputs, states = None, empty_state
+    states = initial
+    if states is None:
+        states = df.sparkSession.createDataFrame([], T.StructType([key_field, *state.fields]))
+    outputs = None
     for number in range(rounds):
         rows = ranked.where(F.col("_chunk") == number).drop("_chunk")
-        live = states.join(rows.select(key).distinct(), key, "left_semi") if number else states
+        live = states.join(rows.select(key).distinct(), key, "left_semi")
         result = stage(
             rows.groupBy(key).cogroup(live.groupBy(key)).applyInPandas(run, emitted), "fold"
         )
         out = result.where("_out is not null").select(key, "_out.*")
         outputs = out if outputs is None else outputs.unionByName(out)
         now = result.where("_state is not null").select(key, "_state.*")
-        idle = states.join(rows.select(key).distinct(), key, "left_anti") if number else None
-        states = now if idle is None else now.unionByName(idle)
+        states = now.unionByName(states.join(rows.select(key).distinct(), key, "left_anti"))
     return outputs, states
