@@ -154,3 +154,52 @@ def first_resolved(
     return (
         out.withColumn(output, F.coalesce(*found)).withColumn(f"{output}_by", F.coalesce(*names)).drop(*extra)
     )
+
+
+def first_free_match(
+    left: DataFrame, right: DataFrame, compatible: DataFrame, left_key: str, right_key: str, scope: Sequence[str]
+) -> DataFrame:
+    """Left rows in order take their first free compatible right row; (left_key, right_key).
+
+    Rows are alike when they share ``scope`` and their text key; ``compatible`` lists the pairs of
+    text keys: scope, l_key, r_key. ``left``/``right``: scope, key, seq and the row key. Only as many
+    alike rows enter as there are possible partners, so a crowd of copies never meets a crowd.
+    """
+    scope = list(scope)
+    l_counts = left.groupBy(*scope, F.col("key").alias("l_key")).agg(F.count(F.lit(1)).alias("l_n"))
+    r_counts = right.groupBy(*scope, F.col("key").alias("r_key")).agg(F.count(F.lit(1)).alias("r_n"))
+    both = stage(
+        compatible.select(*scope, "l_key", "r_key").distinct().join(l_counts, [*scope, "l_key"]).join(r_counts, [*scope, "r_key"]),
+        "compatible",
+    )
+    l_limit = both.groupBy(*scope, F.col("l_key").alias("key")).agg(F.sum("r_n").alias("_limit"))
+    r_limit = both.groupBy(*scope, F.col("r_key").alias("key")).agg(F.sum("l_n").alias("_limit"))
+
+    def useful(rows: DataFrame, limit: DataFrame, row_key: str, p: str) -> DataFrame:
+        ranked = rank_in_groups(rows.select(*scope, "key", "seq", row_key), [*scope, "key"], ["seq", row_key], "_n")
+        return (
+            ranked.join(limit, [*scope, "key"])
+            .where("_n <= _limit")
+            .select(*scope, F.col("key").alias(f"{p}_key"), F.struct("seq", row_key).alias(f"{p}_row"))
+        )
+
+    pairs = stage(
+        both.select(*scope, "l_key", "r_key")
+        .join(useful(left, l_limit, left_key, "l"), [*scope, "l_key"])
+        .join(useful(right, r_limit, right_key, "r"), [*scope, "r_key"])
+        .select("l_row", "r_row"),
+        "pairs",
+    )
+    matched = None
+    while not pairs.isEmpty():
+        first_r = pairs.groupBy("l_row").agg(F.min("r_row").alias("r_row"))
+        first_l = pairs.groupBy("r_row").agg(F.min("l_row").alias("l_row"))
+        taken = stage(first_r.join(first_l, ["l_row", "r_row"]), "taken")
+        matched = taken if matched is None else matched.union(taken)
+        pairs = stage(
+            pairs.join(taken.select("l_row"), "l_row", "left_anti").join(taken.select("r_row"), "r_row", "left_anti"),
+            "pairs",
+        )
+    if matched is None:
+        matched = pairs
+    return matched.select(F.col(f"l_row.{left_key}").alias("left_key"), F.col(f"r_row.{right_key}").alias("right_key"))
