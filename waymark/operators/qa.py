@@ -18,7 +18,7 @@ def check_rows(df: DataFrame, checks: Mapping[str, tuple[Column, Column]]) -> Da
     names = list(checks)
     one = df.agg(*[checks[n][0].cast("double").alias(f"c{i}") for i, n in enumerate(names)])
     rows = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(f"c{i}").alias("v")) for i, n in enumerate(names)]
+        *[F.struct(F.lit(n), F.col(f"c{i}")).cast("struct<check:string,v:double>") for i, n in enumerate(names)]
     )
     listed = one.select(F.explode(rows).alias("r")).select("r.check", "r.v")
     passed = F.lit(False)
@@ -64,7 +64,10 @@ def repair_flags(df: DataFrame, flags: str = "map_flags", reasons: str = "review
 def strategy_scores(cases: DataFrame, strategies: Mapping[str, Column], expected: Column, tier: str) -> DataFrame:
     """Cases, hits and accuracy of every include rule, per tier and overall, in one pass."""
     outcomes = F.array(
-        *[F.struct(F.lit(n).alias("strategy"), (c == expected).cast("int").alias("hit")) for n, c in strategies.items()]
+        *[
+            F.struct(F.lit(n), (c == expected).cast("int")).cast("struct<strategy:string,hit:int>")
+            for n, c in strategies.items()
+        ]
     )
     judged = cases.select(F.explode(F.array(F.col(tier), F.lit("all"))).alias("tier"), outcomes.alias("o"))
     return (

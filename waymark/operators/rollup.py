@@ -31,7 +31,7 @@ def breakdowns(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> DataFrame:
     combos = named.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     reports = F.array(
         *[
-            F.struct(F.lit(name).alias("breakdown"), F.concat_ws(":", *[F.col(c) for c in cols]).alias("value"))
+            F.struct(F.lit(name), F.concat_ws(":", *[F.col(c) for c in cols])).cast("struct<breakdown:string,value:string>")
             for name, cols in sets.items()
         ]
     )
