@@ -80,8 +80,8 @@ def pick_sql(words: list[str], index: str) -> str:
 
 def hav(lat1: str, lon1: str, lat2: str, lon2: str, radius: float = 6371000.0) -> str:
     return (
-        f"({2 * radius}e0 * asin(least(1e0, sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * "
-        f"cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))))"
+        f"({2 * radius}e0 * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * "
+        f"cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
     )
 
 

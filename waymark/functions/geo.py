@@ -24,7 +24,7 @@ def haversine(lat1, lon1, lat2, lon2, unit: str = "m", radius: float | None = No
     s_lat = F.sin(F.radians(lat2 - lat1) / 2)
     s_lon = F.sin(F.radians(lon2 - lon1) / 2)
     h = s_lat * s_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * s_lon * s_lon
-    return F.lit(2 * r) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return F.lit(2 * r) * F.asin(F.sqrt(F.when(h > 1, F.lit(1.0)).otherwise(h)))
 
 
 def degrees_for(distance: float, unit: str = "m") -> float:
