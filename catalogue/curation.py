@@ -177,12 +177,12 @@ def amenity_dedupe(spark, sf):
 # ---- J12, R13, U7 -----------------------------------------------------------------------------------
 
 _MATCH_INPUT = f"""{SPOTS}, {STATIONS}, s AS (SELECT id AS store_id, lat, lon, size % 5 AS lane FROM stations),
-    pairs AS (SELECT p.id AS l, s.store_id AS r, {hav('p.lat', 'p.lon', 's.lat', 's.lon', MI)} AS d FROM spots p JOIN s ON p.lane = s.lane AND {near('p', 's', 0.5)}),
+    pairs AS MATERIALIZED (SELECT p.id AS l, s.store_id AS r, {hav('p.lat', 'p.lon', 's.lat', 's.lon', MI)} AS d FROM spots p JOIN s ON p.lane = s.lane AND {near('p', 's', 0.5)}),
     ranked AS (SELECT *, row_number() OVER (ORDER BY d, l, r) AS rn FROM pairs),
     walk(rn, ls, rs) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) UNION ALL
       SELECT w.rn + 1, CASE WHEN list_contains(w.ls, k.l) OR list_contains(w.rs, k.r) THEN w.ls ELSE list_append(w.ls, k.l) END,
         CASE WHEN list_contains(w.ls, k.l) OR list_contains(w.rs, k.r) THEN w.rs ELSE list_append(w.rs, k.r) END FROM walk w JOIN ranked k ON k.rn = w.rn + 1),
-    fin AS (SELECT ls, rs FROM walk ORDER BY rn DESC LIMIT 1), taken AS (SELECT unnest(ls) AS l, unnest(rs) AS r FROM fin)"""
+    fin AS MATERIALIZED (SELECT ls, rs FROM walk ORDER BY rn DESC LIMIT 1), taken AS MATERIALIZED (SELECT unnest(ls) AS l, unnest(rs) AS r FROM fin)"""
 
 
 def _match_input(spark, sf):

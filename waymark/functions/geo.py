@@ -20,6 +20,11 @@ def col(value: Column | str) -> Column:
 def haversine(lat1, lon1, lat2, lon2, unit: str = "m", radius: float | None = None) -> Column:
     """Great-circle distance in miles, kilometres or metres."""
     r = _RADIUS[unit] if radius is None else radius
+    if all(isinstance(v, str) for v in (lat1, lon1, lat2, lon2)):
+        # one expression text instead of many small calls to the JVM
+        s_lat, s_lon = f"sin(radians({lat2} - {lat1}) / 2)", f"sin(radians({lon2} - {lon1}) / 2)"
+        h = f"({s_lat} * {s_lat} + cos(radians({lat1})) * cos(radians({lat2})) * {s_lon} * {s_lon})"
+        return F.expr(f"{2.0 * r!r}D * asin(sqrt(case when {h} > 1 then 1D else {h} end))")
     lat1, lon1, lat2, lon2 = map(col, (lat1, lon1, lat2, lon2))
     s_lat = F.sin(F.radians(lat2 - lat1) / 2)
     s_lon = F.sin(F.radians(lon2 - lon1) / 2)

@@ -8,7 +8,7 @@ the antimeridian also probe the wrapped longitude.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import degrees_for
@@ -21,26 +21,15 @@ def cell_degrees(radius: float, unit: str) -> float:
     return degrees_for(radius, unit) * _SLACK
 
 
-def band(lat: Column, d: float) -> Column:
-    return F.floor(lat / d)
-
-
-def _lon_width(band_col: Column, d: float) -> Column:
+def _width(band: str, d: float) -> str:
     """Longitude width of cells in a band, from the band edge farthest from the equator."""
-    edge = F.least(F.greatest(F.abs(band_col * d), F.abs((band_col + 1) * d)), F.lit(89.0))
-    return F.lit(d) / F.cos(F.radians(edge))
-
-
-def lon_cell(lon: Column, band_col: Column, d: float) -> Column:
-    return F.floor(lon / _lon_width(band_col, d))
+    return f"({d!r}D / cos(radians(least(greatest(abs({band} * {d!r}D), abs(({band} + 1) * {d!r}D)), 89D))))"
 
 
 def with_cell(df: DataFrame, lat: str, lon: str, d: float, prefix: str = "cell") -> DataFrame:
     """Add ``<prefix>_b`` and ``<prefix>_l``: the one cell of each row."""
-    b = band(F.col(lat), d)
-    return df.withColumn(f"{prefix}_b", b).withColumn(
-        f"{prefix}_l", lon_cell(F.col(lon), F.col(f"{prefix}_b"), d)
-    )
+    band = f"floor({lat} / {d!r}D)"
+    return df.selectExpr("*", f"{band} as {prefix}_b", f"floor({lon} / {_width(band, d)}) as {prefix}_l")
 
 
 def with_probe_cells(
@@ -48,30 +37,28 @@ def with_probe_cells(
 ) -> DataFrame:
     """Copy each row to every cell within ``radius``; adds ``<prefix>_b`` and ``<prefix>_l``."""
     r = degrees_for(radius, unit) * _SLACK
-    reach = max(1, int(-(-r // d)))
-    lat_c, lon_c = F.col(lat), F.col(lon)
     # widest longitude difference a point within the radius can have
-    ratio = F.sin(F.radians(F.lit(r))) / F.cos(F.radians(lat_c))
-    rho = F.when(ratio < 1, F.degrees(F.asin(ratio))).otherwise(F.lit(180.0)) * _SLACK
-    bands = F.sequence(band(lat_c - F.lit(r), d), band(lat_c + F.lit(r), d))
-
-    def cells_of(t: Column) -> Column:
-        width = _lon_width(t, d)
-
-        def span(lo: Column, hi: Column) -> Column:
-            return F.sequence(F.floor(lo / width), F.floor(hi / width))
-
-        plain = span(lon_c - rho, lon_c + rho)
-        wrapped = F.when(lon_c + rho > 180, span(lon_c - rho - 360, lon_c + rho - 360)).when(
-            lon_c - rho < -180, span(lon_c - rho + 360, lon_c + rho + 360)
-        )
-        cells = F.when(wrapped.isNull(), plain).otherwise(F.array_union(plain, wrapped))
-        return F.transform(cells, lambda c: F.struct(t.alias("b"), c.alias("l")))
-
-    assert reach >= 1
-    probe = F.explode(F.flatten(F.transform(bands, cells_of)))
-    return df.withColumn("_probe", probe).select(
-        *df.columns,
-        F.col("_probe.b").alias(f"{prefix}_b"),
-        F.col("_probe.l").alias(f"{prefix}_l"),
+    ratio = f"(sin(radians({r!r}D)) / cos(radians({lat})))"
+    spread = df.selectExpr(
+        "*", f"case when {ratio} < 1 then degrees(asin({ratio})) * {_SLACK!r}D else 180D end as _rho"
     )
+
+    def span(shift: str) -> str:
+        w = _width("t", d)
+        return f"sequence(floor(({lon} - _rho {shift}) / {w}), floor(({lon} + _rho {shift}) / {w}))"
+
+    cells = (
+        f"case when {lon} + _rho > 180 then array_union({span('')}, {span('- 360')}) "
+        f"when {lon} - _rho < -180 then array_union({span('')}, {span('+ 360')}) else {span('')} end"
+    )
+    probe = (
+        f"explode(flatten(transform(sequence(floor(({lat} - {r!r}D) / {d!r}D), floor(({lat} + {r!r}D) / {d!r}D)), "
+        f"t -> transform({cells}, c -> struct(t as b, c as l))))) as _probe"
+    )
+    kept = [f"`{c}`" for c in df.columns]
+    return spread.selectExpr(*kept, probe).selectExpr(*kept, f"_probe.b as {prefix}_b", f"_probe.l as {prefix}_l")
+
+
+def same_cell(a: str, b: str):
+    """Join condition of two cell prefixes."""
+    return F.expr(f"{a}_b = {b}_b and {a}_l = {b}_l")

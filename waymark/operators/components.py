@@ -26,7 +26,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    mark = _fingerprint(star)
+    mark = None
     while True:
         both = star.union(star.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -70,22 +70,21 @@ def bounds_columns() -> list[Column]:
     ]
 
 
-def least_distance_to_bounds(lat: Column, lon: Column, b: str, unit: str) -> Column:
+def least_distance_to_bounds(lat: str, lon: str, b: str, unit: str) -> Column:
     """Lower bound of the distance from a point to any row in a bounding box; exact for one spot."""
-    near_lat = F.least(F.greatest(lat, F.col(b + "south")), F.col(b + "north"))
-    near_lon = F.least(F.greatest(lon, F.col(b + "west")), F.col(b + "east"))
+    near_lat = f"least(greatest({lat}, {b}south), {b}north)"
+    near_lon = f"least(greatest({lon}, {b}west), {b}east)"
     d = geo.haversine(lat, lon, near_lat, near_lon, unit)
-    one_spot = (F.col(b + "south") == F.col(b + "north")) & (F.col(b + "west") == F.col(b + "east"))
-    return F.when(one_spot, d).otherwise(d * 0.999)
+    return F.when(F.expr(f"{b}south = {b}north and {b}west = {b}east"), d).otherwise(d * 0.999)
 
 
 def _box_gap(unit: str) -> Column:
     """Lower bound of the distance between two bounding boxes (l_ and r_)."""
-    lat_gap = F.greatest(F.col("l_south") - F.col("r_north"), F.col("r_south") - F.col("l_north"), F.lit(0.0))
-    lon_gap = F.greatest(F.col("l_west") - F.col("r_east"), F.col("r_west") - F.col("l_east"), F.lit(0.0))
-    far = F.least(F.greatest(F.abs("l_north"), F.abs("l_south"), F.abs("r_north"), F.abs("r_south")), F.lit(89.9))
-    one_degree = geo.haversine(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(0.0), unit)
-    return F.greatest(lat_gap, lon_gap * F.cos(F.radians(far))) * one_degree * 0.999
+    one_degree = 1.0 / geo.degrees_for(1.0, unit) * 0.999
+    lat_gap = "greatest(l_south - r_north, r_south - l_north, 0D)"
+    lon_gap = "greatest(l_west - r_east, r_west - l_east, 0D)"
+    far = "least(greatest(abs(l_north), abs(l_south), abs(r_north), abs(r_south)), 89.9D)"
+    return F.expr(f"greatest({lat_gap}, {lon_gap} * cos(radians({far}))) * {one_degree!r}D")
 
 
 def proximity_components(

@@ -26,7 +26,7 @@ from waymark.operators.components import (
 from waymark.operators.folding import ordered_fold
 from waymark.operators.ranking import first_per_key
 from waymark.operators.spatial import radius_join
-from waymark.runtime import stage
+from waymark.runtime import stage, stage_counted
 
 EdgeRule = Callable[[Callable[[str], Column], Callable[[str], Column], Column], Column]
 
@@ -62,24 +62,21 @@ def ordered_dedupe(
         slim = slim.withColumn("q_b", F.col("lat")).withColumn("q_l", F.col("lon"))
     else:
         slim = clique_cells(slim, close, unit)
-    live = stage(slim.na.drop(subset=["lat", "lon"]), "live")
+    live, left = stage_counted(slim.na.drop(subset=["lat", "lon"]), "live")
     kept_ids = points.where(F.col("lat").isNull() | F.col("lon").isNull()).select(key)
     group = [*traits, "q_b", "q_l"]
 
     def duplicates(pairs: DataFrame, distance: Column) -> DataFrame:
         return pairs.where(edge(lambda c: F.col(f"l_{c}"), lambda c: F.col(f"r_{c}"), distance))
 
-    while not live.isEmpty():
-        heads = stage(
+    while left:
+        heads = (
             live.groupBy(*group)
             .agg(F.min_by(F.struct(key, order, "lat", "lon"), order).alias("h"), *bounds_columns())
-            .select(*group, "h.*", "south", "west", "north", "east"),
-            "heads",
-        )
-        around = radius_join(heads, heads, radius + close, unit, on, distance="_d").where(
-            F.col(f"r_{order}") < F.col(f"l_{order}")
+            .select(*group, "h.*", "south", "west", "north", "east")
         )
-        reach = least_distance_to_bounds(F.col("l_lat"), F.col("l_lon"), "r_", unit)
+        around = radius_join(heads, heads, radius + close, unit, on, distance="_d").where(f"r_{order} < l_{order}")
+        reach = least_distance_to_bounds("l_lat", "l_lon", "r_", unit)
         blocked = duplicates(around.withColumn("_reach", reach).where(F.col("_reach") <= radius), F.col("_reach"))
         winners = stage(
             heads.select(key, order, "lat", "lon", *group).join(
@@ -92,7 +89,7 @@ def ordered_dedupe(
             F.col(f"r_{key}").alias(key)
         )
         settled = gone.union(winners.select(key)).distinct()
-        live = stage(live.join(settled, key, "left_anti"), "live")
+        live, left = stage_counted(live.join(settled, key, "left_anti"), "live")
 
     kept_ids = stage(kept_ids, "kept")
     kept = points.join(kept_ids, key, "left_semi")

@@ -18,7 +18,7 @@ from waymark.runtime import stage
 
 
 def prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select([F.col(c).alias(prefix + c) for c in df.columns])
+    return df.selectExpr(*[f"`{c}` as `{prefix}{c}`" for c in df.columns])
 
 
 def radius_join(
@@ -33,17 +33,17 @@ def radius_join(
 ) -> DataFrame:
     """All pairs within ``radius`` that agree on the ``on`` columns. Both sides carry lat, lon."""
     d = cells.cell_degrees(radius, unit)
-    a = cells.with_probe_cells(prefixed(left, left_prefix), left_prefix + "lat", left_prefix + "lon", radius, unit, d)
-    b = cells.with_cell(prefixed(right, right_prefix), right_prefix + "lat", right_prefix + "lon", d)
-    keys = (a["cell_b"] == b["cell_b"]) & (a["cell_l"] == b["cell_l"])
-    for name in on:
-        keys = keys & (a[left_prefix + name] == b[right_prefix + name])
-    dist = geo.haversine(
-        a[left_prefix + "lat"], a[left_prefix + "lon"], b[right_prefix + "lat"], b[right_prefix + "lon"], unit
+    l, r = left_prefix, right_prefix
+    a = cells.with_probe_cells(prefixed(left, l), f"{l}lat", f"{l}lon", radius, unit, d, "_lc")
+    b = cells.with_cell(prefixed(right, r), f"{r}lat", f"{r}lon", d, "_rc")
+    same = " and ".join(["_lc_b = _rc_b", "_lc_l = _rc_l", *[f"`{l}{c}` = `{r}{c}`" for c in on]])
+    dist = geo.haversine(f"{l}lat", f"{l}lon", f"{r}lat", f"{r}lon", unit)
+    return (
+        a.join(b, F.expr(same))
+        .withColumn(distance, dist)
+        .where(f"{distance} <= {float(radius)!r}D")
+        .drop("_lc_b", "_lc_l", "_rc_b", "_rc_l")
     )
-    out = [a[c] for c in a.columns if not c.startswith("cell_")]
-    out += [b[c] for c in b.columns if not c.startswith("cell_")]
-    return a.join(b, keys).select(*out, dist.alias(distance)).filter(F.col(distance) <= radius)
 
 
 def self_pairs(points: DataFrame, radius: float, unit: str = "m", on: Sequence[str] = (), order: str = "id") -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -55,3 +56,10 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Stage table and its row count, which is taken while it is written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return staged, seen.get["n"]
