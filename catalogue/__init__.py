@@ -1,5 +1,5 @@
 """Registered queries and their SQL counterparts."""
-from catalogue import common, curation, geography, labels, reports
+from catalogue import common, curation, extraction, geography, labels, reports
 def all_queries():
     return dict(common.QUERIES)
 def all_sql():

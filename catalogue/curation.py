@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.common import (
-    AMENITIES, CAMPS, KM, M, MI, SPOTS, STATIONS, amenities, camp_key_sql, camps, component_walk, coords, coords_sql, half, hav,
+    AMENITIES, CAMPS, KM, M, MI, SPOTS, STATIONS, amenities, boxes_sql, camp_key_sql, camps, component_walk, coords, coords_sql, half, hav,
     near, ordered_walk, pick, pick_sql, query, spots, stations, table,
 )
 from catalogue.labels import _FED, _GENERIC, _GOOD, _KNOWN, _NUMERIC, _SITE, camp_rows
@@ -45,18 +45,21 @@ def ordered_dedupe(spark, sf):
     return dedupe.ordered_dedupe(_twin(spark, sf), 0.12, "mi", on=["brand_id"])[1].select("kept", "dropped")
 
 
+_INLAND = _TWIN.replace("twin AS", "inland AS").replace("(p_partkey % 2) * 9)", "(p_partkey % 2) * 9 + 60000)")
+
+
 @query(
     "distinct_poi_per_region",
-    f"""WITH RECURSIVE {_TWIN}, {ordered_walk('twin', _SAME_BRAND)}, kept AS (SELECT * FROM twin WHERE id NOT IN (SELECT dropped FROM suppressed))
-    SELECT CASE WHEN lat BETWEEN 25.84 AND 36.5 AND lon BETWEEN -106.65 AND -93.51 THEN 'TX' WHEN lat BETWEEN 31.33 AND 37.0 AND lon BETWEEN -114.82 AND -109.04 THEN 'AZ'
-      WHEN lat BETWEEN 32.53 AND 42.01 AND lon BETWEEN -124.48 AND -114.13 THEN 'CA' WHEN lat BETWEEN 31.33 AND 37.0 AND lon BETWEEN -109.05 AND -103.0 THEN 'NM' ELSE '?' END AS region, brand_id, count(*) AS n
+    f"""WITH RECURSIVE {_INLAND}, {ordered_walk('inland', _SAME_BRAND)}, kept AS (SELECT * FROM inland WHERE id NOT IN (SELECT dropped FROM suppressed)), {boxes_sql(fv.STATE_BOXES)}
+    SELECT coalesce((SELECT min_by(b.code, b.seq) FROM boxes b WHERE kept.lat BETWEEN b.south AND b.north AND kept.lon BETWEEN b.west AND b.east), '?') AS region, brand_id, count(*) AS n
     FROM kept GROUP BY ALL""",
 )
 def distinct_poi_per_region(spark, sf):
     """Flagship: valid points, ordered same-brand dedupe, region from coordinates, counts."""
     from waymark.operators.spatial import box_code
 
-    points = _twin(spark, sf).where(geo.valid_coordinate("lat", "lon", fv.US_BOX))
+    inland = _twin(spark, sf).drop("lat", "lon").select("*", *coords("(id div 2)", "(id % 2) * 9 + 60000"))
+    points = inland.where(geo.valid_coordinate("lat", "lon", fv.US_BOX))
     kept, _ = dedupe.ordered_dedupe(points, fv.DEDUPE_MI, "mi", on=["brand_id"])
     region = F.coalesce(box_code("lat", "lon", fv.STATE_BOXES, fv.STATE_OVERLAPS), F.lit("?"))
     return kept.groupBy(region.alias("region"), "brand_id").agg(F.count(F.lit(1)).alias("n"))
