@@ -21,7 +21,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def file_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-16LE when the file (or the first file of a folder) starts so, else UTF-8."""
+    """UTF-16 when the file (or the first file of a folder) starts with its mark, UTF-16LE when its
+    second byte is zero, else UTF-8."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -38,7 +39,9 @@ def file_encoding(spark: SparkSession, path: str) -> str:
         a, b = stream.read(), stream.read()
     finally:
         stream.close()
-    return "UTF-16LE" if (a, b) == (0xFF, 0xFE) or b == 0 else "UTF-8"
+    if (a, b) == (0xFF, 0xFE):
+        return "UTF-16"
+    return "UTF-16LE" if b == 0 else "UTF-8"
 
 
 def read_envelope(spark: SparkSession, path: str, record: T.StructType, fallback: str | None = None) -> DataFrame:
