@@ -244,7 +244,7 @@ _BRAND = f"CASE {_SISTER} {_CATALOGUE_SQL} END"
 
 @query("brand_match_us", f"WITH {_STORES} SELECT id, {_BRAND} AS brand_id FROM st")
 def brand_match_us(spark, sf):
-    return _store_tags(spark, sf).select("id", brands.brand_id_us("brand", "operator", "name", CATALOGUE).alias("brand_id"))
+    return brands.with_brand_us(_store_tags(spark, sf), "brand", "operator", "name", CATALOGUE).select("id", "brand_id")
 
 
 @query(
@@ -252,8 +252,8 @@ def brand_match_us(spark, sf):
     f"""WITH {_STORES} SELECT id, array_to_string(list_filter([{', '.join(f"CASE WHEN {c} THEN '{r}' END" for _, r, c in _SISTER_RULES)}, CASE WHEN {_CONFLICT} THEN concat('conflict:brand=', b) END], lambda x: x IS NOT NULL), ', ') AS reasons FROM st""",
 )
 def sister_brand_reasons(spark, sf):
-    t = _store_tags(spark, sf)
-    b, o, n = (brands.brand_token(c) for c in ("brand", "operator", "name"))
+    t = _store_tags(spark, sf).select("id", *[brands.brand_token(c).alias(c) for c in ("brand", "operator", "name")])
+    b, o, n = (F.col(c) for c in ("brand", "operator", "name"))
     return t.select("id", F.array_join(brands.explain_sister_brand(b, o, n, CATALOGUE), ", ").alias("reasons"))
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.operators.ranking import rank_in_groups
 from waymark.operators.spatial import nearest_within, radius_join
-from waymark.runtime import stage
+from waymark.runtime import stage, stage_counted
 
 
 def greedy_match(
@@ -37,19 +38,22 @@ def greedy_match(
         right.select(F.col(right_key).alias("rk"), "lat", "lon", *on).na.drop(subset=["lat", "lon"]), "right"
     )
     spot = ["lat", "lon", *on]
-    shared = l.select(*spot).distinct().join(r.select(*spot).distinct(), spot)
-    matched = stage(
-        rank_in_groups(l.join(shared, spot, "left_semi"), spot, ["lk"], "n")
-        .join(rank_in_groups(r.join(shared, spot, "left_semi"), spot, ["rk"], "n"), [*spot, "n"])
-        .select("lk", "rk", F.lit(0.0).alias("d")),
-        "matched",
-    )
-    l = stage(l.join(matched, "lk", "left_anti"), "left")
-    r = stage(r.join(matched, "rk", "left_anti"), "right")
+    shared, n_shared = stage_counted(l.select(*spot).distinct().join(r.select(*spot).distinct(), spot), "shared")
+    parts: list[DataFrame] = []
+    if n_shared:
+        on_spot = stage(
+            rank_in_groups(l.join(shared, spot, "left_semi"), spot, ["lk"], "n")
+            .join(rank_in_groups(r.join(shared, spot, "left_semi"), spot, ["rk"], "n"), [*spot, "n"])
+            .select("lk", "rk", F.lit(0.0).alias("d")),
+            "matched",
+        )
+        parts.append(on_spot)
+        l = stage(l.join(on_spot, "lk", "left_anti"), "left")
+        r = stage(r.join(on_spot, "rk", "left_anti"), "right")
 
-    for share in bands:
+    for number, share in enumerate(bands):
         reach = radius * share
-        pairs = stage(
+        pairs, left_over = stage_counted(
             radius_join(
                 _useful_copies(l, r, "lk", spot, reach, unit, on),
                 _useful_copies(r, l, "rk", spot, reach, unit, on),
@@ -60,20 +64,22 @@ def greedy_match(
             ).select(F.col("l_lk").alias("lk"), F.col("r_rk").alias("rk"), "d"),
             "pairs",
         )
-        found = None
-        while not pairs.isEmpty():
+        found: list[DataFrame] = []
+        while left_over:
             best_l = pairs.groupBy("lk").agg(F.min(F.struct("d", "lk", "rk")).alias("b")).select("b.*")
             best_r = pairs.groupBy("rk").agg(F.min(F.struct("d", "lk", "rk")).alias("b")).select("b.*")
             taken = stage(best_l.join(best_r.select("lk", "rk"), ["lk", "rk"]).select("lk", "rk", "d"), "taken")
-            found = taken if found is None else found.union(taken)
-            pairs = stage(
+            found.append(taken)
+            pairs, left_over = stage_counted(
                 pairs.join(taken.select("lk"), "lk", "left_anti").join(taken.select("rk"), "rk", "left_anti"),
                 "pairs",
             )
-        if found is not None:
-            matched = matched.union(found)
-            l = stage(l.join(found, "lk", "left_anti"), "left")
-            r = stage(r.join(found, "rk", "left_anti"), "right")
+        parts += found
+        if found and number + 1 < len(bands):
+            done = reduce(DataFrame.union, found)
+            l = stage(l.join(done, "lk", "left_anti"), "left")
+            r = stage(r.join(done, "rk", "left_anti"), "right")
+    matched = reduce(DataFrame.union, parts) if parts else pairs
     return matched.select(
         F.col("lk").alias("left_key"), F.col("rk").alias("right_key"), F.col("d").alias("distance")
     )

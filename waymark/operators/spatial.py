@@ -7,6 +7,7 @@ splitting that ``runtime.configure`` turns on.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -194,20 +195,27 @@ def box_join(points: DataFrame, boxes: DataFrame, cell_deg: float = 1.0, key: st
     return points.join(first, key, "left")
 
 
-def nearest_centre_code(lat, lon, centres: Sequence[tuple], unit: str = "m") -> Column:
-    """Code of the nearest centre (code, lat, lon); ties go to the earlier row of the table."""
-    lat, lon = geo.col(lat), geo.col(lon)
-    ranked = F.array(
-        *[
-            F.struct(
-                geo.haversine(lat, lon, F.lit(float(c_lat)), F.lit(float(c_lon)), unit).alias("d"),
-                F.lit(i).alias("seq"),
-                F.lit(code).alias("code"),
-            )
-            for i, (code, c_lat, c_lon) in enumerate(centres)
-        ]
+def nearest_centre_code(lat: str, lon: str, centres: Sequence[tuple]) -> Column:
+    """Code of the nearest centre (code, lat, lon); ties go to the earlier row of the table.
+
+    Points and centres are unit vectors: the nearest centre has the largest dot product, so the
+    trigonometry is done once per point and not once per centre.
+    """
+    def vector(a: float, b: float) -> tuple[float, float, float]:
+        p, q = math.radians(a), math.radians(b)
+        return math.cos(p) * math.cos(q), math.cos(p) * math.sin(q), math.sin(p)
+
+    rows = ", ".join(
+        "named_struct('x', {!r}D, 'y', {!r}D, 'z', {!r}D, 'seq', {}, 'code', '{}')".format(*vector(a, b), -i, code)
+        for i, (code, a, b) in enumerate(centres)
+    )
+    p, q = f"radians({lat})", f"radians({lon})"
+    point = f"named_struct('x', cos({p}) * cos({q}), 'y', cos({p}) * sin({q}), 'z', sin({p}))"
+    best = (
+        f"transform(array({point}), p -> array_max(transform(array({rows}), "
+        "c -> named_struct('dot', p.x * c.x + p.y * c.y + p.z * c.z, 'seq', c.seq, 'code', c.code))))"
     )
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.array_min(ranked)["code"])
+    return F.expr(f"case when {lat} is not null and {lon} is not null then {best}[0].code end")
 
 
 def segment_cells(segments: DataFrame, cell_deg: float) -> DataFrame:

@@ -28,23 +28,23 @@ def candidates(nodes: DataFrame, ways: DataFrame, box: tuple = fv.US_BOX) -> Dat
 def branded(rows: DataFrame, catalogue: Sequence[dict], country: str = "US") -> DataFrame:
     """Candidates that match a brand, as fuel records."""
     if country == "CA":
-        brand = first_filled(tag("brand"), tag("brand:fr"))
-        operator = first_filled(tag("operator"), tag("operator:fr"))
         name = first_filled(tag("name"), tag("name:fr"), tag("alt_name"))
         blob = brands.search_blob(
             tag("brand"), tag("operator"), tag("name"), tag("brand:fr"), tag("operator:fr"), tag("name:fr"),
             tag("addr:housename"),
         )
-        brand_id = brands.brand_id_ca(brand, operator, name, blob, catalogue)
+        brand_id = brands.brand_id_ca(
+            first_filled(tag("brand"), tag("brand:fr")), first_filled(tag("operator"), tag("operator:fr")), name, blob, catalogue
+        )
+        matched = rows.withColumn("brand_id", brand_id)
     else:
         name = tag("name")
-        brand_id = brands.brand_id_us(tag("brand"), tag("operator"), name, catalogue)
+        matched = brands.with_brand_us(rows, tag("brand"), tag("operator"), name, catalogue)
     ids = {e["id"]: e for e in catalogue}
-    display = lookup(F.col("brand_id"), {k: e.get("display_name", k) for k, e in ids.items()})
-    kind = lookup(F.col("brand_id"), {k: e.get("type") for k, e in ids.items()})
+    display = lookup("brand_id", {k: e.get("display_name", k) for k, e in ids.items()})
+    kind = lookup("brand_id", {k: e.get("type") for k, e in ids.items()})
     return (
-        rows.withColumn("brand_id", brand_id)
-        .where("brand_id is not null")
+        matched.where("brand_id is not null")
         .withColumn("brand", F.coalesce(display, F.col("brand_id")))
         .withColumn("type", brands.fuel_type(kind))
         .withColumn("name", F.coalesce(F.nullif(F.trim(text(name)), F.lit("")), F.col("brand")))
@@ -55,7 +55,8 @@ def branded(rows: DataFrame, catalogue: Sequence[dict], country: str = "US") ->
 
 def generic(rows: DataFrame, us_catalogue: Sequence[dict]) -> DataFrame:
     """Candidates that match no brand."""
-    return rows.where(brands.brand_id_us(tag("brand"), tag("operator"), tag("name"), us_catalogue).isNull())
+    matched = brands.with_brand_us(rows, tag("brand"), tag("operator"), tag("name"), us_catalogue, "_brand")
+    return matched.where("_brand is null").drop("_brand")
 
 
 def plazas(rows: DataFrame) -> DataFrame:
@@ -244,5 +245,5 @@ def master_report(master: DataFrame) -> DataFrame:
 
 def explorer_tables(candidate_rows: DataFrame, catalogue: Sequence[dict]) -> DataFrame:
     """Candidates with their matched brand, or ``unmatched``."""
-    hit = brands.brand_id_us(tag("brand"), tag("operator"), tag("name"), catalogue)
-    return candidate_rows.withColumn("match", F.coalesce(hit, F.lit("unmatched")))
+    matched = brands.with_brand_us(candidate_rows, tag("brand"), tag("operator"), tag("name"), catalogue, "match")
+    return matched.withColumn("match", F.coalesce("match", F.lit("unmatched")))
