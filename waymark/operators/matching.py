@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.operators import cells
 from waymark.operators.ranking import rank_in_groups
 from waymark.operators.spatial import nearest_within, radius_join
 from waymark.runtime import stage, stage_counted
@@ -21,14 +22,15 @@ def greedy_match(
     on: Sequence[str] = (),
     left_key: str = "id",
     right_key: str = "id",
-    bands: Sequence[float] = (0.125, 1.0),
+    bands: Sequence[float] | None = None,
 ) -> DataFrame:
     """Pairs taken in order of (distance, left key, right key), each row used once.
 
     Columns: left_key, right_key, distance. The same pairs as a sort-and-scan: a pair that comes
     first for both its rows is taken, in rounds, until no pair is left. Rows on one exact spot are
-    matched by rank first; then the radius grows, so close rows are gone before wide pairs are
-    listed, and of the copies on one spot only as many take part as there are partners in reach.
+    matched by rank first. Where rows crowd, the radius grows in ``bands``, so close rows are gone
+    before wide pairs are listed, and of the copies on one spot only as many take part as there are
+    partners in reach.
     """
     on = list(on)
     l = stage(
@@ -51,6 +53,8 @@ def greedy_match(
         l = stage(l.join(on_spot, "lk", "left_anti"), "left")
         r = stage(r.join(on_spot, "rk", "left_anti"), "right")
 
+    if bands is None:
+        bands = _bands(l, r, radius, unit, on)
     for number, share in enumerate(bands):
         reach = radius * share
         pairs, left_over = stage_counted(
@@ -85,6 +89,28 @@ def greedy_match(
     )
 
 
+def _bands(l: DataFrame, r: DataFrame, radius: float, unit: str, on: list[str], crowd: int = 512) -> list[float]:
+    """Shares of the radius, smallest first, so that a cell of the first lists few pairs per row.
+
+    The pairs are counted from row counts per cell, without listing any.
+    """
+    shares = [1.0]
+    while len(shares) < 8:
+        d = cells.cell_degrees(radius * shares[0], unit)
+
+        def counts(rows: DataFrame, name: str) -> DataFrame:
+            spots = rows.select("lat", "lon", *on).distinct()
+            return cells.with_cell(spots, "lat", "lon", d).groupBy("cell_b", "cell_l", *on).agg(F.count(F.lit(1)).alias(name))
+
+        worst = (
+            counts(l, "ln").join(counts(r, "rn"), ["cell_b", "cell_l", *on]).agg(F.max(F.least("ln", "rn"))).first()[0]
+        )
+        if (worst or 0) <= crowd:
+            break
+        shares.insert(0, shares[0] / 8)
+    return shares
+
+
 def _useful_copies(
     rows: DataFrame, others: DataFrame, key: str, spot: list[str], reach: float, unit: str, on: list[str]
 ) -> DataFrame:

@@ -52,6 +52,31 @@ def self_pairs(points: DataFrame, radius: float, unit: str = "m", on: Sequence[s
     return radius_join(points, points, radius, unit, on).filter(F.col(f"l_{order}") < F.col(f"r_{order}"))
 
 
+CROWD = 512
+
+
+def density_steps(rows: DataFrame, radius: float, unit: str, on: Sequence[str] = (), crowd: int = CROWD) -> list[float]:
+    """Shares of ``radius`` to search one after the other, smallest first.
+
+    One share while no cell of that size holds more than ``crowd`` rows; else an eighth is put
+    before it, and so on. The counts are aggregated before the shuffle.
+    """
+    shares = [1.0]
+    while len(shares) < 8:
+        d = cells.cell_degrees(radius * shares[0], unit)
+        top = (
+            cells.with_cell(rows.select("lat", "lon", *on), "lat", "lon", d)
+            .groupBy("cell_b", "cell_l", *on)
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.max("n"))
+            .first()[0]
+        )
+        if (top or 0) <= crowd:
+            break
+        shares.insert(0, shares[0] / 8)
+    return shares
+
+
 def nearest_within(
     left: DataFrame,
     right: DataFrame,
@@ -60,24 +85,26 @@ def nearest_within(
     on: Sequence[str] = (),
     left_key: str = "id",
     right_key: str = "id",
-    steps: Sequence[float] = (0.125, 1.0),
+    steps: Sequence[float] | None = None,
     distance: str = "distance",
 ) -> DataFrame:
     """Nearest right row per left row within ``radius``; ties go to the lowest right key.
 
     Output: every left column, ``near`` (struct of the right row, null when none) and the distance.
-    Left rows are folded to distinct search points and right copies to their lowest key. The search
-    widens in ``steps``: points resolved in a small radius never meet the rows of a wider one, so a
-    dense spot costs few candidates per point.
+    Left rows are folded to distinct search points and right copies to their lowest key. Where the
+    right side is crowded the search starts in a small radius and widens (``steps``): points
+    resolved there never meet the rows of a wider one, so a crowd costs few candidates per point.
     """
     at = ["lat", "lon", *on]
-    spots = left.select(*at).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).distinct()
+    spots = left.select(*at).where("lat is not null and lon is not null").distinct()
     payload = F.struct(F.col(right_key).alias("_k"), F.struct(*[F.col(c) for c in right.columns]).alias("_row"))
     folded = (
-        right.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        right.where("lat is not null and lon is not null")
         .groupBy(*at)
         .agg(F.min_by(payload, F.col(right_key)).alias("_p"))
     )
+    if steps is None:
+        steps = density_steps(right.select(*at).distinct(), radius, unit, on)
     found = None
     open_spots = spots
     for i, fraction in enumerate(steps):
@@ -90,6 +117,8 @@ def nearest_within(
                 ).alias("_b")
             )
         )
+        if len(steps) > 1:
+            best = stage(best, "nearest-step")
         found = best if found is None else found.unionByName(best)
         if i + 1 < len(steps):
             open_spots = open_spots.join(best.select(*at), at, "left_anti")
@@ -129,11 +158,13 @@ def nearest_any(
         out = left.join(has_right, list(on), "left_anti").withColumn("near", F.lit(None)).withColumn(distance, F.lit(None))
     else:
         open_rows, out = left, None
-    radius, parts = start, []
+    radius, parts, steps = start, [], None
     while True:
         found = stage(
-            nearest_within(open_rows, right, radius, unit, on, left_key, right_key, (1.0,), distance), "nearest"
+            nearest_within(open_rows, right, radius, unit, on, left_key, right_key, steps, distance), "nearest"
         )
+        # rows still open have nothing near, so later rings need no small steps
+        steps = (1.0,)
         parts.append(found.where(F.col("near").isNotNull()))
         missed = found.where(F.col("near").isNull())
         if radius >= half_turn or missed.isEmpty():
@@ -247,23 +278,43 @@ def nearest_segment(
 
     ``reach`` is the number of cells around the point's own; with ``max_m`` it follows from the
     latitude instead. Copies of a segment are dropped first, search points are folded to distinct
-    coordinates, and the minimum is pre-aggregated before the shuffle back. Left outer: no segment
-    in reach gives null.
+    coordinates, and the minimum is pre-aggregated before the shuffle back. Where cells are crowded,
+    points first search cells an eighth as wide: a hit closer than such a cell is final. Left outer:
+    no segment in reach gives null.
     """
     at = ["lat", "lon", *on]
-    spots = points.select(*at).where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).distinct()
+    spots = points.select(*at).where("lat is not null and lon is not null").distinct()
+    unique = segments.select("lat1", "lon1", "lat2", "lon2", *on).distinct()
+    best = _segment_search(spots, unique, cell_deg, reach, max_m, at, on, local_plane, output, 0)
+    return _attach(points, best, at).drop(*[f"_at_{c}" for c in at])
+
+
+def _segment_search(spots, segments, cell_deg, reach, max_m, at, on, local_plane, output, depth) -> DataFrame:
+    index = segment_cells(segments, cell_deg)
+    top = index.groupBy("cell_i", "cell_j", *on).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    done = None
+    if top > CROWD and depth < 5:
+        fine = cell_deg / 8
+        near_m = fine * geo.METERS_PER_DEGREE / 4
+        close = stage(
+            _segment_search(spots, segments, fine, None, near_m, at, on, local_plane, output, depth + 1).where(
+                F.col(output) <= near_m
+            ),
+            "segment-step",
+        )
+        done = close
+        spots = spots.join(close.select(*at), at, "left_anti")
     if max_m is not None:
         k = geo.grid_radius_cells(max_m, cell_deg, "lat")
     else:
         k = F.lit(int(reach))
-    i, j = F.floor(F.col("lat") / cell_deg), F.floor(F.col("lon") / cell_deg)
+    size = f"{cell_deg!r}D"
     probes = (
         spots.withColumn("_k", k.cast("bigint"))
-        .withColumn("cell_i", F.explode(F.sequence(i - F.col("_k"), i + F.col("_k"))))
-        .withColumn("cell_j", F.explode(F.sequence(j - F.col("_k"), j + F.col("_k"))))
+        .selectExpr("*", f"explode(sequence(floor(lat / {size}) - _k, floor(lat / {size}) + _k)) as cell_i")
+        .selectExpr("*", f"explode(sequence(floor(lon / {size}) - _k, floor(lon / {size}) + _k)) as cell_j")
         .drop("_k")
     )
-    index = segment_cells(segments.select("lat1", "lon1", "lat2", "lon2", *on).distinct(), cell_deg)
     measure = geo.segment_distance_local if local_plane else geo.segment_distance_degrees
     dist = measure("lat", "lon", "lat1", "lon1", "lat2", "lon2")
     best = (
@@ -272,7 +323,7 @@ def nearest_segment(
         .groupBy(*at)
         .agg(F.min("_d").alias(output))
     )
-    return _attach(points, best, at).drop(*[f"_at_{c}" for c in at])
+    return best if done is None else done.unionByName(best)
 
 
 def ray_crosses(lat: Column, lon: Column, lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
