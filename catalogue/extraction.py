@@ -93,7 +93,7 @@ def page_slugs(spark, sf):
 
 
 def _store_pages(spark, sf):
-    """One store-list page per nation: its suppliers as a schema.org department list."""
+    """Store-list pages of fifty suppliers each, as a schema.org department list."""
     dept = F.struct(
         F.expr("if(s_suppkey % 6 = 0, 'Store', 'GasStation')").alias("@type"),
         F.concat(F.lit("#"), F.col("s_suppkey").cast("string"), F.lit(" &#8211; City"), F.col("s_suppkey").cast("string"), F.lit(", TX")).alias("name"),
@@ -101,7 +101,7 @@ def _store_pages(spark, sf):
         F.struct(F.expr("if(s_suppkey % 2 = 0, '', concat('Town', s_suppkey))").alias("addressLocality"), F.lit("").alias("addressRegion")).alias("address"),
     )
     heads = F.concat(F.lit("<h4>#"), F.col("s_suppkey").cast("string"), F.lit(" &#8211; x</h4>"))
-    grouped = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("bigint").alias("page_id")).agg(
+    grouped = table(spark, sf, "supplier").groupBy(F.expr("s_suppkey div 50").alias("page_id")).agg(
         F.to_json(F.struct(F.collect_list(dept).alias("department"))).alias("j"), F.array_join(F.collect_list(heads), "").alias("h")
     )
     return grouped.select(
@@ -111,7 +111,7 @@ def _store_pages(spark, sf):
 
 @query(
     "store_list_rows",
-    "SELECT s_nationkey::BIGINT AS page_id, s_suppkey AS store_number, CASE WHEN s_suppkey % 2 = 0 THEN concat('City', s_suppkey) ELSE concat('Town', s_suppkey) END AS city, 'TX' AS state, s_acctbal AS lon FROM supplier WHERE s_suppkey % 6 <> 0",
+    "SELECT s_suppkey // 50 AS page_id, s_suppkey AS store_number, CASE WHEN s_suppkey % 2 = 0 THEN concat('City', s_suppkey) ELSE concat('Town', s_suppkey) END AS city, 'TX' AS state, s_acctbal AS lon FROM supplier WHERE s_suppkey % 6 <> 0",
 )
 def store_list_rows(spark, sf):
     return page_plans.linked_data_stores(_store_pages(spark, sf)).select("page_id", "store_number", "city", "state", "lon")
@@ -119,7 +119,7 @@ def store_list_rows(spark, sf):
 
 @query(
     "store_heading_check",
-    "SELECT s_nationkey::BIGINT AS page_id, count(*) AS headings, count(DISTINCT s_suppkey) AS distinct_numbers, max(s_suppkey) AS highest FROM supplier GROUP BY 1",
+    "SELECT s_suppkey // 50 AS page_id, count(*) AS headings, count(DISTINCT s_suppkey) AS distinct_numbers, max(s_suppkey) AS highest FROM supplier GROUP BY 1",
 )
 def store_heading_check(spark, sf):
     return page_plans.heading_store_numbers(_store_pages(spark, sf)).select(
@@ -149,13 +149,13 @@ def storefront_fields(spark, sf):
 
 
 def _wiki_pages(spark, sf):
-    """One list page per nation: its customers as table rows, one former table, and excluded links."""
+    """List pages of a hundred customers each as table rows, one former table, and excluded links."""
     row = F.concat(
         F.lit("|-\n| [["), F.expr("element_at(array('Blue Lake', 'Fort Ash', 'Elm_Grove'), cast(c_custkey % 3 as int) + 1)"), F.lit(" "),
         F.col("c_custkey").cast("string"), F.expr("element_at(array(' State Park', ' State Historic Site', ' State Park|Elm'), cast(c_custkey % 3 as int) + 1)"),
         F.lit("]] || [[Ash County, Texas]]\n"),
     )
-    body = table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("bigint").alias("page_id")).agg(F.array_join(F.collect_list(row), "").alias("rows"))
+    body = table(spark, sf, "customer").groupBy(F.expr("c_custkey div 100").alias("page_id")).agg(F.array_join(F.collect_list(row), "").alias("rows"))
     return body.select(
         "page_id",
         F.concat(
@@ -167,7 +167,7 @@ def _wiki_pages(spark, sf):
 
 @query(
     "wiki_list_counts",
-    """SELECT c_nationkey::BIGINT AS page_id, count(*) AS total, count(*) FILTER (WHERE c_custkey % 3 <> 1) AS parks, count(*) FILTER (WHERE c_custkey % 3 = 1) AS historic, 'wikitable' AS method FROM customer GROUP BY 1""",
+    """SELECT c_custkey // 100 AS page_id, count(*) AS total, count(*) FILTER (WHERE c_custkey % 3 <> 1) AS parks, count(*) FILTER (WHERE c_custkey % 3 = 1) AS historic, 'wikitable' AS method FROM customer GROUP BY 1""",
 )
 def wiki_list_counts(spark, sf):
     return page_plans.wiki_counts(page_plans.wiki_list_links(_wiki_pages(spark, sf))).select("page_id", "total", "parks", "historic", "method")
@@ -180,12 +180,12 @@ _RECORD = T.StructType([T.StructField("id", T.LongType()), T.StructField("name",
 
 @query("envelope_read", "SELECT s_nationkey AS nation, count(*) AS n, min(s_suppkey) AS first_id FROM supplier GROUP BY 1")
 def envelope_read(spark, sf):
-    """Record envelopes, one per nation, written as documents and read back."""
+    """Record envelopes of fifty suppliers each, one document per file, written and read back."""
     record = F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("size"))
-    docs = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.collect_list(record).alias("records"))
+    docs = table(spark, sf, "supplier").groupBy(F.expr("s_suppkey div 50").alias("page")).agg(F.collect_list(record).alias("records"))
     path = scratch(spark)
     text = F.to_json(F.struct(F.lit("2024-01-01").alias("generated"), "records")).alias("value")
-    docs.select("s_nationkey", text).repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
+    docs.select(text).write.option("maxRecordsPerFile", 1).text(path)
     rows = readers.read_envelope(spark, f"{path}-absent", _RECORD, fallback=path)
     return rows.groupBy(F.col("size").cast("int").alias("nation")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
 
@@ -294,7 +294,7 @@ def geojson_parts(spark, sf):
         F.when(multi, F.concat(F.lit("["), first, F.lit(f",[{outer}]]"))).otherwise(first), F.lit("}"),
     )
     feature = F.concat(F.lit('{"properties":{"parkCode":"u'), F.col("s_suppkey").cast("string"), F.lit('"},"geometry":'), geometry, F.lit("}"))
-    body = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
+    body = table(spark, sf, "supplier").groupBy(F.expr("s_suppkey div 50").alias("page")).agg(
         F.concat(F.lit('{"features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("body")
     )
     parts = readers.polygon_parts(body, properties={"code": "parkCode"})

@@ -280,3 +280,48 @@ def test_plans_have_no_cross_join(spark):
     plan = hit._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert F is not None
+
+
+def test_crowded_searches_give_the_same_answer(spark, monkeypatch):
+    data = rows(240, seed=9)
+    left, right = data[:120], data[120:]
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    segments = b.selectExpr("lat as lat1", "lon as lon1", "lat + 0.0001 as lat2", "lon as lon2")
+
+    def run():
+        near = sorted((r.id, r.near.id if r.near else None) for r in spatial.nearest_within(a, b, 0.3, "mi").collect())
+        seg = sorted(
+            (r.id, None if r.distance_m is None else round(r.distance_m, 6))
+            for r in spatial.nearest_segment(a, segments, 0.0015, max_m=250.0).collect()
+        )
+        return near, [s for s in seg if s[1] is None or s[1] <= 250]
+
+    plain = run()
+    monkeypatch.setattr(spatial, "CROWD", 3)
+    monkeypatch.setattr(spatial.density_steps, "__defaults__", ((), 3))
+    assert spatial.density_steps(b, 0.3, "mi")[0] < 1
+    assert run() == plain
+    bands = matching._bands(a, b, 0.5, "mi", [], 3)
+    assert len(bands) > 1
+    wide = matching.greedy_match(a, b, 0.5, "mi", bands=(1.0,)).collect()
+    narrow = matching.greedy_match(a, b, 0.5, "mi", bands=bands).collect()
+    assert sorted((r.left_key, r.right_key) for r in wide) == sorted((r.left_key, r.right_key) for r in narrow)
+
+
+def test_map_pins_labels(spark):
+    far = 0.5
+    sections = spark.createDataFrame(
+        [("p", 0, 40.0, -100.0, 9.0), ("p", 1, 40.0 + far, -100.0, 8.0), ("p", 2, 40.0 - far, -100.0, 7.0), ("q", 0, 30.0, -90.0, 1.0)],
+        "park_code string, section int, lat double, lon double, area double",
+    )
+    centers = spark.createDataFrame(
+        [("p", 1, "South Unit Visitor Center", 40.01, -100.0), ("p", 2, "South Unit", 40.4, -100.0), ("p", 3, "Island Center", 40.0, -100.0)],
+        "park_code string, seq long, name string, lat double, lon double",
+    )
+    overrides = spark.createDataFrame([("p", 1, "Upper")], "park_code string, cluster int, label string")
+    extra = spark.createDataFrame([("q", "q-extra", "", 31.0, -91.0)], "park_code string, pin_id string, label string, lat double, lon double")
+    pins = {(r.park_code, r.label, r.role) for r in clusters.map_pins(sections, centers, overrides, extra).collect()}
+    assert pins == {
+        ("p", "South Unit", "primary"), ("p", "Upper", "secondary"), ("p", "Island", "secondary"), ("q", "", "primary"),
+        ("q", "Additional unit", "secondary"),
+    }

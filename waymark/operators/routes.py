@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark import fixed_values as fv
 from waymark.functions import geo
+from waymark.operators.ranking import rank_in_groups
 from waymark.operators.spatial import radius_join
 
 
 def route_segments(routes: DataFrame) -> DataFrame:
-    """Consecutive vertex pairs of each route."""
-    by_route = Window.partitionBy("route_id").orderBy("seq")
-    return (
-        routes.select(
-            "route_id",
-            "seq",
-            F.col("lat").alias("lat1"),
-            F.col("lon").alias("lon1"),
-            F.lead("lat").over(by_route).alias("lat2"),
-            F.lead("lon").over(by_route).alias("lon2"),
-        )
-        .where(F.col("lat2").isNotNull())
-    )
+    """Consecutive vertex pairs of each route.
+
+    Vertices are ranked and joined to their successor, so that one very long route spreads over all
+    tasks.
+    """
+    ranked = rank_in_groups(routes.select("route_id", "seq", "lat", "lon"), ["route_id"], ["seq"], "n")
+    first = ranked.select("route_id", "n", "seq", F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
+    second = ranked.select("route_id", (F.col("n") - 1).alias("n"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    return first.join(second, ["route_id", "n"]).drop("n")
 
 
 def path_length(routes: DataFrame, unit: str = "mi") -> DataFrame:
