@@ -221,8 +221,8 @@ def camp_blob_ca(tags: str = "tags") -> Column:
     )
 
 
-def land_manager_ca(tags: str = "tags") -> Column:
-    blob = camp_blob_ca(tags)
+def land_manager_ca(tags: str = "tags", blob: Column | None = None) -> Column:
+    blob = camp_blob_ca(tags) if blob is None else blob
     name = first_filled(tag("name", tags), tag("name:fr", tags))
     site = tag("website", tags)
     federal = "parks canada|parcs canada"
@@ -272,8 +272,8 @@ def commercial(name, operator, brand, patterns=fv.COMMERCIAL_US) -> Column:
     return matches(join_filled(" ", name, operator, brand), "|".join(patterns))
 
 
-def private_campground_ca(name, tags: str = "tags") -> Column:
-    blob = camp_blob_ca(tags)
+def private_campground_ca(name, tags: str = "tags", blob: Column | None = None) -> Column:
+    blob = camp_blob_ca(tags) if blob is None else blob
     government = matches(blob, fv.GOVERNMENT_OPERATOR_CA) | _is("operator:type", "government", tags=tags)
     resort = matches(name, r"\bresort\b") & ~matches(blob, r"\bprovincial park\b")
     private = matches(blob, r"\bprivate\b") & matches(blob, r"\bcamp")

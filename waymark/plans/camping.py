@@ -21,6 +21,7 @@ from waymark.functions.text import (
 from waymark.operators import clusters, dedupe, spatial
 from waymark.operators.ranking import first_per_key
 from waymark.operators.rollup import group_centroids
+from waymark.runtime import derive
 
 
 def map_records_us(points: DataFrame) -> DataFrame:
@@ -56,14 +57,19 @@ def map_records_ca(points: DataFrame) -> DataFrame:
         F.nullif(F.trim(text(first_filled(tag("name"), tag("name:fr")))), F.lit("")),
         F.concat_ws(" ", F.lit("OSM"), "osm_type", F.col("osm_id").cast("string")),
     )
-    rows = points.where(geo.valid_coordinate("lat", "lon", fv.CA_BOX) & tags.camp_candidate()).withColumn("name", name)
-    rows = rows.withColumn("land_manager", tags.land_manager_ca())
-    keep = (
-        ~tags.private_campground_ca("name")
+    rows = points.where(geo.valid_coordinate("lat", "lon", fv.CA_BOX) & tags.camp_candidate())
+    named = derive(rows, name=name, _blob=tags.camp_blob_ca(), _site=text(tag("camp_site")))
+    judged = derive(
+        named,
+        land_manager=tags.land_manager_ca(blob=F.col("_blob")),
+        _private=tags.private_campground_ca("name", blob=F.col("_blob")),
+    ).where(
+        ~F.col("_private")
         & F.col("land_manager").isin("Parks Canada", "Provincial")
-        & ~text(tag("camp_site")).isin("dispersed", "wildcamp", "backcountry")
+        & ~F.col("_site").isin("dispersed", "wildcamp", "backcountry")
     )
-    return first_per_key(rows.where(keep), ["osm_type", "osm_id"], ["lat", "lon"]).withColumn(
+    unique = first_per_key(judged, ["osm_type", "osm_id"], ["lat", "lon"])
+    return unique.drop("_private", "_site", "_blob").withColumn(
         "state", F.coalesce(spatial.box_code("lat", "lon", fv.PROVINCE_BOXES), F.lit(""))
     ).withColumn(
         "id", F.concat_ws("-", F.lit("CG-CA-OSM"), "state", slugify("name", 48), F.col("osm_id").cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SESSION_DEFAULTS = {
@@ -63,3 +63,13 @@ def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     staged = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
     return staged, seen.get["n"]
+
+
+def derive(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later steps see as finished values.
+
+    Long rule expressions are then evaluated once per row, and the optimizer neither copies them
+    into filters nor reasons about their text.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
