@@ -9,7 +9,6 @@ the antimeridian also probe the wrapped longitude.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from waymark.functions.geo import degrees_for
 
@@ -57,8 +56,3 @@ def with_probe_cells(
     )
     kept = [f"`{c}`" for c in df.columns]
     return spread.selectExpr(*kept, probe).selectExpr(*kept, f"_probe.b as {prefix}_b", f"_probe.l as {prefix}_l")
-
-
-def same_cell(a: str, b: str):
-    """Join condition of two cell prefixes."""
-    return F.expr(f"{a}_b = {b}_b and {a}_l = {b}_l")

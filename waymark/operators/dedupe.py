@@ -304,7 +304,6 @@ def cobrand_dedupe(
     order is followed inside each connected component, in bounded chunks.
     Input: id (string), seq, lat, lon, brand_id. Output: (kept id, final brand), suppressed pairs.
     """
-    family = {*pair, merged}
     parts = proximity_components(points, radius_mi, "mi")
     rows = points.join(parts, "id").select("component", "id", "seq", "lat", "lon", "brand_id")
 
@@ -312,7 +311,6 @@ def cobrand_dedupe(
         return _cobrand_step(chunk, state, radius_mi, pair, merged)
 
     out, state = ordered_fold(rows, "component", ["seq"], step, COBRAND_OUTPUT, COBRAND_STATE)
-    assert family
     lost = out.where("reason <> 'kept'").select(F.col("keeper").alias("kept"), F.col("id").alias("dropped"), "reason")
     turned = lost.where("reason = 'sister-brand-merge'").select(F.col("kept").alias("id")).distinct()
     kept = (
