@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import neardup, sql
+from waymark.llm import decontaminate, mixing, neardup, sql
 from waymark.llm.support import table
 from waymark.runtime import configure
 
 
+def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in [op10_minhash_neardup]
+    f.__name__: f for f in [op6_winnowing_decontamination, op9_source_mixing, op10_minhash_neardup]
 }
 SQL = sql.SQL

@@ -32,3 +32,62 @@ select g.doc_id, cast(len(grams) as bigint) as n_shingles, component_id, g.doc_i
     coalesce(n_links, 0) as n_links
 from g join least using (doc_id) left join degree using (doc_id)
 """
+
+SQL["op9_source_mixing"] = r"""
+with sized as (
+    select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+    from documents
+), sums as (select source, cast(sum(size) as hugeint) as s from sized group by 1),
+weighed as (
+    select source, s, [3, 1, 2][(row_number() over (order by source is null, source) - 1) % 3 + 1] as w from sums
+), ranked as (select *, row_number() over (order by 4.0 * s / w, source) as i from weighed),
+prefix as (
+    select i, source, s, w, coalesce(sum(4 * s) over (order by i rows between unbounded preceding and 1 preceding), 0) as used,
+        sum(w) over (order by i rows between current row and unbounded following) as open_w, sum(s) over () as total
+    from ranked
+), cut as (
+    select 3 * total - used as n, open_w, i as first_open from prefix
+    where not (4 * s * open_w < (3 * total - used) * w) order by i limit 1
+), goal as (
+    select source, cast(s as bigint) as source_size,
+        case when i < cut.first_open then s * cast(2 as double)
+            else cast(n * w as double) / cast(2 * cut.open_w as double) end as target
+    from prefix, cut
+), rated as (
+    select doc_id, size, source_size, target,
+        case when source_size > 0 then target / source_size else cast(0 as double) end as rate,
+        cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '')), 1, 13) as bigint)
+            / cast(4503599627370496 as double) as draw
+    from sized join goal on sized.source is not distinct from goal.source
+)
+select doc_id, size, source_size, target,
+    size * (cast(floor(rate) as bigint) + case when draw < rate - floor(rate) then 1 else 0 end) as taken
+from rated
+"""
+
+SQL["op6_winnowing_decontamination"] = r"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
+), b as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from benchmark
+), item_window as (
+    select distinct item_id, n, list_aggregate(words[i:i + n - 1], 'string_agg', ' ') as gram from (
+        select item_id, words, least(10, len(words)) as n,
+            unnest(range(1, len(words) - least(10, len(words)) + 2)) as i from b where len(words) > 0)
+), length_used as (select distinct n from item_window),
+doc_window as (
+    select doc_id, i, n, list_aggregate(words[i:i + n - 1], 'string_agg', ' ') as gram from (
+        select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as i from d, length_used where len(words) >= n)
+), hit as (
+    select doc_id, i, doc_window.n, item_id from doc_window join item_window using (gram)
+    where doc_window.n = item_window.n
+), word as (select doc_id, count(distinct p) as n_hit from (
+    select doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, i, n from hit)) group by 1),
+listed as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+    from (select distinct doc_id, cast(item_id as varchar) as id from hit) group by 1)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join word using (doc_id) left join listed using (doc_id)
+"""
