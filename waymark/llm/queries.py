@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, mixing, neardup, sql
+from waymark.llm import decontaminate, licences, mixing, neardup, sharding, sql
 from waymark.llm.support import table
 from waymark.runtime import configure
 
 
+def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_table(table(spark, sf_dir, "documents"))
+
+
 def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
@@ -23,7 +31,8 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in [op6_winnowing_decontamination, op9_source_mixing, op10_minhash_neardup]
-}
+_ALL = [
+    op1_label_propagation_shards, op6_winnowing_decontamination, op8_license_scan, op9_source_mixing, op10_minhash_neardup,
+]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL = sql.SQL

@@ -91,3 +91,44 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hi
     sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join word using (doc_id) left join listed using (doc_id)
 """
+
+SQL["op8_license_scan"] = r"""
+with phrase(phrase, tag) as (values ('gnu general public license', 'gpl'), ('apache license', 'apache'),
+    ('cc by', 'cc-by'), ('mit license', 'mit')),
+notice(label, body) as (values
+    ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
+    ('lgpl', 'this library is licensed under the gnu lesser general public license'),
+    ('apache-2.0', 'licensed under the apache license version 2 0'),
+    ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
+    ('cc-by-sa-4.0', 'licensed under the creative commons attribution sharealike 4 0 international license'),
+    ('mit-notice', 'released under the mit license'),
+    ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0'),
+    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted')),
+low as (
+    select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+    from documents
+), d as (select doc_id, body, regexp_extract_all(body, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from low),
+p as (select phrase, tag, string_split(phrase, ' ') as parts from phrase),
+place as (
+    select doc_id, tag, i - 1 as spot from (
+        select doc_id, words, unnest(range(1, len(words) + 1)) as i from d
+        where contains(body, 'license') or contains(body, 'cc')) x, p
+    where words[i:i + len(parts) - 1] = parts
+), base as (
+    select doc_id, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list(distinct tag) as tags
+    from place group by 1
+), block as (
+    select doc_id, list_distinct(regexp_extract_all(unnest(string_split(body, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+        as words from low
+), n as (select label, list_distinct(string_split(body, ' ')) as words from notice),
+found as (
+    select doc_id, label, len(list_intersect(block.words, n.words)) / cast(len(n.words) as double) as part
+    from block, n where 100 * len(list_intersect(block.words, n.words)) >= 80 * len(n.words)
+), more as (select doc_id, list(distinct label) as tags, max(part) as best from found group by 1)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+    coalesce(list_aggregate(list_sort(base.tags), 'string_agg', ','), '') as base_labels,
+    coalesce(list_aggregate(list_sort(list_distinct(list_concat(coalesce(base.tags, []), coalesce(more.tags, [])))),
+        'string_agg', ','), '') as labels,
+    case when n_base > 0 then cast(1 as double) else coalesce(best, 0) end as score
+from d left join base using (doc_id) left join more using (doc_id)
+"""
