@@ -203,9 +203,13 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFra
         components = connected_components(links)
         placed = met.where("not is_pivot").join(judged, ["p", "k"])
         first = placed.groupBy("b", "k").agg(F.min(F.expr("case when kind = 2 then p end")).alias("linked"))
-        child = placed.join(first, ["b", "k"]).where("kind = 1 or p = linked").select(
-            F.xxhash64("b", "p").alias("b"), "k"
-        )
+        # what is linked to a pivot meets what is near that pivot: the rest of its pairs are settled
+        heads = first.where("linked is not null").select("b", F.col("linked").alias("p")).distinct()
+        child = (
+            placed.where("kind > 0").join(heads, ["b", "p"]).join(first, ["b", "k"])
+            .where("kind = 1 or p = linked")
+            .select(F.xxhash64("b", "p").alias("b"), "k")
+        )
         others = first.where("linked is null").select(F.xxhash64("b", F.lit(0)).alias("b"), "k")
         members = stage(_labelled(child.union(others).distinct(), components), "neardup-members")
         width *= 2
