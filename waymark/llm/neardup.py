@@ -9,7 +9,7 @@ linked when ``100 * intersection >= percent * union``.
    twice the number of samples that differ.
 2. Equal sets fold into one class before anything is compared.
 3. Classes that share a band sit in a bucket. A bucket is not paired with itself: in each round a
-   few pivots (1, 2, 4, ...) are compared with the members, and what cannot hold an open link any more
+   few pivots (2, 8, 32, ...) are compared with the members, and what cannot hold an open link any more
    leaves: members of one component, and, by the triangle inequality of the Jaccard distance, pairs of
    which one is linked to a pivot and the other is farther from it than twice the threshold.
    Rounds go on until every bucket is settled, so no link between members is skipped.
@@ -180,10 +180,30 @@ def _labelled(members: DataFrame, components: DataFrame | None) -> DataFrame:
     return own.join(open_buckets, "b").select("b", "k")
 
 
+def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links: only what the links join of the components so far is worked on."""
+    if components is None:
+        return stage(connected_components(links), "neardup-components")
+    named = components.select(F.col("id").alias("src"), F.col("component").alias("a"))
+    edges = (
+        links.join(named, "src", "left")
+        .join(named.select(F.col("src").alias("dst"), F.col("a").alias("b")), "dst", "left")
+        .select(F.coalesce("a", "src").alias("src"), F.coalesce("b", "dst").alias("dst"))
+        .where("src <> dst")
+    )
+    edges = stage(edges.distinct(), "neardup-edges")
+    if edges.isEmpty():
+        return components
+    higher = connected_components(edges).select(F.col("id").alias("component"), F.col("component").alias("top"))
+    old = components.join(higher, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    new = higher.join(components, higher["component"] == components["id"], "left_anti")
+    return stage(old.union(new.select(F.col("component").alias("id"), "top")), "neardup-components")
+
+
 def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """(links (src, dst) between class keys, components (id, component) or None if there are no links)."""
     members = stage(_labelled(classes.select(F.explode("bands").alias("b"), "k"), None), "neardup-members")
-    links, components, width = None, None, 1
+    links, components, width = None, None, 2
     while not members.isEmpty():
         order = Window.partitionBy("b").orderBy("k")
         pivots = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= width).select(
@@ -200,7 +220,7 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFra
         judged = _judge(met.select("p", "k").distinct(), classes, docs, percent)
         fresh = judged.where("kind = 2").select(F.col("p").alias("src"), F.col("k").alias("dst"))
         links = fresh if links is None else links.union(fresh)
-        components = connected_components(links)
+        components = _merged(components, fresh)
         placed = met.where("not is_pivot").join(judged, ["p", "k"])
         first = placed.groupBy("b", "k").agg(F.min(F.expr("case when kind = 2 then p end")).alias("linked"))
         # what is linked to a pivot meets what is near that pivot: the rest of its pairs are settled
@@ -212,7 +232,7 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFra
         )
         others = first.where("linked is null").select(F.xxhash64("b", F.lit(0)).alias("b"), "k")
         members = stage(_labelled(child.union(others).distinct(), components), "neardup-members")
-        width *= 2
+        width *= 4
     return links, components
 
 
