@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, licences, mixing, neardup, sharding, sql
+from waymark.llm import decontaminate, langid, licences, mixing, neardup, quality, sharding, sketches, sql, tokenfiles
 from waymark.llm.support import table
 from waymark.runtime import configure
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op5_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -32,7 +51,8 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [
-    op1_label_propagation_shards, op6_winnowing_decontamination, op8_license_scan, op9_source_mixing, op10_minhash_neardup,
+    op1_label_propagation_shards, op2_language_id, op3_scaled_sketch, op4_token_parquet, op5_quality_discriminant,
+    op6_winnowing_decontamination, op8_license_scan, op9_source_mixing, op10_minhash_neardup,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL = sql.SQL
