@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, langid, licences, mixing, neardup, quality, sharding, sketches, sql, tokenfiles
+from waymark.llm import decontaminate, langid, licences, mixing, neardup, quality, sharding, sketches, sql, tokenfiles, warcfiles
 from waymark.llm.support import table
 from waymark.runtime import configure
 
@@ -27,6 +26,8 @@ def op3_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return tokenfiles.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
@@ -38,6 +39,10 @@ def op6_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warcfiles.archive_table(table(spark, sf_dir, "pages"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     op1_label_propagation_shards, op2_language_id, op3_scaled_sketch, op4_token_parquet, op5_quality_discriminant,
-    op6_winnowing_decontamination, op8_license_scan, op9_source_mixing, op10_minhash_neardup,
+    op6_winnowing_decontamination, op7_warc_dictionary, op8_license_scan, op9_source_mixing, op10_minhash_neardup,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL = sql.SQL
