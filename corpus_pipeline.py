@@ -4,7 +4,7 @@ language id -> near-duplicates -> benchmark passages -> source mix -> shards. Ev
 predecessor kept; all but the last return the columns of ``documents``. Copies that the mix makes are rows of
 their own, and the last stage adds shard and slot.
 
-Documents are rejected by language id if they have no letter or no language with a probability of at least one half.
+Documents are rejected by language id if they have no letter or no language with a probability of at least 0.3.
 """
 
 from __future__ import annotations

@@ -17,6 +17,7 @@ repeated rows are judged each; other columns are ignored; empty tables give no h
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm import words
-from waymark.llm.support import map_batches, packed, pick, unpacked
+from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, unpacked
 from waymark.runtime import configure, stage
 
 LENGTH = 10
@@ -137,36 +138,17 @@ def item_grams(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flat.select("place", "f", "length", "around").distinct(), flat.select("place", "item_id").distinct()
 
 
-def bitmap(grams: DataFrame) -> np.ndarray:
-    """Bits of the items' k-grams: a table of BITS / 64 numbers at most, whatever the benchmark's size."""
-    bit = F.expr(f"pmod(f, {BITS}L)")
-    rows = (
-        grams.select(bit.alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("at"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word"))
-        .toPandas()
-    )
-    made = np.zeros(BITS // 64, np.int64)
-    made[rows["at"].to_numpy(np.int64)] = rows["word"].to_numpy(np.int64)
-    return made.view(np.uint64)
-
-
 def document_grams(docs: DataFrame, bits: np.ndarray, lengths: list[int]) -> DataFrame:
     """Per document: row key, number of words, and its k-grams that pass the bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         row = TaskContext.get().partitionId() << 36
 
-        def passes(keys: np.ndarray) -> np.ndarray:
-            at = keys & np.uint64(BITS - 1)
-            return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            counts, grams = kept_grams(batch.column("text"), lengths, _OUTSIDE_DOC, passes)
+            counts, grams = kept_grams(batch.column("text"), lengths, _OUTSIDE_DOC, partial(in_bitmap, shared.value))
             key = pa.array(np.arange(row, row + batch.num_rows))
             row += batch.num_rows
             yield pa.record_batch(
@@ -192,7 +174,7 @@ def hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     grams, places = item_grams(items)
     grams = stage(grams, "decontaminate-grams")
     lengths = sorted(r[0] for r in grams.select("length").distinct().collect()) or [LENGTH]  # 1 to LENGTH
-    seen = stage(document_grams(docs, bitmap(grams), lengths), "decontaminate-documents")
+    seen = stage(document_grams(docs, bitmap(grams, "f", BITS), lengths), "decontaminate-documents")
     own = seen.where("size(grams) > 0").select("row", F.explode("grams").alias("g")).select("row", "g.*")
     theirs = grams.select("f", "length", "place", F.col("around").alias("i_around"))
     met = own.join(theirs, ["f", "length"]).select(

@@ -36,7 +36,7 @@ SAMPLE, CALIBRATION = 1000, 400
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.01
 #: a document below this calibrated probability is rejected by ``identified``
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 UNKNOWN = "und"
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)

@@ -8,13 +8,17 @@ linked when ``100 * intersection >= percent * union``.
    the MinHash samples flips one bit, so the population count of the XOR of two sketches is at most
    twice the number of samples that differ.
 2. Equal sets fold into one class before anything is compared.
-3. Classes that share a band sit in a bucket. A bucket is not paired with itself: in each round a
-   few pivots (2, 8, 32, ...) are compared with the members, and what cannot hold an open link any more
-   leaves: members of one component, and, by the triangle inequality of the Jaccard distance, pairs of
-   which one is linked to a pivot and the other is farther from it than twice the threshold.
-   Rounds go on until every bucket is settled, so no link between members is skipped.
-4. Candidates whose sketches differ in more bits than the threshold allows are rejected (chance below
-   1e-9 that a true link is); the others are confirmed on the full sets.
+3. Classes that share a band sit in a bucket. First all members of a bucket are compared with one of them,
+   by length and sketch, then on full sets; what that links is merged. A bucket that lies in one component
+   is settled.
+4. The members of open buckets meet in blocks of at most BLOCK members and BLOCK_SHINGLES shingles (a larger
+   bucket gives a block for each pair of its parts). A block compares sketches of members of different components as
+   arrays, in the first bucket that two of them share, and tells which members have a candidate left;
+   with the full sets of these, a second pass counts all intersections of a block at once. It hands on
+   only the links that join components, no more than it has members. No list of pairs is made.
+
+A sketch rejects a pair where it differs in more bits than the threshold allows (chance below 1e-9 that a
+true link is rejected); every link is confirmed on full sets.
 
 Cases: null text is empty; rows without a doc_id take part, and get the least id of their component
 (null, and kept, if it has none); repeated rows share their component; other columns are ignored; an
@@ -28,11 +32,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm import words
-from waymark.llm.support import map_batches, packed, pick, unpacked
+from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, unpacked
 from waymark.operators.components import connected_components
 from waymark.runtime import configure, stage
 
@@ -40,6 +44,12 @@ SHINGLE = 5
 BANDS, ROWS = 32, 6
 SAMPLES = BANDS * ROWS
 SKETCH_LONGS = 16
+#: members and shingles of one part of a bucket
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+#: cells of a matrix of members and shingles that is in memory at once
+CELLS = 1 << 23
+#: bits of the bitmap that spares rows whose sets nobody wants
+BITS = 1 << 25
 SIGNATURE = (
     "doc_id long, text_md5 string, n_shingles long, class_hi long, class_lo long, bands array<long>, sketch array<long>"
 )
@@ -95,11 +105,6 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-    found = [x.view(np.int64) for x in words.row_shingles(batch.column("text"), "blank", SHINGLE)]
-    return pa.record_batch([batch.column("k"), pa.array(found, pa.list_(pa.int64()))], names=["k", "members"])
-
-
 def most_differing_bits(similarity: float) -> int:
     """Bits in which two sketches of sets this similar differ at most, but for a chance below 1e-9.
 
@@ -136,48 +141,54 @@ def classes_of(signed: DataFrame) -> DataFrame:
     )
 
 
-def _judge(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """(p, k, kind) for class pairs: 2 linked, 1 within twice the distance of the threshold, 0 farther.
+def _row_key(doc_id: str, text_md5: str) -> Column:
+    return F.xxhash64(doc_id, text_md5)
+
 
-    Pairs that length and sketch exclude from a link are placed by their bounds alone.
+def sets_of(needed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(k, members): the full set of each class in ``needed`` (k), from the text of its least row.
+
+    Only rows that pass a bitmap of the wanted rows are shingled and shuffled.
     """
-    wide = max(0, 2 * percent - 100)
+    spots = classes.join(needed.distinct(), "k", "left_semi").select(
+        "k", "text_md5", _row_key("doc_id", "text_md5").alias("at")
+    )
+    spots = stage(spots, "neardup-spots")
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(spots, "at", BITS))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = in_bitmap(wanted.value, batch.column("at").to_numpy(zero_copy_only=False).view(np.uint64))
+        batch = batch.filter(pa.array(own))
+        found = [x.view(np.int64) for x in words.row_shingles(batch.column("text"), "blank", SHINGLE)]
+        columns = [batch.column("at"), batch.column("text_md5"), pa.array(found, pa.list_(pa.int64()))]
+        return pa.record_batch(columns, names=["at", "text_md5", "members"])
+
+    rows = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+    rows = rows.select("text", "text_md5", _row_key("doc_id", "text_md5").alias("at"))
+    found = map_batches(rows, run, "at long, text_md5 string, members array<long>")
+    return stage(
+        found.join(spots, ["at", "text_md5"]).groupBy("k").agg(F.first("members").alias("members")), "neardup-sets"
+    )
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (src, dst) among class pairs (p, k): by length, by sketch, then on full sets."""
     traits = classes.select("k", "n_shingles", "sketch")
     p_side = traits.select(F.col("k").alias("p"), F.col("n_shingles").alias("p_n"), F.col("sketch").alias("p_sketch"))
     met = pairs.join(p_side, "p").join(traits, "k")
-    small, large = F.least("p_n", "n_shingles"), F.greatest("p_n", "n_shingles")
-    bits = _apart("p_sketch", "sketch")
-    link = (small * 100 >= large * percent) & (bits <= most_differing_bits(percent / 100))
-    near = (small * 100 >= large * wide) & (bits <= most_differing_bits(wide / 100))
-    met = stage(met.select("p", "k", "p_n", "n_shingles", link.alias("link"), near.alias("near")), "neardup-met")
-    open_pairs = met.where("link")
-    needed = open_pairs.select(F.explode(F.array("p", "k")).alias("k")).distinct()
-    spots = classes.join(needed, "k", "left_semi").select("k", "doc_id", "text_md5")
-    texts = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
-    same = texts["doc_id"].eqNullSafe(spots["doc_id"]) & (texts["text_md5"] == spots["text_md5"])
-    found = texts.join(spots, same).groupBy("k").agg(F.first("text").alias("text"))
-    sets = stage(map_batches(found, _sets, "k long, members array<long>"), "neardup-sets")
+    alike = (F.least("p_n", "n_shingles") * 100 >= F.greatest("p_n", "n_shingles") * percent) & (
+        _apart("p_sketch", "sketch") <= most_differing_bits(percent / 100)
+    )
+    met = stage(met.where(alike).select("p", "k", (F.col("p_n") + F.col("n_shingles")).alias("both")), "neardup-met")
+    sets = sets_of(met.select(F.explode(F.array("p", "k")).alias("k")), classes, docs)
     common = F.size(F.array_intersect("members", "p_members"))
-    judged = (
-        open_pairs.join(sets.select(F.col("k").alias("p"), F.col("members").alias("p_members")), "p")
+    return stage(
+        met.join(sets.select(F.col("k").alias("p"), F.col("members").alias("p_members")), "p")
         .join(sets, "k")
-        .select("p", "k", common.alias("common"), (F.col("p_n") + F.col("n_shingles") - common).alias("joint"))
+        .where(common * 100 >= (F.col("both") - common) * percent)
+        .select(F.col("p").alias("src"), F.col("k").alias("dst")),
+        "neardup-links",
     )
-    kind = F.expr(f"case when common * 100 >= joint * {percent} then 2 when common * 100 >= joint * {wide} then 1 else 0 end")
-    rest = met.where("not link").select("p", "k", F.col("near").cast("int").alias("kind"))
-    return stage(judged.select("p", "k", kind.alias("kind")).union(rest), "neardup-judged")
-
-
-def _labelled(members: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Members (b, k) of the buckets that still span more than one component."""
-    if components is None:
-        own = members.withColumn("c", F.col("k"))
-    else:
-        own = members.join(components.withColumnRenamed("id", "k"), "k", "left").select(
-            "b", "k", F.coalesce("component", "k").alias("c")
-        )
-    open_buckets = own.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("b")
-    return own.join(open_buckets, "b").select("b", "k")
 
 
 def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -200,63 +211,138 @@ def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
     return stage(old.union(new.select(F.col("component").alias("id"), "top")), "neardup-components")
 
 
-def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """(links (src, dst) between class keys, components (id, component) or None if there are no links)."""
-    members = stage(_labelled(classes.select(F.explode("bands").alias("b"), "k"), None), "neardup-members")
-    links, components, width = None, None, 2
-    while not members.isEmpty():
-        order = Window.partitionBy("b").orderBy("k")
-        pivots = members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= width).select(
-            "b", F.col("k").alias("p")
-        )
-        # a pivot meets the pivots after it once, and every other member
-        met = stage(
-            members.join(pivots, "b")
-            .join(pivots.select("b", F.col("p").alias("k"), F.lit(True).alias("is_pivot")), ["b", "k"], "left")
-            .where("k <> p and (is_pivot is null or k > p)")
-            .select("b", "p", "k", F.coalesce("is_pivot", F.lit(False)).alias("is_pivot")),
-            "neardup-round",
-        )
-        judged = _judge(met.select("p", "k").distinct(), classes, docs, percent)
-        fresh = judged.where("kind = 2").select(F.col("p").alias("src"), F.col("k").alias("dst"))
-        links = fresh if links is None else links.union(fresh)
-        components = _merged(components, fresh)
-        placed = met.where("not is_pivot").join(judged, ["p", "k"])
-        first = placed.groupBy("b", "k").agg(F.min(F.expr("case when kind = 2 then p end")).alias("linked"))
-        # what is linked to a pivot meets what is near that pivot: the rest of its pairs are settled
-        heads = first.where("linked is not null").select("b", F.col("linked").alias("p")).distinct()
-        child = (
-            placed.where("kind > 0").join(heads, ["b", "p"]).join(first, ["b", "k"])
-            .where("kind = 1 or p = linked")
-            .select(F.xxhash64("b", "p").alias("b"), "k")
-        )
-        others = first.where("linked is null").select(F.xxhash64("b", F.lit(0)).alias("b"), "k")
-        members = stage(_labelled(child.union(others).distinct(), components), "neardup-members")
-        width *= 4
-    return links, components
+def _longs(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list column of one length as a matrix."""
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
+
+
+def _candidates(block: pa.Table, percent: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a block that length, sketch, component and bucket leave open."""
+    sketch = _longs(block["sketch"]).view(np.uint64)
+    bands = _longs(block["bands"])
+    part, size, own = (block[c].to_numpy() for c in ("part", "n_shingles", "c"))
+    bucket = block["b"][0].as_py()
+    crossing = block["i"][0].as_py() != block["j"][0].as_py()
+    left, right = [], []
+    for a in range(block.num_rows - 1):
+        rest = np.arange(a + 1, block.num_rows)
+        ok = own[rest] != own[a]
+        if crossing:
+            ok &= part[rest] != part[a]
+        rest = rest[ok]
+        small, large = np.minimum(size[rest], size[a]), np.maximum(size[rest], size[a])
+        rest = rest[small * 100 >= large * percent]
+        rest = rest[np.bitwise_count(sketch[rest] ^ sketch[a]).sum(axis=1) <= bits]
+        shared = bands[rest] == bands[a]
+        first = bands[a][shared.argmax(axis=1)] if len(rest) else bands[a][:0]
+        rest = rest[first == bucket]
+        left.append(np.full(len(rest), a))
+        right.append(rest)
+    return np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
+
+
+def _intersections(lists: pa.ChunkedArray) -> np.ndarray:
+    """Sizes of all intersections of the sets of a block."""
+    column = lists.combine_chunks()
+    n = len(column)
+    row = np.repeat(np.arange(n), np.diff(column.offsets.to_numpy()))
+    _, at, count = np.unique(column.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = count[at] > 1
+    number = np.cumsum(count > 1) - 1
+    row, at = row[shared], number[at[shared]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    wide = int((count > 1).sum())
+    total, width = np.zeros((n, n), np.float32), max(1, min(wide, CELLS // n))
+    for low in range(0, wide, width):
+        x, y = np.searchsorted(at, [low, low + width])
+        part = np.zeros((n, width), np.float32)
+        part[row[x:y], at[x:y] - low] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def _joining(block: pa.Table, percent: int, bits: int) -> pa.Table:
+    """Links of a block that join components: a spanning forest at most."""
+    left, right = _candidates(block, percent, bits)
+    common = _intersections(block["members"])[left, right] if len(left) else left
+    size, k = block["n_shingles"].to_numpy(), block["k"].to_numpy()
+    linked = common * 100 >= (size[left] + size[right] - common) * percent
+    root = {c: c for c in block["c"].to_pylist()}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    own, made = block["c"].to_pylist(), []
+    for a, b in zip(left[linked].tolist(), right[linked].tolist(), strict=True):
+        x, y = top(own[a]), top(own[b])
+        if x != y:
+            root[x] = y
+            made.append((a, b))
+    a, b = (np.array([m[i] for m in made], np.int64) for i in (0, 1))
+    return pa.table({"src": pa.array(k[a], pa.int64()), "dst": pa.array(k[b], pa.int64())})
+
+
+def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Open members (b, k, c) dealt into blocks (b, i, j) of two parts of their bucket, or of one."""
+    rows = members.join(classes.select("k", "n_shingles", "sketch", "bands"), "k")
+    parts = F.expr(f"cast(ceil(greatest(count(1) / {BLOCK}D, sum(n_shingles) / {BLOCK_SHINGLES}D)) as int)")
+    sizes = rows.groupBy("b").agg(parts.alias("parts"))
+    part = F.expr("cast(pmod(xxhash64(k, b), parts) as int)")
+    return (
+        rows.join(sizes, "b").withColumn("part", part)
+        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+        .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+        .select("b", "i", "j", "part", "k", "c", "n_shingles", "sketch", "bands")
+    )
+
+
+def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Components (id, component) of class keys; classes without links are not listed."""
+    held = classes.select(F.explode("bands").alias("b"), "k")
+    heads = held.groupBy("b").agg(F.min("k").alias("p"), F.max("k").alias("last")).where("p < last").select("b", "p")
+    members = stage(held.join(heads, "b"), "neardup-members")
+    pairs = members.where("p <> k").select("p", "k").distinct()
+    components = _merged(None, _confirmed(pairs, classes, docs, percent))
+
+    own = members.join(components.withColumnRenamed("id", "k"), "k", "left").select(
+        "b", "k", F.coalesce("component", "k").alias("c")
+    )
+    still = own.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("b")
+    blocks = stage(_blocks(own.join(still, "b"), classes), "neardup-blocks")
+    bits = most_differing_bits(percent / 100)
+
+    def open_members(block: pa.Table) -> pa.Table:
+        at = np.unique(np.concatenate(_candidates(block, percent, bits)))
+        return block.select(["b", "i", "j", "k"]).take(pa.array(at.astype(np.int64)))
+
+    key = ["b", "i", "j"]
+    left = stage(blocks.groupBy(*key).applyInArrow(open_members, "b long, i int, j int, k long"), "neardup-open")
+    sets = sets_of(left.select("k"), classes, docs)
+    full = blocks.join(left, [*key, "k"]).join(sets, "k")
+    joins = full.groupBy(*key).applyInArrow(lambda block: _joining(block, percent, bits), "src long, dst long")
+    return _merged(components, stage(joins, "neardup-joins"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept per document, and its number of linked classes."""
-    spark = configure(docs.sparkSession)
+    """doc_id, n_shingles, component_id, kept per document."""
+    configure(docs.sparkSession)
     own = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = stage(map_batches(own, _signatures, SIGNATURE), "neardup-signed")
     classes = stage(classes_of(signed), "neardup-classes")
-    links, components = links_of(classes, own, percent)
-    if links is None:
-        links = spark.createDataFrame([], "src long, dst long")
-        components = spark.createDataFrame([], "id long, component long")
-    ends = links.distinct().select(F.explode(F.array("src", "dst")).alias("k"))
-    degree = ends.groupBy("k").agg(F.count(F.lit(1)).alias("n_links"))
+    components = links_of(classes, own, percent)
     of_class = stage(
         classes.select("k", "class_hi", "class_lo", "doc_id")
         .join(components.withColumnRenamed("id", "k"), "k", "left")
-        .join(degree, "k", "left")
         .withColumn("component", F.coalesce("component", "k")),
         "neardup-grouped",
     )
     least = of_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = of_class.join(least, "component").select("class_hi", "class_lo", "component_id", "n_links")
+    named = of_class.join(least, "component").select("class_hi", "class_lo", "component_id")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
         signed.select("doc_id", "n_shingles", "class_hi", "class_lo")
@@ -264,7 +350,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .select(
             "doc_id", "n_shingles", component.alias("component_id"),
             F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         )
     )
 

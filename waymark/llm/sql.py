@@ -23,14 +23,9 @@ reach(doc_id, seen) as (
     select doc_id, doc_id from g
     union
     select r.doc_id, l.y from reach r join both_ways l on l.x = r.seen
-), least as (select doc_id, min(seen) as component_id from reach group by 1),
-degree as (
-    select b.doc_id, count(distinct list_sort(o.grams)) filter (where list_sort(o.grams) <> list_sort(b.grams)) as n_links
-    from g b join both_ways l on l.x = b.doc_id join g o on o.doc_id = l.y group by 1
-)
-select g.doc_id, cast(len(grams) as bigint) as n_shingles, component_id, g.doc_id = component_id as kept,
-    coalesce(n_links, 0) as n_links
-from g join least using (doc_id) left join degree using (doc_id)
+), least as (select doc_id, min(seen) as component_id from reach group by 1)
+select g.doc_id, cast(len(grams) as bigint) as n_shingles, component_id, g.doc_id = component_id as kept
+from g join least using (doc_id)
 """
 
 SQL["op9_source_mixing"] = r"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,25 @@ def parts_for(total_bytes: int | None, target: int, least: int = 1) -> int:
 def crc32_of_id(column: str) -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
+def bitmap(df: DataFrame, key: str, bits: int) -> np.ndarray:
+    """One bit for each value of a long column, by its lowest bits.
+
+    The driver gets ``bits / 64`` numbers at most, however many rows there are. The bitmap only spares work: a false pass
+    is sorted out by a join later, a true one is never lost.
+    """
+    rows = (
+        df.select(F.expr(f"{key} & {bits - 1}L").alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("word"))
+        .toPandas()
+    )
+    made = np.zeros(bits // 64, np.int64)
+    made[rows["at"].to_numpy(np.int64)] = rows["word"].to_numpy(np.int64)
+    return made.view(np.uint64)
+
+
+def in_bitmap(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(len(table) * 64 - 1)
+    return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
