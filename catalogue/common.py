@@ -108,17 +108,16 @@ def token_sql(x: str) -> str:
     )
 
 
-def slug_sql(x: str, n: int = 40, empty: str = "unknown") -> str:
+def slug_sql(x: str, n: int | None = None, empty: str = "unknown") -> str:
     base = f"coalesce(nullif({x}, ''), '{empty}')"
-    return (
-        f"substr(regexp_replace(regexp_replace(lower({base}), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g'), 1, {n})"
-    )
+    bare = f"regexp_replace(regexp_replace(lower({base}), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g')"
+    return bare if n is None else f"substr({bare}, 1, {n})"
 
 
 def camp_key_sql(x: str) -> str:
     return (
-        f"substr(regexp_replace(regexp_replace(lower(coalesce({x}, '')), '\\b(campground|camp|camping area|cg)\\b', '', 'g'), "
-        f"'[^a-z0-9]', '', 'g'), 1, 40)"
+        f"regexp_replace(regexp_replace(lower(coalesce({x}, '')), '\\b(campground|camp|camping area|cg)\\b', '', 'g'), "
+        f"'[^a-z0-9]', '', 'g')"
     )
 
 

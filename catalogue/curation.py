@@ -366,7 +366,7 @@ def main_sections(spark, sf):
     "ring_rank",
     f"""WITH {_SECTIONS}, u AS (SELECT * FROM sec WHERE points >= 4), m AS (SELECT park_code, max(area) AS top, arg_min(section, (-area, section)) AS first_ FROM u GROUP BY 1),
     k AS (SELECT u.*, CASE WHEN u.section = m.first_ THEN 0 ELSE 1 END AS o FROM u JOIN m USING (park_code) WHERE u.section = m.first_ OR (u.area >= 0.000003 AND u.area >= m.top * 0.018))
-    SELECT park_code, section, row_number() OVER (PARTITION BY park_code ORDER BY o, -area, section) AS ring_rank FROM k QUALIFY ring_rank <= 33""",
+    SELECT park_code, section, row_number() OVER (PARTITION BY park_code ORDER BY o, -area, section) AS ring_rank FROM k""",
 )
 def ring_rank(spark, sf):
     return clusters.prepare_rings(_sections(spark, sf)).select("park_code", "section", "ring_rank")
@@ -792,7 +792,7 @@ def name_audit(spark, sf):
     "hub_ranking",
     """WITH t AS (SELECT n.n_nationkey AS admin, n.n_name AS st, s.s_suppkey AS seq, CASE s.s_suppkey % 5 WHEN 0 THEN concat(n.n_name, ' State Parks') WHEN 1 THEN 'State Park units' WHEN 2 THEN 'PADUS Federal' WHEN 3 THEN concat('Historic Site ', n.n_name) ELSE 'Trails' END AS title, s.s_suppkey * 977 % 60000 AS c FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey),
     x AS (SELECT *, CASE WHEN contains(title, 'PADUS') THEN -1000 ELSE c + CASE WHEN regexp_matches(title, '(?i)state park') THEN 5000 ELSE 0 END + CASE WHEN contains(lower(title), lower(st)) THEN 2000 ELSE 0 END + CASE WHEN regexp_matches(title, '(?i)historic site') THEN 500 ELSE 0 END - CASE WHEN c > 50000 THEN 3000 ELSE 0 END - CASE WHEN c > 10000 THEN 1000 ELSE 0 END END AS score FROM t)
-    SELECT admin, seq, score, row_number() OVER (PARTITION BY admin ORDER BY score DESC, seq) AS hit_rank FROM x WHERE c > 0 AND score > 0 QUALIFY hit_rank <= 5""",
+    SELECT admin, seq, score, row_number() OVER (PARTITION BY admin ORDER BY score DESC, seq) AS hit_rank FROM x WHERE c > 0 AND score > 0""",
 )
 def hub_ranking(spark, sf):
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("admin"), F.col("n_name").alias("state_name"))
@@ -809,7 +809,7 @@ def hub_ranking(spark, sf):
     "source_matrix",
     """WITH b AS (SELECT n_nationkey AS admin, CASE n_nationkey % 3 WHEN 0 THEN 'verified' WHEN 1 THEN 'pending' ELSE 'blocked' END AS st, n_nationkey * 10 AS c FROM nation), o AS (SELECT n_nationkey AS admin, CASE WHEN n_nationkey % 2 = 0 THEN 'pending' END AS st FROM nation WHERE n_nationkey % 4 = 0),
     h AS (SELECT s_nationkey AS admin, min(s_suppkey) AS k FROM supplier GROUP BY 1), x AS (SELECT b.admin, coalesce(o.st, b.st) AS st, b.c, o.admin IS NOT NULL AS ov, h.k, CASE WHEN h.k % 5 = 0 THEN 'USA_Parks' ELSE 'Parks' END AS title, h.k * 400 AS hc FROM b LEFT JOIN o USING (admin) LEFT JOIN h USING (admin)),
-    y AS (SELECT *, k IS NOT NULL AND st NOT IN ('verified', 'blocked') AND title <> 'USA_Parks' AND hc <= 5000 AS u FROM x)
+    y AS (SELECT *, k IS NOT NULL AND st NOT IN ('verified', 'blocked') AND title <> 'USA_Parks' AS u FROM x)
     SELECT admin, CASE WHEN u THEN 'verified' ELSE st END AS status, CASE WHEN u THEN hc ELSE c END AS feature_count, CASE WHEN u THEN 'hub' WHEN ov THEN 'override' ELSE 'base' END AS origin FROM y""",
 )
 def source_matrix(spark, sf):

@@ -641,7 +641,7 @@ def first_element_per_key(spark, sf):
 
 @query(
     "viewport_rows",
-    f"""WITH {CAMPS} SELECT id, name, lat, lon FROM camps WHERE lat BETWEEN 30.05 AND 30.15 AND lon BETWEEN -119.95 AND -119.8 ORDER BY id LIMIT 8000""",
+    f"""WITH {CAMPS} SELECT id, name, lat, lon FROM camps WHERE lat BETWEEN 30.05 AND 30.15 AND lon BETWEEN -119.95 AND -119.8""",
 )
 def viewport_rows(spark, sf):
-    return pois.in_view(camps(spark, sf), 30.05, -119.95, 30.15, -119.8, 8000).select("id", "name", "lat", "lon")
+    return pois.in_view(camps(spark, sf), 30.05, -119.95, 30.15, -119.8).select("id", "name", "lat", "lon")

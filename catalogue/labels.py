@@ -13,10 +13,10 @@ from waymark.plans import fuel as fuel_plans
 from waymark.plans import pois
 
 
-@query("slugify", f"SELECT p_partkey AS id, {slug_sql('concat(p_name, ' + chr(39) + ' #' + chr(39) + ', p_brand, p_type)', 12)} AS slug FROM part")
+@query("slugify", f"SELECT p_partkey AS id, {slug_sql('concat(p_name, ' + chr(39) + ' #' + chr(39) + ', p_brand, p_type)')} AS slug FROM part")
 def slugify(spark, sf):
     return table(spark, sf, "part").select(
-        F.col("p_partkey").alias("id"), text.slugify(F.concat("p_name", F.lit(" #"), "p_brand", "p_type"), 12).alias("slug")
+        F.col("p_partkey").alias("id"), text.slugify(F.concat("p_name", F.lit(" #"), "p_brand", "p_type")).alias("slug")
     )
 
 
@@ -94,10 +94,10 @@ def display_names(spark, sf):
 @query(
     "stable_ids",
     f"""WITH {CAMPS} SELECT id,
-      concat('PG-US-', CASE WHEN nation % 3 = 0 THEN 'XX' ELSE concat('S', nation) END, '-', {slug_sql('name', 40)}, '-', id) AS poi_id,
-      concat('AMEN-NPS-', substr(upper(land_manager), 1, 12), '-campground-', type, '-', {slug_sql('name', 48)}, '-', CAST(CAST(floor(lat * 10000 + 0.5) AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor(abs(lon) * 10000 + 0.5) AS BIGINT) AS VARCHAR)) AS amenity_id,
-      concat('VC-NPS-', upper(land_manager), '-', {slug_sql('name', 48)}, '-', CAST(CAST(floor(lat * 10000 + 0.5) AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor(abs(lon) * 10000 + 0.5) AS BIGINT) AS VARCHAR)) AS center_id,
-      substr(concat('sp-us-', lower(land_manager), '-', {slug_sql('name', 48)}, '-way', id), 1, 80) AS park_id FROM camps""",
+      concat('PG-US-', CASE WHEN nation % 3 = 0 THEN 'XX' ELSE concat('S', nation) END, '-', {slug_sql('name')}, '-', id) AS poi_id,
+      concat('AMEN-NPS-', upper(land_manager), '-campground-', type, '-', {slug_sql('name')}, '-', CAST(CAST(floor(lat * 10000 + 0.5) AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor(abs(lon) * 10000 + 0.5) AS BIGINT) AS VARCHAR)) AS amenity_id,
+      concat('VC-NPS-', upper(land_manager), '-', {slug_sql('name')}, '-', CAST(CAST(floor(lat * 10000 + 0.5) AS BIGINT) AS VARCHAR), '-', CAST(CAST(floor(abs(lon) * 10000 + 0.5) AS BIGINT) AS VARCHAR)) AS center_id,
+      concat('sp-us-', lower(land_manager), '-', {slug_sql('name')}, '-way', id) AS park_id FROM camps""",
 )
 def stable_ids(spark, sf):
     c = camps(spark, sf)
@@ -365,13 +365,13 @@ def station_structs(spark, sf):
 
 @query(
     "fuel_search",
-    f"""WITH raw AS (SELECT p_partkey AS id, {token_sql("concat_ws(' ', nullif(p_brand, ''), p_type, p_name)")} AS blob FROM part) SELECT id, blob FROM raw WHERE contains(blob, 'red gear') ORDER BY id LIMIT 50""",
+    f"""WITH raw AS (SELECT p_partkey AS id, {token_sql("concat_ws(' ', nullif(p_brand, ''), p_type, p_name)")} AS blob FROM part) SELECT id, blob FROM raw WHERE contains(blob, 'red gear')""",
 )
 def fuel_search(spark, sf):
     rows = table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"), brands.search_blob("p_brand", "p_type", "p_name").alias("search_blob")
     )
-    return fuel_plans.search(rows, "Red GEAR!", 50, "id").select("id", F.col("search_blob").alias("blob"))
+    return fuel_plans.search(rows, "Red GEAR!", "id").select("id", F.col("search_blob").alias("blob"))
 
 
 @query(
@@ -698,7 +698,7 @@ def listing_classes(spark, sf):
 @query(
     "viewer_rows",
     f"""WITH {CAMPS}, {ROADS}, t AS (SELECT *, {DISPLAY_TIER} AS tier FROM rows_) SELECT id, {half('lat', 100000)} AS lat, {half('lon', 100000)} AS lon, CASE land_manager WHEN 'NPS' THEN 0 WHEN 'USFS' THEN 1 WHEN 'BLM' THEN 2 WHEN 'State' THEN 3 ELSE 8 END AS manager_code,
-      CASE type WHEN 'dispersed' THEN 1 ELSE 0 END AS type_code, CASE tier WHEN 'default' THEN 0 WHEN 'qa' THEN 1 ELSE 2 END AS tier_code, 0 AS review, CASE WHEN d IS NULL THEN -1 ELSE CAST(least(99999, floor(d + 0.5)) AS INTEGER) END AS road_m FROM t""",
+      CASE type WHEN 'dispersed' THEN 1 ELSE 0 END AS type_code, CASE tier WHEN 'default' THEN 0 WHEN 'qa' THEN 1 ELSE 2 END AS tier_code, 0 AS review, CASE WHEN d IS NULL THEN -1 ELSE CAST(floor(d + 0.5) AS INTEGER) END AS road_m FROM t""",
 )
 def viewer_rows(spark, sf):
     from waymark.sources.sinks import viewer_rows as to_rows

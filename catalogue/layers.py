@@ -103,7 +103,7 @@ def canadian_centers(spark, sf):
     "camp_records_ca",
     f"""WITH t AS (SELECT c_custkey AS id, {coords_sql('c_custkey', '200000')}, {pick_sql(['BC Parks', 'KOA', 'Parks Canada', ''], 'c_custkey')} AS op, {pick_sql(['Elk', '', 'Ash Resort'], 'c_custkey // 4')} AS nm, CASE WHEN c_custkey % 7 = 0 THEN 'backcountry' ELSE '' END AS site FROM customer), {boxes_sql(fv.PROVINCE_BOXES)},
     st AS (SELECT t.id, min_by(b.code, b.seq) AS state FROM t JOIN boxes b ON t.lat BETWEEN b.south AND b.north AND t.lon BETWEEN b.west AND b.east GROUP BY t.id), n AS (SELECT t.*, CASE WHEN nm = '' THEN concat('OSM node ', t.id) ELSE nm END AS name, coalesce(st.state, '') AS state FROM t LEFT JOIN st ON st.id = t.id)
-    SELECT concat('CG-CA-OSM-', state, '-', {slug_sql('name', 48)}, '-', id) AS id, op AS land_manager FROM (SELECT id, name, state, CASE op WHEN 'BC Parks' THEN 'Provincial' ELSE 'Parks Canada' END AS op FROM n WHERE op IN ('BC Parks', 'Parks Canada') AND site = '')""",
+    SELECT concat('CG-CA-OSM-', state, '-', {slug_sql('name')}, '-', id) AS id, op AS land_manager FROM (SELECT id, name, state, CASE op WHEN 'BC Parks' THEN 'Provincial' ELSE 'Parks Canada' END AS op FROM n WHERE op IN ('BC Parks', 'Parks Canada') AND site = '')""",
 )
 def camp_records_ca(spark, sf):
     points = table(spark, sf, "customer").select(

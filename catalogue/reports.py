@@ -232,13 +232,11 @@ def cross_check_flags(spark, sf):
 
 @query(
     "flagged_admins",
-    f"""WITH {_ADMIN}, f AS (SELECT admin, verified AND expected > 0 AND total > expected * 1.5 AS a, listing > 0 AND total > 0 AND abs(total - listing) > listing * 0.25 AS b FROM x) SELECT admin FROM f WHERE a OR b ORDER BY admin LIMIT 15""",
+    f"""WITH {_ADMIN}, f AS (SELECT admin, verified AND expected > 0 AND total > expected * 1.5 AS a, listing > 0 AND total > 0 AND abs(total - listing) > listing * 0.25 AS b FROM x) SELECT admin FROM f WHERE a OR b""",
 )
 def flagged_admins(spark, sf):
-    from waymark.operators.ranking import top_n
-
     flags = rollup.source_counts_flags(_admin_counts(spark, sf)).where("flags like '%over_official%' or flags like '%listing_master%'")
-    return top_n(flags, [F.col("admin")], 15).select("admin")
+    return flags.select("admin")
 
 
 @query(
@@ -330,7 +328,7 @@ def explorer_status(spark, sf):
     "layer_manifest",
     f"""WITH {AMENITIES}, l AS (SELECT concat('camp_', camp_tier) AS layer FROM amenities WHERE kind = 'campground' UNION ALL SELECT concat('camp_', access_mode) FROM amenities WHERE kind = 'campground' AND access_mode <> 'unknown'
       UNION ALL SELECT CASE kind WHEN 'picnic_area' THEN 'picnic' ELSE 'restroom' END FROM amenities WHERE kind IN ('picnic_area', 'restroom'))
-    SELECT layer, count(*) AS n, 'inline' AS placement, CASE WHEN starts_with(layer, 'camp_') THEN 'camping' ELSE 'amenities' END AS layer_group FROM l GROUP BY layer""",
+    SELECT layer, count(*) AS n, 'file' AS placement, CASE WHEN starts_with(layer, 'camp_') THEN 'camping' ELSE 'amenities' END AS layer_group FROM l GROUP BY layer""",
 )
 def layer_manifest(spark, sf):
     rows = explorer.amenity_layers(amenities(spark, sf))
@@ -484,7 +482,7 @@ def embed_metadata(spark, sf):
 
 @query(
     "layer_slices",
-    "SELECT l_shipmode_ AS layer, n, CASE WHEN n < 8000 THEN 'inline' ELSE 'file' END AS placement FROM (SELECT concat(l_returnflag, l_linestatus, CASE WHEN l_linenumber = 7 THEN '7' ELSE '' END) AS l_shipmode_, count(*) AS n FROM lineitem GROUP BY 1)",
+    "SELECT l_shipmode_ AS layer, n, 'file' AS placement FROM (SELECT concat(l_returnflag, l_linestatus, CASE WHEN l_linenumber = 7 THEN '7' ELSE '' END) AS l_shipmode_, count(*) AS n FROM lineitem GROUP BY 1)",
 )
 def layer_slices(spark, sf):
     rows = table(spark, sf, "lineitem").select(F.expr("concat(l_returnflag, l_linestatus, if(l_linenumber = 7, '7', ''))").alias("layer"), "l_orderkey")

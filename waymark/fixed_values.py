@@ -202,7 +202,6 @@ PIN_CLUSTER_KM = 3.0
 PIN_LABEL_KM = 80.0
 MIN_RING_AREA_DEG2 = 0.000003
 MIN_RING_AREA_RATIO = 0.018
-MAX_SECONDARY_RINGS = 32
 
 # --- fixed values: map tags ----------------------------------------------------------------------
 HISTORIC_EXCLUDED = [

@@ -34,11 +34,12 @@ def join_filled(sep: str, *values) -> Column:
     return F.concat_ws(sep, *[F.nullif(col(v), F.lit("")) for v in values])
 
 
-def slugify(value, length: int = 40, empty: str = "unknown") -> Column:
-    """Lower case, runs of other characters to one dash, one dash trimmed at each end, then cut."""
+def slugify(value, length: int | None = None, empty: str = "unknown") -> Column:
+    """Lower case, runs of other characters to one dash, one dash trimmed at each end; cut only at a given length."""
     base = F.coalesce(F.nullif(col(value), F.lit("")), F.lit(empty))
     dashed = replace(F.lower(base), "[^a-z0-9]+", "-")
-    return F.substring(replace(dashed, "^-|-$"), 1, length)
+    bare = replace(dashed, "^-|-$")
+    return bare if length is None else F.substring(bare, 1, length)
 
 
 def brand_token(value) -> Column:
@@ -48,9 +49,9 @@ def brand_token(value) -> Column:
 
 
 def campground_key(name) -> Column:
-    """Campground name without its type words, letters and digits only, at most 40."""
+    """Campground name without its type words, letters and digits only."""
     bare = replace(F.lower(text(name)), r"\b(campground|camp|camping area|cg)\b")
-    return F.substring(replace(bare, "[^a-z0-9]"), 1, 40)
+    return replace(bare, "[^a-z0-9]")
 
 
 def state_park_key(name) -> Column:
@@ -164,17 +165,17 @@ def poi_id(prefix: str, region: str, state, name, osm_id) -> Column:
         F.lit(prefix),
         F.lit(region),
         F.coalesce(F.nullif(col(state), F.lit("")), F.lit("XX")),
-        slugify(name, 40),
+        slugify(name),
         col(osm_id).cast("string"),
     )
 
 
 def amenity_id(prefix: str, parent, kind, camp_tier, name, lat, lon) -> Column:
-    parent_key = F.substring(F.upper(F.coalesce(F.nullif(col(parent), F.lit("")), F.lit("unk"))), 1, 12)
+    parent_key = F.upper(F.coalesce(F.nullif(col(parent), F.lit("")), F.lit("unk")))
     tier = F.when((col(kind) == "campground") & (text(camp_tier) != ""), F.concat(F.lit("-"), col(camp_tier))).otherwise(
         F.lit("")
     )
-    base = slugify(name, 48)
+    base = slugify(name)
     return F.concat(
         F.lit(f"AMEN-{prefix}-"),
         parent_key,
@@ -190,7 +191,7 @@ def amenity_id(prefix: str, parent, kind, camp_tier, name, lat, lon) -> Column:
 
 def visitor_center_id(park_code, name, lat, lon, system: str = "NPS") -> Column:
     code = F.upper(F.coalesce(F.nullif(col(park_code), F.lit("")), F.lit("unk")))
-    base = slugify(name, 48, "visitor-center")
+    base = slugify(name, empty="visitor-center")
     return F.concat(
         F.lit(f"VC-{system}-"),
         code,
@@ -202,24 +203,20 @@ def visitor_center_id(park_code, name, lat, lon, system: str = "NPS") -> Column:
 
 
 def park_unit_id(country, admin, name, osm_type, osm_id) -> Column:
-    """``sp-country-admin-slug-typeid`` cut at 80 characters."""
-    base = slugify(name, 48)
+    """``sp-country-admin-slug-typeid``."""
+    base = slugify(name)
     suffix = F.when(
         text(col(osm_id).cast("string")) != "",
         F.concat(F.lit("-"), F.coalesce(F.nullif(col(osm_type), F.lit("")), F.lit("n")), col(osm_id).cast("string")),
     ).otherwise(F.lit(""))
-    return F.substring(
-        F.concat(
-            F.lit("sp-"),
-            F.lower(col(country)),
-            F.lit("-"),
-            F.lower(F.coalesce(F.nullif(col(admin), F.lit("")), F.lit("xx"))),
-            F.lit("-"),
-            F.when(base == "", F.lit("unit")).otherwise(base),
-            suffix,
-        ),
-        1,
-        80,
+    return F.concat(
+        F.lit("sp-"),
+        F.lower(col(country)),
+        F.lit("-"),
+        F.lower(F.coalesce(F.nullif(col(admin), F.lit("")), F.lit("xx"))),
+        F.lit("-"),
+        F.when(base == "", F.lit("unit")).otherwise(base),
+        suffix,
     )
 
 
@@ -347,7 +344,7 @@ def hours_summary(standard: str = "standard_hours", exceptions: str = "exception
         hours = F.coalesce(F.get(F.map_values(ex["hours"]), F.lit(0)), F.lit(""))
         return F.when(hours != "", F.concat(label, F.lit(": "), hours)).otherwise(label)
 
-    notes = F.slice(F.filter(F.transform(F.col(exceptions), note), lambda v: v != ""), 1, 4)
+    notes = F.filter(F.transform(F.col(exceptions), note), lambda v: v != "")
     notes = F.coalesce(notes, F.array().cast("array<string>"))
     summary = F.coalesce(summary, F.lit(""))
     return F.struct(

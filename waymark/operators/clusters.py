@@ -132,11 +132,11 @@ def main_sections(sections: DataFrame, key: str = "park_code") -> DataFrame:
     return big.join(largest, key).where(F.col("area") >= F.col("_largest") * fv.MIN_RING_AREA_RATIO).drop("_largest")
 
 
-def prepare_rings(rings: DataFrame, key: str = "park_code") -> DataFrame:
+def prepare_rings(rings: DataFrame, key: str = "park_code", secondary: int | None = None) -> DataFrame:
     """Largest ring of each unit as main, and its larger secondary rings, ranked by area.
 
     ``rings``: key, section, points, area. Rings under four points are dropped; secondary rings need
-    the least area and a share of the main one, and at most 32 stay.
+    the least area and a share of the main one; ``secondary`` keeps that many of them.
     """
     usable = rings.where(F.col("points") >= 4)
     main = usable.groupBy(key).agg(F.max("area").alias("_main"), F.min_by("section", F.struct(-F.col("area"), "section")).alias("_first"))
@@ -147,7 +147,9 @@ def prepare_rings(rings: DataFrame, key: str = "park_code") -> DataFrame:
         "_fall", -F.col("area")
     )
     ranked = rank_in_groups(kept, [key], ["_order", "_fall", "section"], "ring_rank")
-    return ranked.where(F.col("ring_rank") <= fv.MAX_SECONDARY_RINGS + 1).drop("_main", "_first", "_order", "_fall")
+    if secondary is not None:
+        ranked = ranked.where(F.col("ring_rank") <= secondary + 1)
+    return ranked.drop("_main", "_first", "_order", "_fall")
 
 
 def cluster_centres(sections: DataFrame, clusters: DataFrame, key: str = "park_code") -> DataFrame:
@@ -235,7 +237,7 @@ def map_pins(
     kept = main_sections(sections, key)
     clusters = section_clusters(kept, key=key)
     labelled = label_clusters(cluster_centres(kept, clusters, key), centers, overrides, key)
-    slug = F.when(text("label") != "", slugify("label", 24)).otherwise(
+    slug = F.when(text("label") != "", slugify("label")).otherwise(
         F.concat(F.lit("area-"), (F.col("cluster") + 1).cast("string"))
     )
     pins = labelled.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waymark.functions import geo
 from waymark.operators import cells
 from waymark.operators.spatial import radius_join
-from waymark.runtime import stage
+from waymark.runtime import drop_stages, stage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(roots.select("u", F.col("m").alias("v")))
         )
-        star = stage(small.where("u <> v").distinct(), "small-star")
+        last, star = star, stage(small.where("u <> v").distinct(), "small-star")
+        drop_stages(last, large)
         now = _fingerprint(star)
         if now == mark:
             break

@@ -229,9 +229,10 @@ def number_gaps(numbers: DataFrame, column: str) -> DataFrame:
     return every.join(used, "number", "left_anti")
 
 
-def samples_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
-    """First n rows per group as rows (the limit is pushed below the shuffle)."""
+def samples_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int | None = None) -> DataFrame:
+    """Rows per group with their number; only the first n if given (that limit is pushed below the shuffle)."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("sample_no", F.row_number().over(w)).where(F.col("sample_no") <= n)
+    ranked = df.withColumn("sample_no", F.row_number().over(w))
+    return ranked if n is None else ranked.where(F.col("sample_no") <= n)

@@ -83,7 +83,7 @@ def canadian_campgrounds(sites: DataFrame) -> DataFrame:
     rows = sites.where(geo.valid_coordinate("lat", "lon", fv.CA_BOX))
     name = F.trim(F.coalesce(F.nullif(text("name"), F.lit("")), F.lit("Parks Canada campground")))
     head = F.lower(F.regexp_extract(text("url_code"), "^([A-Za-z]{2,5})-", 1))
-    short = F.substring(slugify("url_code", 48), 1, 8)
+    short = slugify("url_code")
     code = F.when(head != "", head).when(short != "", short).otherwise(F.lit("pc"))
     rows = rows.withColumn("name", name).withColumn("park_code", F.coalesce(F.nullif(text("parent"), F.lit("")), code))
     grouped = rollup.group_centroids(

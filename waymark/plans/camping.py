@@ -72,7 +72,7 @@ def map_records_ca(points: DataFrame) -> DataFrame:
     return unique.drop("_private", "_site", "_blob").withColumn(
         "state", F.coalesce(spatial.box_code("lat", "lon", fv.PROVINCE_BOXES), F.lit(""))
     ).withColumn(
-        "id", F.concat_ws("-", F.lit("CG-CA-OSM"), "state", slugify("name", 48), F.col("osm_id").cast("string"))
+        "id", F.concat_ws("-", F.lit("CG-CA-OSM"), "state", slugify("name"), F.col("osm_id").cast("string"))
     )
 
 
@@ -81,7 +81,7 @@ def feature_records(features: DataFrame, manager: str, source: str, id_prefix: s
     rows = features.where(geo.valid_coordinate("lat", "lon", fv.US_BOX))
     rows = rows.where(~tags.commercial("name", F.lit(""), F.lit("")))
     return rows.withColumn("state", F.coalesce(spatial.box_code("lat", "lon", fv.STATE_BOXES, fv.STATE_OVERLAPS), F.lit(""))).select(
-        F.concat_ws("-", F.lit(id_prefix), F.upper(text("code")), slugify("name", 48)).alias("id"),
+        F.concat_ws("-", F.lit(id_prefix), F.upper(text("code")), slugify("name")).alias("id"),
         "name", "lat", "lon", "state", F.lit(manager).alias("land_manager"), F.lit(source).alias("ingest_source"),
         F.lit("developed").alias("type"),
     )
@@ -261,6 +261,6 @@ def seed_records(seeds: DataFrame) -> DataFrame:
     provinces = [code for code, *_ in fv.PROVINCE_BOXES]
     rows = seeds.where(F.upper(text("region")).isin(*provinces) & geo.valid_coordinate("lat", "lon", fv.CA_BOX))
     return rows.select(
-        F.concat(F.lit("CG-CA-SEED-"), slugify("name", 48)).alias("id"), "name", F.upper("region").alias("state"),
+        F.concat(F.lit("CG-CA-SEED-"), slugify("name")).alias("id"), "name", F.upper("region").alias("state"),
         "lat", "lon", F.lit("Provincial").alias("land_manager"), F.lit("03-provincial-seed").alias("ingest_source"),
     )

@@ -65,9 +65,10 @@ def plazas(rows: DataFrame) -> DataFrame:
     return rows.where((text(tag("highway")) == "services") & brands.plaza_name(name, text("search_blob")))
 
 
-def search(rows: DataFrame, query: str, limit: int, order: str) -> DataFrame:
-    """Text search over the candidates; the limit is the report's size."""
-    return rows.where(F.lower(text("search_blob")).contains(brands.token_of(query))).orderBy(order).limit(limit)
+def search(rows: DataFrame, query: str, order: str, limit: int | None = None) -> DataFrame:
+    """Text search over the candidates: all hits, or the first ``limit`` by ``order``."""
+    hits = rows.where(F.lower(text("search_blob")).contains(brands.token_of(query)))
+    return hits if limit is None else hits.orderBy(order).limit(limit)
 
 
 def split_services(records: DataFrame, non_fuel: Column) -> tuple[DataFrame, DataFrame]:

@@ -66,7 +66,7 @@ def listings_from_units(units: DataFrame) -> DataFrame:
     """One listing per admin and name key from official units."""
     name = F.trim(F.regexp_replace("name", r"(?i)\s+(State|Provincial)\s+(Park|Historic Site).*$", ""))
     rows = units.withColumn("key", listing_key("name")).withColumn("name", name).where("key <> ''")
-    return rollup.named_groups(rows, ["admin", "key"], "name", "category", "seq").withColumn("slug", slugify("key", 48))
+    return rollup.named_groups(rows, ["admin", "key"], "name", "category", "seq").withColumn("slug", slugify("key"))
 
 
 def pick_listing_source(counts: DataFrame) -> DataFrame:
@@ -273,11 +273,11 @@ def resolve_parent(rows: DataFrame, catalogue: DataFrame, radius_m: float, key:
     )
 
 
-def merge_matrix(base: DataFrame, overrides: DataFrame, hits: DataFrame) -> DataFrame:
+def merge_matrix(base: DataFrame, overrides: DataFrame, hits: DataFrame, most: int | None = None) -> DataFrame:
     """Source matrix: base, patched by overrides, then the best hub hit where still unverified.
 
     ``base``/``overrides``: admin, status, query_url, feature_count; ``hits``: admin, title,
-    query_url, count (best hit per admin).
+    query_url, count (best hit per admin); ``most`` refuses hits with more features.
     """
     o = overrides.select(*[F.col(c).alias(f"o_{c}") for c in overrides.columns])
     h = hits.select(*[F.col(c).alias(f"h_{c}") for c in hits.columns])
@@ -288,7 +288,7 @@ def merge_matrix(base: DataFrame, overrides: DataFrame, hits: DataFrame) -> Data
         & ~F.coalesce(status.isin("verified", "blocked"), F.lit(False))
         & ~matches("h_title", fv.HUB_TITLE_EXCLUDED)
         & ~matches("h_title", "USA_|National ")
-        & (F.coalesce(F.col("h_count"), F.lit(0)) <= 5000)
+        & (F.lit(True) if most is None else F.coalesce(F.col("h_count"), F.lit(0)) <= most)
     )
     return rows.select(
         "admin",
@@ -299,8 +299,8 @@ def merge_matrix(base: DataFrame, overrides: DataFrame, hits: DataFrame) -> Data
     )
 
 
-def rank_hub_hits(hits: DataFrame, limit: int = 5) -> DataFrame:
-    """Best hits per state (admin, state_name, title, count, seq) with their score."""
+def rank_hub_hits(hits: DataFrame, limit: int | None = None) -> DataFrame:
+    """Hits per state (admin, state_name, title, count, seq) by falling score; ``limit`` keeps the first of each state."""
     scored = hits.withColumn("score", parks.hub_title_score("title", "state_name", "count")).where(
         (F.col("count") > 0) & (F.col("score") > 0)
     )

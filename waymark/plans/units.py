@@ -119,7 +119,7 @@ def places_catalog(places: DataFrame, pins: DataFrame) -> DataFrame:
     pin = first_per_key(pins, ["place_id"], ["lat", "lon"]).select(
         "place_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")
     )
-    key = slugify(federal_place_key("name"), 48)
+    key = slugify(federal_place_key("name"))
     return (
         first.join(pin, "place_id", "left")
         .withColumn("lat", F.coalesce("_lat", "lat"))

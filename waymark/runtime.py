@@ -55,7 +55,20 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._stage_path = path
+    return staged
+
+
+def drop_stages(*tables: DataFrame | None) -> None:
+    """Delete stage tables that nothing reads any more; what is no stage table is left alone."""
+    for df in tables:
+        path = getattr(df, "_stage_path", None)
+        if path is None:
+            continue
+        jvm = df.sparkSession.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:

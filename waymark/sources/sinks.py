@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waymark import fixed_values as fv
 from waymark.functions.geo import half_up
 from waymark.functions.text import lookup, text
+from waymark.runtime import stage
 from waymark.sources.readers import path_exists
 
 
@@ -37,23 +38,28 @@ def shard_columns(df: DataFrame, federal: Column, state: Column) -> DataFrame:
     )
 
 
-def write_shards(df: DataFrame, path: str) -> DataFrame:
+def write_shards(df: DataFrame, path: str, rows_per_task: int = 1_000_000) -> DataFrame:
     """Write shard partitions and a manifest of counts; shards without rows disappear.
 
-    Rows are spread by shard and a salt, so the files of a shard are few and no task gets a whole
-    hot shard.
+    Rows are spread by shard and a salt; a shard has as many salts as its rows ask for, so no task gets
+    a whole hot shard and a small shard stays in one file.
     """
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in df.columns if c not in ("shard", "shard_state")][:1]), F.lit(8)))
+    manifest = stage(df.groupBy("shard", "shard_state").agg(F.count(F.lit(1)).alias("n")), "shard-sizes")
+    sizes = manifest.select(
+        F.col("shard").alias("_shard"), F.col("shard_state").alias("_state"),
+        F.ceil(F.col("n") / rows_per_task).alias("_salts"),
+    )
+    same = F.col("shard").eqNullSafe(F.col("_shard")) & F.col("shard_state").eqNullSafe(F.col("_state"))
+    spread = df.join(sizes, same).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.col("_salts")))
     (
         spread.repartition("shard", "shard_state", "_salt")
-        .drop("_salt")
+        .select(*df.columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", 1_000_000)
         .partitionBy("shard", "shard_state")
         .parquet(f"{path}/records")
     )
-    manifest = df.groupBy("shard", "shard_state").agg(F.count(F.lit(1)).alias("n"))
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
     return manifest
 
@@ -68,10 +74,11 @@ def read_shards(spark: SparkSession, path: str, monolith: str | None = None) ->
     return spark.read.parquet(f"{path}/records").join(manifest, ["shard", "shard_state"], "left_semi")
 
 
-def layer_placement(df: DataFrame, layer: str = "layer", inline_limit: int = 8000) -> DataFrame:
-    """Rows per layer and whether the layer is small enough to be inlined."""
+def layer_placement(df: DataFrame, layer: str = "layer", inline_limit: int | None = None) -> DataFrame:
+    """Rows per layer and its placement: a file; with ``inline_limit``, inline for smaller layers."""
+    inline = F.lit(False) if inline_limit is None else F.col("n") < inline_limit
     return df.groupBy(layer).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "placement", F.when(F.col("n") < inline_limit, F.lit("inline")).otherwise(F.lit("file"))
+        "placement", F.when(inline, F.lit("inline")).otherwise(F.lit("file"))
     )
 
 
@@ -105,7 +112,7 @@ def viewer_rows(df: DataFrame) -> DataFrame:
         lookup("display_tier", fv.DISPLAY_TIER_CODES, 2).alias("tier_code"),
         F.coalesce(F.col("needs_review").cast("int"), F.lit(0)).alias("review"),
         F.when(distance.isNull(), F.lit(-1))
-        .otherwise(F.least(F.lit(99999), F.floor(distance + 0.5)).cast("int"))
+        .otherwise(F.floor(distance + 0.5).cast("int"))
         .alias("road_m"),
     )
 
