@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from waymark.llm import words
 from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, unpacked
 from waymark.operators.components import connected_components
-from waymark.runtime import configure, stage
+from waymark.runtime import configure, drop_stages, stage
 
 SHINGLE = 5
 BANDS, ROWS = 32, 6
@@ -166,9 +166,11 @@ def sets_of(needed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     rows = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
     rows = rows.select("text", "text_md5", _row_key("doc_id", "text_md5").alias("at"))
     found = map_batches(rows, run, "at long, text_md5 string, members array<long>")
-    return stage(
+    made = stage(
         found.join(spots, ["at", "text_md5"]).groupBy("k").agg(F.first("members").alias("members")), "neardup-sets"
     )
+    drop_stages(spots)
+    return made
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -182,13 +184,15 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
     met = stage(met.where(alike).select("p", "k", (F.col("p_n") + F.col("n_shingles")).alias("both")), "neardup-met")
     sets = sets_of(met.select(F.explode(F.array("p", "k")).alias("k")), classes, docs)
     common = F.size(F.array_intersect("members", "p_members"))
-    return stage(
+    links = stage(
         met.join(sets.select(F.col("k").alias("p"), F.col("members").alias("p_members")), "p")
         .join(sets, "k")
         .where(common * 100 >= (F.col("both") - common) * percent)
         .select(F.col("p").alias("src"), F.col("k").alias("dst")),
         "neardup-links",
     )
+    drop_stages(met, sets)
+    return links
 
 
 def _merged(components: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -325,7 +329,9 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     sets = sets_of(left.select("k"), classes, docs)
     full = blocks.join(left, [*key, "k"]).join(sets, "k")
     joins = full.groupBy(*key).applyInArrow(lambda block: _joining(block, percent, bits), "src long, dst long")
-    return _merged(components, stage(joins, "neardup-joins"))
+    components = _merged(components, stage(joins, "neardup-joins"))
+    drop_stages(members, blocks, left, sets)
+    return components
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.support import packed, pick
 from waymark.operators.ranking import rank_in_groups
-from waymark.runtime import configure, stage
+from waymark.runtime import configure, drop_stages, stage
 
 #: priority classes of a shard's admission; what is admitted is a prefix of them
 CLASSES = 4096
@@ -91,10 +91,11 @@ def propagate(units: DataFrame, shards: int, capacity: int) -> DataFrame:
             return state
         last = {s: -1 for s in range(shards)} | {r[0]: r[1] for r in admitted}
         goes = (F.col("shard") != F.col("goal")) & (F.col("rank") <= _literal_map(last, "goal"))
-        state = stage(
+        before, state = state, stage(
             wishes.select("unit_group", "start", "n", F.when(goes, F.col("goal")).otherwise(F.col("shard")).alias("shard")),
             "shard-units",
         )
+        drop_stages(before, wishes)
         done += 1
 
 
