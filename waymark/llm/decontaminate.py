@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm import words
-from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, unpacked
-from waymark.runtime import configure, stage
+from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, prepare, unpacked
+from waymark.runtime import stage
 
 LENGTH = 10
 #: words kept on either side of a k-gram: what a window can reach beyond it
@@ -190,7 +190,7 @@ def hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, DataF
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """n_words, n_hit, n_items, items_sha256 and contaminated of each document."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     seen, runs, places = hits(docs, pick(items, "item_id", "text"))
     before = Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     covered = (
@@ -219,7 +219,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no window of any item."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     seen, runs, _ = hits(docs, pick(items, "item_id", "text"))
     gone = seen.join(runs.select("row").distinct(), "row", "left_semi").select("text_md5").distinct()
     rows = packed(docs, "text").withColumn("text_md5", F.md5(F.coalesce("text", F.lit("")).cast("binary")))

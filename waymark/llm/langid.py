@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.support import crc32_of_id, pick
-from waymark.runtime import configure, stage
+from waymark.llm.support import crc32_of_id, pick, prepare
+from waymark.runtime import stage
 
 FEATURES = 1 << 16
 ORDERS = (1, 2, 3)
@@ -215,7 +215,7 @@ def predict(text: str | None, model) -> tuple[str, float]:
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of each document."""
-    spark = configure(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     own = pick(docs, "doc_id", "text", "lang")
     model = spark.sparkContext.broadcast(train(own))
     kind = own.schema["doc_id"].dataType.simpleString()
@@ -237,7 +237,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is told with at least this probability."""
-    spark = configure(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     model = spark.sparkContext.broadcast(train(pick(docs, "doc_id", "text", "lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

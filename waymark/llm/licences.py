@@ -24,8 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.support import LOWER_FROM, LOWER_TO, pick
-from waymark.runtime import configure, stage
+from waymark.llm.support import LOWER_FROM, LOWER_TO, pick, prepare
+from waymark.runtime import stage
 
 THRESHOLD = 80
 #: fixed values: phrases and their labels
@@ -152,7 +152,7 @@ def scan(
     threshold: int = THRESHOLD,
 ) -> DataFrame:
     """Phrase places, labels and score (largest containment; a phrase in place counts as 1) per document."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     vocabulary = sorted({w for _, text in notices for w in words_of(text)})
     least = min((_needed(len(words_of(text)), threshold) for _, text in notices), default=1)
     lowered = F.translate(F.coalesce("text", F.lit("")), LOWER_FROM, LOWER_TO)

@@ -17,9 +17,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.support import packed, pick, unpacked
+from waymark.llm.support import packed, pick, prepare, unpacked
 from waymark.operators.ranking import rank_in_groups
-from waymark.runtime import configure, stage
+from waymark.runtime import stage
 
 #: fixed values: weights of the sources in order, repeating
 WEIGHTS = (3, 1, 2)
@@ -70,7 +70,7 @@ def copies(seed: str) -> Column:
 
 def taken_words(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """Per document: size, its source's size and target, and the words the mix takes of it."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     sized = stage(pick(docs, "doc_id", "source", "text").select("doc_id", "source", size_of("text").alias("size")), "mixing-sized")
     goals = targets(sized)
     return sized.join(goals, sized["source"].eqNullSafe(goals["source"])).select(
@@ -80,7 +80,7 @@ def taken_words(docs: DataFrame, seed: str = "mix") -> DataFrame:
 
 def mixed(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     goals = targets(pick(docs, "source", "text").select("source", size_of("text").alias("size")))
     rows = packed(docs, "doc_id", "source")
     emitted = rows.join(goals, rows["source"].eqNullSafe(goals["source"])).withColumn("n", copies(seed).cast("int"))

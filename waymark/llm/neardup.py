@@ -36,9 +36,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm import words
-from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, unpacked
+from waymark.llm.support import bitmap, in_bitmap, map_batches, packed, pick, prepare, unpacked
 from waymark.operators.components import connected_components
-from waymark.runtime import configure, drop_stages, stage
+from waymark.runtime import drop_stages, stage
 
 SHINGLE = 5
 BANDS, ROWS = 32, 6
@@ -47,7 +47,7 @@ SKETCH_LONGS = 16
 #: members and shingles of one part of a bucket
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: cells of a matrix of members and shingles that is in memory at once
-CELLS = 1 << 23
+CELLS = 1 << 22
 #: bits of the bitmap that spares rows whose sets nobody wants
 BITS = 1 << 25
 SIGNATURE = (
@@ -336,7 +336,7 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per document."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     own = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = stage(map_batches(own, _signatures, SIGNATURE), "neardup-signed")
     classes = stage(classes_of(signed), "neardup-classes")

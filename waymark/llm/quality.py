@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm import words
-from waymark.llm.support import crc32_of_id, map_batches, pick
-from waymark.runtime import configure, stage
+from waymark.llm.support import crc32_of_id, map_batches, pick, prepare
+from waymark.runtime import stage
 
 #: weight of the pooled covariance, and of the diagonal, in a class covariance
 TO_POOLED, TO_DIAGONAL = 0.1, 0.1
@@ -168,7 +168,7 @@ def train(measured: DataFrame, labels: DataFrame) -> Discriminant:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of each document."""
-    spark = configure(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     own = pick(docs, "doc_id", "text")
     kind = own.schema["doc_id"].dataType.simpleString()
     measured = stage(map_batches(own, _statistics_rows, f"doc_id {kind}, x array<double>"), "quality-statistics")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waymark.llm import decontaminate, langid, licences, mixing, neardup, quality, sharding, sketches, sql, tokenfiles, warcfiles
 from waymark.llm.support import table
-from waymark.runtime import configure
 
 TOKENIZER = "byte_bpe_50k.json"
 

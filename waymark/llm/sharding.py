@@ -23,9 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.support import packed, pick
+from waymark.llm.support import packed, pick, prepare
 from waymark.operators.ranking import rank_in_groups
-from waymark.runtime import configure, drop_stages, stage
+from waymark.runtime import drop_stages, stage
 
 #: priority classes of a shard's admission; what is admitted is a prefix of them
 CLASSES = 4096
@@ -129,7 +129,7 @@ def assign(rows: DataFrame, shards: int) -> DataFrame:
 
 def shard_table(docs: DataFrame, shards: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of each document."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = pick(docs, "doc_id", "text").select(
         "doc_id", (F.octet_length(_text()) + 1).cast("long").alias("size"), F.crc32(_text()).alias("text_crc32"),
         F.md5(_text()).alias("digest"),
@@ -142,7 +142,7 @@ def shard_table(docs: DataFrame, shards: int = 16) -> DataFrame:
 
 def sharded(docs: DataFrame, shards: int = 16) -> DataFrame:
     """The rows of ``docs`` with ``shard`` and ``slot`` (in place of columns of these names)."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     light = pick(docs, "doc_id", "text").select("doc_id", F.md5(_text()).alias("digest"))
     copies = Window.partitionBy("doc_id", "digest")
     placed = assign(light, shards).withColumn("copy", F.row_number().over(copies.orderBy("shard", "slot")))

@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm import words
-from waymark.llm.support import parts_for, pick
-from waymark.runtime import configure
+from waymark.llm.support import parts_for, pick, prepare
 
 SHINGLE = 5
 SCALE = 4
@@ -127,7 +126,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness."""
-    configure(docs.sparkSession)
+    prepare(docs.sparkSession)
     own = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     total = own.agg(F.sum(F.octet_length("text") + 16)).first()[0]
     kind = own.schema["doc_id"].dataType.simpleString()

@@ -10,9 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.runtime import configure
+
+#: rows in an Arrow batch: texts may be long, and a worker holds a batch on both sides
+BATCH_ROWS = 512
 LOWER_FROM, LOWER_TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """The library's session defaults, and small Arrow batches."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

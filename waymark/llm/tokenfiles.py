@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.pieces import encoder
-from waymark.llm.support import parts_for, pick
-from waymark.runtime import configure, shared_dir
+from waymark.llm.support import parts_for, pick, prepare
+from waymark.runtime import shared_dir
 
 END = 0
 PART_BYTES = 32 << 20
@@ -115,7 +115,7 @@ def read(files: DataFrame) -> DataFrame:
 
 def token_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the token files of ``docs`` and describe each document from what is read back."""
-    spark = configure(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     path = f"{shared_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     write(docs, path, tokenizer)
     return read(spark.read.parquet(path))

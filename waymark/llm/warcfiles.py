@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.support import parts_for, pick
-from waymark.runtime import configure, shared_dir, stage
+from waymark.llm.support import parts_for, pick, prepare
+from waymark.runtime import shared_dir, stage
 
 ARCHIVE_BYTES = 24 << 20
 SAMPLE_BYTES, DICTIONARY_BYTES = 2 << 20, 96 << 10
@@ -244,7 +244,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
 
 def archive_table(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write the archives of ``pages`` and describe each record from what is read back."""
-    spark = configure(pages.sparkSession)
+    spark = prepare(pages.sparkSession)
     folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     folder = folder.replace("file:///", "/").replace("file:/", "/")
     return read(write(pages, folder, least_bytes), folder)
