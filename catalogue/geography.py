@@ -472,7 +472,7 @@ _ROAD_STATES = ["MT", "WA", "WY"]
     cand AS (SELECT p.id, p.lat, p.lon, p.state AS st, 1 AS home FROM pts p WHERE p.state IN (SELECT state FROM r)
       UNION ALL SELECT p.id, p.lat, p.lon, fb.st, 0 FROM pts p JOIN fb ON fb.home = p.state WHERE p.state NOT IN (SELECT state FROM r)),
     d AS (SELECT p.id, min({foot_degrees('p', 's')}) AS d FROM cand p JOIN r s ON s.state = p.st AND {cell_overlap(0.02, 1)} GROUP BY p.id)
-    SELECT p.id, {half('d.d', 1)} AS road_distance_m, CASE WHEN d.d IS NOT NULL THEN 'measured' WHEN p.state IN (SELECT state FROM r) THEN 'remote' ELSE 'none' END AS road_status
+    SELECT p.id, CASE WHEN d.d IS NULL AND p.state IN (SELECT state FROM r) THEN 999999 ELSE {half('d.d', 1)} END AS road_distance_m, CASE WHEN d.d IS NOT NULL THEN 'measured' WHEN p.state IN (SELECT state FROM r) THEN 'remote' ELSE 'none' END AS road_status
     FROM pts p LEFT JOIN d ON d.id = p.id""",
 )
 def road_distance_by_state(spark, sf):

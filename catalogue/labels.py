@@ -415,7 +415,7 @@ def name_quality(spark, sf):
 
 _FED = "ingest_source IN ('01-nps-poi', '02-usfs-recreation', '04-ridb')"
 _KNOWN = "land_manager IN ('NPS', 'USFS', 'BLM', 'State', 'COE', 'USFWS', 'County', 'City')"
-ROADS = "rows_ AS (SELECT *, CASE WHEN id % 3 = 0 THEN NULL ELSE CAST(id * 37 % 1600 AS DOUBLE) END AS d FROM camps)"
+ROADS = "rows_ AS (SELECT *, CASE WHEN id % 3 = 0 THEN NULL WHEN id % 11 = 0 THEN 999999 ELSE CAST(id * 37 % 1600 AS DOUBLE) END AS d FROM camps)"
 _ROAD_TIER = f"""CASE WHEN d IS NULL THEN CASE WHEN type = 'developed' AND {_GOOD} AND NOT {_FED} THEN 'default' WHEN {_FED} OR ingest_source = '03-osm' THEN 'qa' ELSE 'default' END
       WHEN d <= 800 THEN 'default' WHEN d <= 1200 THEN 'qa' ELSE 'excluded' END"""
 DISPLAY_TIER = f"""CASE WHEN type = 'dispersed' OR {_GENERIC} THEN 'excluded' WHEN NOT {_GOOD} AND NOT {_FED} AND ({_NUMERIC} OR {_SITE}) THEN 'excluded' ELSE {_ROAD_TIER} END"""
@@ -425,7 +425,7 @@ REASON = f"""CASE WHEN type = 'dispersed' THEN 'dispersed' WHEN {_GENERIC} THEN
 def camp_rows(spark, sf):
     return (
         camps(spark, sf)
-        .withColumn("road_distance_m", F.expr("if(id % 3 = 0, null, cast(id * 37 % 1600 as double))"))
+        .withColumn("road_distance_m", F.expr("case when id % 3 = 0 then null when id % 11 = 0 then 999999D else cast(id * 37 % 1600 as double) end"))
         .withColumn("map_flags", F.array().cast("array<string>"))
         .withColumn("is_placeholder", F.lit(False))
         .withColumn("coord_confidence", F.lit("medium"))

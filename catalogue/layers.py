@@ -41,7 +41,7 @@ def canadian_campgrounds(spark, sf):
     "access_enrichment",
     f"""WITH {AMENITIES}, {SEGMENTS}, cg AS (SELECT id, lat, lon, camp_tier, 'MT' AS state FROM amenities WHERE kind = 'campground'),
     r AS (SELECT p.id, min({foot_degrees()}) AS d FROM cg p JOIN segments s ON s.road_class < 2 AND {cell_overlap(0.02, 1)} GROUP BY p.id), t AS (SELECT p.id, min({foot_degrees()}) AS d FROM cg p JOIN segments s ON s.road_class = 2 AND {cell_overlap(0.05, 1)} GROUP BY p.id),
-    x AS (SELECT c.id, {half('r.d', 1)} AS road, t.d AS trail, c.camp_tier AS tier FROM cg c LEFT JOIN r ON r.id = c.id LEFT JOIN t ON t.id = c.id),
+    x AS (SELECT c.id, coalesce({half('r.d', 1)}, 999999) AS road, coalesce(t.d, 999999) AS trail, c.camp_tier AS tier FROM cg c LEFT JOIN r ON r.id = c.id LEFT JOIN t ON t.id = c.id),
     y AS (SELECT id, {_MODE_SQL} AS access_mode, {_CONF_SQL} AS access_confidence FROM x)
     SELECT id, access_mode, access_confidence, CASE WHEN access_confidence = 'measured_far' THEN 1 ELSE 0 END AS far FROM y UNION ALL SELECT id, 'unknown', 'unknown', 0 FROM amenities WHERE kind <> 'campground'""",
 )

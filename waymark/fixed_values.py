@@ -193,6 +193,8 @@ SCENIC_MEASURE_M = 250.0
 SCENIC_LEAN_M = 135.0
 ROAD_DEFAULT_M = 800.0
 ROAD_QA_M = 1200.0
+#: distance of a site whose state has a table but no road or trail in reach
+REMOTE_M = 999999.0
 VC_MATCH_M = 400.0
 VC_MISMATCH_M = 200.0
 VC_OSM_RADIUS_M = 350.0

@@ -153,6 +153,14 @@ def with_access(rows: DataFrame, roads: DataFrame, trails: DataFrame, key: str =
     measured = spatial.nearest_segment(
         measured, trails, 0.05, 1, on=["state"], local_plane=False, output="trail_distance_m"
     )
+    # a state with a trail table and no trail in reach is far, a state without one is not known
+    known = trails.select(F.col("state").alias("_trail_state")).distinct()
+    measured = measured.join(known, measured["state"] == known["_trail_state"], "left").withColumn(
+        "trail_distance_m",
+        F.when(F.col("trail_distance_m").isNull() & F.col("_trail_state").isNotNull(), F.lit(fv.REMOTE_M)).otherwise(
+            F.col("trail_distance_m")
+        ),
+    ).drop("_trail_state")
     both = measured.unionByName(rest, allowMissingColumns=True).withColumn("_a", access.access_mode())
     far = F.col("_a.confidence") == "measured_far"
     return (

@@ -171,7 +171,7 @@ def road_distances(points: DataFrame, roads: DataFrame, key: str = "id", state:
     """Road distance in whole metres from the home state's table, else the least over its neighbours.
 
     ``roads``: state, lat1..lon2. Adds road_distance_m and road_status: measured, remote (table but
-    no road in reach) or none (no table).
+    no road in reach: the distance is REMOTE_M, beyond every limit) or none (no table: no distance).
     """
     have = roads.select(F.col("state").alias("_home")).distinct()
     tagged = points.join(have, points[state] == have["_home"], "left")
@@ -197,7 +197,8 @@ def road_distances(points: DataFrame, roads: DataFrame, key: str = "id", state:
         "road_status", F.when(F.col("_d").isNull(), F.lit("none")).otherwise(F.lit("measured"))
     )
     both = at_home.unionByName(fallback)
-    return both.withColumn("road_distance_m", geo.half_up("_d", 1)).drop("_d")
+    metres = F.when(F.col("road_status") == "remote", F.lit(fv.REMOTE_M)).otherwise(geo.half_up("_d", 1))
+    return both.withColumn("road_distance_m", metres).drop("_d")
 
 
 def with_tiers(records: DataFrame, config: camping.FilterConfig = camping.FilterConfig()) -> DataFrame:
