@@ -373,6 +373,17 @@ def service_plazas(spark, sf):
 _CAMP_OPS = ["National Park Service", "KOA", "US Forest Service", ""]
 
 
+def with_later_copies(points):
+    """Input order, and of each third element a later row farther south under another name."""
+    seq = F.col("osm_id") * 2
+    later = points.where("osm_id % 3 = 0").select(
+        "osm_type", "osm_id", (F.col("lat") - 0.001).alias("lat"), "lon",
+        F.map_concat(F.map_filter("tags", lambda k, v: k != "name"), F.create_map(F.lit("name"), F.lit("later row"))).alias("tags"),
+        (seq + 1).alias("seq"),
+    )
+    return points.withColumn("seq", seq).unionByName(later)
+
+
 @query(
     "camp_records_us",
     f"""WITH n AS (SELECT p_partkey AS id, {pick_sql(_CAMP_OPS, 'p_partkey')} AS op, CASE p_partkey % 3 WHEN 0 THEN 'dispersed' ELSE 'basic' END AS site, CASE WHEN p_partkey % 6 = 1 THEN '' ELSE p_name END AS name FROM part WHERE p_size <> 13)
@@ -386,7 +397,7 @@ def camp_records_us(spark, sf):
             F.lit("name"), F.expr("if(id % 6 = 1, '', tags['name'])"),
         ).alias("tags"),
     )
-    return camping_plans.map_records_us(points).select("osm_id", "name", "type", "land_manager", "cost")
+    return camping_plans.map_records_us(with_later_copies(points)).select("osm_id", "name", "type", "land_manager", "cost")
 
 
 @query(

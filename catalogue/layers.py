@@ -9,6 +9,7 @@ from catalogue.common import (
     foot_degrees, half, near, pick, pick_sql, query, segments, slug_sql, spots, table,
 )
 from catalogue.curation import _PLAZAS
+from catalogue.extraction import with_later_copies
 from catalogue.geography import _CONF_SQL, _MODE_SQL
 from waymark import fixed_values as fv
 from waymark.functions import geo, parks, tags, text
@@ -113,7 +114,7 @@ def camp_records_ca(spark, sf):
             F.lit("tourism"), F.lit("camp_site"), F.lit("camp_site"), F.expr("if(c_custkey % 7 = 0, 'backcountry', '')"),
         ).alias("tags"),
     )
-    return camping_plans.map_records_ca(points).select("id", "land_manager")
+    return camping_plans.map_records_ca(with_later_copies(points)).select("id", "land_manager")
 
 
 @query(

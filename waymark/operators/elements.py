@@ -65,25 +65,19 @@ def relation_centres(relations: DataFrame, ways: DataFrame, nodes: DataFrame) ->
 
 
 def element_points(found: dict[str, DataFrame], nodes: DataFrame, ways: DataFrame) -> DataFrame:
-    """All found elements as points: osm_type, osm_id, lat, lon, tags."""
-    parts = [found["node"].select(F.lit("node").alias("osm_type"), F.col("id").alias("osm_id"), "lat", "lon", "tags")]
+    """All found elements as points: osm_type, osm_id, lat, lon, tags, and seq where the element tables have it."""
+    carried = ["tags"] + (["seq"] if all("seq" in part.columns for part in found.values()) else [])
+
+    def points(kind: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(kind).alias("osm_type"), F.col("id").alias("osm_id"), "lat", "lon", *carried)
+
     way = found["way"]
-    centres = way_centres(way, nodes)
-    parts.append(
-        way.select("id", "tags")
-        .join(centres, "id")
-        .select(F.lit("way").alias("osm_type"), F.col("id").alias("osm_id"), "lat", "lon", "tags")
-    )
+    out = points("node", found["node"])
+    out = out.unionByName(points("way", way.select("id", *carried).join(way_centres(way, nodes), "id")))
     if "relation" in found:
         relation = found["relation"]
-        parts.append(
-            relation.select("id", "tags")
-            .join(relation_centres(relation, ways, nodes), "id")
-            .select(F.lit("relation").alias("osm_type"), F.col("id").alias("osm_id"), "lat", "lon", "tags")
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        centres = relation_centres(relation, ways, nodes)
+        out = out.unionByName(points("relation", relation.select("id", *carried).join(centres, "id")))
     return out
 
 

@@ -23,6 +23,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return picked.select(*[F.col(k) for k in keys], "_row.*").select(*df.columns)
 
 
+def first_seen(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One whole row per key: the first in input order, which is ``seq``; without that column the southernmost."""
+    return first_per_key(df, keys, ["seq", "lat", "lon"] if "seq" in df.columns else ["lat", "lon"])
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], score: Column, seq: str) -> DataFrame:
     """Highest score per key; the earlier row wins a tie."""
     return first_per_key(df, keys, [(-score).alias("_score"), F.col(seq)])

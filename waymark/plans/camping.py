@@ -19,7 +19,7 @@ from waymark.functions.text import (
     text,
 )
 from waymark.operators import clusters, dedupe, spatial
-from waymark.operators.ranking import first_per_key
+from waymark.operators.ranking import first_seen
 from waymark.operators.rollup import group_centroids
 from waymark.runtime import derive
 
@@ -31,7 +31,7 @@ def map_records_us(points: DataFrame) -> DataFrame:
     )
     site = text(tag("camp_site"))
     rows = points.where(geo.valid_coordinate("lat", "lon", fv.US_BOX) & tags.camp_candidate())
-    rows = first_per_key(rows, ["osm_type", "osm_id"], ["lat", "lon"]).withColumn("name", name)
+    rows = first_seen(rows, ["osm_type", "osm_id"]).withColumn("name", name)
     rows = rows.where(~tags.commercial("name", tag("operator"), tag("brand")))
     return rows.select(
         "osm_type", "osm_id", "name", "lat", "lon",
@@ -68,7 +68,7 @@ def map_records_ca(points: DataFrame) -> DataFrame:
         & F.col("land_manager").isin("Parks Canada", "Provincial")
         & ~F.col("_site").isin("dispersed", "wildcamp", "backcountry")
     )
-    unique = first_per_key(judged, ["osm_type", "osm_id"], ["lat", "lon"])
+    unique = first_seen(judged, ["osm_type", "osm_id"])
     return unique.drop("_private", "_site", "_blob").withColumn(
         "state", F.coalesce(spatial.box_code("lat", "lon", fv.PROVINCE_BOXES), F.lit(""))
     ).withColumn(

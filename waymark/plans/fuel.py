@@ -12,7 +12,7 @@ from waymark.functions import brands, geo, tags
 from waymark.functions.tags import tag
 from waymark.functions.text import add_absent, drop_values, first_filled, lookup, plaza_key, slugify, text
 from waymark.operators import dedupe, elements, matching, rollup
-from waymark.operators.ranking import first_per_key
+from waymark.operators.ranking import first_seen
 from waymark.operators.spatial import box_code, nearest_any
 
 
@@ -22,7 +22,7 @@ def candidates(nodes: DataFrame, ways: DataFrame, box: tuple = fv.US_BOX) -> Dat
     points = elements.element_points(found, nodes, ways).where(geo.valid_coordinate("lat", "lon", box))
     slim = points.withColumn("tags", tags.prune_tags(fv.FUEL_TAG_KEYS))
     blob = brands.search_blob(tag("brand"), tag("operator"), tag("name"), tag("addr:housename"))
-    return first_per_key(slim.withColumn("search_blob", blob), ["osm_type", "osm_id"], ["lat", "lon"])
+    return first_seen(slim.withColumn("search_blob", blob), ["osm_type", "osm_id"])
 
 
 def branded(rows: DataFrame, catalogue: Sequence[dict], country: str = "US") -> DataFrame:

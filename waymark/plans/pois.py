@@ -9,7 +9,7 @@ from waymark import fixed_values as fv
 from waymark.functions import access, geo, tags
 from waymark.functions.text import poi_id, text
 from waymark.operators import elements, spatial
-from waymark.operators.ranking import first_per_key
+from waymark.operators.ranking import first_per_key, first_seen
 
 
 def region_code(region: str) -> Column:
@@ -29,7 +29,7 @@ def records(points: DataFrame, kind: str, region: str = "US") -> DataFrame:
     prefix, default_name = fv.POI_KINDS[kind]
     box = fv.CA_BOX if region == "CA" else fv.US_BOX
     rows = points.where(geo.valid_coordinate("lat", "lon", box))
-    rows = first_per_key(rows, ["osm_type", "osm_id"], ["lat", "lon"])
+    rows = first_seen(rows, ["osm_type", "osm_id"])
     name = tags.name_of(default=default_name)
     subtype = tags.tag("historic") if kind == "historic" else F.lit(None).cast("string")
     return rows.select(

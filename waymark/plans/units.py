@@ -21,7 +21,7 @@ from waymark.functions.text import (
     visitor_center_key,
 )
 from waymark.operators import matching, spatial
-from waymark.operators.ranking import best_per_key, first_per_key
+from waymark.operators.ranking import best_per_key, first_per_key, first_seen
 
 _TRAILING_DESIGNATION = (
     r"(?i)\s*national (park|monument|memorial|preserve|historical park|historic site|recreation area).*$"
@@ -79,7 +79,7 @@ def unit_catalog(units: DataFrame, pins: DataFrame, listed: DataFrame, centroids
     name, designation, states. Units without a known state or coordinate are left out.
     """
     def at(df: DataFrame, p: str) -> DataFrame:
-        unique = first_per_key(df.withColumn("code", F.lower("code")), ["code"], ["lat", "lon"])
+        unique = first_seen(df.withColumn("code", F.lower("code")), ["code"])
         return unique.select("code", F.col("lat").alias(f"{p}_lat"), F.col("lon").alias(f"{p}_lon"))
 
     codes = F.array_join(F.filter(state_list("states"), lambda s: s.isin(*fv.UNIT_STATES)), ",")
@@ -116,7 +116,7 @@ def unit_catalog(units: DataFrame, pins: DataFrame, listed: DataFrame, centroids
 def places_catalog(places: DataFrame, pins: DataFrame) -> DataFrame:
     """Canadian federal units, one row per place id: pin coordinate, else the place's own."""
     first = first_per_key(places, ["place_id"], ["seq"])
-    pin = first_per_key(pins, ["place_id"], ["lat", "lon"]).select(
+    pin = first_seen(pins, ["place_id"]).select(
         "place_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon")
     )
     key = slugify(federal_place_key("name"))
