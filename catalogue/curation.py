@@ -417,7 +417,43 @@ def park_records(spark, sf):
     )
 
 
-@query("park_merge")
+_PARKS = (
+    "raw AS (SELECT c_custkey AS seq, printf('k%010d', c_custkey) AS id, concat('S', c_custkey // 8) AS state, " + pick_sql(_UNIT_NAMES, "c_custkey")
+    + " AS name, " + coords_sql("(c_custkey // 8)", "(c_custkey % 8) * 15")
+    + """, CASE WHEN c_nationkey % 3 = 0 THEN 'official' ELSE 'osm' END AS source, CASE WHEN c_custkey % 4 = 1 THEN concat('https://x/', c_custkey) ELSE '' END AS url,
+      CASE WHEN c_custkey % 6 = 2 THEN concat('c', c_custkey) ELSE '' END AS code, concat(['node', 'way', 'relation'][CAST(c_nationkey % 3 AS INTEGER) + 1], '/', c_custkey) AS osm,
+      CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 8 END + CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE 6 END + [0, 5, 10][CAST(c_nationkey % 3 AS INTEGER) + 1] AS base FROM customer),
+    p AS (SELECT *, concat(state, '::', trim(regexp_replace(regexp_replace(lower(name), '\\b(state park|state historic site)\\b', '', 'g'), '[^a-z0-9]+', ' ', 'g'))) AS key,
+      base + CASE WHEN source = 'official' THEN 50 ELSE 0 END + CASE WHEN url <> '' THEN 20 ELSE 0 END + CASE WHEN code <> '' THEN 15 ELSE 0 END AS rank FROM raw),
+    o AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq) AS rn FROM p)"""
+)
+_NO_TEXTS = "CAST([] AS VARCHAR[])"
+
+
+@query(
+    "park_merge",
+    f"""WITH RECURSIVE {_PARKS},
+    walk(key, rn, id, lat, lon, osm, source, url, code, rank, sources, alts, apart, metres) AS (
+      SELECT key, rn, id, lat, lon, osm, source, url, code, rank, {_NO_TEXTS}, {_NO_TEXTS}, CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM o WHERE rn = 1
+      UNION ALL
+      SELECT key, rn, CASE WHEN won THEN r_id ELSE id END, CASE WHEN won THEN r_lat ELSE lat END, CASE WHEN won THEN r_lon ELSE lon END,
+        CASE WHEN won THEN r_osm ELSE osm END, CASE WHEN won THEN r_source ELSE source END,
+        CASE WHEN far THEN url WHEN won THEN coalesce(nullif(r_url, ''), url) ELSE coalesce(nullif(url, ''), r_url) END,
+        CASE WHEN far THEN code WHEN won THEN coalesce(nullif(r_code, ''), code) ELSE coalesce(nullif(code, ''), r_code) END,
+        CASE WHEN far THEN rank WHEN won THEN r_rank + CASE WHEN r_url = '' AND url <> '' THEN 20 ELSE 0 END + CASE WHEN r_code = '' AND code <> '' THEN 15 ELSE 0 END
+          ELSE rank + CASE WHEN url = '' AND r_url <> '' THEN 20 ELSE 0 END + CASE WHEN code = '' AND r_code <> '' THEN 15 ELSE 0 END END,
+        CASE WHEN far THEN sources WHEN won THEN [r_source, source] ELSE list_concat(sources, [source, r_source]) END,
+        CASE WHEN far THEN alts WHEN won THEN [osm] ELSE list_append(alts, r_osm) END, CASE WHEN far THEN r_id END, CASE WHEN far THEN d END
+      FROM (SELECT *, d > 500 AS far, d <= 500 AND r_rank >= rank AS won FROM (
+        SELECT w.key, r.rn, w.id, w.lat, w.lon, w.osm, w.source, w.url, w.code, w.rank, w.sources, w.alts, r.id AS r_id, r.lat AS r_lat, r.lon AS r_lon,
+          r.osm AS r_osm, r.source AS r_source, r.url AS r_url, r.code AS r_code, r.rank AS r_rank, {hav('w.lat', 'w.lon', 'r.lat', 'r.lon', M)} AS d
+        FROM walk w JOIN o r ON r.key = w.key AND r.rn = w.rn + 1) t) t),
+    last AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY key ORDER BY rn DESC) = 1)
+    SELECT last.id, raw.state, raw.name, coalesce(list_aggregate(list_sort(list_distinct(sources)), 'string_agg', ','), '') AS merge_sources,
+      coalesce(list_aggregate(list_sort(list_distinct(alts)), 'string_agg', ','), '') AS alt_osm_ids FROM last JOIN raw USING (id)
+    UNION ALL SELECT apart, raw.state, raw.name, '', '' FROM walk JOIN raw ON raw.id = apart
+    UNION ALL SELECT apart, 'conflict', id, CAST(CAST(floor(metres + 0.5) AS BIGINT) AS VARCHAR), '' FROM walk WHERE apart IS NOT NULL""",
+)
 def park_merge(spark, sf):
     """Rank-based merge of park records by key with moving winners."""
     merged, conflicts = parkmerge.merge_parks(park_records(spark, sf))

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from catalogue.common import (
     AMENITIES, SEGMENTS, SPOTS, amenities, boxes_sql, camp_key_sql, cell_overlap, component_walk, coords, coords_sql,
-    foot_degrees, half, near, pick, pick_sql, query, segments, slug_sql, spots, table,
+    foot_degrees, half, near, ordered_walk, pick, pick_sql, query, segments, slug_sql, spots, table,
 )
-from catalogue.curation import _PLAZAS
+from catalogue.curation import _PLAZA_ROWS, _PLAZAS
 from catalogue.extraction import with_later_copies
 from catalogue.geography import _CONF_SQL, _MODE_SQL
 from waymark import fixed_values as fv
@@ -245,7 +245,15 @@ def fuel_layer_counts(spark, sf):
     return explorer.fuel_layers(rows).groupBy("layer").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("highway_pair_records")
+@query(
+    "highway_pair_records",
+    f"""WITH RECURSIVE {_PLAZA_ROWS}, chain AS (SELECT *, ['onroute', 'onroute', 'other'][CAST(id // 4 % 3 AS INTEGER) + 1] AS brand_id FROM plazas),
+    places AS (SELECT * FROM chain WHERE brand_id = 'onroute' AND place <> ''), {ordered_walk('places', 'a.place = b.place AND ' + near('a', 'b', 0.45))},
+    led AS (SELECT c.*, coalesce(s.kept, c.id) AS lead FROM chain c LEFT JOIN suppressed s ON s.dropped = c.id WHERE brand_id = 'onroute'),
+    g AS (SELECT lead, count(*) AS n, trim(regexp_replace(regexp_replace(arg_min(name, (length(name), seq)), '(?i)\\b(North|South|East|West)\\b', '', 'g'), '\\s+', ' ', 'g')) AS shown FROM led GROUP BY 1)
+    SELECT CASE WHEN n > 1 THEN concat('FUEL-CA-ONROUTE-PAIR-', {slug_sql('shown')}) ELSE CAST(id AS VARCHAR) END AS id, CASE WHEN n > 1 AND shown <> '' THEN shown ELSE name END AS name, brand_id, n AS paired_count
+    FROM chain JOIN g ON g.lead = chain.id UNION ALL SELECT CAST(id AS VARCHAR), name, brand_id, 1 FROM chain WHERE brand_id = 'other'""",
+)
 def highway_pair_records(spark, sf):
     """Merged plaza records with display name, new id and pair count, among other brands."""
     rows = table(spark, sf, "customer").select(
