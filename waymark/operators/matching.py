@@ -167,9 +167,12 @@ def first_resolved(
     """Ordered equi-lookups: the first step whose key finds a row gives ``output``.
 
     ``steps``: (name, lookup key Column on ``rows``, catalogue, catalogue key column). A catalogue
-    key that occurs more than once gives the row with the least ``seq``. Adds ``<output>_by``.
+    key that occurs more than once gives the row with the least ``seq``. Adds ``<output>_by``. Rows without a
+    lookup, and rows an earlier step has resolved, join under a key of their own that no catalogue holds, so they are
+    spread over all tasks.
     """
     out = rows
+    own = F.concat(F.lit("\u0001"), F.coalesce(F.col(key).cast("string"), F.lit("")))
     found: list[Column] = []
     names: list[Column] = []
     for i, (name, lookup, catalogue, catalogue_key) in enumerate(steps):
@@ -178,7 +181,10 @@ def first_resolved(
             .groupBy(F.col(catalogue_key).alias(f"_key{i}"))
             .agg(F.min_by(F.col(value), F.col("seq")).alias(f"_val{i}"))
         )
-        out = out.withColumn(f"_look{i}", lookup)
+        asked = F.nullif(lookup.cast("string"), F.lit(""))
+        if found:
+            asked = F.when(F.coalesce(*found).isNull(), asked)
+        out = out.withColumn(f"_look{i}", F.coalesce(asked, own))
         out = out.join(unique, F.col(f"_look{i}") == F.col(f"_key{i}"), "left")
         found.append(F.col(f"_val{i}"))
         names.append(F.when(F.col(f"_val{i}").isNotNull(), F.lit(name)))
