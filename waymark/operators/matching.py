@@ -200,44 +200,68 @@ def first_free_match(
     """Left rows in order take their first free compatible right row; (left_key, right_key).
 
     Rows are alike when they share ``scope`` and their text key; ``compatible`` lists the pairs of
-    text keys: scope, l_key, r_key. ``left``/``right``: scope, key, seq and the row key. Only as many
-    alike rows enter as there are possible partners, so a crowd of copies never meets a crowd.
+    text keys: scope, l_key, r_key. ``left``/``right``: scope, key, seq and the row key.
+
+    Alike rows are served in order, so what is taken of a key is a prefix and one number per key is the whole state.
+    A round matches each pair of keys whose first free rows want each other, and with them as many further rows
+    of both as come before the next rival on either side. No pairs of rows are listed before they are matched.
     """
     scope = list(scope)
-    l_counts = left.groupBy(*scope, F.col("key").alias("l_key")).agg(F.count(F.lit(1)).alias("l_n"))
-    r_counts = right.groupBy(*scope, F.col("key").alias("r_key")).agg(F.count(F.lit(1)).alias("r_n"))
-    both = stage(
-        compatible.select(*scope, "l_key", "r_key").distinct().join(l_counts, [*scope, "l_key"]).join(r_counts, [*scope, "r_key"]),
-        "compatible",
-    )
-    l_limit = both.groupBy(*scope, F.col("l_key").alias("key")).agg(F.sum("r_n").alias("_limit"))
-    r_limit = both.groupBy(*scope, F.col("r_key").alias("key")).agg(F.sum("l_n").alias("_limit"))
-
-    def useful(rows: DataFrame, limit: DataFrame, row_key: str, p: str) -> DataFrame:
-        ranked = rank_in_groups(rows.select(*scope, "key", "seq", row_key), [*scope, "key"], ["seq", row_key], "_n")
-        return (
-            ranked.join(limit, [*scope, "key"])
-            .where("_n <= _limit")
-            .select(*scope, F.col("key").alias(f"{p}_key"), F.struct("seq", row_key).alias(f"{p}_row"))
+
+    def ranked(rows: DataFrame, row_key: str, p: str) -> DataFrame:
+        out = rank_in_groups(rows.select(*scope, "key", "seq", row_key), [*scope, "key"], ["seq", row_key], "rank")
+        return stage(
+            out.select(*scope, F.col("key").alias(f"{p}_key"), F.col("rank").cast("long").alias(f"{p}_rank"), F.struct("seq", row_key).alias(f"{p}_row")),
+            f"{p}-ranked",
         )
 
-    pairs = stage(
-        both.select(*scope, "l_key", "r_key")
-        .join(useful(left, l_limit, left_key, "l"), [*scope, "l_key"])
-        .join(useful(right, r_limit, right_key, "r"), [*scope, "r_key"])
-        .select("l_row", "r_row"),
-        "pairs",
-    )
-    matched = None
-    while not pairs.isEmpty():
-        first_r = pairs.groupBy("l_row").agg(F.min("r_row").alias("r_row"))
-        first_l = pairs.groupBy("r_row").agg(F.min("l_row").alias("l_row"))
-        taken = stage(first_r.join(first_l, ["l_row", "r_row"]), "taken")
-        matched = taken if matched is None else matched.union(taken)
-        pairs = stage(
-            pairs.join(taken.select("l_row"), "l_row", "left_anti").join(taken.select("r_row"), "r_row", "left_anti"),
-            "pairs",
+    l_rows, r_rows = ranked(left, left_key, "l"), ranked(right, right_key, "r")
+    pairs = stage(compatible.select(*scope, "l_key", "r_key").distinct(), "compatible")
+    batches = None
+    while True:
+        taken = {}
+        for p in ("l", "r"):
+            if batches is not None:
+                taken[p] = batches.groupBy(*scope, f"{p}_key").agg(F.sum("size").alias(f"{p}_taken"))
+        open_pairs = pairs
+        for p, rows in (("l", l_rows), ("r", r_rows)):
+            if p in taken:
+                open_pairs = open_pairs.join(taken[p], [*scope, f"{p}_key"], "left")
+            else:
+                open_pairs = open_pairs.withColumn(f"{p}_taken", F.lit(None).cast("long"))
+            open_pairs = open_pairs.withColumn(f"{p}_rank", F.coalesce(f"{p}_taken", F.lit(0)) + 1).drop(f"{p}_taken")
+            open_pairs = open_pairs.join(rows, [*scope, f"{p}_key", f"{p}_rank"])
+        heads = stage(open_pairs, "heads")
+        if heads.isEmpty():
+            break
+        met = heads
+        for mine, other in (("l", "r"), ("r", "l")):
+            key = [*scope, f"{mine}_key"]
+            first = heads.groupBy(*key).agg(F.min(f"{other}_row").alias(f"{other}_first"))
+            second = (
+                heads.join(first, key).where(f"{other}_row > {other}_first")
+                .groupBy(*key).agg(F.min(f"{other}_row").alias(f"{other}_rival"))
+            )
+            met = met.join(first, key).join(second, key, "left")
+        mutual = stage(
+            met.where("l_row = l_first and r_row = r_first").select(
+                *scope, "l_key", "r_key", F.col("l_rank").alias("l_from"), F.col("r_rank").alias("r_from"), "l_rival", "r_rival"
+            ),
+            "mutual",
         )
-    if matched is None:
-        matched = pairs
+        sizes = mutual.select(*scope, "l_key", "r_key", "l_from", "r_from")
+        for p, rows in (("l", l_rows), ("r", r_rows)):
+            ahead = mutual.join(rows, [*scope, f"{p}_key"]).where(
+                f"{p}_rank >= {p}_from and ({p}_rival is null or {p}_row < {p}_rival)"
+            )
+            counted = ahead.groupBy(*scope, "l_key", "r_key").agg(F.count(F.lit(1)).alias(f"{p}_n"))
+            sizes = sizes.join(counted, [*scope, "l_key", "r_key"])
+        fresh = sizes.select(*scope, "l_key", "r_key", "l_from", "r_from", F.least("l_n", "r_n").alias("size"))
+        batches = stage(fresh if batches is None else batches.union(fresh), "batches")
+    if batches is None:
+        return left.join(right, F.lit(False)).select(left[left_key].alias("left_key"), right[right_key].alias("right_key"))
+    single = batches.select(*scope, "l_key", "r_key", "l_from", "r_from", F.explode(F.expr("sequence(0L, size - 1)")).alias("i")).select(
+        *scope, "l_key", "r_key", (F.col("l_from") + F.col("i")).alias("l_rank"), (F.col("r_from") + F.col("i")).alias("r_rank")
+    )
+    matched = single.join(l_rows, [*scope, "l_key", "l_rank"]).join(r_rows, [*scope, "r_key", "r_rank"])
     return matched.select(F.col(f"l_row.{left_key}").alias("left_key"), F.col(f"r_row.{right_key}").alias("right_key"))
