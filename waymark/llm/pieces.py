@@ -138,7 +138,7 @@ class Encoder:
                 continue
             group.append(i)
             size += len(text)
-            if size >= words.CHUNK // 2:
+            if size >= words.CHUNK:
                 self._fill(made, texts, group)
                 group, size = [], 0
         self._fill(made, texts, group)

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: bytes of text hashed at once; a longer text is a chunk of its own
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @lru_cache(maxsize=None)
