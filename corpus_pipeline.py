@@ -16,13 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from waymark.llm import decontaminate, langid, mixing, neardup, sharding
 from waymark.runtime import shared_dir
 
+#: similarity of five-word shingles from which texts count as near-duplicates
+NEAR_PERCENT = 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identified(docs)
 
 
 def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.without_near_duplicates(docs)
+    return neardup.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,7 +85,8 @@ def components(rows, percent=85):
     return {i: top(i) for i in ids}
 
 
-def test_near_duplicates_of_a_drifting_group(spark, monkeypatch):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_of_a_drifting_group(spark, monkeypatch, percent):
     """Chains of small edits: links reach from text to text, never all at once; blocks are split."""
     monkeypatch.setattr(neardup, "BLOCK", 16)
     rng = random.Random(3)
@@ -99,17 +100,18 @@ def test_near_duplicates_of_a_drifting_group(spark, monkeypatch):
             other[rng.randrange(len(other))] = f"y{rng.randint(0, 10**6)}"
         rows.append((i, " ".join(other)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
-    assert got == components(rows)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, percent).collect()}
+    assert got == components(rows, percent)
 
 
 def test_sketch_bound_holds_true_links():
-    rng = np.random.default_rng(5)
+    rng, shape = np.random.default_rng(5), neardup.shape_for(85)
+    assert shape == (32, 6) and neardup.shape_for(80) == (38, 5)
     for _ in range(30):
         common = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
         own = rng.integers(0, 1 << 63, (2, 79), dtype=np.uint64)
-        a, b = (neardup.odd_sketch(neardup.samples(np.concatenate([common, o]))).view(np.uint64) for o in own)
-        assert np.bitwise_count(a ^ b).sum() <= neardup.most_differing_bits(0.85)
+        a, b = (neardup.odd_sketch(neardup.samples(np.concatenate([common, o]), shape), shape).view(np.uint64) for o in own)
+        assert np.bitwise_count(a ^ b).sum() <= neardup.most_differing_bits(85)
 
 
 def test_winnowing_finds_planted_passages(spark):
@@ -259,7 +261,7 @@ def test_pipeline_against_plain_versions(spark, con, tmp_path):
         kept[name] = [(r.doc_id, r.text) for r in rows.collect()]
     told = [(i, t) for i, t in plain if any(c.isalpha() for c in t or "")]
     assert len(kept["language_id"]) >= 0.99 * len(told) and set(kept["language_id"]) <= set(told)
-    one = components(kept["language_id"])
+    one = components(kept["language_id"], corpus_pipeline.NEAR_PERCENT)
     assert sorted(i for i, _ in kept["minhash_neardup"]) == sorted(i for i, c in one.items() if i == c)
     marked = decontaminate.contamination(
         spark.createDataFrame(kept["minhash_neardup"], "doc_id long, text string"), spark.read.parquet(f"{SF}/benchmark.parquet")

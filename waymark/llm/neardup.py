@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import lru_cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,8 @@ from waymark.operators.components import connected_components
 from waymark.runtime import drop_stages, stage
 
 SHINGLE = 5
-BANDS, ROWS = 32, 6
-SAMPLES = BANDS * ROWS
+#: chance that a pair exactly at the threshold shares no band
+MISS = 3e-7
 SKETCH_LONGS = 16
 #: members and shingles of one part of a bucket
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
@@ -54,34 +56,52 @@ SIGNATURE = (
     "doc_id long, text_md5 string, n_shingles long, class_hi long, class_lo long, bands array<long>, sketch array<long>"
 )
 
-_draw = np.random.default_rng(20240229)
-_MULTIPLIERS = _draw.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_BIT_SALT = _draw.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
-_BAND_SALT = _draw.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+class Shape(NamedTuple):
+    """Bands and rows per band of the MinHash samples."""
 
+    bands: int
+    rows: int
 
-def samples(found: np.ndarray) -> np.ndarray:
+
+def shape_for(percent: int) -> Shape:
+    """Long bands for high thresholds, and as many as keep the chance of a miss below MISS."""
+    rows = 6 if percent >= 85 else 5 if percent >= 75 else 4 if percent >= 60 else 2
+    return Shape(max(1, math.ceil(math.log(MISS) / math.log1p(-min(0.999, (percent / 100) ** rows)))), rows)
+
+
+@lru_cache(maxsize=8)
+def _salts(shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Multipliers of the permutations, salts of sketch bits and of bands."""
+    draw = np.random.default_rng(20240229)
+    n = shape.bands * shape.rows
+    multipliers = draw.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    bits = draw.integers(0, 1 << 63, n, dtype=np.uint64)
+    return multipliers, bits, draw.integers(0, 1 << 63, tuple(shape), dtype=np.uint64) | np.uint64(1)
+
+
+def samples(found: np.ndarray, shape: Shape) -> np.ndarray:
     """MinHash samples of a set of 64-bit hashes: least value under each multiplicative permutation."""
     short = (found >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, np.uint32(0xFFFFFFFF))
+    multipliers = _salts(shape)[0]
+    least = np.full(len(multipliers), np.uint32(0xFFFFFFFF))
     for at in range(0, len(short), 1024):
-        np.minimum(least, np.multiply.outer(short[at : at + 1024], _MULTIPLIERS).min(axis=0), out=least)
+        np.minimum(least, np.multiply.outer(short[at : at + 1024], multipliers).min(axis=0), out=least)
     return least
 
 
-def odd_sketch(least: np.ndarray) -> np.ndarray:
+def odd_sketch(least: np.ndarray, shape: Shape) -> np.ndarray:
     """Parity bitmap: sample i flips the bit that a hash of (i, value) names."""
-    bits = words.mix(least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C55) + _BIT_SALT) >> np.uint64(64 - 10)
+    bits = words.mix(least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C55) + _salts(shape)[1]) >> np.uint64(64 - 10)
     parity = np.bincount(bits.astype(np.int64), minlength=SKETCH_LONGS * 64) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    folded = (least.astype(np.uint64).reshape(BANDS, ROWS) * _BAND_SALT).sum(axis=1, dtype=np.uint64)
-    return words.mix(folded + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def band_keys(least: np.ndarray, shape: Shape) -> np.ndarray:
+    folded = (least.astype(np.uint64).reshape(shape) * _salts(shape)[2]).sum(axis=1, dtype=np.uint64)
+    return words.mix(folded + np.arange(shape.bands, dtype=np.uint64)).view(np.int64)
 
 
-def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _signatures(batch: pa.RecordBatch, shape: Shape) -> pa.RecordBatch:
     text = batch.column("text")
     md5, count, hi, lo, bands, sketch = [], [], [], [], [], []
     for value, found in zip(text, words.row_shingles(text, "blank", SHINGLE), strict=True):
@@ -92,9 +112,9 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
             continue
         hi.append(int(found.sum(dtype=np.uint64).view(np.int64)))
         lo.append(int(words.mix(found ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-        least = samples(found)
-        bands.append(band_keys(least))
-        sketch.append(odd_sketch(least))
+        least = samples(found, shape)
+        bands.append(band_keys(least, shape))
+        sketch.append(odd_sketch(least, shape))
     longs = pa.list_(pa.int64())
     return pa.record_batch(
         [
@@ -105,15 +125,15 @@ def _signatures(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def most_differing_bits(similarity: float) -> int:
+def most_differing_bits(percent: int) -> int:
     """Bits in which two sketches of sets this similar differ at most, but for a chance below 1e-9.
 
     The number of differing samples is binomial; each flips two bits at most.
     """
-    p = 1 - similarity
-    tail, d = 0.0, SAMPLES
+    p, n = 1 - percent / 100, math.prod(shape_for(percent))
+    tail, d = 0.0, n
     while d > 0:
-        tail += math.comb(SAMPLES, d) * p**d * (1 - p) ** (SAMPLES - d)
+        tail += math.comb(n, d) * p**d * (1 - p) ** (n - d)
         if tail > 1e-9:
             break
         d -= 1
@@ -179,7 +199,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
     p_side = traits.select(F.col("k").alias("p"), F.col("n_shingles").alias("p_n"), F.col("sketch").alias("p_sketch"))
     met = pairs.join(p_side, "p").join(traits, "k")
     alike = (F.least("p_n", "n_shingles") * 100 >= F.greatest("p_n", "n_shingles") * percent) & (
-        _apart("p_sketch", "sketch") <= most_differing_bits(percent / 100)
+        _apart("p_sketch", "sketch") <= most_differing_bits(percent)
     )
     met = stage(met.where(alike).select("p", "k", (F.col("p_n") + F.col("n_shingles")).alias("both")), "neardup-met")
     sets = sets_of(met.select(F.explode(F.array("p", "k")).alias("k")), classes, docs)
@@ -318,7 +338,7 @@ def links_of(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     )
     still = own.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("b")
     blocks = stage(_blocks(own.join(still, "b"), classes), "neardup-blocks")
-    bits = most_differing_bits(percent / 100)
+    bits = most_differing_bits(percent)
 
     def open_members(block: pa.Table) -> pa.Table:
         at = np.unique(np.concatenate(_candidates(block, percent, bits)))
@@ -338,7 +358,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per document."""
     prepare(docs.sparkSession)
     own = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    signed = stage(map_batches(own, _signatures, SIGNATURE), "neardup-signed")
+    signed = stage(map_batches(own, partial(_signatures, shape=shape_for(percent)), SIGNATURE), "neardup-signed")
     classes = stage(classes_of(signed), "neardup-classes")
     components = links_of(classes, own, percent)
     of_class = stage(
