@@ -181,6 +181,7 @@ def marked(pages: DataFrame, parts: int, least_bytes: int = 0) -> DataFrame:
     )
     later = own.select("page_id", "sha1").join(stage(firsts, "warc-firsts"), "sha1").where("page_id > first").distinct()
     per_page = later.groupBy("page_id").agg(F.collect_list(F.struct("sha1", "first")).alias("revisits"))
+    per_page = per_page.repartition(parts, "page_id")  # dealt as the payloads are, which then stay where they are
     named = own.where("page_id is not null").repartition(parts, "page_id").join(per_page, "page_id", "left")
     refers_to = F.element_at(F.map_from_entries("revisits"), F.col("sha1"))
     none = F.lit(None).cast("long")
