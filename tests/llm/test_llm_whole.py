@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from waymark.llm import sharding
+from waymark.llm import licences, sharding
 
 
 @pytest.mark.parametrize("groups, own", [([2] * 10, 180), ([100, 99, 60, 40, 13, 300, 250], 738), ([3] * 400, 0)])
@@ -22,3 +22,21 @@ def test_groups_that_fit_a_shard_stay_whole(spark, groups, own):
     cut = [g for g, n in enumerate(groups) if len(used[f"group {g}"]) > -(-n // (len(texts) // 16))]
     # where the groups alone fill all shards, those at the borders of shards are cut
     assert len(cut) <= (0 if own else 32)
+
+
+@pytest.mark.parametrize("width", [1, 2, 4, 7])
+def test_wrapped_notices_are_found(spark, width):
+    rows, want = [], {}
+    for i, (label, notice) in enumerate(licences.NOTICES):
+        words = ["Some", "files", "differ.", *notice.split(), "See", "below"]
+        lines = [" ".join(words[j : j + width]) for j in range(0, len(words), width)]
+        rows += [(i, "\n * ".join(lines)), (100 + i, "\r\n\r\n".join(lines))]
+        want[i] = want[100 + i] = label
+    rows.append((999, "\n".join(["plain", "", "words"] * 50)))
+    # "mit" and words of the next line, but no run of five
+    rows.append((998, "Geh mit.\nEiner im dem.\nLicensed under the Apache License, Version 2.0."))
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, label in want.items():
+        assert label in got[i].labels.split(",") and got[i].score == 1.0
+    assert (got[999].labels, got[999].score, got[999].n_words) == ("", 0.0, 100)
+    assert got[998].labels == "apache,apache-2.0"

@@ -1,8 +1,10 @@
 """License scan: phrases at exact places, and notices found by an exact set-similarity join.
 
-Words are ``[0-9a-z]`` and everything beyond ASCII after lower-casing A-Z. A text block is a line. A block holds a
-notice where it contains at least THRESHOLD of the notice's distinct words:
-``100 * |notice & block| >= THRESHOLD * |notice|``.
+Words are ``[0-9a-z]`` and everything beyond ASCII after lower-casing A-Z. A text block is a line, or, for
+a notice of n words, any n consecutive words across line breaks: a notice wrapped over any number of lines is found.
+A block holds a notice where it contains at least THRESHOLD of the notice's distinct words:
+``100 * |notice & block| >= THRESHOLD * |notice|``. Across breaks the join takes the words around each break, as
+many to each side as the longest notice can have there; what it finds is then verified on the runs of n words.
 
 The join: only words of notices can overlap, so blocks are reduced to them. Length filter: a block
 with fewer notice words than the least overlap any notice asks for is out. Words are ordered by the number of
@@ -48,13 +50,19 @@ NOTICES = (
 )
 
 
+def all_words_of(text: str) -> list[str]:
+    """Words of a notice in their order, repeated ones included."""
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(LOWER_FROM, LOWER_TO)))
+
+
 def words_of(text: str) -> list[str]:
     """Distinct words of a notice, as the scan sees them."""
-    lowered = text.translate(str.maketrans(LOWER_FROM, LOWER_TO))
-    return sorted(set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)))
+    return sorted(set(all_words_of(text)))
 
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same without the line break
+NOT_WORD_OR_BREAK = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def flat_words(lowered: str) -> Column:
@@ -73,6 +81,39 @@ def _n_words(column: str) -> str:
     return f"cast((length({column}) - length(replace({column}, ' ', ''))) div 2 as long)"
 
 
+def around_breaks(lowered: str, reach: int, kept: Column, least: int) -> Column:
+    """(held, run) of each line break: ``run`` is the ``reach`` words before and after it, with other words than the
+    ``kept`` ones empty, ``held`` the distinct kept words. Breaks with fewer than ``least`` of these are left out.
+
+    Breaks without a word between them are one token, so twice as many tokens hold as many words as asked for.
+    """
+    if reach < 1:
+        return F.array().cast("array<struct<held:array<string>,run:array<string>>>")
+    spaced = F.regexp_replace(F.regexp_replace(lowered, NOT_WORD_OR_BREAK, " "), r" ?\n[ \n]*", " \n ")
+
+    def word_run(tokens: Column) -> Column:
+        return F.filter(tokens, lambda x: x != "\n")
+
+    def last(words: Column) -> Column:
+        return F.transform(F.array(words), lambda w: F.slice(w, F.greatest(F.lit(1), F.size(w) - reach + 1), reach))[0]
+
+    def window(tokens: Column, i: Column) -> Column:
+        before = F.slice(tokens, F.greatest(F.lit(1), i + 1 - 2 * reach), F.least(i, F.lit(2 * reach)))
+        after = F.slice(word_run(F.slice(tokens, i + 2, 2 * reach)), 1, reach)
+        return F.concat(last(word_run(before)), after)
+
+    def block(run: Column) -> Column:
+        masked = F.transform(run, lambda x: F.when(F.array_contains(kept, x), x).otherwise(""))
+        return F.struct(F.array_intersect(run, kept).alias("held"), masked.alias("run"))
+
+    def windows(tokens: Column) -> Column:
+        runs = F.transform(tokens, lambda x, i: F.when(x == "\n", window(tokens, i)))
+        runs = F.filter(runs, lambda r: r.isNotNull() & (F.size(F.array_intersect(r, kept)) >= least))
+        return F.transform(runs, block)
+
+    return F.transform(F.array(F.split(F.trim(spaced), " ")), windows)[0]
+
+
 def phrase_places(scanned: DataFrame, phrases: Sequence[tuple[str, str]]) -> DataFrame:
     """n_words, n_base, first_word, last_word and base labels from ``flat`` (words only, spaced)."""
     count, first, last, labels = [], [], [], []
@@ -145,6 +186,24 @@ def notice_join(blocks: DataFrame, notices: Sequence[tuple[str, str]], threshold
     )
 
 
+def in_runs(found: DataFrame, blocks: DataFrame, notices: Sequence[tuple[str, str]], threshold: int) -> DataFrame:
+    """``found`` with the containment of the best run of as many words as the notice has, for blocks with a run."""
+    spark = blocks.sparkSession
+    sizes = spark.createDataFrame(
+        [(label, len(all_words_of(text)), words_of(text)) for label, text in notices],
+        "label string, length int, words array<string>",
+    )
+    runs = blocks.select("block", "run")
+    common = F.expr(
+        "array_max(transform(sequence(0, greatest(0, size(run) - length)),"
+        " i -> size(array_intersect(slice(run, i + 1, length), words))))"
+    )
+    held = found.join(runs, "block").join(sizes, "label").withColumn("common", F.when(F.col("run").isNotNull(), common))
+    return held.where(F.col("run").isNull() | (F.col("common") * 100 >= F.size("words") * threshold)).select(
+        "block", "label", F.coalesce(F.col("common") / F.size("words"), "containment").alias("containment")
+    )
+
+
 def scan(
     docs: DataFrame,
     notices: Sequence[tuple[str, str]] = NOTICES,
@@ -159,17 +218,23 @@ def scan(
     own = pick(docs, "doc_id", "text").select("doc_id", lowered.alias("lowered")).withColumn("flat", flat_words("lowered"))
     kept = F.array(*[F.lit(w) for w in vocabulary]).cast("array<string>")
     held = F.transform(F.split("lowered", "\n"), lambda x: F.array_intersect(F.split(x, NOT_WORD), kept))
+    lines = F.transform(
+        F.filter(held, lambda x: F.size(x) >= least),
+        lambda x: F.struct(x.alias("held"), F.lit(None).cast("array<string>").alias("run")),
+    )
+    reach = max((len(all_words_of(text)) for _, text in notices), default=0) - 1
+    blocks = F.concat(lines, around_breaks("lowered", reach, kept, least))
     scanned = stage(
         phrase_places(own, phrases).select(
             "doc_id", "n_words", "n_base", "first_word", "last_word", "base",
-            F.filter(held, lambda x: F.size(x) >= least).alias("blocks"), F.monotonically_increasing_id().alias("row"),
+            blocks.alias("blocks"), F.monotonically_increasing_id().alias("row"),
         ),
         "licence-scanned",
     )
-    blocks = scanned.select("row", F.posexplode("blocks").alias("line", "held")).select(
-        F.struct("row", "line").alias("block"), "held"
+    blocks = scanned.select("row", F.posexplode("blocks").alias("at", "held")).select(
+        F.struct("row", "at").alias("block"), "held.held", "held.run"
     )
-    found = notice_join(blocks, notices, threshold)
+    found = in_runs(notice_join(blocks, notices, threshold), blocks, notices, threshold)
     of_row = found.groupBy(F.col("block.row").alias("row")).agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )
