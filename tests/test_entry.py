@@ -1,5 +1,10 @@
 """The driver contract, and a slice of the queries against their SQL."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -37,3 +42,13 @@ def test_query_equals_sql(spark, con, name):
     names = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(names)
     assert multiset(df.columns, [tuple(r) for r in df.collect()]) == multiset(names, cur.fetchall())
+
+
+def test_entry_without_the_text_subpackage(tmp_path):
+    top = Path(entry.__file__).parent
+    copy = tmp_path / "copy"
+    shutil.copytree(top, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True)
+    found, sql = map(int, done.stdout.split())
+    assert 150 < sql <= found == sum(not n.startswith("op") and n != "pipeline" for n in entry.queries())
