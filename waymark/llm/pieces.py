@@ -70,14 +70,15 @@ def cuts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """ids of texts under one tokenizer file."""
+    """ids of texts under one tokenizer file; with ``plain``, strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = plain
+        self.special = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:

@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waymark.llm import decontaminate, langid, licences, mixing, neardup, quality, sharding, sketches, sql, tokenfiles, warcfiles
+from waymark.llm import (
+    alignment,
+    anchors,
+    collocations,
+    decontaminate,
+    langid,
+    licences,
+    mixing,
+    neardup,
+    quality,
+    sharding,
+    sketches,
+    sql,
+    tokenfiles,
+    warcfiles,
+)
 from waymark.llm.support import table
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, OTHER_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +69,25 @@ def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(OTHER_TOKENIZER)
+    return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
 _ALL = [
     op1_label_propagation_shards, op2_language_id, op3_scaled_sketch, op4_token_parquet, op5_quality_discriminant,
     op6_winnowing_decontamination, op7_warc_dictionary, op8_license_scan, op9_source_mixing, op10_minhash_neardup,
+    op11_simhash_anchors, op12_phrase_collocations, op13_tokenizer_alignment,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL = sql.SQL

@@ -127,3 +127,34 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_b
     case when n_base > 0 then cast(1 as double) else coalesce(best, 0) end as score
 from d left join base using (doc_id) left join more using (doc_id)
 """
+
+SQL["op12_phrase_collocations"] = r"""
+with piece as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents where text <> ''
+), seq as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from piece),
+place as (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from seq, (values (1), (2), (3)) t(k)),
+f as (
+    select lang, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') as phrase, count(*) as f from place group by all
+), total as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by 1),
+cut as (
+    select lang, k, phrase, f as a, string_split(phrase, ' ') as w, unnest(range(1, k)) as c from f where k > 1 and f >= 10
+), side as (
+    select cut.*, x.f as l, y.f as r, (1000000::hugeint * a * a) // (x.f::hugeint * y.f) as score
+    from cut join f x on x.lang = cut.lang and x.phrase = list_aggregate(w[1:c], 'string_agg', ' ') and x.k = c
+    join f y on y.lang = cut.lang and y.phrase = list_aggregate(w[c + 1:], 'string_agg', ' ') and y.k = cut.k - c
+), best as (
+    select * from side qualify row_number() over (partition by lang, phrase order by score, c) = 1
+), inner_part as (
+    select lang, a, unnest([list_aggregate(w[1:2], 'string_agg', ' '), list_aggregate(w[2:3], 'string_agg', ' ')]) as phrase
+    from best where k = 3
+), kept as (
+    select * from best where not exists (
+        select 1 from inner_part i where i.lang = best.lang and i.phrase = best.phrase and 100 * i.a >= 50 * best.a)
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score
+from ranked join total using (lang) where rank <= 2000
+"""
