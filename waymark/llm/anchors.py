@@ -14,11 +14,11 @@ at most half the threshold (about 160 of the 2**36), and any two linked ones mee
 unlinked ones rarely meet. Replicating to the full threshold would only be needed if one side stayed at its home.
 
 1. Equal fingerprints fold into one class.
-2. An aggregation per anchor, combined before its shuffle, keeps the least and the largest member and their number. Anchors
-   of one member end there; two members are a pair that is compared at once.
+2. An aggregation per anchor keeps the least and the largest member and their number. Anchors of one member end there;
+   two members are a pair that is compared at once.
 3. Members of larger anchors are compared with the least one, and what that links is merged.
-4. At anchors that still hold several components, members outside the least component are compared with the members
-   of lower components; what leaves the join are distinct pairs of components, not of members.
+4. At anchors that still hold several components, members of different components are compared as arrays, in blocks of at
+   most two parts of BLOCK members; a block hands on only the links that join components. No list of pairs is made.
 
 Cases: null text has no words; rows without a doc_id take part and get the least id of their component
 (null if it has none); repeated rows share their component; other columns are ignored; an empty table gives an
@@ -36,9 +36,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.support import bitmap, in_bitmap, map_batches, pick, prepare
+from waymark.llm.support import bitmap, in_bitmap, map_batches, parts_for, pick, prepare
 from waymark.operators.components import connected_components
-from waymark.runtime import drop_stages, stage
+from waymark.runtime import drop_stages, stage, stage_counted
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: fixed values: length, generator polynomial and radius of perfect cyclic codes whose lengths add up to 64
@@ -50,6 +50,8 @@ CODES = (
 )
 #: shingles hashed at once
 RUN = 1 << 14
+#: members of a part of an anchor, rows of a group of blocks, fingerprints replicated by a task
+BLOCK, BIN, SPREAD = 4096, 1 << 16, 1 << 14
 #: bits of the bitmap that spares rows whose anchors hold two members at most
 BITS = 1 << 25
 
@@ -168,11 +170,56 @@ def _apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def _joining(rows: pa.Table, distance: int) -> pa.Table:
+    """Links between components of the blocks in ``rows``: a spanning forest at most."""
+    order = np.lexsort([rows[c].to_numpy() for c in ("j", "i", "anchor")])
+    block = np.stack([rows[c].to_numpy()[order].astype(np.int64) for c in ("anchor", "i", "j")])
+    prints, own, part = (rows[c].to_numpy()[order] for c in ("fp", "c", "part"))
+    prints, root, made = prints.view(np.uint64), {}, []
+
+    def top(c: int) -> int:
+        while root.setdefault(c, c) != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    edges = np.flatnonzero((np.diff(block, axis=1) != 0).any(axis=0)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(order)], strict=True):
+        crossing = block[1, a] != block[2, a]
+        for x in range(a, b - 1):
+            rest = slice(x + 1, b)
+            near = (own[rest] != own[x]) & (np.bitwise_count(prints[rest] ^ prints[x]) <= distance)
+            if crossing:
+                near &= part[rest] != part[x]
+            for other in np.unique(own[rest][near]).tolist():
+                p, q = top(int(own[x])), top(other)
+                if p != q:
+                    root[p] = q
+                    made.append((int(own[x]), other))
+    src, dst = zip(*made, strict=True) if made else ((), ())
+    return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
+
+
+def _crossing(open_rows: DataFrame, n_rows: int, distance: int) -> DataFrame:
+    """Links (src, dst) between the components that meet at an anchor, from blocks of at most two parts of its members."""
+    parts = open_rows.groupBy("anchor").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}D) as int)").alias("parts"))
+    blocks = (
+        open_rows.join(parts, "anchor").withColumn("part", F.expr("cast(pmod(xxhash64(fp), parts) as int)"))
+        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+        .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+        .withColumn("bin", F.expr(f"pmod(xxhash64(anchor, i, j), {parts_for(n_rows, BIN)})"))
+    )
+    rows = blocks.select("bin", "anchor", "i", "j", "part", "fp", "c")
+    return rows.groupBy("bin").applyInArrow(lambda found: _joining(found, distance), "src long, dst long")
+
+
 def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(id, component) of the distinct fingerprints ``fp`` that have links; component is one of its fingerprints."""
     deal = partial(_dealt, distance=distance)
+    spread = prints.select("fp").repartition(parts_for(prints.count(), SPREAD), "fp")
+    # rows go out in the order of their fingerprints, which packs them well; the counts follow the shuffle
     heads = stage(
-        map_batches(prints, deal, "anchor long, fp long")
+        map_batches(spread, deal, "anchor long, fp long").repartition("anchor")
         .groupBy("anchor").agg(F.min("fp").alias("p"), F.max("fp").alias("q"), F.count(F.lit(1)).alias("n"))
         .where("p < q"),
         "simhash-heads",
@@ -181,7 +228,7 @@ def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFram
     crowded = heads.where("n > 2").select("anchor", "p")
     wanted = prints.sparkSession.sparkContext.broadcast(bitmap(crowded, "anchor", BITS))
     members = stage(
-        map_batches(prints, partial(deal, wanted=wanted), "anchor long, fp long").join(crowded, "anchor"), "simhash-members"
+        map_batches(spread, partial(deal, wanted=wanted), "anchor long, fp long").join(crowded, "anchor"), "simhash-members"
     )
     near = members.where((F.col("p") != F.col("fp")) & (_apart("p", "fp") <= distance))
     first = stage(ends.union(near.select("p", "fp")).distinct(), "simhash-first")
@@ -193,14 +240,8 @@ def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFram
         "simhash-own",
     )
     still = own.groupBy("anchor").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    open_rows = stage(own.join(still.select("anchor", "low"), "anchor"), "simhash-open")
-    later = open_rows.where("c > low").select("anchor", F.col("fp").alias("a"), F.col("c").alias("dst"))
-    earlier = open_rows.select("anchor", F.col("fp").alias("b"), F.col("c").alias("src"))
-    crossing = stage(
-        later.join(earlier, (later["anchor"] == earlier["anchor"]) & F.expr("src < dst") & (_apart("a", "b") <= distance))
-        .select("src", "dst").distinct(),
-        "simhash-crossing",
-    )
+    open_rows, n_open = stage_counted(own.join(still.select("anchor"), "anchor"), "simhash-open")
+    crossing = stage(_crossing(open_rows, n_open, distance), "simhash-crossing")
     higher = connected_components(crossing).select(F.col("id").alias("component"), F.col("component").alias("top"))
     old = components.join(higher, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
     new = higher.join(components, higher["component"] == components["id"], "left_anti")
