@@ -196,9 +196,10 @@ def test_collocations_of_empty_table(spark):
 def test_trie_bursts_spills_and_keeps_counts(monkeypatch):
     monkeypatch.setattr(collocations, "BURST", 8)
     draw = np.random.default_rng(5)
-    trie, want, got = collocations.Trie(3), Counter(), Counter()
+    trie, want, got = collocations.Trie(63), Counter(), Counter()
     for _ in range(40):
         parts = draw.integers(1, 12, (50, 3))
+        parts[:, 0] <<= 14
         paths = (parts[:, 0] << 42) | (parts[:, 1] << 21) | parts[:, 2]
         want.update(paths.tolist())
         trie.add(np.sort(paths))
@@ -206,8 +207,9 @@ def test_trie_bursts_spills_and_keeps_counts(monkeypatch):
         if trie.size > 300:
             run, counts = trie.spill(100)
             assert (np.diff(run) > 0).all() and trie.size <= 100
-            # whole subtrees leave: no first word is on both sides
-            assert not set((run >> 42).tolist()) & set((trie.sorted()[0] >> 42).tolist())
+            # whole subtrees leave: no range of first words is on both sides
+            top = 63 - collocations.FAN
+            assert not set((run >> top).tolist()) & set((trie.sorted()[0] >> top).tolist())
             got.update(dict(zip(run.tolist(), counts.tolist(), strict=True)))
     got.update(dict(zip(*(c.tolist() for c in trie.spill(0)), strict=True)))
     assert got == want and trie.size == 0

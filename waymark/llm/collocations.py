@@ -7,8 +7,8 @@ A phrase of k words occurs often enough only if both its parts of k - 1 words do
 k counts the phrases whose two parts of k - 1 words passed level k - 1: a bitmap of fixed size over hashes of the passed
 phrases tells which places to count. A false pass only costs work, none is lost, so the counts are exact.
 
-Each task counts in a HAT-trie: a hash container of packed word-id paths that bursts at BURST entries into one
-container for each first word, and so on down. When a task's tries hold ENTRIES paths, whole subtrees are spilled, largest first,
+Each task counts in a HAT-trie: a hash container of packed word-id paths that bursts at BURST entries into containers
+for ranges of first words, then single words, then ranges of the next, and so on down. When a task's tries hold ENTRIES paths, whole subtrees are spilled, largest first,
 as runs sorted by path, until half of the largest trie is left; all is spilled and word ids begin anew when there are
 VOCABULARY of them. Runs are rows (lang, prefix, rest, n) with a prefix of two words at most; Spark merges them per prefix
 partition and adds up, a prefix being spread over SALTS partitions by what follows it.
@@ -46,6 +46,8 @@ BURST, ENTRIES, VOCABULARY = 1 << 12, 600_000, 1 << 20
 CHUNK, STRETCH = 1 << 18, 1 << 17
 #: bits of a packed word id, rows of an output batch, bits of the bitmap of passed phrases, partitions of a prefix
 ID_BITS, ROWS, BITS, SALTS = 21, 8192, 1 << 25, 32
+#: bits of a path by which a container bursts
+FAN = 7
 #: fixed values: every byte as it counts; pieces end at a line feed
 _BREAKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _PLAIN = bytes.maketrans(
@@ -57,39 +59,41 @@ RUNS = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("rest", pa.st
 
 
 class Trie:
-    """Counts of packed paths of ``depth`` word ids: a hash container, burst by first word where it grew too large."""
+    """Counts of packed paths of word ids: a hash container that bursts into FAN containers by the next bits of the path.
 
-    __slots__ = ("children", "depth", "held", "size")
+    Like the hybrid containers of a HAT-trie, a container holds the paths of a range of words until it is crowded; then it
+    is parted by finer ranges, so that a frequent word ends with containers of its own, and they with its next words.
+    """
 
-    def __init__(self, depth: int):
-        self.depth, self.held, self.children, self.size = depth, Counter(), None, 0
+    __slots__ = ("children", "held", "shift", "size")
+
+    def __init__(self, bits: int):
+        self.shift, self.held, self.children, self.size = bits - FAN, Counter(), None, 0
 
     def add(self, paths: np.ndarray, counts: np.ndarray | None = None) -> int:
-        """Count sorted packed paths, each once or as often as told; the number of new entries."""
+        """Count sorted paths, each once or as often as told; the number of new entries."""
         before = self.size
         if self.children is None:
             self.held.update(paths.tolist() if counts is None else dict(zip(paths.tolist(), counts.tolist(), strict=True)))
             self.size = len(self.held)
-            if self.size <= BURST or self.depth == 1:
+            if self.size <= BURST or self.shift < 0:
                 return self.size - before
             paths, counts = self.sorted()
             self.held, self.children, self.size = Counter(), {}, 0
-        shift = ID_BITS * (self.depth - 1)
-        first, rest = paths >> shift, paths & ((1 << shift) - 1)
-        edges = np.flatnonzero(np.diff(first, prepend=-1, append=-1)).tolist()
-        for a, b, word in zip(edges, edges[1:], first[edges[:-1]].tolist()):
-            child = self.children.get(word)
+        digit = (paths >> self.shift) & ((1 << FAN) - 1)
+        edges = np.flatnonzero(np.diff(digit, prepend=-1, append=-1)).tolist()
+        for a, b, key in zip(edges, edges[1:], digit[edges[:-1]].tolist()):
+            child = self.children.get(key)
             if child is None:
-                child = self.children[word] = Trie(self.depth - 1)
-            self.size += child.add(rest[a:b], None if counts is None else counts[a:b])
+                child = self.children[key] = Trie(self.shift)
+            self.size += child.add(paths[a:b], None if counts is None else counts[a:b])
         return self.size - before
 
     def sorted(self) -> tuple[np.ndarray, np.ndarray]:
         """(paths, counts) of the whole subtree, by path."""
         if self.children is not None:
-            shift = ID_BITS * (self.depth - 1)
-            parts = [(word << shift, *child.sorted()) for word, child in sorted(self.children.items())]
-            return np.concatenate([w | p for w, p, _ in parts]), np.concatenate([c for *_, c in parts])
+            parts = [child.sorted() for _, child in sorted(self.children.items())]
+            return np.concatenate([p for p, _ in parts]), np.concatenate([c for _, c in parts])
         paths = np.fromiter(self.held.keys(), np.int64, len(self.held))
         counts = np.fromiter(self.held.values(), np.int64, len(self.held))
         order = np.argsort(paths)
@@ -97,17 +101,17 @@ class Trie:
 
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """Take out whole subtrees, largest first, until at most ``keep`` entries are left: one run by path."""
-        taken = Trie(self.depth)
+        taken = Trie(self.shift + FAN)
         if self.children is None or not keep:
             taken.held, taken.children = self.held, self.children
             self.held, self.children, self.size = Counter(), None, 0
-            return taken.sorted() if taken.held or taken.children else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            return taken.sorted()
         taken.children = {}
-        for _, word in sorted(((c.size, w) for w, c in self.children.items()), reverse=True):
+        for _, key in sorted(((c.size, k) for k, c in self.children.items()), reverse=True):
             if self.size <= keep:
                 break
-            taken.children[word] = self.children.pop(word)
-            self.size -= taken.children[word].size
+            taken.children[key] = self.children.pop(key)
+            self.size -= taken.children[key].size
         return taken.sorted()
 
 
@@ -117,7 +121,7 @@ class Book:
     def __init__(self, lang: str, depth: int, passed: np.ndarray | None):
         self.lang, self.depth, self.passed = lang, depth, passed
         self.seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-        self.trie = Trie(depth)
+        self.trie = Trie(ID_BITS * depth)
         self.ids, self.words = {_END: 0}, [_END]
         self.hashes = np.zeros(1 << 12, np.uint64)
 
