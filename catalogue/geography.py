@@ -212,7 +212,7 @@ def nearest_in_radius(spark, sf):
 )
 def nearest_official(spark, sf):
     shops = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("store_id"), *coords("s_suppkey * 13"))
-    hit = spatial.nearest_any(stations(spark, sf), shops, 2.0, "mi", right_key="store_id")
+    hit = spatial.nearest_any(stations(spark, sf), shops, "mi", right_key="store_id")
     return hit.select("id", F.col("near.store_id").alias("store_id"), geo.half_up("distance", 1000).alias("mi"))
 
 

@@ -4,7 +4,9 @@ import math
 import random
 
 import pytest
-from waymark.operators import clusters, components, dedupe, folding, matching, parkmerge, ranking, spatial, textjoin
+from pyspark.sql import functions as F
+
+from waymark.operators import clusters, components, dedupe, folding, matching, nearest, parkmerge, ranking, spatial, textjoin
 
 SCHEMA = "id string, seq long, lat double, lon double, brand_id string, name string"
 
@@ -162,10 +164,52 @@ def test_nearest_with_ties_and_radius(spark):
 def test_nearest_any_reaches_far_and_over_the_date_line(spark):
     left = [("a", 1, 10.0, 179.9, "x", ""), ("b", 2, -40.0, 0.0, "x", ""), ("c", 3, 0.0, 0.0, "none", "")]
     right = [("e", 1, 10.0, -179.9, "x", ""), ("f", 2, 10.0, 179.0, "x", "")]
-    hit = spatial.nearest_any(spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA), 1.0, "km", ["brand_id"])
+    hit = spatial.nearest_any(spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA), "km", ["brand_id"])
     assert sorted((r.id, r.near.id if r.near else None) for r in hit.collect()) == [("a", "e"), ("b", "f"), ("c", None)]
 
 
+def _around(kind, n, draw):
+    for i in range(n):
+        if kind == "pole":
+            yield i, draw.uniform(88, 90), draw.uniform(-180, 180), draw.choice("ab")
+        elif kind == "date line":
+            yield i, draw.uniform(-1, 1), (359.9 + draw.uniform(0, 0.2)) % 360 - 180, draw.choice("ab")
+        else:
+            yield i, 40 + round(draw.uniform(0, 0.02), 4), 10 + round(draw.uniform(0, 0.02), 4), draw.choice("ab")
+
+
+@pytest.mark.parametrize("kind, radius_km, on", [("pole", None, []), ("pole", 60, ["g"]), ("date line", None, ["g"]), ("date line", 8, []), ("crowd", 0.2, []), ("crowd", None, ["g"])])
+def test_nearest_against_all_pairs(spark, kind, radius_km, on):
+    draw = random.Random(7)
+    left, right = list(_around(kind, 150, draw)), list(_around(kind, 150, draw))
+    schema = "id long, lat double, lon double, g string"
+    odd = [(900, None, 1.0, "a"), (901, float("nan"), 1.0, "a"), (902, 40.0, 10.0, None)]
+    hit = spatial.nearest_within(spark.createDataFrame(left + odd, schema), spark.createDataFrame(right + odd[:2], schema), radius_km, "km", on)
+    want = {i: None for i, *_ in odd} if on else {900: None, 901: None, 902: 0}
+    for a in left + ([] if on else odd[2:]):
+        met = [(_km(a, b), b[0]) for b in right if not on or a[3] == b[3]]
+        met = [m for m in met if radius_km is None or m[0] <= radius_km]
+        want[a[0]] = min(met)[1] if met else None
+    assert {r.id: r.near.id if r.near else None for r in hit.collect()} == want
+
+
+def _km(a, b):
+    p, q = math.radians(a[1]), math.radians(b[1])
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def test_crowds_that_face_each_other_meet_in_few_rows(spark):
+    met = []
+    for n in (1000, 8000):
+        made = [
+            spark.range(n).select((F.rand(3) * 0.02 + 40.0 + off).alias("lat"), (F.rand(5) * 0.02 + 10.0).alias("lon")) for off in (0.0, 0.1)
+        ]
+        met.append(nearest.candidates(*made)[0].count() / n)
+    # rows met by each spot: no share of the other crowd, however large it is
+    assert met[0] < 60 and met[1] < 60
+
+
 def test_radius_join_over_the_date_line(spark):
     data = [("a", 1, 60.0, 179.9995, "x", ""), ("b", 2, 60.0, -179.9995, "x", "")]
     df = spark.createDataFrame(data, SCHEMA)
@@ -295,8 +339,7 @@ def test_crowded_searches_give_the_same_answer(spark, monkeypatch):
 
     plain = run()
     monkeypatch.setattr(spatial, "CROWD", 3)
-    monkeypatch.setattr(spatial.density_steps, "__defaults__", ((), 3))
-    assert spatial.density_steps(b, 0.3, "mi")[0] < 1
+    monkeypatch.setattr(nearest, "LEAF", 1)
     assert run() == plain
     bands = matching._bands(a, b, 0.5, "mi", [], 3)
     assert len(bands) > 1

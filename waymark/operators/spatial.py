@@ -1,7 +1,7 @@
 """Spatial joins as cell equi-joins with an exact distance test.
 
 No operator here builds a cross join. Copies (rows sharing an exact coordinate) are folded before
-the join, nearest joins look close before they look far, and hot cells are left to the skew
+the join, nearest joins bound whole cells before they look at rows, and hot cells are left to the skew
 splitting that ``runtime.configure`` turns on.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from waymark.functions import geo
 from waymark.operators import cells
+from waymark.operators.nearest import nearest_spots
 from waymark.runtime import stage
 
 
@@ -52,84 +53,41 @@ def self_pairs(points: DataFrame, radius: float, unit: str = "m", on: Sequence[s
     return radius_join(points, points, radius, unit, on).filter(F.col(f"l_{order}") < F.col(f"r_{order}"))
 
 
-CROWD = 512
-
-
-def density_steps(rows: DataFrame, radius: float, unit: str, on: Sequence[str] = (), crowd: int = CROWD) -> list[float]:
-    """Shares of ``radius`` to search one after the other, smallest first.
-
-    One share while no cell of that size holds more than ``crowd`` rows; else an eighth is put
-    before it, and so on. The counts are aggregated before the shuffle.
-    """
-    shares = [1.0]
-    while len(shares) < 8:
-        d = cells.cell_degrees(radius * shares[0], unit)
-        top = (
-            cells.with_cell(rows.select("lat", "lon", *on), "lat", "lon", d)
-            .groupBy("cell_b", "cell_l", *on)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.max("n"))
-            .first()[0]
-        )
-        if (top or 0) <= crowd:
-            break
-        shares.insert(0, shares[0] / 8)
-    return shares
-
-
 def nearest_within(
     left: DataFrame,
     right: DataFrame,
-    radius: float,
+    radius: float | None,
     unit: str = "m",
     on: Sequence[str] = (),
     left_key: str = "id",
     right_key: str = "id",
-    steps: Sequence[float] | None = None,
     distance: str = "distance",
 ) -> DataFrame:
     """Nearest right row per left row within ``radius``; ties go to the lowest right key.
 
     Output: every left column, ``near`` (struct of the right row, null when none) and the distance.
-    Left rows are folded to distinct search points and right copies to their lowest key. Where the
-    right side is crowded the search starts in a small radius and widens (``steps``): points
-    resolved there never meet the rows of a wider one, so a crowd costs few candidates per point.
+    Left rows are folded to distinct search points and right copies to their lowest key; the search is the branch
+    and bound of ``operators.nearest``, so crowds on either side, near or far, cost few candidates per point.
     """
     at = ["lat", "lon", *on]
-    spots = left.select(*at).where("lat is not null and lon is not null").distinct()
+    spots = left.select(*at).na.drop(subset=["lat", "lon"]).distinct()
     payload = F.struct(F.col(right_key).alias("_k"), F.struct(*[F.col(c) for c in right.columns]).alias("_row"))
     folded = (
-        right.where("lat is not null and lon is not null")
+        right.na.drop(subset=["lat", "lon"])
         .groupBy(*at)
         .agg(F.min_by(payload, F.col(right_key)).alias("_p"))
+        .select(*at, "_p._k", "_p._row")
     )
-    if steps is None:
-        steps = density_steps(right.select(*at).distinct(), radius, unit, on)
-    found = None
-    open_spots = spots
-    for i, fraction in enumerate(steps):
-        pairs = radius_join(open_spots, folded, radius * fraction, unit, on, distance="_d")
-        best = (
-            pairs.groupBy(*[F.col(f"l_{c}").alias(c) for c in at])
-            .agg(
-                F.min_by(
-                    F.struct("_d", F.col("r__p._row").alias("_row")), F.struct("_d", "r__p._k")
-                ).alias("_b")
-            )
-        )
-        if len(steps) > 1:
-            best = stage(best, "nearest-step")
-        found = best if found is None else found.unionByName(best)
-        if i + 1 < len(steps):
-            open_spots = open_spots.join(best.select(*at), at, "left_anti")
-    return _attach(left, found, at).select(
-        *[left[c] for c in left.columns], F.col("_b._row").alias("near"), F.col("_b._d").alias(distance)
+    found = nearest_spots(spots, folded.select(*at, "_k"), "_k", on, radius, unit)
+    rows = folded.select(F.col("_k").alias("_near"), F.col("_row").alias("near"))
+    hit = found.join(rows, F.col("_k") == F.col("_near")).select(
+        *[F.col(c).alias(f"_at_{c}") for c in at], "near", F.col("_d").alias(distance)
     )
+    return _attach(left, hit, at).select(*[left[c] for c in left.columns], "near", distance)
 
 
-def _attach(left: DataFrame, found: DataFrame, at: Sequence[str]) -> DataFrame:
-    """Left rows with what was found at their search point."""
-    hit = found.withColumnsRenamed({c: f"_at_{c}" for c in at})
+def _attach(left: DataFrame, hit: DataFrame, at: Sequence[str]) -> DataFrame:
+    """Left rows with what was found at their search point (``_at_`` columns)."""
     same = F.lit(True)
     for c in at:
         same = same & (left[c] == hit[f"_at_{c}"])
@@ -139,49 +97,14 @@ def _attach(left: DataFrame, found: DataFrame, at: Sequence[str]) -> DataFrame:
 def nearest_any(
     left: DataFrame,
     right: DataFrame,
-    start: float,
     unit: str = "m",
     on: Sequence[str] = (),
     left_key: str = "id",
     right_key: str = "id",
-    growth: float = 8.0,
     distance: str = "distance",
 ) -> DataFrame:
-    """Nearest right row per left row at any distance, by a ring that grows until all are resolved.
-
-    Rows whose ``on`` value has no right row at all are set aside first, so the loop ends.
-    """
-    half_turn = {"m": 20100000.0, "km": 20100.0, "mi": 12500.0}[unit]
-    if on:
-        has_right = right.select(*on).distinct()
-        open_rows = left.join(has_right, list(on), "left_semi")
-        out = left.join(has_right, list(on), "left_anti").withColumn("near", F.lit(None)).withColumn(distance, F.lit(None))
-    else:
-        open_rows, out = left, None
-    radius, parts, steps = start, [], None
-    while True:
-        found = stage(
-            nearest_within(open_rows, right, radius, unit, on, left_key, right_key, steps, distance), "nearest"
-        )
-        # rows still open have nothing near, so later rings need no small steps
-        steps = (1.0,)
-        parts.append(found.where(F.col("near").isNotNull()))
-        missed = found.where(F.col("near").isNull())
-        if radius >= half_turn or missed.isEmpty():
-            parts.append(missed)
-            break
-        open_rows = missed.select(*left.columns)
-        radius = min(radius * growth, half_turn)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    if out is not None:
-        result = result.unionByName(
-            out.withColumn("near", F.col("near").cast(result.schema["near"].dataType)).withColumn(
-                distance, F.col(distance).cast("double")
-            )
-        )
-    return result
+    """Nearest right row per left row at any distance, null where no right row has the ``on`` value."""
+    return nearest_within(left, right, None, unit, on, left_key, right_key, distance)
 
 
 def box_code(
@@ -249,6 +172,10 @@ def nearest_centre_code(lat: str, lon: str, centres: Sequence[tuple]) -> Column:
     return F.expr(f"case when {lat} is not null and {lon} is not null then {best}[0].code end")
 
 
+#: segments of a cell from which points search finer cells first
+CROWD = 512
+
+
 def segment_cells(segments: DataFrame, cell_deg: float) -> DataFrame:
     """One row per (segment, fixed-degree cell its box covers)."""
     rows = F.sequence(
@@ -286,6 +213,7 @@ def nearest_segment(
     spots = points.select(*at).where("lat is not null and lon is not null").distinct()
     unique = segments.select("lat1", "lon1", "lat2", "lon2", *on).distinct()
     best = _segment_search(spots, unique, cell_deg, reach, max_m, at, on, local_plane, output, 0)
+    best = best.withColumnsRenamed({c: f"_at_{c}" for c in at})
     return _attach(points, best, at).drop(*[f"_at_{c}" for c in at])
 
 

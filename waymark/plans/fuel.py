@@ -97,7 +97,7 @@ def reconcile(map_rows: DataFrame, stores: DataFrame, radius_mi: float = fv.OFFI
     skipped = map_rows.join(listed, on, "left_anti").select(*on).distinct()
     matched = matching.greedy_match(active, stores, radius_mi, "mi", on, "id", "store_id")
     map_only, store_only = matching.split_by_match(active, stores, matched, "id", "store_id")
-    near = nearest_any(map_only, stores, radius_mi, "mi", on, "id", "store_id")
+    near = nearest_any(map_only, stores, "mi", on, "id", "store_id")
     rejects = near.select(
         *map_only.columns,
         F.lit("no-official-match").alias("reason"),
