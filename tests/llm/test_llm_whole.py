@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from waymark.llm import licences, sharding
+from waymark.llm import licences, sharding, warcfiles
 
 
 @pytest.mark.parametrize("groups, own", [([2] * 10, 180), ([100, 99, 60, 40, 13, 300, 250], 738), ([3] * 400, 0)])
@@ -40,3 +40,28 @@ def test_wrapped_notices_are_found(spark, width):
         assert label in got[i].labels.split(",") and got[i].score == 1.0
     assert (got[999].labels, got[999].score, got[999].n_words) == ("", 0.0, 100)
     assert got[998].labels == "apache,apache-2.0"
+
+
+def test_payloads_go_through_one_shuffle(spark):
+    html = ["<p>same</p>", "<p>other</p>", None, "<p>same</p>", "x" * 5000]
+    rows = [(i if i % 7 else None, f"http://a/{i}", html[i % 5]) for i in range(60)] + [(1, "http://b", "<p>same</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    dealt = warcfiles.dealt(pages, 3)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    assert dealt.rdd.getNumPartitions() == 3
+    # marks stand ahead of the payloads of their page
+    for part in dealt.select("page_id", "at").rdd.glom().collect():
+        seen = {}
+        for page, at in part:
+            assert at or not seen.get(page)
+            seen[page] = seen.get(page) or at
+    got = warcfiles.archive_table(pages).collect()
+    first = {}
+    for page, _, body in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        first.setdefault(body or "", page)
+    want = Counter()
+    for page, _, body in rows:
+        refers = None if page is None or first[body or ""] == page else first[body or ""]
+        want[page, len((body or "").encode()), "revisit" if refers is not None else "response", refers] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == want

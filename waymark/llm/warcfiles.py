@@ -165,49 +165,56 @@ def read_archive(system, path: str) -> Iterator[bytes]:
             rest = rest or source.read(BLOCK)
 
 
-def marked(pages: DataFrame, parts: int, least_bytes: int = 0) -> DataFrame:
-    """Pages dealt by page_id, with the id of the response that each revisits (null for a response).
+def marks(own: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """page_id, sha1, first: rows that revisit an equal payload of a smaller page, found on digests alone."""
+    firsts = (
+        own.where(F.col("page_id").isNotNull() & (F.octet_length("payload") >= least_bytes))
+        .groupBy("sha1").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"))
+        .where("first < last")
+    )
+    later = own.select("page_id", "sha1").join(stage(firsts, "warc-firsts"), "sha1").where("page_id > first")
+    return stage(later.select("page_id", "sha1", "first").distinct(), "warc-marks")
+
 
-    The payloads are shuffled once; the search for equal ones runs on digests.
+def dealt(pages: DataFrame, parts: int, least_bytes: int = 0) -> DataFrame:
+    """Payload rows and, ahead of those of their page, narrow mark rows (``first`` is the page to refer to).
+
+    The two are united before the only shuffle that payloads go through, so no join moves them a second time and the
+    number of archives is the one asked for. Pages without an id are dealt by url and digest.
     """
     own = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce("html", F.lit("")).cast("binary").alias("payload"),
     ).withColumn("sha1", F.sha1("payload"))
-    firsts = (
-        own.where(F.col("page_id").isNotNull() & (F.octet_length("payload") >= least_bytes))
-        .groupBy("sha1").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"))
-        .where("first < last")
-    )
-    later = own.select("page_id", "sha1").join(stage(firsts, "warc-firsts"), "sha1").where("page_id > first").distinct()
-    per_page = later.groupBy("page_id").agg(F.collect_list(F.struct("sha1", "first")).alias("revisits"))
-    per_page = per_page.repartition(parts, "page_id")  # dealt as the payloads are, which then stay where they are
-    named = own.where("page_id is not null").repartition(parts, "page_id").join(per_page, "page_id", "left")
-    refers_to = F.element_at(F.map_from_entries("revisits"), F.col("sha1"))
-    none = F.lit(None).cast("long")
-    nameless = own.where("page_id is null").repartition(parts, "url", "sha1").withColumn("refers_to", none)
-    columns = ("page_id", "url", "payload", "refers_to")
-    return named.withColumn("refers_to", refers_to).select(*columns).union(nameless.select(*columns))
+    found = marks(own, least_bytes)
+    none = F.lit(None)
+    rows = own.select("page_id", "url", "payload", none.cast("string").alias("sha1"), none.cast("long").alias("first"))
+    marked = found.select("page_id", F.lit("").alias("url"), none.cast("binary").alias("payload"), "sha1", "first")
+    deal = F.when(F.col("page_id").isNull(), F.xxhash64("url", F.md5("payload"))).otherwise(F.xxhash64("page_id"))
+    both = rows.union(marked).withColumn("deal", deal).withColumn("at", F.col("payload").isNotNull())
+    return both.repartition(parts, "deal").sortWithinPartitions("page_id", "at", "url")
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
     """Write all pages under ``folder``; the manifest has a row (path, records, bytes) for each archive."""
     total = pages.agg(F.sum(F.octet_length(F.coalesce("html", F.lit(""))) + 512)).first()[0]
-    dealt = marked(pages, parts_for(total, ARCHIVE_BYTES), least_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
 
         def records() -> Iterator[bytes]:
-            n, page, held = 0, None, set()
+            n, page, held, marked = 0, None, set(), {}
             for batch in batches:
-                for page_id, url, payload, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    digest = base32_sha1(payload)
+                for page_id, url, payload, sha1, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if page_id != page:
-                        page, held = page_id, set()
+                        page, held, marked = page_id, set(), {}
+                    if payload is None:
+                        marked[base64.b32encode(bytes.fromhex(sha1)).decode()] = first
+                        continue
+                    digest, refers_to = base32_sha1(payload), None
                     if page_id is not None and len(payload) >= least_bytes:
                         # in rows given twice under one id, the first holds the payload
-                        refers_to = page_id if refers_to is None and digest in held else refers_to
+                        refers_to = marked.get(digest, page_id if digest in held else None)
                         held.add(digest)
                     n += 1
                     yield record(page_id, " ".join(url.split()), payload, digest, refers_to, f"{part}-{n}")
@@ -216,8 +223,8 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
         if done:
             yield pa.record_batch([pa.array([x]) for x in done], names=["path", "records", "bytes"])
 
-    ordered = dealt.sortWithinPartitions("page_id", "url").select("page_id", "url", "payload", "refers_to")
-    return stage(ordered.mapInArrow(run, MANIFEST), "warc-manifest")
+    rows = dealt(pages, parts_for(total, ARCHIVE_BYTES), least_bytes)
+    return stage(rows.select("page_id", "url", "payload", "sha1", "first").mapInArrow(run, MANIFEST), "warc-manifest")
 
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
