@@ -632,11 +632,11 @@ def unit_consolidation(spark, sf):
 
 @query(
     "subsidiary_preserves",
-    """WITH t AS (SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN 'National Preserve' WHEN 1 THEN 'National Park' ELSE 'Park' END AS ut, p_name AS park FROM part WHERE p_partkey % 7 = 0), r AS (SELECT *, CASE ut WHEN 'National Preserve' THEN 50 WHEN 'National Park' THEN 100 ELSE 10 END AS rk FROM t)
+    """WITH t AS (SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN 'National Preserve' WHEN 1 THEN 'National Park' ELSE 'Park' END AS ut, p_name AS park FROM part), r AS (SELECT *, CASE ut WHEN 'National Preserve' THEN 50 WHEN 'National Park' THEN 100 ELSE 10 END AS rk FROM t)
     SELECT id FROM r a WHERE NOT (ut = 'National Preserve' AND EXISTS (SELECT 1 FROM r b WHERE b.park = a.park AND b.rk > a.rk))""",
 )
 def subsidiary_preserves(spark, sf):
-    rows = table(spark, sf, "part").where("p_partkey % 7 = 0").select(
+    rows = table(spark, sf, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_partkey").alias("code"),
         F.expr("case p_size % 4 when 0 then 'National Preserve' when 1 then 'National Park' else 'Park' end").alias("unit_type"),
         F.col("p_name").alias("park_name"),
@@ -728,7 +728,7 @@ _UNITS_OF = ["Blue Lake State Park", "Ash Grove", "Elm", "Oak Hill - East", "Pin
 
 @query(
     "listing_match",
-    f"""WITH u AS (SELECT c_custkey AS id, c_nationkey % 5 AS admin, {pick_sql(['blue lake', 'ash grove', 'elm', 'oak hill', 'pine', 'cedar', 'oak'], 'c_custkey')} AS k, CASE WHEN c_custkey % 9 = 0 THEN 'pine' WHEN c_custkey % 9 = 1 THEN 'nothere' END AS slug FROM customer),
+    f"""WITH u AS (SELECT c_custkey AS id, c_nationkey AS admin, {pick_sql(['blue lake', 'ash grove', 'elm', 'oak hill', 'pine', 'cedar', 'oak'], 'c_custkey')} AS k, CASE WHEN c_custkey % 9 = 0 THEN 'pine' WHEN c_custkey % 9 = 1 THEN 'nothere' END AS slug FROM customer),
     l(seq, slug, k) AS (VALUES (0, 'blue-lake', 'blue lake'), (1, 'ash', 'ash'), (2, 'elm-grove', 'elm grove'), (3, 'oak-hill-annex', 'oak hill annex'), (4, 'pine', 'pine')),
     h AS (SELECT u.id, 0 AS rk, l.seq, l.slug, 'url' AS rule FROM u JOIN l ON l.slug = u.slug UNION ALL SELECT u.id, 1, 4, 'pine', 'override' FROM u WHERE u.k = 'cedar'
       UNION ALL SELECT u.id, 2, l.seq, l.slug, 'key' FROM u JOIN l ON u.k <> 'cedar' AND (l.k = u.k OR starts_with(u.k, concat(l.k, ' ')) OR (starts_with(l.k, u.k) AND length(u.k) >= 4)))
@@ -736,22 +736,22 @@ _UNITS_OF = ["Blue Lake State Park", "Ash Grove", "Elm", "Oak Hill - East", "Pin
 )
 def listing_match(spark, sf):
     units = table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("id"), F.expr("cast(c_nationkey % 5 as string)").alias("admin"), pick(_UNITS_OF, "c_custkey").alias("name"),
+        F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("admin"), pick(_UNITS_OF, "c_custkey").alias("name"),
         F.expr("case c_custkey % 9 when 0 then 'https://x/parks/Pine' when 1 then 'https://x/parks/nothere' end").alias("url"),
     )
-    names = table(spark, sf, "nation").where("n_nationkey < 5").select(
+    names = table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("string").alias("admin"), F.posexplode(F.array(*[F.lit(n) for n in _LISTED])).alias("seq", "name")
     )
     listings = names.select("admin", "seq", listing_key("name").alias("key"), F.replace(listing_key("name"), F.lit(" "), F.lit("-")).alias("slug"))
     overrides = names.where("name = 'Pine'").select("admin", F.lit("cedar").alias("key"), F.lit("pine").alias("slug"))
-    patterns = [(str(i), r"/parks/([a-z0-9-]+)", "") for i in range(5)]
+    patterns = [(str(i), r"/parks/([a-z0-9-]+)", "") for i in range(25)]
     return park_plans.match_units_to_listings(units, listings, overrides, patterns).select("id", "slug", "rule")
 
 
 @query(
     "listing_map_match",
     f"""WITH RECURSIVE l AS (SELECT s_suppkey AS seq, format('l{{:06d}}', s_suppkey) AS slug, s_nationkey AS admin, {pick_sql(['blue lake', 'elm grove', 'oak hill'], 's_suppkey')} AS k FROM supplier WHERE s_nationkey IN (SELECT s_nationkey FROM supplier GROUP BY 1 HAVING count(*) >= 3)),
-    m AS (SELECT c_custkey AS seq, c_nationkey AS admin, {pick_sql(['blue lake', 'elm', 'great oak hill', 'blue lake annex', 'cedar'], 'c_custkey')} AS k FROM customer WHERE c_custkey % 11 = 0),
+    m AS (SELECT c_custkey AS seq, c_nationkey AS admin, {pick_sql(['blue lake', 'elm', 'great oak hill', 'blue lake annex', 'cedar'], 'c_custkey')} AS k FROM customer),
     pr AS (SELECT l.slug, l.admin, l.seq AS ls, m.seq AS ms FROM l JOIN m ON m.admin = l.admin AND (m.k = l.k OR starts_with(m.k, concat(l.k, ' ')) OR starts_with(l.k, concat(m.k, ' ')) OR contains(m.k, l.k))),
     ls AS (SELECT DISTINCT ls, slug, admin, dense_rank() OVER (ORDER BY ls) AS rn FROM pr),
     opts AS (SELECT ls, list(ms ORDER BY ms) AS ms FROM pr GROUP BY ls),
@@ -766,7 +766,7 @@ def listing_map_match(spark, sf):
         F.col("s_suppkey").alias("seq"), F.format_string("l%06d", "s_suppkey").alias("slug"), F.col("s_nationkey").cast("string").alias("admin"),
         pick(["blue lake", "elm grove", "oak hill"], "s_suppkey").alias("key"),
     )
-    rows = table(spark, sf, "customer").where("c_custkey % 11 = 0").select(
+    rows = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("seq"), F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("admin"),
         pick(["Blue Lake State Park", "Elm", "Great Oak Hill", "Blue Lake Annex", "Cedar"], "c_custkey").alias("name"),
     )
@@ -789,12 +789,12 @@ def listing_gate(spark, sf):
 
 @query(
     "map_supplement",
-    """WITH o AS (SELECT DISTINCT concat('S', s_nationkey) AS state FROM supplier WHERE s_suppkey < 12), v AS (SELECT concat('S', n_nationkey) AS state FROM nation WHERE n_nationkey % 2 = 0),
+    """WITH o AS (SELECT DISTINCT concat('S', s_nationkey % 20) AS state FROM supplier), v AS (SELECT concat('S', n_nationkey) AS state FROM nation WHERE n_nationkey % 2 = 0),
     m AS (SELECT c_custkey AS id, concat('S', c_nationkey) AS state, ['Blue State Park', 'Ash Reserve', 'Elm County Park', 'Oak Memorial'][CAST(c_custkey % 4 AS INTEGER) + 1] AS name, CASE WHEN c_custkey % 5 = 0 THEN 'operator' ELSE 'name' END AS conf FROM customer)
     SELECT id FROM m WHERE state NOT IN (SELECT state FROM o) AND name <> 'Elm County Park' AND conf <> 'operator' AND NOT (state IN (SELECT state FROM v) AND name = 'Ash Reserve')""",
 )
 def map_supplement(spark, sf):
-    official = table(spark, sf, "supplier").where("s_suppkey < 12").select(F.expr("concat('S', s_nationkey)").alias("state"))
+    official = table(spark, sf, "supplier").select(F.expr("concat('S', s_nationkey % 20)").alias("state"))
     verified = table(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.expr("concat('S', n_nationkey)").alias("admin"))
     rows = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.expr("concat('S', c_nationkey)").alias("state"), F.lit("US").alias("country"), F.lit("osm").alias("source"),
@@ -806,7 +806,7 @@ def map_supplement(spark, sf):
 
 @query(
     "name_audit",
-    """WITH a AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS n FROM part UNION SELECT DISTINCT lower(r_name) FROM region UNION SELECT lower(n_name) FROM nation), b AS (SELECT DISTINCT lower(p_name) AS m FROM part WHERE p_size > 10 UNION SELECT 'asian' UNION SELECT 'nation_1')
+    """WITH a AS (SELECT DISTINCT lower(split_part(p_name, ' ', 1)) AS n FROM part UNION SELECT DISTINCT lower(r_name) FROM region UNION SELECT lower(n_name) FROM nation), b AS (SELECT DISTINCT lower(p_name) AS m FROM part UNION SELECT 'asian' UNION SELECT 'nation_1')
     SELECT n FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE contains(b.m, a.n) OR contains(a.n, b.m))""",
 )
 def name_audit(spark, sf):
@@ -819,8 +819,8 @@ def name_audit(spark, sf):
         .union(table(spark, sf, "nation").select(F.lower("n_name")))
         .distinct()
     )
-    extra = table(spark, sf, "region").where("r_regionkey = 0").select(F.explode(F.array(F.lit("asian"), F.lit("nation_1"))).alias("n"))
-    b = p.where("p_size > 10").select(F.lower("p_name").alias("n")).union(extra)
+    extra = table(spark, sf, "region").select(F.explode(F.array(F.lit("asian"), F.lit("nation_1"))).alias("n"))
+    b = p.select(F.lower("p_name").alias("n")).union(extra)
     return unmatched_names(a, b, "n")
 
 

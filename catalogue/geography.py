@@ -616,13 +616,13 @@ def poi_layer_historic(spark, sf):
     v AS (SELECT r.way_id, r.pos, n.lat, n.lon FROM r JOIN good USING (way_id) JOIN nodes n ON n.id = r.ref),
     e AS (SELECT way_id, lat AS lat1, lon AS lon1, coalesce(lead(lat) OVER w, first_value(lat) OVER w) AS lat2, coalesce(lead(lon) OVER w, first_value(lon) OVER w) AS lon2 FROM v WINDOW w AS (PARTITION BY way_id ORDER BY pos)),
     b AS (SELECT way_id, min(lat) AS s, max(lat) AS n, min(lon) AS w, max(lon) AS ea FROM v GROUP BY way_id),
-    pg AS (SELECT c_custkey AS id, {coords_sql('c_custkey')} FROM customer WHERE c_nationkey % 2 = 0),
+    pg AS (SELECT c_custkey AS id, {coords_sql('c_custkey')} FROM customer),
     x AS (SELECT p.id, e.way_id FROM pg p JOIN e ON (e.lat1 > p.lat) <> (e.lat2 > p.lat) AND p.lon < (e.lon2 - e.lon1) * (p.lat - e.lat1) / (e.lat2 - e.lat1) + e.lon1 GROUP BY p.id, e.way_id HAVING count(*) % 2 = 1),
     f AS (SELECT id, min(way_id) AS way_id FROM x GROUP BY id)
     SELECT f.id, park.name AS park_name FROM f JOIN park ON park.way_id = f.way_id""",
 )
 def playgrounds_in_parks(spark, sf):
-    points = table(spark, sf, "customer").where("c_nationkey % 2 = 0").select(F.col("c_custkey").alias("id"), *coords("c_custkey"))
+    points = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), *coords("c_custkey"))
     out = pois.playgrounds_in_parks(points, ways(spark, sf), nodes(spark, sf))
     return out.select("id", "park_name")
 

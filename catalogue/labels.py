@@ -385,10 +385,10 @@ def explorer_search(spark, sf):
 
 @query(
     "boundary_state_lists",
-    """SELECT o_orderkey AS id FROM orders WHERE list_contains(list_transform(string_split_regex(CASE o_orderkey % 3 WHEN 0 THEN 'CO, UT' WHEN 1 THEN 'UT;AZ' ELSE 'AZ' END, '[,;]'), lambda x: trim(x)), 'UT') AND o_orderstatus = 'F'""",
+    """SELECT o_orderkey AS id FROM orders WHERE list_contains(list_transform(string_split_regex(CASE o_orderkey % 3 WHEN 0 THEN 'CO, UT' WHEN 1 THEN 'UT;AZ' ELSE 'AZ' END, '[,;]'), lambda x: trim(x)), 'UT')""",
 )
 def boundary_state_lists(spark, sf):
-    rows = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
+    rows = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.expr("case o_orderkey % 3 when 0 then 'CO, UT' when 1 then 'UT;AZ' else 'AZ' end").alias("state")
     )
     return pois.boundary_in_state(rows, "UT").select("id")

@@ -92,9 +92,10 @@ def canadian_centers(spark, sf):
         F.col("c_custkey").alias("id"), *coords("c_custkey", "200000"), F.expr("if(c_custkey % 4 > 0, 'Visitor Centre', 'Parking')").alias("facility_type"),
         F.lit("").alias("park_code"), F.expr("if(c_custkey % 3 = 0, 'https://parks.canada.ca/pn-np/ab/ash', '')").alias("url"), F.lit("").alias("name"),
     )
-    units = table(spark, sf, "region").where("r_regionkey = 0").select(
-        F.lit("ash").alias("code"), F.lit("Ash National Park").alias("name"), F.lit("").alias("name_fr"), F.lit(80.0).alias("lat"), F.lit(-60.0).alias("lon"),
-        F.lit(0).cast("bigint").alias("seq"),
+    units = table(spark, sf, "region").select(
+        F.expr("if(r_regionkey = 0, 'ash', lower(r_name))").alias("code"),
+        F.expr("if(r_regionkey = 0, 'Ash National Park', concat(r_name, ' National Park'))").alias("name"), F.lit("").alias("name_fr"),
+        F.lit(80.0).alias("lat"), F.lit(-60.0).alias("lon"), F.col("r_regionkey").cast("bigint").alias("seq"),
     )
     out = unit_plans.canadian_center_records(rows, units)
     return out.select("id", "state", "parent", F.array_join("map_flags", ",").alias("flags"))

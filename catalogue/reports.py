@@ -105,21 +105,21 @@ def parent_rollup(spark, sf):
 
 @query(
     "unit_coverage",
-    """SELECT c.c_mktsegment AS category, count(*) AS units, count(o.k) AS covered, floor(count(o.k) * 1000e0 / count(*) + 0.5) / 10e0 AS pct FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000) o ON o.k = c.c_custkey GROUP BY 1""",
+    """SELECT c.c_mktsegment AS category, count(*) AS units, count(o.k) AS covered, floor(count(o.k) * 1000e0 / count(*) + 0.5) / 10e0 AS pct FROM customer c LEFT JOIN (SELECT DISTINCT CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN o_custkey END AS k FROM orders) o ON o.k = c.c_custkey GROUP BY 1""",
 )
 def unit_coverage(spark, sf):
     catalog = table(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_mktsegment").alias("category"))
-    rows = table(spark, sf, "orders").where("o_orderstatus = 'F' and o_totalprice > 300000").select(F.col("o_custkey").alias("code"))
+    rows = table(spark, sf, "orders").select(F.expr("if(o_orderstatus = 'F' and o_totalprice > 300000, o_custkey, null)").alias("code"))
     return rollup.coverage(catalog, rows, "code", "category")
 
 
 @query(
     "missing_units",
-    "SELECT c_custkey AS code, c_mktsegment AS category FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000)",
+    "SELECT c_custkey AS code, c_mktsegment AS category FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE CASE WHEN o_orderstatus = 'F' AND o_totalprice > 300000 THEN o_custkey END = c_custkey)",
 )
 def missing_units(spark, sf):
     catalog = table(spark, sf, "customer").select(F.col("c_custkey").alias("code"), F.col("c_mktsegment").alias("category"))
-    rows = table(spark, sf, "orders").where("o_orderstatus = 'F' and o_totalprice > 300000").select(F.col("o_custkey").alias("code"))
+    rows = table(spark, sf, "orders").select(F.expr("if(o_orderstatus = 'F' and o_totalprice > 300000, o_custkey, null)").alias("code"))
     return rollup.missing_units(catalog, rows, "code")
 
 
@@ -306,21 +306,29 @@ def master_order(spark, sf):
 
 @query(
     "drop_audit",
-    "SELECT 'returned' AS kept, CAST(l_orderkey AS VARCHAR) AS dropped, 'returned' AS reason FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1 UNION ALL SELECT CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), 'pending' FROM orders WHERE o_orderstatus = 'P'",
+    """SELECT concat('flag ', l_returnflag) AS kept, concat(l_orderkey, '-', l_linenumber) AS dropped, concat('flag ', l_returnflag) AS reason FROM lineitem
+    UNION ALL SELECT CAST(o_custkey AS VARCHAR), CAST(o_orderkey AS VARCHAR), concat('status ', o_orderstatus) FROM orders""",
 )
 def drop_audit(spark, sf):
-    a = table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_linenumber = 1").select(F.col("l_orderkey").alias("id"))
-    b = table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("kept"), F.col("o_orderkey").alias("dropped"))
-    return sinks.with_dropped({"returned": a, "pending": b})
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    # every row is in one of the lists: lines by flag, orders by status
+    lists = {
+        f"flag {f}": lines.where(f"l_returnflag = '{f}'").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id")) for f in "RAN"
+    }
+    lists |= {
+        f"status {s}": orders.where(f"o_orderstatus = '{s}'").select(F.col("o_custkey").alias("kept"), F.col("o_orderkey").alias("dropped"))
+        for s in "FOP"
+    }
+    return sinks.with_dropped(lists)
 
 
 @query(
     "explorer_status",
-    "SELECT c_custkey AS id, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) THEN 'kept' ELSE 'excluded' END AS status FROM customer",
+    "SELECT c_custkey AS id, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE CASE WHEN o_totalprice > 400000 THEN o_custkey END = c_custkey) THEN 'kept' ELSE 'excluded' END AS status FROM customer",
 )
 def explorer_status(spark, sf):
     everything = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    kept = table(spark, sf, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("id"))
+    kept = table(spark, sf, "orders").select(F.expr("if(o_totalprice > 400000, o_custkey, null)").alias("id"))
     return pois.status_against_kept(everything, kept)
 
 
