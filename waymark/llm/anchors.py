@@ -14,11 +14,10 @@ at most half the threshold (about 160 of the 2**36), and any two linked ones mee
 unlinked ones rarely meet. Replicating to the full threshold would only be needed if one side stayed at its home.
 
 1. Equal fingerprints fold into one class.
-2. An aggregation per anchor keeps the least and the largest member and their number. Anchors of one member end there;
-   two members are a pair that is compared at once.
-3. Members of larger anchors are compared with the least one, and what that links is merged.
-4. At anchors that still hold several components, members of different components are compared as arrays, in blocks of at
-   most two parts of BLOCK members; a block hands on only the links that join components. No list of pairs is made.
+2. An aggregation per anchor keeps the least and the largest member and their number. Anchors of one member end there; the
+   least and the largest are compared at once, which settles anchors of two, and what that links is merged.
+3. At larger anchors that still hold several components, members of different components are compared as arrays, in blocks
+   of at most two parts of BLOCK members; a block hands on only the links that join components. No list of pairs is made.
 
 Cases: null text has no words; rows without a doc_id take part and get the least id of their component
 (null if it has none); repeated rows share their component; other columns are ignored; an empty table gives an
@@ -154,12 +153,25 @@ def anchors_of(fingerprints: np.ndarray, distance: int = DISTANCE) -> tuple[np.n
     return row, (home[:, None] ^ steps)[real]
 
 
+def _short(anchor: np.ndarray) -> np.ndarray:
+    """Bits of anchors for the bitmap: in a cyclic code, as many consecutive places as it has words are free."""
+    block = [(anchor >> np.uint64(at)) & np.uint64((1 << free) - 1) for at, free in ((0, 12), (23, 12), (46, 11))]
+    return block[0] | ((block[1] ^ (block[2] << np.uint64(1))) << np.uint64(12)) ^ (block[2] << np.uint64(14))
+
+
+#: the same in Spark
+_SHORT = (
+    "(anchor & 4095) | (((shiftright(anchor, 23) & 4095) ^ shiftleft(shiftright(anchor, 46) & 2047, 1)) << 12)"
+    " ^ shiftleft(shiftright(anchor, 46) & 2047, 14)"
+)
+
+
 def _dealt(batch: pa.RecordBatch, distance: int, wanted=None) -> pa.RecordBatch:
     """Rows (anchor, fp); only anchors in the bitmap, if there is one."""
     prints = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
     row, anchor = anchors_of(prints, distance)
     if wanted is not None:
-        own = in_bitmap(wanted.value, anchor)
+        own = in_bitmap(wanted.value, _short(anchor))
         row, anchor = row[own], anchor[own]
     return pa.record_batch(
         [pa.array(anchor.view(np.int64)), pa.array(prints[row].view(np.int64))], names=["anchor", "fp"]
@@ -202,9 +214,8 @@ def _joining(rows: pa.Table, distance: int) -> pa.Table:
 
 def _crossing(open_rows: DataFrame, n_rows: int, distance: int) -> DataFrame:
     """Links (src, dst) between the components that meet at an anchor, from blocks of at most two parts of its members."""
-    parts = open_rows.groupBy("anchor").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}D) as int)").alias("parts"))
     blocks = (
-        open_rows.join(parts, "anchor").withColumn("part", F.expr("cast(pmod(xxhash64(fp), parts) as int)"))
+        open_rows.withColumn("part", F.expr("cast(pmod(xxhash64(fp), parts) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
         .withColumn("bin", F.expr(f"pmod(xxhash64(anchor, i, j), {parts_for(n_rows, BIN)})"))
@@ -225,28 +236,23 @@ def linked_fingerprints(prints: DataFrame, distance: int = DISTANCE) -> DataFram
         "simhash-heads",
     )
     ends = heads.where(_apart("p", "q") <= distance).select(F.col("p").alias("src"), F.col("q").alias("dst")).distinct()
-    crowded = heads.where("n > 2").select("anchor", "p")
-    wanted = prints.sparkSession.sparkContext.broadcast(bitmap(crowded, "anchor", BITS))
-    members = stage(
-        map_batches(spread, partial(deal, wanted=wanted), "anchor long, fp long").join(crowded, "anchor"), "simhash-members"
-    )
-    near = members.where((F.col("p") != F.col("fp")) & (_apart("p", "fp") <= distance))
-    first = stage(ends.union(near.select("p", "fp")).distinct(), "simhash-first")
-    components = stage(connected_components(first), "simhash-components")
+    components = stage(connected_components(stage(ends, "simhash-ends")), "simhash-components")
+    wanted = prints.sparkSession.sparkContext.broadcast(bitmap(heads.where("n > 2").select(F.expr(_SHORT).alias("at")), "at", BITS))
     own = stage(
-        members.join(components.withColumnRenamed("id", "fp"), "fp", "left").select(
-            "anchor", "fp", F.coalesce("component", "fp").alias("c")
-        ),
+        map_batches(spread, partial(deal, wanted=wanted), "anchor long, fp long")
+        .join(components.withColumnRenamed("id", "fp"), "fp", "left")
+        .select("anchor", "fp", F.coalesce("component", "fp").alias("c")),
         "simhash-own",
     )
-    still = own.groupBy("anchor").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    open_rows, n_open = stage_counted(own.join(still.select("anchor"), "anchor"), "simhash-open")
+    parts = F.expr(f"cast(ceil(count(1) / {BLOCK}D) as int)").alias("parts")
+    still = own.groupBy("anchor").agg(parts, F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    open_rows, n_open = stage_counted(own.join(still.select("anchor", "parts"), "anchor"), "simhash-open")
     crossing = stage(_crossing(open_rows, n_open, distance), "simhash-crossing")
     higher = connected_components(crossing).select(F.col("id").alias("component"), F.col("component").alias("top"))
     old = components.join(higher, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
     new = higher.join(components, higher["component"] == components["id"], "left_anti")
     made = stage(old.union(new.select(F.col("component").alias("id"), "top")), "simhash-linked")
-    drop_stages(heads, members, first, components, own, open_rows, crossing)
+    drop_stages(heads, components, own, open_rows, crossing)
     return made
 
 
