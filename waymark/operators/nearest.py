@@ -115,15 +115,10 @@ def _far2(point: bool = False) -> str:
     return _sum2("greatest(abs({l0} - rp{a}), abs({l1} - rp{a}))", point)
 
 
-def _span2(point: bool = False) -> str:
-    """Square of the largest chord between the boxes l and r."""
-    return _sum2("greatest({l1} - r{a}0, r{a}1 - {l0})", point)
-
-
 def candidates(
-    left: DataFrame, right: DataFrame, on: Sequence[str] = (), radius: float | None = None, unit: str = "m", k: int = 1
+    left: DataFrame, right: DataFrame, on: Sequence[str] = (), radius: float | None = None, unit: str = "m"
 ) -> tuple[DataFrame, list[DataFrame]]:
-    """(pairs of spots that hold the ``k`` nearest right spots of every left spot, stage tables).
+    """(pairs of spots that hold the nearest right spots of every left spot, stage tables).
 
     Input: distinct spots with lat, lon and the ``on`` columns, other columns of ``right`` are carried. Output: ``on``, lat
     and lon of the left spot, ``r_`` columns of the right one. Without a ``radius`` the search has no limit.
@@ -170,16 +165,10 @@ def candidates(
         grown = (
             here.join(l_steps, [*on, "l_root", "l_from"]).join(r_steps, [*on, "r_root", "r_from"])
             .withColumn("_gap2", F.expr(_gap2()))
-            .withColumn("_far2", F.expr(_far2() if k == 1 else _span2()))
+            .withColumn("_far2", F.expr(_far2()))
             .where(f"_gap2 <= _u2 * {1 + 1e-9!r}D + {SLACK!r}D * {SLACK!r}D")
         )
-        if k == 1:
-            least = F.min("_far2").over(bound)
-        else:
-            # every node holds a spot: the k-th of the upper bounds holds for k of them
-            ranked = F.row_number().over(bound.orderBy("_far2"))
-            grown = grown.withColumn("_rank", ranked)
-            least = F.coalesce(F.max(F.when(F.col("_rank") == k, F.col("_far2"))).over(bound), F.lit(16.0))
+        least = F.min("_far2").over(bound)
         grown = grown.withColumn("_u2", F.least("_u2", least)).where(
             f"_gap2 <= pow(sqrt(_u2) + {SLACK!r}D, 2)"
         )
@@ -191,9 +180,8 @@ def candidates(
         # the same bounds once more for each left spot, before it meets rows
         boxes = r_nodes.where("_leaf").select(*on, *[F.col(c).alias(f"r{c}") for c in (*NODE, *BOX, *AT)])
         asked = asked.join(boxes, [*on, "r_root", "r_node"]).withColumn("_gap2", F.expr(_gap2(point=True)))
-        if k == 1:
-            nearest = F.min(F.expr(_far2(point=True))).over(Window.partitionBy(*on, "lat", "lon"))
-            asked = asked.withColumn("_u2", F.least("_u2", nearest))
+        nearest = F.min(F.expr(_far2(point=True))).over(Window.partitionBy(*on, "lat", "lon"))
+        asked = asked.withColumn("_u2", F.least("_u2", nearest))
         asked = asked.where(f"_gap2 <= pow(sqrt(_u2) + {SLACK!r}D, 2)")
     asked = asked.select(*on, "lat", "lon", "r_root", "r_node")
     others = r_leaves.select(
@@ -224,19 +212,3 @@ def nearest_spots(
     made = stage(best.select(*on, "lat", "lon", "_b._d", F.col(f"_b.r_{key}").alias(key)), "nearest-found")
     drop_stages(*tables)
     return made
-
-
-def nearest_k_spots(
-    left: DataFrame, right: DataFrame, k: int, on: Sequence[str] = (), radius: float | None = None, unit: str = "m"
-) -> DataFrame:
-    """The ``k`` nearest right spots of each left spot, and all as near as the last of them: ``on``, lat, lon, ``r_``
-    columns of ``right``, ``_d`` and ``_rank`` (equal for equal distances)."""
-    on = list(on)
-    met, tables = candidates(left.select(*on, "lat", "lon"), right, on, radius, unit, k)
-    judged = met.withColumn("_d", geo.haversine("lat", "lon", "r_lat", "r_lon", unit))
-    if radius is not None:
-        judged = judged.where(f"_d <= {float(radius)!r}D")
-    order = Window.partitionBy(*on, "lat", "lon").orderBy("_d")
-    made = stage(judged.withColumn("_rank", F.rank().over(order)).where(F.col("_rank") <= k), "nearest-frontier")
-    drop_stages(*tables)
-    return made
