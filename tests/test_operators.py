@@ -291,6 +291,47 @@ def test_sections_never_merge_clusters(spark):
     assert got == {0: 0, 1: 1, 2: 0}
 
 
+def test_section_clusters_equal_the_ordered_walk(spark, monkeypatch):
+    from waymark.functions import geo
+
+    def km(a, b):
+        h = math.sin(math.radians(b[0] - a[0]) / 2) ** 2
+        h += math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * geo.EARTH_RADIUS_KM * math.asin(math.sqrt(min(1.0, h)))
+
+    # chunks of a few rows: cells span several of them
+    monkeypatch.setattr(clusters, "ORDER_CHUNK", 7)
+    rng = random.Random(5)
+    data = [("p", i, 50 + rng.uniform(0, 0.35), 10 + rng.uniform(0, 0.5), float(rng.randrange(40))) for i in range(260)]
+    # over the date line, near the pole, on one spot, without coordinates or area, and without a park
+    data += [("d", i, -17 + rng.uniform(0, 0.05), (179.95 + rng.uniform(0, 0.1) + 180) % 360 - 180, rng.random()) for i in range(30)]
+    data += [("n", i, 89.9 + rng.uniform(0, 0.1), rng.uniform(-180, 180), rng.random()) for i in range(30)]
+    data += [("s", i, 1.0, 2.0, 1.0) for i in range(20)]
+    data += [("s", 20, None, 2.0, 5.0), ("s", 21, 1.0, None, 0.5), ("s", 22, 1.0, 2.0, None), (None, 0, 1.0, 2.0, 1.0), (None, 1, 1.0, 2.001, 2.0)]
+    df = spark.createDataFrame(data, "park_code string, section int, lat double, lon double, area double")
+    want, members = {}, {}
+    for park, section, lat, lon, _ in sorted(data, key=lambda r: (str(r[0]), -r[4] if r[4] is not None else math.inf, r[1])):
+        seen = members.setdefault(park, [])
+        located = lat is not None and lon is not None
+        hits = [c for c, spot in seen if located and spot and km((lat, lon), spot) < 3]
+        cluster = min(hits) if hits else max((c for c, _ in seen), default=-1) + 1
+        seen.append((cluster, (lat, lon) if located else None))
+        want[park, section] = cluster
+    got = {(r.park_code, r.section): r.cluster for r in clusters.section_clusters(df).collect()}
+    assert got == want
+    assert clusters.section_clusters(df.limit(0)).collect() == []
+
+
+def test_section_links_do_not_grow_with_a_crowd(spark):
+    """Two crowds in reach of each other: a link per row and cell, not per pair."""
+    rng = random.Random(9)
+    for n in (100, 400):
+        data = [("p", i, 40 + rng.uniform(0, 0.03), rng.uniform(0, 0.03), float(i)) for i in range(n)]
+        df = spark.createDataFrame(data, "_park string, _at long, lat double, lon double, area double").drop("area")
+        placed = clusters.clique_cells(df, 3.0, "km")
+        assert clusters._earlier_links(placed, 3.0).count() <= 9 * n
+
+
 def test_first_free_match_takes_each_row_once(spark):
     left = spark.createDataFrame([("s", "k", 1, "l1"), ("s", "k", 2, "l2"), ("s", "m", 3, "l3")], "a string, key string, seq int, lid string")
     right = spark.createDataFrame([("s", "k", 1, "r1"), ("s", "z", 2, "r2")], "a string, key string, seq int, rid string")

@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,11 @@ from waymark import fixed_values as fv
 from waymark.functions import geo
 from waymark.functions.parks import pin_label
 from waymark.functions.text import slugify, text
-from waymark.operators.components import proximity_components
+from waymark.operators.cells import with_probe_cells
+from waymark.operators.components import clique_cells, clique_degrees, proximity_components
 from waymark.operators.folding import ordered_fold
 from waymark.operators.ranking import rank_in_groups
+from waymark.runtime import drop_stages, stage
 
 
 def micro_clusters(
@@ -82,41 +84,78 @@ def merge_campgrounds(
     )
 
 
-SECTION_OUT = T.StructType(
-    [T.StructField("section", T.IntegerType()), T.StructField("cluster", T.IntegerType())]
-)
-SECTION_STATE = T.StructType(
-    [
-        T.StructField("cluster", T.IntegerType()),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("lon", T.DoubleType()),
-    ]
-)
+#: rows of a park's order that one task scans for a running minimum
+ORDER_CHUNK = 50_000
 
 
 def section_clusters(sections: DataFrame, min_km: float = fv.PIN_CLUSTER_KM, key: str = "park_code") -> DataFrame:
     """Sections by falling area, each into the first cluster with a member nearer than ``min_km``.
 
-    Clusters never merge, so a section's cluster hangs on the order; it is followed per park in
-    bounded chunks. Input: key, section, lat, lon, area. Output: key, section, cluster (0-based).
+    Clusters never merge: a section with no earlier section in reach founds one, any other takes the least cluster of
+    its earlier neighbours. That is the first founder among all it can reach by steps to earlier neighbours. Within a
+    cell of which all rows are neighbours, clusters can only fall along the order, so a section needs one link into
+    each cell around it: to the latest earlier neighbour there. Rounds pass the least position along these links, along
+    the order inside cells, and from the position held to the one it holds, until nothing falls.
+
+    Input: key, section, lat, lon, area. Output: key, section, cluster (0-based). Sections without coordinates found
+    clusters of their own; those without an area come last; rows with a null key are one park.
     """
-    rows = sections.withColumn("_fall", -F.col("area")).select(key, "section", "lat", "lon", "_fall")
+    rows = sections.select(
+        F.to_json(F.struct(key)).alias("_park"), key, "section", "lat", "lon", F.coalesce(-F.col("area"), F.lit(math.inf)).alias("_fall")
+    )
+    ranked = stage(rank_in_groups(rows, ["_park"], ["_fall", "section", "lat", "lon"], "_at").drop("_fall"), "sections")
+    placed = clique_cells(ranked.where("lat is not null and lon is not null").select("_park", "_at", "lat", "lon"), min_km, "km")
+    held = stage(placed.withColumn("_low", F.col("_at")).withColumn("_fell", F.lit(True)), "held")
+    links = stage(_earlier_links(placed, min_km), "links")
+    while True:
+        run = stage(_falling(held), "run")
+        # the row whose position is held may itself hold a lower one by now
+        known = links.unionByName(run.select("_park", "_at", F.col("_low").alias("_before")))
+        offers = known.join(
+            run.select("_park", F.col("_at").alias("_before"), F.col("_low").alias("_offer")), ["_park", "_before"]
+        ).groupBy("_park", "_at").agg(F.min("_offer").alias("_offer"))
+        joined = run.join(offers, ["_park", "_at"], "left")
+        fell = F.col("_offer") < F.col("_low")
+        moved = stage(
+            joined.select(*[c for c in placed.columns], F.least("_low", "_offer").alias("_low"), fell.alias("_fell")), "held"
+        )
+        drop_stages(held, run)
+        held = moved
+        if moved.where("_fell").isEmpty():
+            break
+    whole = ranked.join(held.select("_park", "_at", "_low"), ["_park", "_at"], "left").withColumn(
+        "_low", F.coalesce("_low", "_at")
+    )
+    numbers = rank_in_groups(whole.select("_park", "_low").distinct(), ["_park"], ["_low"], "_number")
+    return whole.join(numbers, ["_park", "_low"]).select(key, "section", (F.col("_number") - 1).cast("int").alias("cluster"))
+
+
+def _earlier_links(placed: DataFrame, min_km: float) -> DataFrame:
+    """Per row and cell around it, its latest earlier neighbour there: (_park, _at, _before)."""
+    d = clique_degrees(min_km, "km")
+    home = placed.select("*", F.col("q_b").alias("_home_b"), F.col("q_l").alias("_home_l")).drop("q_b", "q_l")
+    around = with_probe_cells(home, "lat", "lon", min_km, "km", d, "q").where("q_b <> _home_b or q_l <> _home_l")
+    there = placed.select("_park", "q_b", "q_l", F.col("_at").alias("_before"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    met = around.join(there, ["_park", "q_b", "q_l"]).where(
+        (F.col("_before") < F.col("_at")) & (geo.haversine("lat", "lon", "_lat", "_lon", "km") < min_km)
+    )
+    return met.groupBy("_park", "_at", "q_b", "q_l").agg(F.max("_before").alias("_before")).select("_park", "_at", "_before")
 
-    def step(chunk: pd.DataFrame, state: list[dict]) -> tuple[list[dict], list[dict]]:
-        members = [(s["cluster"], s["lat"], s["lon"]) for s in state]
-        top = max((m[0] for m in members), default=-1)
-        outs = []
-        for section, lat, lon in chunk[["section", "lat", "lon"]].itertuples(index=False, name=None):
-            hits = [c for c, a, b in members if _km(lat, lon, a, b) < min_km]
-            cluster = min(hits) if hits else top + 1
-            top = max(top, cluster)
-            members.append((cluster, lat, lon))
-            outs.append({"section": int(section), "cluster": int(cluster)})
-        kept = {(c, a, b) for c, a, b in members}
-        return outs, [{"cluster": int(c), "lat": a, "lon": b} for c, a, b in kept]
-
-    out, _ = ordered_fold(rows, key, ["_fall", "section"], step, SECTION_OUT, SECTION_STATE)
-    return out
+
+def _falling(held: DataFrame) -> DataFrame:
+    """Running minimum of ``_low`` along the order of each cell, in chunks of the order."""
+    cell = ["_park", "q_b", "q_l"]
+    rows = held.withColumn("_chunk", F.floor(F.col("_at") / ORDER_CHUNK))
+    earlier = Window.partitionBy(*cell).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = (
+        rows.groupBy(*cell, "_chunk").agg(F.min("_low").alias("_least")).withColumn("_carried", F.min("_least").over(earlier)).drop("_least")
+    )
+    so_far = Window.partitionBy(*cell, "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        rows.withColumn("_run", F.min("_low").over(so_far))
+        .join(chunks, [*cell, "_chunk"])
+        .select("_park", "_at", "lat", "lon", "q_b", "q_l", F.least("_run", "_carried").alias("_low"))
+    )
 
 
 def _km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:

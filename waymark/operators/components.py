@@ -54,9 +54,14 @@ def _fingerprint(star: DataFrame) -> tuple:
     return row[0], row[1]
 
 
+def clique_degrees(radius: float, unit: str) -> float:
+    """Height of the cells of :func:`clique_cells`."""
+    return geo.degrees_for(radius, unit) / 1.5
+
+
 def clique_cells(df: DataFrame, radius: float, unit: str) -> DataFrame:
     """Add cells (``q_b``, ``q_l``) so small that any two rows in one are within ``radius``."""
-    d = geo.degrees_for(radius, unit) / 1.5
+    d = clique_degrees(radius, unit)
     if d > 0.3:
         raise ValueError("clique cells need a radius below about 0.45 degrees")
     return cells.with_cell(df, "lat", "lon", d, "q")
