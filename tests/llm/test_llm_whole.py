@@ -1,5 +1,6 @@
 """Whole jobs: cases that a shortcut of an operator would leave out."""
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -42,6 +43,55 @@ def test_wrapped_notices_are_found(spark, width):
     assert got[998].labels == "apache,apache-2.0"
 
 
+def test_sibling_notices_are_told_apart(spark):
+    base = {"gpl-2.0": "gpl", "gpl-3.0": "gpl", "apache-2.0": "apache", "cc-by-4.0": "cc-by", "cc-by-nc-4.0": "cc-by", "mit-notice": "mit"}
+    rows, want = [], {}
+    for i, (label, notice) in enumerate(licences.NOTICES):
+        # alone, ahead of every other notice, and in one very long line between plain words
+        rows.append((i, notice))
+        want[i] = {label}
+        for j, (other, text) in enumerate(licences.NOTICES):
+            rows.append((1000 + 100 * i + j, notice + " plain" * 40 + " " + text))
+            want[1000 + 100 * i + j] = {label, other}
+        rows.append((5000 + i, "the work under general terms of source and 2 3 4 " * 300 + notice + " or by public form" * 300))
+        want[5000 + i] = {label}
+    want = {k: v | {base[x] for x in v if x in base} for k, v in want.items()}
+    for i, (text, labels) in enumerate(
+        [
+            ("Licensed under CC BY-SA 4.0.", {"cc-by"}), ("Released under the Apache License.", {"apache"}),
+            ("This library is licensed under the GNU Lesser General Public License, version 3.", {"lgpl"}),
+            ("Licensed to all under the Apache software License, Version 2.0", {"apache-2.0"}),
+            ("mit " * 3000 + "license " * 3000, {"mit"}),
+        ]
+    ):
+        rows.append((9000 + i, text))
+        want[9000 + i] = labels
+    got = {r.doc_id: set(r.labels.split(",")) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_windows_equal_brute_force(spark):
+    rng = random.Random(3)
+    notices = (("one", "a b c d e f"), ("two", "a b c x e f"), ("any", "k l m n"))
+    marks = {"one": ("d", ("c", "d"), ("z",)), "two": ("x", ("x",), ())}
+    rows = [(i, " ".join(rng.choices("abcdefxzklmno\n", k=rng.choice([2, 5, 40, 200])))) for i in range(120)]
+    want = {}
+    for i, text in rows:
+        words, labels, best = licences.all_words_of(text), set(), 0.0
+        for label, notice in notices:
+            theirs = set(licences.all_words_of(notice))
+            n = len(licences.all_words_of(notice)) * 3 // 2
+            _, required, excluded = marks.get(label, (None, (), ()))
+            for at in range(max(1, len(words) - n + 1)):
+                rest, window = iter(words[at : at + n]), set(words[at : at + n])
+                if all(w in rest for w in required) and not window & set(excluded) and 100 * len(window & theirs) >= 80 * len(theirs):
+                    labels.add(label)
+                    best = max(best, len(window & theirs) / len(theirs))
+        want[i] = (",".join(sorted(labels)), best)
+    found = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), notices, marks=marks).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in found} == want and len({w for w, _ in want.values()}) > 3
+
+
 def test_payloads_go_through_one_shuffle(spark):
     html = ["<p>same</p>", "<p>other</p>", None, "<p>same</p>", "x" * 5000]
     rows = [(i if i % 7 else None, f"http://a/{i}", html[i % 5]) for i in range(60)] + [(1, "http://b", "<p>same</p>")]

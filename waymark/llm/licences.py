@@ -1,10 +1,15 @@
 """License scan: phrases at exact places, and notices found by an exact set-similarity join.
 
-Words are ``[0-9a-z]`` and everything beyond ASCII after lower-casing A-Z. A text block is a line, or, for
-a notice of n words, any n consecutive words across line breaks: a notice wrapped over any number of lines is found.
-A block holds a notice where it contains at least THRESHOLD of the notice's distinct words:
-``100 * |notice & block| >= THRESHOLD * |notice|``. Across breaks the join takes the words around each break, as
-many to each side as the longest notice can have there; what it finds is then verified on the runs of n words.
+Words are ``[0-9a-z]`` and everything beyond ASCII after lower-casing A-Z. A notice of n words is looked for in every
+window of n + n/2 consecutive words, whatever lines they stand on (a shorter text is one window): the window holds it
+where it contains at least THRESHOLD of its distinct words, ``100 * |notice & window| >= THRESHOLD * |notice|``, all of
+the words that it requires, in their order, and none of the words that mark a sibling (MARKS): siblings differ in a
+word or two, which no threshold tells apart.
+
+A window must hold the notice's anchor, one of the words it requires. Texts are laid out in steps of the longest window;
+a step with an anchor in it becomes a block, with as many words to each side as a window can reach. Blocks of a text
+thus hold each word at most three times, however often anchors repeat. The join finds blocks and notices, windows
+of the blocks are verified.
 
 The join: only words of notices can overlap, so blocks are reduced to them. Length filter: a block
 with fewer notice words than the least overlap any notice asks for is out. Words are ordered by the number of
@@ -21,7 +26,7 @@ columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,15 +44,34 @@ PHRASES = (
 )
 #: fixed values: one-line notices and their labels
 NOTICES = (
+    ("gpl-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("lgpl", "This library is licensed under the GNU Lesser General Public License."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("cc-by-4.0", "Licensed under CC BY 4.0."),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
     ("cc-by-sa-4.0", "Licensed under the Creative Commons Attribution ShareAlike 4.0 International License."),
     ("mit-notice", "Released under the MIT License."),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
 )
+#: fixed values: a notice's anchor, the words that it requires in this order, and words that mark a sibling
+MARKS = {
+    "gpl-2.0": ("gnu", ("gnu", "general", "2"), ("lesser", "affero")),
+    "gpl-3.0": ("gnu", ("gnu", "general", "3"), ("lesser", "affero")),
+    "agpl-3.0": ("affero", ("gnu", "affero", "3"), ()),
+    "lgpl": ("lesser", ("gnu", "lesser"), ()),
+    "apache-2.0": ("apache", ("apache", "2"), ()),
+    "cc-by-4.0": ("cc", ("cc", "by", "4"), ("nc", "nd", "sa")),
+    "cc-by-nc-4.0": ("cc", ("cc", "by", "nc", "4"), ("nd", "sa")),
+    "cc-by-sa-4.0": ("sharealike", ("attribution", "sharealike", "4"), ("noncommercial",)),
+    "mit-notice": ("license", ("mit", "license"), ()),
+    "mpl-2.0": ("mozilla", ("mozilla", "2"), ()),
+    "bsd": ("redistribution", ("redistribution", "source", "binary"), ()),
+}
+#: marks of a notice that has none: any of its words may anchor it
+UNMARKED = (None, (), ())
 
 
 def all_words_of(text: str) -> list[str]:
@@ -61,8 +85,6 @@ def words_of(text: str) -> list[str]:
 
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: the same without the line break
-NOT_WORD_OR_BREAK = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def flat_words(lowered: str) -> Column:
@@ -81,37 +103,45 @@ def _n_words(column: str) -> str:
     return f"cast((length({column}) - length(replace({column}, ' ', ''))) div 2 as long)"
 
 
-def around_breaks(lowered: str, reach: int, kept: Column, least: int) -> Column:
-    """(held, run) of each line break: ``run`` is the ``reach`` words before and after it, with other words than the
-    ``kept`` ones empty, ``held`` the distinct kept words. Breaks with fewer than ``least`` of these are left out.
+def _span(text: str) -> int:
+    """Words of the windows in which a notice is looked for."""
+    return len(all_words_of(text)) * 3 // 2
+
+
+def _anchors(text: str, anchor: str | None, threshold: int) -> list[str]:
+    """Words of which every window with the notice holds one: its anchor, or any n - need + 1 of its words."""
+    if anchor:
+        return [anchor]
+    words = words_of(text)
+    return words[: len(words) - _needed(len(words), threshold) + 1]
 
-    Breaks without a word between them are one token, so twice as many tokens hold as many words as asked for.
-    """
-    if reach < 1:
-        return F.array().cast("array<struct<held:array<string>,run:array<string>>>")
-    spaced = F.regexp_replace(F.regexp_replace(lowered, NOT_WORD_OR_BREAK, " "), r" ?\n[ \n]*", " \n ")
 
-    def word_run(tokens: Column) -> Column:
-        return F.filter(tokens, lambda x: x != "\n")
+def _in_order(required: Sequence[str]) -> str:
+    """LIKE pattern of words that stand in this order in a text with each word between two spaces of its own."""
+    return "% " + " % ".join(required) + " %" if required else "%"
 
-    def last(words: Column) -> Column:
-        return F.transform(F.array(words), lambda w: F.slice(w, F.greatest(F.lit(1), F.size(w) - reach + 1), reach))[0]
 
-    def window(tokens: Column, i: Column) -> Column:
-        before = F.slice(tokens, F.greatest(F.lit(1), i + 1 - 2 * reach), F.least(i, F.lit(2 * reach)))
-        after = F.slice(word_run(F.slice(tokens, i + 2, 2 * reach)), 1, reach)
-        return F.concat(last(word_run(before)), after)
+def blocks_around(flat: str, anchors: Sequence[str], step: int, kept: Column, least: int) -> Column:
+    """(held, run) of each step of ``step`` words with an anchor: ``run`` is the step and ``step`` - 1 words to each
+    side, with other words than the ``kept`` ones empty, ``held`` the distinct kept words, at least ``least``."""
+    none = F.array().cast("array<struct<held:array<string>,run:array<string>>>")
+    if not anchors:
+        return none
+    wanted = F.array(*[F.lit(a) for a in anchors])
 
-    def block(run: Column) -> Column:
+    def block(tokens: Column, at: Column) -> Column:
+        from_word = F.greatest(at * step - (step - 1), F.lit(0))
+        run = F.slice(tokens, from_word + 1, (at + 1) * step + (step - 1) - from_word)
         masked = F.transform(run, lambda x: F.when(F.array_contains(kept, x), x).otherwise(""))
         return F.struct(F.array_intersect(run, kept).alias("held"), masked.alias("run"))
 
-    def windows(tokens: Column) -> Column:
-        runs = F.transform(tokens, lambda x, i: F.when(x == "\n", window(tokens, i)))
-        runs = F.filter(runs, lambda r: r.isNotNull() & (F.size(F.array_intersect(r, kept)) >= least))
-        return F.transform(runs, block)
+    def of_text(tokens: Column) -> Column:
+        places = F.transform(tokens, lambda x, i: F.when(F.array_contains(wanted, x), F.floor(i / step).cast("int")))
+        return F.transform(F.array_distinct(F.array_compact(places)), lambda at: block(tokens, at))
 
-    return F.transform(F.array(F.split(F.trim(spaced), " ")), windows)[0]
+    made = F.transform(F.array(F.split(F.trim(flat), "  ")), of_text)[0]
+    some = F.expr(" or ".join(f"instr(flat, ' {a} ') > 0" for a in anchors))
+    return F.when(some, F.filter(made, lambda x: F.size(x.held) >= least)).otherwise(none)
 
 
 def phrase_places(scanned: DataFrame, phrases: Sequence[tuple[str, str]]) -> DataFrame:
@@ -186,21 +216,26 @@ def notice_join(blocks: DataFrame, notices: Sequence[tuple[str, str]], threshold
     )
 
 
-def in_runs(found: DataFrame, blocks: DataFrame, notices: Sequence[tuple[str, str]], threshold: int) -> DataFrame:
-    """``found`` with the containment of the best run of as many words as the notice has, for blocks with a run."""
-    spark = blocks.sparkSession
-    sizes = spark.createDataFrame(
-        [(label, len(all_words_of(text)), words_of(text)) for label, text in notices],
-        "label string, length int, words array<string>",
+def in_windows(
+    found: DataFrame, blocks: DataFrame, notices: Sequence[tuple[str, str]], marks: Mapping[str, tuple], threshold: int
+) -> DataFrame:
+    """The rows of ``found`` whose block has a window that holds the notice, with the containment of the best one."""
+    known = [
+        (label, _span(text), words_of(text), _in_order(required), list(excluded))
+        for label, text in notices
+        for _, required, excluded in [marks.get(label, UNMARKED)]
+    ]
+    sizes = blocks.sparkSession.createDataFrame(
+        known, "label string, length int, words array<string>, required string, excluded array<string>"
     )
-    runs = blocks.select("block", "run")
+    windows = "transform(sequence(0, greatest(0, size(run) - length)), i -> slice(run, i + 1, length))"
     common = F.expr(
-        "array_max(transform(sequence(0, greatest(0, size(run) - length)),"
-        " i -> size(array_intersect(slice(run, i + 1, length), words))))"
+        f"array_max(transform({windows}, w -> if(not arrays_overlap(w, excluded)"
+        " and concat(' ', array_join(w, '  '), ' ') like required, size(array_intersect(w, words)), 0)))"
     )
-    held = found.join(runs, "block").join(sizes, "label").withColumn("common", F.when(F.col("run").isNotNull(), common))
-    return held.where(F.col("run").isNull() | (F.col("common") * 100 >= F.size("words") * threshold)).select(
-        "block", "label", F.coalesce(F.col("common") / F.size("words"), "containment").alias("containment")
+    held = found.join(blocks.select("block", "run"), "block").join(sizes, "label").withColumn("common", common)
+    return held.where(F.col("common") * 100 >= F.size("words") * threshold).select(
+        "block", "label", (F.col("common") / F.size("words")).alias("containment")
     )
 
 
@@ -209,21 +244,19 @@ def scan(
     notices: Sequence[tuple[str, str]] = NOTICES,
     phrases: Sequence[tuple[str, str]] = PHRASES,
     threshold: int = THRESHOLD,
+    marks: Mapping[str, tuple[str | None, Sequence[str], Sequence[str]]] = MARKS,
 ) -> DataFrame:
     """Phrase places, labels and score (largest containment; a phrase in place counts as 1) per document."""
     prepare(docs.sparkSession)
-    vocabulary = sorted({w for _, text in notices for w in words_of(text)})
+    told = {w for label, _ in notices for part in marks.get(label, UNMARKED)[1:] for w in part}
+    vocabulary = sorted(told | {w for _, text in notices for w in words_of(text)})
     least = min((_needed(len(words_of(text)), threshold) for _, text in notices), default=1)
+    anchors = sorted({a for label, text in notices for a in _anchors(text, marks.get(label, UNMARKED)[0], threshold)})
     lowered = F.translate(F.coalesce("text", F.lit("")), LOWER_FROM, LOWER_TO)
     own = pick(docs, "doc_id", "text").select("doc_id", lowered.alias("lowered")).withColumn("flat", flat_words("lowered"))
     kept = F.array(*[F.lit(w) for w in vocabulary]).cast("array<string>")
-    held = F.transform(F.split("lowered", "\n"), lambda x: F.array_intersect(F.split(x, NOT_WORD), kept))
-    lines = F.transform(
-        F.filter(held, lambda x: F.size(x) >= least),
-        lambda x: F.struct(x.alias("held"), F.lit(None).cast("array<string>").alias("run")),
-    )
-    reach = max((len(all_words_of(text)) for _, text in notices), default=0) - 1
-    blocks = F.concat(lines, around_breaks("lowered", reach, kept, least))
+    step = max((_span(text) for _, text in notices), default=1)
+    blocks = blocks_around("flat", anchors, step, kept, least)
     scanned = stage(
         phrase_places(own, phrases).select(
             "doc_id", "n_words", "n_base", "first_word", "last_word", "base",
@@ -234,7 +267,7 @@ def scan(
     blocks = scanned.select("row", F.posexplode("blocks").alias("at", "held")).select(
         F.struct("row", "at").alias("block"), "held.held", "held.run"
     )
-    found = in_runs(notice_join(blocks, notices, threshold), blocks, notices, threshold)
+    found = in_windows(notice_join(blocks, notices, threshold), blocks, notices, marks, threshold)
     of_row = found.groupBy(F.col("block.row").alias("row")).agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )

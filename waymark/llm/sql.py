@@ -90,15 +90,20 @@ from d left join word using (doc_id) left join listed using (doc_id)
 SQL["op8_license_scan"] = r"""
 with phrase(phrase, tag) as (values ('gnu general public license', 'gpl'), ('apache license', 'apache'),
     ('cc by', 'cc-by'), ('mit license', 'mit')),
-notice(label, body) as (values
-    ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
-    ('lgpl', 'this library is licensed under the gnu lesser general public license'),
-    ('apache-2.0', 'licensed under the apache license version 2 0'),
-    ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
-    ('cc-by-sa-4.0', 'licensed under the creative commons attribution sharealike 4 0 international license'),
-    ('mit-notice', 'released under the mit license'),
-    ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0'),
-    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted')),
+notice(label, body, required, excluded) as (values
+    ('gpl-2.0', 'this work is licensed under the gnu general public license version 2', ['gnu', 'general', '2'], ['lesser', 'affero']),
+    ('gpl-3.0', 'this work is licensed under the gnu general public license version 3', ['gnu', 'general', '3'], ['lesser', 'affero']),
+    ('agpl-3.0', 'this work is licensed under the gnu affero general public license version 3', ['gnu', 'affero', '3'], ['']),
+    ('lgpl', 'this library is licensed under the gnu lesser general public license', ['gnu', 'lesser'], ['']),
+    ('apache-2.0', 'licensed under the apache license version 2 0', ['apache', '2'], ['']),
+    ('cc-by-4.0', 'licensed under cc by 4 0', ['cc', 'by', '4'], ['nc', 'nd', 'sa']),
+    ('cc-by-nc-4.0', 'licensed under cc by nc 4 0', ['cc', 'by', 'nc', '4'], ['nd', 'sa']),
+    ('cc-by-sa-4.0', 'licensed under the creative commons attribution sharealike 4 0 international license',
+        ['attribution', 'sharealike', '4'], ['noncommercial']),
+    ('mit-notice', 'released under the mit license', ['mit', 'license'], ['']),
+    ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0', ['mozilla', '2'], ['']),
+    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted',
+        ['redistribution', 'source', 'binary'], [''])),
 low as (
     select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
     from documents
@@ -112,13 +117,18 @@ place as (
 ), base as (
     select doc_id, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list(distinct tag) as tags
     from place group by 1
-), block as (
-    select doc_id, list_distinct(regexp_extract_all(unnest(string_split(body, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
-        as words from low
-), n as (select label, list_distinct(string_split(body, ' ')) as words from notice),
-found as (
-    select doc_id, label, len(list_intersect(block.words, n.words)) / cast(len(n.words) as double) as part
-    from block, n where 100 * len(list_intersect(block.words, n.words)) >= 80 * len(n.words)
+), n as (
+    select label, list_distinct(string_split(body, ' ')) as words, len(string_split(body, ' ')) * 3 // 2 as span, required, excluded
+    from notice
+), placed as (
+    select doc_id, label, d.words, span, n.words as theirs, required, excluded,
+        unnest(range(1, greatest(1, len(d.words) - span + 1) + 1)) as i
+    from d, n where list_has_all(d.words, required)
+), found as (
+    select doc_id, label, len(list_intersect(theirs, words[i:i + span - 1])) / cast(len(theirs) as double) as part
+    from placed where (' ' || array_to_string(words[i:i + span - 1], '  ') || ' ') like ('% ' || array_to_string(required, ' % ') || ' %')
+        and not list_has_any(words[i:i + span - 1], excluded)
+        and 100 * len(list_intersect(theirs, words[i:i + span - 1])) >= 80 * len(theirs)
 ), more as (select doc_id, list(distinct label) as tags, max(part) as best from found group by 1)
 select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
     coalesce(list_aggregate(list_sort(base.tags), 'string_agg', ','), '') as base_labels,
