@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalogue.common import (
-    M, REFS, SPOTS, boxes_sql, coords, coords_sql, half, hav, near, nodes, pick, pick_sql, query, table, token_sql, ways,
+    M, REFS, SPOTS, boxes_sql, coords, coords_sql, half, hav, near, nodes, pick, pick_sql, query, slug_sql, table, token_sql, ways,
 )
 from catalogue.curation import _park_catalogue, _units
 from catalogue.labels import CATALOGUE
@@ -190,6 +190,25 @@ def envelope_read(spark, sf):
     return rows.groupBy(F.col("size").cast("int").alias("nation")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
 
 
+@query(
+    "state_shards",
+    "SELECT CASE c_nationkey % 3 WHEN 0 THEN 'CO' WHEN 1 THEN 'NM' ELSE 'TX' END AS shard, c_nationkey AS nation, count(*) AS n, min(c_custkey) AS first_id, count(*) FILTER (WHERE c_custkey % 2 = 0) AS accented FROM customer GROUP BY 1, 2",
+)
+def state_shards(spark, sf):
+    """Shards of one state each, every one in another encoding, written and read back together."""
+    named = F.expr("concat(if(c_custkey % 2 = 0, 'Montréal – ', 'Elm '), c_name)").alias("name")
+    record = F.struct(F.col("c_custkey").alias("id"), named, F.col("c_nationkey").alias("size"))
+    path = scratch(spark)
+    for number, (code, encoding) in enumerate([("CO", "UTF-8"), ("NM", "UTF-16LE"), ("TX", "UTF-16BE")]):
+        part = table(spark, sf, "customer").where(F.col("c_nationkey") % 3 == number)
+        docs = part.groupBy(F.expr("c_custkey div 200").alias("page")).agg(F.collect_list(record).alias("records")).select("records")
+        docs.write.option("maxRecordsPerFile", 1).option("encoding", encoding).json(f"{path}/osm-{code}.json")
+    rows, _ = readers.read_state_shards(spark, path, _RECORD)
+    return rows.groupBy("shard", F.col("size").cast("int").alias("nation")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.expr("count_if(startswith(name, 'Montréal – '))").alias("accented")
+    )
+
+
 @query(
     "json_lines_scan",
     "SELECT CASE WHEN l_linenumber = 5 THEN 'bad' ELSE 'good' END AS part, count(*) AS n FROM lineitem WHERE l_linenumber <> 6 GROUP BY 1",
@@ -365,6 +384,22 @@ def generic_fuel(spark, sf):
     return fuel_plans.generic(fuel_plans.candidates(_fuel_nodes(spark, sf), _fuel_ways(spark, sf)), CATALOGUE).select("osm_type", "osm_id")
 
 
+@query(
+    "shard_fuel",
+    f"""WITH t AS (SELECT p_partkey AS id, p_name, {token_sql('p_brand')} AS b, CASE WHEN p_partkey % 5 = 0 THEN 'promo oil' ELSE '' END AS o, {token_sql('p_name')} AS n FROM part WHERE p_size <> 13), m AS (SELECT *, {_FUEL_BRAND} AS brand_id FROM t)
+    SELECT concat('FUEL-', upper(brand_id), '-', CASE WHEN id % 10 = 0 THEN 'AZ' WHEN id % 2 = 0 THEN 'CO' ELSE 'TX' END, '-', {slug_sql('p_name')}, '-', id) AS id, p_name AS name, brand_id,
+      CASE brand_id WHEN 'ringway' THEN 'convenience_fuel' ELSE 'travel_plaza' END AS type, concat('https://www.openstreetmap.org/node/', id) AS url FROM m WHERE brand_id IS NOT NULL""",
+)
+def shard_fuel(spark, sf):
+    """Branded records from a partitioned table of state lists; every tenth element is on two lists."""
+    own = _fuel_nodes(spark, sf).withColumn("shard", F.expr("if(id % 2 = 0, 'CO', 'TX')"))
+    again = own.where("id % 10 = 0").withColumn("shard", F.lit("AZ"))
+    path = scratch(spark)
+    lists = own.unionByName(again).select("shard", F.col("id").alias("seq"), F.lit("node").alias("osm_type"), F.col("id").alias("osm_id"), "lat", "lon", "tags")
+    lists.write.partitionBy("shard").parquet(path)
+    return fuel_plans.branded_shards(spark.read.parquet(path), CATALOGUE).select("id", "name", "brand_id", "type", "url")
+
+
 @query("service_plazas", f"WITH {_CANDIDATES} SELECT osm_id FROM cand WHERE osm_type = 'way' AND osm_id % 40 = 0")
 def service_plazas(spark, sf):
     return fuel_plans.plazas(fuel_plans.candidates(_fuel_nodes(spark, sf), _fuel_ways(spark, sf))).select("osm_id")

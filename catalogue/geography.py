@@ -544,6 +544,21 @@ def corridor_membership(spark, sf):
     return routes.corridor_members(_spread(spark, sf), _routes(spark)).select("id", "routes", "dist_mi")
 
 
+@query(
+    "corridor_order",
+    f"""WITH {SPOTS}, {_SPREAD}, {_ROUTES}, n AS (SELECT *, greatest(1, CAST(ceil({hav('lat1', 'lon1', 'lat2', 'lon2', KM)} / 20) AS INTEGER)) AS n FROM legs),
+    samples AS (SELECT DISTINCT route_id, lat1 + (lat2 - lat1) * (CAST(j AS DOUBLE) / n) AS lat, lon1 + (lon2 - lon1) * (CAST(j AS DOUBLE) / n) AS lon FROM n, LATERAL (SELECT unnest(range(0, n + 1)) AS j) x),
+    d AS (SELECT p.id, min({hav('p.lat', 'p.lon', 's.lat', 's.lon', KM)}) AS d FROM spread p JOIN samples s ON abs(p.lat - s.lat) < 1.6 GROUP BY p.id),
+    k AS (SELECT id, concat('Park ', id % 97) AS name, CAST(floor(d / 1.60934 + 0.5) AS BIGINT) AS dist_mi FROM d WHERE d <= 160.934)
+    SELECT id, dist_mi, name, row_number() OVER (ORDER BY dist_mi, name, id) AS position FROM k""",
+)
+def corridor_order(spark, sf):
+    """Points of the corridors in report order: nearest first, then by name."""
+    members = routes.corridor_members(_spread(spark, sf), _routes(spark))
+    named = members.select("id", "dist_mi", F.concat(F.lit("Park "), F.expr("cast(id % 97 as string)")).alias("name"))
+    return routes.by_distance(named).select("id", "dist_mi", "name", F.col("position").cast("bigint").alias("position"))
+
+
 @query(
     "route_length",
     f"""WITH o AS (SELECT o_custkey AS route_id, o_orderkey AS seq, {coords_sql('o_orderkey')} FROM orders),

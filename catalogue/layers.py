@@ -11,6 +11,7 @@ from catalogue.common import (
 from catalogue.curation import _PLAZA_ROWS, _PLAZAS
 from catalogue.extraction import with_later_copies
 from catalogue.geography import _CONF_SQL, _MODE_SQL
+from catalogue.reports import scratch
 from waymark import fixed_values as fv
 from waymark.functions import geo, parks, tags, text
 from waymark.plans import amenities as amenity_plans
@@ -19,7 +20,7 @@ from waymark.plans import explorer
 from waymark.plans import fuel as fuel_plans
 from waymark.plans import parks as park_plans
 from waymark.plans import units as unit_plans
-from waymark.sources import readers
+from waymark.sources import readers, sinks
 
 _SITES = ["Two Jack", "two jack", "Lake Backcountry", "Wilderness Loop", ""]
 
@@ -101,6 +102,33 @@ def canadian_centers(spark, sf):
     return out.select("id", "state", "parent", F.array_join("map_flags", ",").alias("flags"))
 
 
+@query(
+    "center_embed_ca",
+    """SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN 'own' WHEN 1 THEN lower(n_name) ELSE '' END AS park_code, CASE WHEN c_custkey % 3 = 1 OR c_custkey % 6 = 0 THEN concat(n_name, ' National Park') ELSE '' END AS parent_name,
+    c_custkey % 4 = 0 AS has_hours, CASE WHEN c_custkey % 2 = 0 THEN concat('https://d/', c_custkey) WHEN c_custkey % 5 = 0 THEN 'https://p' ELSE '' END AS url, c_custkey % 9 = 0 AS needs_review FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+)
+def center_embed_ca(spark, sf):
+    """Slim Canadian centre rows with their parents, written as an embed and read back."""
+    nation = table(spark, sf, "nation")
+    key = F.col("c_custkey")
+    master = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        key.alias("id"), F.col("c_name").alias("name"), *coords("c_custkey"), F.lit("AB").alias("state"), F.when(key % 3 == 0, "own").otherwise("").alias("park_code"),
+        F.when((key % 3 == 1) | (key % 6 == 0), F.lower("n_name")).alias("parent"), F.when(key % 4 == 0, True).alias("has_hours"), F.lit(None).cast("string").alias("hours_summary"),
+        F.lit("").alias("season_note"), F.lit(None).cast("boolean").alias("seasonal"), F.when(key % 2 == 0, F.concat(F.lit("https://d/"), key)).alias("detail_url"),
+        F.when(key % 5 == 0, "https://p").alias("park_url"), F.lit("official").alias("coord_confidence"), F.when(key % 9 == 0, True).alias("needs_review"),
+    )
+    listed = nation.select(
+        F.col("n_name").alias("code"), F.concat("n_name", F.lit(" National Park")).alias("name"), F.lit("national_park").alias("category"),
+        F.lit("National Park").alias("designation"), F.lit(1).alias("seq"),
+    )
+    units = listed.unionByName(listed.withColumn("name", F.lit("older")).withColumn("seq", F.lit(0)))
+    path = scratch(spark)
+    counts = {"with_hours": F.col("hours.has_hours"), "needs_review": F.col("needs_review")}
+    sinks.write_embed(unit_plans.canadian_center_embed(master, units), ["*"], path, "pc_visitor_center", counts)
+    back = spark.read.schema("id bigint, park_code string, parent_name string, hours struct<has_hours:boolean>, url string, needs_review boolean").json(f"{path}/records")
+    return back.select("id", "park_code", "parent_name", "hours.has_hours", "url", "needs_review")
+
+
 @query(
     "camp_records_ca",
     f"""WITH t AS (SELECT c_custkey AS id, {coords_sql('c_custkey', '200000')}, {pick_sql(['BC Parks', 'KOA', 'Parks Canada', ''], 'c_custkey')} AS op, {pick_sql(['Elk', '', 'Ash Resort'], 'c_custkey // 4')} AS nm, CASE WHEN c_custkey % 7 = 0 THEN 'backcountry' ELSE '' END AS site FROM customer), {boxes_sql(fv.PROVINCE_BOXES)},

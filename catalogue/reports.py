@@ -15,6 +15,7 @@ from waymark.operators import qa, rollup
 from waymark.plans import amenities as amenity_plans
 from waymark.plans import explorer, pois
 from waymark.plans import parks as park_plans
+from waymark.plans import units as unit_plans
 from waymark.runtime import shared_dir
 from waymark.sources import sinks
 from waymark.streaming import refresh
@@ -288,6 +289,16 @@ def store_number_gaps(spark, sf):
     return rollup.number_gaps(table(spark, sf, "orders").select(F.expr("o_orderkey * 3 + 1").alias("n")), "n")
 
 
+@query(
+    "store_number_gap_ranges",
+    """WITH u AS (SELECT DISTINCT o_orderkey * o_orderkey * 1000 + 5 AS n FROM orders), l AS (SELECT coalesce(lag(n) OVER (ORDER BY n), 0) + 1 AS first, n - 1 AS last FROM u) SELECT * FROM l WHERE first <= last""",
+)
+def store_number_gap_ranges(spark, sf):
+    """Runs of unused numbers between numbers that lie far apart."""
+    numbers = table(spark, sf, "orders").select(F.expr("o_orderkey * o_orderkey * 1000 + 5").alias("n"))
+    return rollup.number_gap_ranges(numbers, "n")
+
+
 # ---- T1, U1, S14, Q9, Q10, J30 ----------------------------------------------------------------------
 
 
@@ -564,3 +575,95 @@ def shard_fallback(spark, sf):
     fresh = table(spark, sf, "customer").where("c_nationkey % 4 > 0").select(F.col("c_nationkey").alias("shard"), F.lit("fresh").alias("src"))
     previous = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("shard"), F.lit("previous").alias("src"))
     return refresh.keep_previous_shards(previous, fresh, "shard").groupBy("shard", "src").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- Q4, Q5 -----------------------------------------------------------------------------------------
+
+
+def _rules_sql(rows) -> str:
+    """Rows of a validator: name, value, least, most, level."""
+    made = []
+    for name, value, least, most, level in rows:
+        low, high = (f"CAST({v} AS DOUBLE)" if v is not None else "CAST(NULL AS DOUBLE)" for v in (least, most))
+        made.append(f"SELECT '{name}' AS \"check\", CAST({value} AS DOUBLE) AS actual, {low} AS least, {high} AS most, '{level}' AS level FROM m, e")
+    every = " UNION ALL ".join(made)
+    return f"SELECT *, coalesce(actual >= coalesce(least, actual) AND actual <= coalesce(most, actual), false) AS passed FROM ({every}) r"
+
+
+@query(
+    "center_validator",
+    f"""WITH c AS (SELECT c_custkey % 3 > 0 AS api, c_custkey % 7 > 0 AS hours, CASE WHEN c_custkey % 500 = 0 THEN '' ELSE 'TX' END AS state, c_custkey % 900 > 0 AS shown FROM customer),
+    m AS (SELECT count(*) AS n, count(*) FILTER (WHERE hours) AS h, count(*) FILTER (WHERE api) AS a, count(*) FILTER (WHERE api AND hours) AS ah, count(*) FILTER (WHERE state = '') AS s FROM c),
+    e AS (SELECT count(*) AS en, count(*) FILTER (WHERE hours) AS eh FROM c WHERE shown)
+    {_rules_sql([('records', 'n', 1, None, 'fail'), ('report equals master', '0', 0, 0, 'fail'), ('api records', 'a', 1, None, 'fail'), ('api hours share', 'ah / a', 0.9, None, 'fail'), ('with hours', 'h', 500, None, 'fail'),
+        ('hours share', 'h / n', 0.9, None, 'warn'), ('flagged NO_HOURS', '(n - h) / n', None, 0.15, 'warn'), ('without state', 's', None, 0, 'fail'), ('flagged NO_STATE', 's', None, 0, 'fail'),
+        ('embed equals master', 'en - n', 0, 0, 'fail'), ('embed hours equal report', 'eh - h', 0, 0, 'fail')])}""",
+)
+def center_validator(spark, sf):
+    """Visitor centers: hours shares, states, and an embed that lost rows."""
+    key = F.col("c_custkey")
+    master = table(spark, sf, "customer").select(
+        key.alias("id"), F.when(key % 3 > 0, "nps-api").otherwise("arcgis").alias("coord_source"), (key % 7 > 0).alias("has_hours"),
+        F.when(key % 500 == 0, "").otherwise("TX").alias("state"),
+        F.expr("filter(array(if(c_custkey % 7 = 0, 'NO_HOURS', null), if(c_custkey % 500 = 0, 'NO_STATE', null)), x -> x is not null)").alias("map_flags"),
+    )
+    report = master.agg(F.count(F.lit(1)).alias("total_records"), F.expr("count_if(has_hours)").alias("with_hours"))
+    return unit_plans.center_checks(master, master.where("id % 900 > 0"), report)
+
+
+@query(
+    "center_validator_ca",
+    f"""WITH c AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN 'other' ELSE 'national_park' END AS category, CASE WHEN c_custkey % 10 = 1 THEN '' ELSE 'Ash' END AS parent FROM customer),
+    m AS (SELECT count(*) AS n, count(*) FILTER (WHERE parent <> '' AND category <> 'other') AS p FROM c), e AS (SELECT count(*) AS en FROM customer)
+    {_rules_sql([('records', 'n', 1, None, 'fail'), ('report equals master', '0', 0, 0, 'fail'), ('strong parents', 'p / n', 0.7, None, 'warn'), ('with hours', '0', 1, None, 'warn'), ('embed present', 'en', 1, None, 'fail')])}""",
+)
+def center_validator_ca(spark, sf):
+    key = F.col("c_custkey")
+    master = table(spark, sf, "customer").select(
+        key.alias("id"), F.when(key % 4 == 0, "other").otherwise("national_park").alias("parent_category"),
+        F.when(key % 10 == 1, "").otherwise("Ash").alias("parent_name"), F.lit(None).cast("boolean").alias("has_hours"),
+    )
+    return unit_plans.canadian_center_checks(master, master, master.agg(F.count(F.lit(1)).alias("total_records")))
+
+
+_CHECKED = f"""v AS (SELECT concat('S', n_nationkey) AS state FROM nation WHERE n_nationkey % 2 = 0),
+    p AS (SELECT concat('k', c_custkey // 2 * 2 + CASE WHEN c_custkey % 100 = 1 THEN 0 ELSE c_custkey % 2 END) AS id, CASE WHEN c_custkey % 60 = 7 THEN NULL ELSE concat('S', c_nationkey) END AS state, {pick_sql(_LEAK_NAMES, 'c_custkey')} AS name,
+      CASE WHEN c_custkey % 3 = 0 THEN 'official' ELSE 'osm' END AS source, CASE WHEN c_custkey % 4 = 0 THEN 'protection_title' ELSE 'name' END AS conf, c_custkey % 70 = 3 AS lost FROM customer),
+    k AS (SELECT count(*) AS twice FROM (SELECT id FROM p GROUP BY id HAVING count(*) > 1)),
+    x AS (SELECT count(*) AS leaks FROM p WHERE name IN ('Elm County Park', 'State Forest Elm') OR (source = 'osm' AND coalesce(state IN (SELECT state FROM v), false) AND conf <> 'protection_title' AND name = 'Ash Reserve'))"""
+
+
+def _checked_parks(spark, sf):
+    return table(spark, sf, "customer").select(
+        F.expr("concat('k', c_custkey div 2 * 2 + if(c_custkey % 100 = 1, 0, c_custkey % 2))").alias("id"), F.lit("US").alias("country"),
+        F.expr("if(c_custkey % 60 = 7, null, concat('S', c_nationkey))").alias("state"), pick(_LEAK_NAMES, "c_custkey").alias("name"),
+        F.expr("if(c_custkey % 3 = 0, 'official', 'osm')").alias("source"), F.expr("if(c_custkey % 4 = 0, 'protection_title', 'name')").alias("osm_confidence"),
+        pick(_LEAK_NAMES, "c_custkey").alias("display_name"), F.lit("state_park").alias("category"),
+        F.expr("if(c_custkey % 70 = 3, null, 40D)").alias("lat"), F.expr("if(c_custkey % 70 = 3, double('nan'), -100D)").alias("lon"),
+    )
+
+
+@query(
+    "state_park_validator",
+    f"""WITH {_CHECKED}, m AS (SELECT count(*) AS n, count(*) FILTER (WHERE lost) AS bad, count(*) FILTER (WHERE state IS NULL) AS s FROM p), e AS (SELECT * FROM k, x)
+    {_rules_sql([('records', 'n', 1, None, 'fail'), ('expected records', 'n', 500, None, 'warn'), ('repeated ids', 'twice', None, 0, 'fail'), ('bad coordinates', 'bad', None, 0, 'fail'), ('leaks', 'leaks', None, 0, 'fail'),
+        ('embed equals master', '0', 0, 0, 'fail'), ('without id', '0', None, 0, 'fail'), ('without country', '0', None, 0, 'fail'), ('without state', 's', None, 0, 'fail'), ('without name', '0', None, 0, 'fail'),
+        ('without display_name', '0', None, 0, 'fail'), ('without category', '0', None, 0, 'fail')])}""",
+)
+def state_park_validator(spark, sf):
+    """Park master: required fields, repeated ids, coordinates and leaks, some of which fail."""
+    master = _checked_parks(spark, sf)
+    verified = table(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.expr("concat('S', n_nationkey)").alias("admin"))
+    return park_plans.catalogue_checks(master, master.select("id"), verified, 500)
+
+
+@query(
+    "official_coverage",
+    """WITH h AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), o AS (SELECT s_nationkey AS k, count(*) * 25 AS expected FROM supplier GROUP BY 1)
+    SELECT concat('S', k) AS admin, expected, coalesce(n, 0) AS n, coalesce(n, 0) >= expected * 0.5 AS passed FROM o LEFT JOIN h USING (k)""",
+)
+def official_coverage(spark, sf):
+    """Records of an admin against what its official source lists."""
+    master = table(spark, sf, "customer").select(F.expr("concat('S', c_nationkey)").alias("state"))
+    expected = table(spark, sf, "supplier").groupBy(F.expr("concat('S', s_nationkey)").alias("admin")).agg((F.count(F.lit(1)) * 25).alias("expected"))
+    return park_plans.official_coverage(master, expected)

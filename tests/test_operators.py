@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from waymark.operators import clusters, components, dedupe, folding, matching, nearest, parkmerge, ranking, spatial, textjoin
+from waymark.operators import clusters, components, dedupe, folding, matching, nearest, parkmerge, qa, ranking, rollup, spatial, textjoin
 
 SCHEMA = "id string, seq long, lat double, lon double, brand_id string, name string"
 
@@ -332,6 +332,38 @@ def test_section_links_do_not_grow_with_a_crowd(spark):
         assert clusters._earlier_links(placed, 3.0).count() <= 9 * n
 
 
+def test_gaps_follow_the_numbers_in_use(spark, monkeypatch):
+    def ranges(*numbers):
+        df = spark.createDataFrame([(n,) for n in numbers], "n long")
+        return sorted(tuple(r) for r in rollup.number_gap_ranges(df, "n").collect())
+
+    assert ranges(3, 4, 4, 9, 10**12, None, 0, -5) == [(1, 2), (5, 8), (10, 10**12 - 1)]
+    assert ranges() == ranges(1, 2) == ranges(None, -1) == []
+    monkeypatch.setattr(rollup, "RANGE_STEP", 3)
+    used = random.Random(2).sample(range(1, 400), 60)
+    got = sorted(r.number for r in rollup.number_gaps(spark.createDataFrame([(n,) for n in used], "n long"), "n").collect())
+    assert got == [n for n in range(1, max(used)) if n not in used]
+
+
+def test_expectations_measure_every_table_once(spark):
+    rows = spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("b", 4)], "name string, n int")
+    none = rows.limit(0)
+    got = qa.expectations(
+        {
+            "rows": (rows, {"total": F.count(F.lit(1)), "unnamed": qa.rows_without("name"), "big": qa.share_where(F.col("n") > 1)}),
+            "none": (none, {"other": F.count(F.lit(1)), "of_none": qa.share_where(F.col("n") > 1)}),
+        },
+        [
+            qa.Rule("unnamed", "unnamed", most=0), qa.Rule("big", "big", 0.75, 0.75, "warn"), qa.Rule("same", "other - total", 0, 0),
+            qa.Rule("of none", "of_none", least=0), qa.Rule("total", "total", least=4),
+        ],
+    )
+    assert {(r.check, r.actual, r.level, r.passed) for r in got.collect()} == {
+        ("unnamed", 2.0, "fail", False), ("big", 0.75, "warn", True), ("same", -4.0, "fail", False), ("of none", None, "fail", False),
+        ("total", 4.0, "fail", True),
+    }
+
+
 def test_first_free_match_takes_each_row_once(spark):
     left = spark.createDataFrame([("s", "k", 1, "l1"), ("s", "k", 2, "l2"), ("s", "m", 3, "l3")], "a string, key string, seq int, lid string")
     right = spark.createDataFrame([("s", "k", 1, "r1"), ("s", "z", 2, "r2")], "a string, key string, seq int, rid string")

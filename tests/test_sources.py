@@ -28,6 +28,20 @@ def test_state_shards(spark, tmp_path):
     assert {r.shard: r.n for r in stats.collect()} == {"TX": 2, "CO": 0}
 
 
+def test_every_file_has_its_own_encoding(spark, tmp_path):
+    body = json.dumps({"records": [{"id": 1, "name": "Montréal – 🏕"}]}, ensure_ascii=False)
+    files = {
+        "AA": body.encode(), "BB": b"\xef\xbb\xbf" + body.encode(), "CC": body.encode("utf-16-le"), "DD": b"\xff\xfe" + body.encode("utf-16-le"),
+        "EE": b"\xfe\xff" + body.encode("utf-16-be"), "FF": body.encode("utf-16-be"), "GG": b"", "HH": b'{"records": null}', "II": b"{oops",
+    }
+    for code, content in files.items():
+        (tmp_path / f"osm-{code}.json").write_bytes(content)
+    rows, stats = readers.read_state_shards(spark, str(tmp_path), RECORD)
+    assert sorted(tuple(r) for r in rows.collect()) == [(code, 1, "Montréal – 🏕") for code in ("AA", "BB", "CC", "DD", "EE", "FF")]
+    assert {r.shard: r.n for r in stats.collect()} == {code: int(code < "GG") for code in files if files[code]}
+    assert readers.read_envelope(spark, str(tmp_path), RECORD).count() == 6
+
+
 def test_malformed_lines_are_set_aside(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"id": 1, "name": "a"}\n\n{"id": oops\n{"id": 2}\n')
     rows, bad = readers.read_json_lines(spark, str(tmp_path / "x.jsonl"), RECORD)

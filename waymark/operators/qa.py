@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,57 @@ def check_rows(df: DataFrame, checks: Mapping[str, tuple[Column, Column]]) -> Da
     return listed.select("check", F.col("v").alias("actual"), F.coalesce(passed, F.lit(False)).alias("passed"))
 
 
-def not_null_share(column: str) -> Column:
-    return F.count(column) / F.nullif(F.count(F.lit(1)), F.lit(0))
+@dataclass(frozen=True)
+class Rule:
+    """An expectation: ``value``, an expression over named measures, lies in [least, most]; else it fails or warns."""
+
+    check: str
+    value: str
+    least: float | None = None
+    most: float | None = None
+    level: str = "fail"
+
+
+def expectations(measures: Mapping[str, tuple[DataFrame, Mapping[str, Column]]], rules: Sequence[Rule]) -> DataFrame:
+    """(check, actual, least, most, level, passed) of every rule.
+
+    ``measures``: per table its aggregates by name, all taken in one pass over that table; rules may set
+    measures of different tables against each other. A value that cannot be taken (a share of no rows) does not pass.
+    """
+    names = [n for _, aggregates in measures.values() for n in aggregates]
+    one = None
+    for df, aggregates in measures.values():
+        taken = df.agg(*[c.cast("double").alias(n) for n, c in aggregates.items()])
+        row = taken.select(*[F.col(n) if n in aggregates else F.lit(None).cast("double").alias(n) for n in names])
+        one = row if one is None else one.unionByName(row)
+    # a row per table, each measure filled in one of them
+    together = one.agg(*[F.max(n).alias(n) for n in names])
+    bound = "cast({} as double)".format
+    listed = [
+        F.struct(
+            F.lit(r.check).alias("check"), F.expr(r.value).cast("double").alias("actual"),
+            F.expr(bound("null" if r.least is None else repr(r.least))).alias("least"),
+            F.expr(bound("null" if r.most is None else repr(r.most))).alias("most"), F.lit(r.level).alias("level"),
+        )
+        for r in rules
+    ]
+    inside = "actual is not null and actual >= coalesce(least, actual) and actual <= coalesce(most, actual)"
+    return together.select(F.explode(F.array(*listed)).alias("r")).select("r.*").withColumn("passed", F.expr(inside))
+
+
+def rows_where(condition: Column) -> Column:
+    return F.coalesce(F.sum(condition.cast("int")), F.lit(0))
+
+
+def share_where(condition: Column, of: Column | None = None) -> Column:
+    """Share of rows (or of the rows ``of``) that meet a condition; null of no rows."""
+    whole = F.lit(True) if of is None else of
+    return rows_where(condition & whole) / F.nullif(rows_where(whole), F.lit(0))
+
+
+def rows_without(column: str) -> Column:
+    """Rows whose text is null or empty."""
+    return rows_where(F.coalesce(F.col(column), F.lit("")) == "")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark import fixed_values as fv
 from waymark.functions.geo import col, half_up
 from waymark.functions.text import text
+from waymark.runtime import stage
 
 
 def count_by(df: DataFrame, key, output: str = "value") -> DataFrame:
@@ -221,18 +222,39 @@ def first_per_park(centers: DataFrame, key: str = "park_code") -> DataFrame:
     )
 
 
+#: numbers of one row while a range is written out
+RANGE_STEP = 10_000
+
+
+def number_gap_ranges(numbers: DataFrame, column: str) -> DataFrame:
+    """(first, last) of every run of unused positive numbers below the largest one.
+
+    Distinct numbers are range-partitioned; each looks at the one before it, the first of a partition at the largest
+    of the partitions before. The work follows the numbers in use, not the range they span.
+    """
+    used = numbers.select(F.col(column).cast("bigint").alias("number")).where("number >= 1").distinct()
+    placed = stage(used.repartitionByRange("number").withColumn("part", F.spark_partition_id()), "numbers")
+    # one row per partition
+    edges = placed.groupBy("part").agg(F.max("number").alias("top")).select(
+        "part", F.max("top").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried")
+    )
+    inside = F.lag("number").over(Window.partitionBy("part").orderBy("number"))
+    return (
+        placed.withColumn("before", inside)
+        .join(edges, "part")
+        .select((F.coalesce("before", "carried", F.lit(0)) + 1).alias("first"), (F.col("number") - 1).alias("last"))
+        .where("first <= last")
+    )
+
+
 def number_gaps(numbers: DataFrame, column: str) -> DataFrame:
-    """Unused positive numbers below the largest one."""
-    used = numbers.select(F.col(column).cast("bigint").alias("number")).where("number is not null").distinct()
-    top = used.agg(F.max("number")).first()[0] or 0
-    every = numbers.sparkSession.range(1, top + 1).withColumnRenamed("id", "number")
-    return every.join(used, "number", "left_anti")
+    """Unused positive numbers below the largest one, a row each."""
+    starts = number_gap_ranges(numbers, column).select(F.expr(f"explode(sequence(first, last, {RANGE_STEP}L))").alias("at"), "last")
+    return starts.select(F.expr(f"explode(sequence(at, least(last, at + {RANGE_STEP - 1})))").alias("number"))
 
 
 def samples_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int | None = None) -> DataFrame:
     """Rows per group with their number; only the first n if given (that limit is pushed below the shuffle)."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn("sample_no", F.row_number().over(w))
     return ranked if n is None else ranked.where(F.col("sample_no") <= n)

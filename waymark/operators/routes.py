@@ -86,3 +86,9 @@ def corridor_members(points: DataFrame, routes: DataFrame, miles: float = fv.COR
         F.array_join(F.sort_array(F.collect_set("route_id")), ",").alias("routes"),
         geo.half_up(F.min("distance") / fv.KM_PER_MILE, 1).cast("bigint").alias("dist_mi"),
     )
+
+
+def by_distance(members: DataFrame, distance: str = "dist_mi", name: str = "name", key: str = "id") -> DataFrame:
+    """Adds position: 1 for the nearest; equal distances go by name in binary order, then by key; unnamed rows first."""
+    rows = members.withColumn("_all", F.lit(0)).withColumn("_name", F.coalesce(F.col(name), F.lit("")))
+    return rank_in_groups(rows, ["_all"], [distance, "_name", key], "position").drop("_all", "_name")

@@ -12,7 +12,7 @@ from waymark.functions import brands, geo, tags
 from waymark.functions.tags import tag
 from waymark.functions.text import add_absent, drop_values, first_filled, lookup, plaza_key, slugify, text
 from waymark.operators import dedupe, elements, matching, rollup
-from waymark.operators.ranking import first_seen
+from waymark.operators.ranking import first_per_key, first_seen
 from waymark.operators.spatial import box_code, nearest_any
 
 
@@ -248,3 +248,20 @@ def explorer_tables(candidate_rows: DataFrame, catalogue: Sequence[dict]) -> Dat
     """Candidates with their matched brand, or ``unmatched``."""
     matched = brands.with_brand_us(candidate_rows, tag("brand"), tag("operator"), tag("name"), catalogue, "match")
     return matched.withColumn("match", F.coalesce("match", F.lit("unmatched")))
+
+
+def branded_shards(shards: DataFrame, catalogue: Sequence[dict], box: tuple = fv.US_BOX) -> DataFrame:
+    """Branded records of element lists that carry a centre point, one list per state.
+
+    ``shards``: shard (state code), seq, osm_type, osm_id, lat, lon, tags. An element of several lists belongs to the first
+    by state code; its name falls back to the house name, then to the brand.
+    """
+    rows = shards.where(geo.valid_coordinate("lat", "lon", box))
+    found = first_per_key(branded(rows, catalogue), ["osm_type", "osm_id"], ["shard", "seq"])
+    named = found.withColumn("name", F.trim(first_filled(tag("name"), tag("addr:housename"), F.col("brand"))))
+    return named.select(
+        F.concat_ws("-", F.lit("FUEL"), F.upper("brand_id"), "shard", slugify("name"), F.col("osm_id").cast("string")).alias("id"),
+        "name", "brand", "brand_id", "type", F.col("shard").alias("state"), "lat", "lon", text(tag("highway")).alias("highway"),
+        text(first_filled(tag("ref"), tag("exit"))).alias("exit"), "fuels", "amenities", "osm_type", "osm_id",
+        F.concat_ws("/", F.lit("https://www.openstreetmap.org"), "osm_type", F.col("osm_id").cast("string")).alias("url"),
+    )

@@ -24,7 +24,7 @@ from waymark.functions.text import (
     state_park_key,
     text,
 )
-from waymark.operators import matching, parkmerge, rollup, spatial
+from waymark.operators import matching, parkmerge, qa, rollup, spatial
 from waymark.operators.ranking import best_per_key, first_per_key, rank_in_groups
 from waymark.operators.textjoin import contains_join
 
@@ -337,3 +337,36 @@ def leakage(rows: DataFrame, verified: DataFrame) -> DataFrame:
         .where("finding is not null")
         .drop("_v")
     )
+
+
+#: fixed values: columns that every published park fills, and the least share of an official source
+REQUIRED_FIELDS = ("id", "country", "state", "name", "display_name", "category")
+OFFICIAL_SHARE = 0.5
+
+
+def catalogue_checks(master: DataFrame, embed: DataFrame, verified: DataFrame, least: int) -> DataFrame:
+    """Validator of a park master: counts, required fields, unique ids, coordinates, leaks, embed.
+
+    ``master``: the required fields, lat, lon and what :func:`leakage` asks for; ``least``: records one would expect.
+    """
+    bad = F.col("lat").isNull() | F.col("lon").isNull() | F.isnan("lat") | F.isnan("lon")
+    leaks = leakage(master, verified).where("finding = 'leak'")
+    measures = {
+        "master": (master, {"records": F.count(F.lit(1)), "bad_coordinates": qa.rows_where(bad)} | {f"no_{c}": qa.rows_without(c) for c in REQUIRED_FIELDS}),
+        "ids": (qa.duplicate_keys(master.where(text("id") != ""), ["id"]), {"repeated": F.count(F.lit(1))}),
+        "leaks": (leaks, {"leaked": F.count(F.lit(1))}),
+        "embed": (embed, {"embedded": F.count(F.lit(1))}),
+    }
+    rules = [
+        qa.Rule("records", "records", least=1), qa.Rule("expected records", "records", least=least, level="warn"),
+        qa.Rule("repeated ids", "repeated", most=0), qa.Rule("bad coordinates", "bad_coordinates", most=0),
+        qa.Rule("leaks", "leaked", most=0), qa.Rule("embed equals master", "embedded - records", 0, 0),
+    ]
+    return qa.expectations(measures, rules + [qa.Rule(f"without {c}", f"no_{c}", most=0) for c in REQUIRED_FIELDS])
+
+
+def official_coverage(master: DataFrame, expected: DataFrame) -> DataFrame:
+    """(admin, expected, n, passed): verified official sources of which at least half is in the master."""
+    asked = expected.where("expected > 0").select("admin", "expected", (F.col("expected") * OFFICIAL_SHARE).alias("least"))
+    have = qa.group_minimums(master.withColumnRenamed("state", "admin"), "admin", asked)
+    return have.join(asked.select("admin", "expected"), "admin").select("admin", "expected", "n", "passed")

@@ -11,6 +11,7 @@ from waymark.functions.text import (
     add_absent,
     federal_park_slug,
     federal_place_key,
+    first_filled,
     matches,
     names_similar,
     season,
@@ -20,7 +21,7 @@ from waymark.functions.text import (
     visitor_center_id,
     visitor_center_key,
 )
-from waymark.operators import matching, spatial
+from waymark.operators import matching, qa, spatial
 from waymark.operators.ranking import best_per_key, first_per_key, first_seen
 
 _TRAILING_DESIGNATION = (
@@ -317,3 +318,79 @@ def canadian_center_records(features: DataFrame, units: DataFrame) -> DataFrame:
     province = F.coalesce(spatial.box_code("lat", "lon", fv.PROVINCE_BOXES), F.lit(""))
     flags = add_absent(F.array(F.lit("NO_HOURS")), "WEAK_PARENT", F.col("parent").isNull())
     return rows.withColumn("state", province).withColumn("map_flags", add_absent(flags, "NO_STATE", F.col("state") == ""))
+
+
+def canadian_center_embed(master: DataFrame, units: DataFrame) -> DataFrame:
+    """Slim rows of the Canadian centre master with their parent's name, category and designation.
+
+    ``master``: id, name, lat, lon, state, park_code, parent, has_hours, hours_summary, season_note, seasonal, detail_url,
+    park_url, coord_confidence, needs_review; ``units``: code, name, category, designation, seq. The last unit of a code
+    counts; a centre without a parent keeps empty parent fields.
+    """
+    parents = first_per_key(units.withColumn("code", F.lower("code")), ["code"], [-F.col("seq")]).select(
+        F.col("code").alias("_code"), F.col("name").alias("_name"), F.col("category").alias("_category"), F.col("designation").alias("_designation")
+    )
+    rows = master.join(parents, F.lower("parent") == F.col("_code"), "left")
+    return rows.select(
+        "id", "name", "lat", "lon", text("state").alias("state"),
+        F.coalesce(F.nullif("park_code", F.lit("")), "_code", F.lit("")).alias("park_code"),
+        text("_name").alias("parent_name"), text("_category").alias("parent_category"), text("_designation").alias("parent_designation"),
+        F.struct(
+            F.coalesce("has_hours", F.lit(False)).alias("has_hours"), text("hours_summary").alias("summary"), text("season_note").alias("seasonal_note")
+        ).alias("hours"),
+        "seasonal", text(first_filled("detail_url", "park_url")).alias("url"), text("coord_confidence").alias("coord_confidence"),
+        F.coalesce("needs_review", F.lit(False)).alias("needs_review"),
+    )
+
+
+#: fixed values: least share of centers with hours, least number with hours, most share flagged, least share of strong parents
+HOURS_SHARE, HOURS_LEAST, NO_HOURS_SHARE, STRONG_PARENTS = 0.9, 500, 0.15, 0.7
+
+
+def center_checks(master: DataFrame, embed: DataFrame, report: DataFrame) -> DataFrame:
+    """Validator of the US centers: each expectation with its measured value and whether it holds.
+
+    ``master``: coord_source, has_hours, state, map_flags; ``embed``: has_hours; ``report``: total_records, with_hours.
+    """
+    hours, from_api = F.coalesce("has_hours", F.lit(False)), F.coalesce(F.col("coord_source") == "nps-api", F.lit(False))
+    flagged = {name: F.coalesce(F.array_contains("map_flags", name), F.lit(False)) for name in ("NO_HOURS", "NO_STATE")}
+    measures = {
+        "master": (master, {
+            "records": F.count(F.lit(1)), "with_hours": qa.rows_where(hours), "from_api": qa.rows_where(from_api),
+            "api_share": qa.share_where(hours, from_api), "share": qa.share_where(hours), "no_hours_share": qa.share_where(flagged["NO_HOURS"]),
+            "no_state_flags": qa.rows_where(flagged["NO_STATE"]), "without_state": qa.rows_without("state"),
+        }),
+        "embed": (embed, {"embedded": F.count(F.lit(1)), "embedded_hours": qa.rows_where(hours)}),
+        "report": (report, {"reported": F.max("total_records"), "reported_hours": F.max("with_hours")}),
+    }
+    return qa.expectations(
+        measures,
+        [
+            qa.Rule("records", "records", least=1), qa.Rule("report equals master", "reported - records", 0, 0),
+            qa.Rule("api records", "from_api", least=1), qa.Rule("api hours share", "api_share", least=HOURS_SHARE),
+            qa.Rule("with hours", "with_hours", least=HOURS_LEAST), qa.Rule("hours share", "share", least=HOURS_SHARE, level="warn"),
+            qa.Rule("flagged NO_HOURS", "no_hours_share", most=NO_HOURS_SHARE, level="warn"), qa.Rule("without state", "without_state", most=0),
+            qa.Rule("flagged NO_STATE", "no_state_flags", most=0), qa.Rule("embed equals master", "embedded - records", 0, 0),
+            qa.Rule("embed hours equal report", "embedded_hours - reported_hours", 0, 0),
+        ],
+    )
+
+
+def canadian_center_checks(master: DataFrame, embed: DataFrame, report: DataFrame) -> DataFrame:
+    """Validator of the Canadian centres (``master``: parent_name, parent_category, has_hours; ``report``: total_records)."""
+    strong = (text("parent_name") != "") & (text("parent_category") != "other")
+    measures = {
+        "master": (master, {
+            "records": F.count(F.lit(1)), "strong": qa.share_where(strong), "with_hours": qa.rows_where(F.coalesce("has_hours", F.lit(False))),
+        }),
+        "embed": (embed, {"embedded": F.count(F.lit(1))}),
+        "report": (report, {"reported": F.max("total_records")}),
+    }
+    return qa.expectations(
+        measures,
+        [
+            qa.Rule("records", "records", least=1), qa.Rule("report equals master", "reported - records", 0, 0),
+            qa.Rule("strong parents", "strong", least=STRONG_PARENTS, level="warn"),
+            qa.Rule("with hours", "with_hours", least=1, level="warn"), qa.Rule("embed present", "embedded", least=1),
+        ],
+    )

@@ -20,28 +20,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def file_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-16 when the file (or the first file of a folder) starts with its mark, UTF-16LE when its
-    second byte is zero, else UTF-8."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = [s.getPath() for s in fs.globStatus(p)]
-    if files and fs.getFileStatus(files[0]).isDirectory():
-        files = sorted(
-            (s.getPath() for s in fs.listStatus(files[0]) if s.isFile() and not s.getPath().getName().startswith(("_", "."))),
-            key=lambda q: q.getName(),
-        )
-    if not files:
-        return "UTF-8"
-    stream = fs.open(files[0])
-    try:
-        a, b = stream.read(), stream.read()
-    finally:
-        stream.close()
-    if (a, b) == (0xFF, 0xFE):
-        return "UTF-16"
-    return "UTF-16LE" if b == 0 else "UTF-8"
+def decoded(content: Column) -> Column:
+    """Text of a file's bytes: UTF-16 by its mark or by a zero byte next to the first character, else UTF-8.
+
+    JSON starts with a character below 128, so its other byte is zero in UTF-16 without a mark.
+    """
+    head, second = F.hex(F.substring(content, 1, 2)), F.hex(F.substring(content, 2, 1))
+    made = (
+        F.when(head.isin("FFFE", "FEFF"), F.decode(content, "UTF-16"))
+        .when(second == "00", F.decode(content, "UTF-16LE"))
+        .when(F.hex(F.substring(content, 1, 1)) == "00", F.decode(content, "UTF-16BE"))
+        .otherwise(F.decode(content, "UTF-8"))
+    )
+    return F.ltrim(made, F.lit("\ufeff"))
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(path, document) of JSON files of one document each, every file in its own encoding; no document: null.
+
+    Spark lists no files without a byte.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.from_json(decoded(F.col("content")), schema).alias("document"))
 
 
 def read_envelope(spark: SparkSession, path: str, record: T.StructType, fallback: str | None = None) -> DataFrame:
@@ -49,16 +49,18 @@ def read_envelope(spark: SparkSession, path: str, record: T.StructType, fallback
     if fallback is not None and not path_exists(spark, path):
         path = fallback
     schema = T.StructType([T.StructField("records", T.ArrayType(record))])
-    reader = spark.read.schema(schema).option("multiLine", True).option("encoding", file_encoding(spark, path))
-    return reader.json(path).select(F.inline("records"))
+    return read_documents(spark, path, schema).select(F.inline("document.records"))
 
 
 def read_state_shards(spark: SparkSession, folder: str, record: T.StructType, prefix: str = "osm") -> tuple[DataFrame, DataFrame]:
-    """(rows with their shard code, rows per shard) of a folder of ``<prefix>-XX.json`` envelopes."""
+    """(rows with their shard code, rows per shard) of ``<prefix>-XX.json`` envelopes, single files or folders of files."""
     schema = T.StructType([T.StructField("records", T.ArrayType(record))])
-    raw = spark.read.schema(schema).option("multiLine", True).json(f"{folder}/{prefix}-??.json")
-    named = raw.withColumn("shard", F.regexp_extract(F.input_file_name(), rf"{prefix}-([A-Z]{{2}})\.json$", 1))
-    stats = named.groupBy("shard").agg(F.sum(F.size(F.coalesce("records", F.array()))).alias("n"))
+    raw = read_documents(spark, f"{folder}/{prefix}-??.json", schema)
+    named = raw.select(
+        F.regexp_extract("path", rf"{prefix}-([A-Z]{{2}})\.json(/[^/]*)?$", 1).alias("shard"),
+        F.coalesce("document.records", F.array().cast(T.ArrayType(record))).alias("records"),
+    )
+    stats = named.groupBy("shard").agg(F.sum(F.size("records")).alias("n"))
     return named.select("shard", F.inline("records")), stats
 
 
