@@ -364,6 +364,24 @@ def test_expectations_measure_every_table_once(spark):
     }
 
 
+def test_shared_words_make_no_candidates(spark):
+    names = [f"{a}{b}{c}" for a in "bcdf" for b in "aeiou" for c in "lmnrst"]
+    left = spark.createDataFrame([(f"national forest of {n}{n}",) for n in names], "needle string")
+    right = spark.createDataFrame([(f"the national forest of {n}{n} and national park",) for n in names[::2]], "body string")
+    met = textjoin.contain_candidates(left, right).count()
+    assert len(names) / 2 <= met <= 3 * len(names)
+    assert textjoin.contains_join(left, right).count() == len(names) / 2
+
+
+def test_contains_join_equals_brute_force(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("ab é🏕", k=rng.randrange(0, 14))) for _ in range(150)] + [None, "", "a", "ab"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = sorted(tuple(r) for r in textjoin.contains_join(df, df, "t", "t").collect())
+    known = {t for t in texts if t}
+    assert got == sorted((a, b) for a in known for b in known if a in b)
+
+
 def test_first_free_match_takes_each_row_once(spark):
     left = spark.createDataFrame([("s", "k", 1, "l1"), ("s", "k", 2, "l2"), ("s", "m", 3, "l3")], "a string, key string, seq int, lid string")
     right = spark.createDataFrame([("s", "k", 1, "r1"), ("s", "z", 2, "r2")], "a string, key string, seq int, rid string")
