@@ -382,6 +382,97 @@ def test_contains_join_equals_brute_force(spark):
     assert got == sorted((a, b) for a in known for b in known if a in b)
 
 
+def _line_rows(n, seed=4):
+    """Rows on both sides of the date line."""
+    rng = random.Random(seed)
+    return [
+        (f"r{i:03d}", i, -17.0 + rng.uniform(0, 0.03), (179.985 + rng.uniform(0, 0.03) + 180) % 360 - 180, "ab"[i % 2], "")
+        for i in range(n)
+    ]
+
+
+def test_components_link_over_the_date_line(spark):
+    data = _line_rows(250)
+    got = {r.id: r.component for r in components.proximity_components(spark.createDataFrame(data, SCHEMA), 150, "m").collect()}
+    parent = {r[0]: r[0] for r in data}
+    for i, a in enumerate(data):
+        for b in data[:i]:
+            if haversine(a, b, 6371000) <= 150:
+                x, y = find(parent, a[0]), find(parent, b[0])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+    assert got == {x: find(parent, x) for x in parent}
+    sides = {x: {r[3] > 0 for r in data if find(parent, r[0]) == x} for x in set(got.values())}
+    assert any(len(v) == 2 for v in sides.values())
+
+
+def test_dedupe_over_the_date_line(spark):
+    data = _line_rows(200, 7)
+    kept, lost = dedupe.ordered_dedupe(spark.createDataFrame(data, SCHEMA), 0.2, "mi", on=["brand_id"])
+    want = ordered(data, lambda r, e: r[4] == e[4] and haversine(r, e) <= 0.2)
+    assert sorted(r.id for r in kept.collect()) == want[0]
+    assert sorted((r.kept, r.dropped) for r in lost.collect()) == want[1]
+
+
+def test_merged_campgrounds_lie_between_their_rows(spark):
+    data = [("a", 1, "x", 10.0, 179.999, 1), ("b", 2, "x", 10.0, -179.998, 2), ("c", 3, "x", 10.0, 0.5, 4)]
+    df = spark.createDataFrame(data, "id string, seq long, name string, lat double, lon double, pitch_count long")
+    got = {r.id: (round(r.lon, 6), r.merged_rows) for r in clusters.merge_campgrounds(df, 1.0, ["name"], F.col("name")).collect()}
+    assert got == {"a": (-179.9995, 2), "c": (0.5, 1)}
+
+
+@pytest.mark.parametrize("local_plane", [True, False])
+@pytest.mark.parametrize("place", ["line", "pole", "diagonal"])
+def test_nearest_segment_equals_brute_force(spark, place, local_plane):
+    rng = random.Random(3)
+    lat, lon, size = {"line": ((-17, -16.9), (179.9, 180.1), 0.03), "pole": ((85, 90), (-180, 180), 0.4), "diagonal": ((40, 41), (9, 10), 1.0)}[place]
+
+    def wrap(x):
+        return (x + 180) % 360 - 180
+
+    segments = []
+    for _ in range(60):
+        a, b = rng.uniform(*lat), rng.uniform(*lon)
+        c = min(90.0, a + rng.uniform(-size, size))
+        segments.append((a, wrap(b), c, wrap(b + rng.uniform(-size, size))))
+    segments += [segments[0], (segments[1][0], segments[1][1], segments[1][0], segments[1][1])]
+    points = [(i, rng.uniform(*lat), wrap(rng.uniform(*lon))) for i in range(60)] + [(900, float(lat[1]), 180.0), (901, float(lat[1]), -180.0), (902, None, 1.0)]
+    max_m = {"line": 3000.0, "pole": 40000.0, "diagonal": 20000.0}[place]
+
+    def distance(lat0, lon0, s):
+        best = math.inf
+        turns = [(s[1], s[3])]
+        if abs(s[1] - s[3]) > 180:
+            turns = [(s[1] % 360, s[3] % 360)]
+        for west, east in turns:
+            # the turn of the globe on which point and segment are closest
+            for x0 in [min((lon0 - 360, lon0, lon0 + 360), key=lambda x: abs(x - (west + east) / 2))]:
+                kx = math.cos(math.radians(lat0)) if local_plane else 1.0
+                dx, dy = (east - west) * kx, s[2] - s[0]
+                norm = dx * dx + dy * dy
+                t = max(0.0, min(1.0, (((x0 - west) * kx) * dx + (lat0 - s[0]) * dy) / norm)) if norm else 0.0
+                y, x = s[0] + t * (s[2] - s[0]), west + t * (east - west)
+                h = math.sin(math.radians(y - lat0) / 2) ** 2
+                h += math.cos(math.radians(y)) * math.cos(math.radians(lat0)) * math.sin(math.radians(x - x0) / 2) ** 2
+                best = min(best, 2 * 6371000 * math.asin(math.sqrt(min(1.0, h))))
+        return best
+
+    got = spatial.nearest_segment(
+        spark.createDataFrame(points, "id long, lat double, lon double"),
+        spark.createDataFrame(segments, "lat1 double, lon1 double, lat2 double, lon2 double"), 0.02 if place != "pole" else 0.2, None, max_m,
+        local_plane=local_plane,
+    )
+    near = 0
+    for r in got.collect():
+        want = min(distance(r.lat, r.lon, s) for s in segments) if r.lat is not None else math.inf
+        if want <= max_m:
+            near += 1
+            assert r.distance_m == pytest.approx(want, rel=1e-6, abs=1e-3)
+        else:
+            assert r.distance_m is None or r.distance_m > max_m
+    assert near > 10
+
+
 def test_first_free_match_takes_each_row_once(spark):
     left = spark.createDataFrame([("s", "k", 1, "l1"), ("s", "k", 2, "l2"), ("s", "m", 3, "l3")], "a string, key string, seq int, lid string")
     right = spark.createDataFrame([("s", "k", 1, "r1"), ("s", "z", 2, "r2")], "a string, key string, seq int, rid string")

@@ -49,7 +49,9 @@ def grid_radius_cells(max_m: float, cell_deg: float, lat) -> Column:
         F.lit(cell_deg * METERS_PER_DEGREE),
         F.lit(cell_deg * METERS_PER_DEGREE) * F.cos(F.radians(col(lat))),
     )
-    return F.greatest(F.lit(1), (F.ceil(F.lit(float(max_m)) / narrow) + 1).cast("int"))
+    # half the globe is enough anywhere; at the poles the cells have no width
+    most = float(-(-180.0 // cell_deg))
+    return F.greatest(F.lit(1), (F.least(F.ceil(F.lit(float(max_m)) / F.greatest(narrow, F.lit(1e-9))), F.lit(most)) + 1).cast("int"))
 
 
 def fixed_cell(lat, lon, size_deg: float) -> Column:
@@ -61,6 +63,18 @@ def fixed_cell(lat, lon, size_deg: float) -> Column:
     )
 
 
+def mean_lon(lon, weight=1) -> Column:
+    """Aggregate: mean longitude of rows close together, also where they lie on both sides of the date line."""
+    lon, w = col(lon), F.lit(weight) if isinstance(weight, (int, float)) else col(weight)
+    across = F.max(lon) - F.min(lon) > 180
+
+    def mean(value: Column) -> Column:
+        return F.avg(value) if isinstance(weight, int) else F.sum(value * w) / F.sum(w)
+
+    turned = mean(F.when(lon < 0, lon + 360).otherwise(lon))
+    return F.when(across, F.when(turned > 180, turned - 360).otherwise(turned)).otherwise(mean(lon))
+
+
 def half_up(value, scale: float) -> Column:
     """Round half toward positive infinity at 1/scale."""
     return F.floor(col(value) * scale + 0.5) / F.lit(float(scale))

@@ -70,7 +70,7 @@ def merge_campgrounds(
         F.min_by(F.struct(*rest, "name"), F.col(order)).alias("_first"),
         F.count(F.lit(1)).alias("merged_rows"),
         F.avg("lat").alias("lat"),
-        F.avg("lon").alias("lon"),
+        geo.mean_lon("lon").alias("lon"),
         F.sum(pitches).alias(pitches),
         F.min_by("_display", F.struct(-F.length("_display"), F.col(order))).alias("_longest"),
     )
@@ -197,7 +197,7 @@ def cluster_centres(sections: DataFrame, clusters: DataFrame, key: str = "park_c
     w = F.sum("area")
     return rows.groupBy(key, "cluster").agg(
         (F.sum(F.col("lat") * F.col("area")) / w).alias("lat"),
-        (F.sum(F.col("lon") * F.col("area")) / w).alias("lon"),
+        geo.mean_lon("lon", "area").alias("lon"),
         F.count(F.lit(1)).alias("section_count"),
         w.alias("area"),
     )

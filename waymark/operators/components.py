@@ -79,7 +79,9 @@ def bounds_columns() -> list[Column]:
 def least_distance_to_bounds(lat: str, lon: str, b: str, unit: str) -> Column:
     """Lower bound of the distance from a point to any row in a bounding box; exact for one spot."""
     near_lat = f"least(greatest({lat}, {b}south), {b}north)"
-    near_lon = f"least(greatest({lon}, {b}west), {b}east)"
+    # the turn of the globe on which the point is closest to the box
+    turned = f"({lon} + case when {lon} - {b}east > 180 then -360D when {b}west - {lon} > 180 then 360D else 0D end)"
+    near_lon = f"least(greatest({turned}, {b}west), {b}east)"
     d = geo.haversine(lat, lon, near_lat, near_lon, unit)
     return F.when(F.expr(f"{b}south = {b}north and {b}west = {b}east"), d).otherwise(d * 0.999)
 
@@ -88,7 +90,9 @@ def _box_gap(unit: str) -> Column:
     """Lower bound of the distance between two bounding boxes (l_ and r_)."""
     one_degree = 1.0 / geo.degrees_for(1.0, unit) * 0.999
     lat_gap = "greatest(l_south - r_north, r_south - l_north, 0D)"
-    lon_gap = "greatest(l_west - r_east, r_west - l_east, 0D)"
+    # either way round: between the boxes, or over the date line around both
+    span = "greatest(l_east, r_east) - least(l_west, r_west)"
+    lon_gap = f"least(greatest(l_west - r_east, r_west - l_east, 0D), greatest(360D - ({span}), 0D))"
     far = "least(greatest(abs(l_north), abs(l_south), abs(r_north), abs(r_south)), 89.9D)"
     return F.expr(f"greatest({lat_gap}, {lon_gap} * cos(radians({far}))) * {one_degree!r}D")
 

@@ -176,19 +176,39 @@ def nearest_centre_code(lat: str, lon: str, centres: Sequence[tuple]) -> Column:
 CROWD = 512
 
 
+#: degrees by which a segment's columns are widened against rounding
+_EDGE = 1e-9
+
+
 def segment_cells(segments: DataFrame, cell_deg: float) -> DataFrame:
-    """One row per (segment, fixed-degree cell its box covers)."""
-    rows = F.sequence(
-        F.floor(F.least("lat1", "lat2") / cell_deg), F.floor(F.greatest("lat1", "lat2") / cell_deg)
-    )
-    cols = F.sequence(
-        F.floor(F.least("lon1", "lon2") / cell_deg), F.floor(F.greatest("lon1", "lon2") / cell_deg)
-    )
-    return (
-        segments.withColumn("cell_i", F.explode(rows))
-        .withColumn("cell_j", F.explode(cols))
+    """One row per (segment, fixed-degree cell it crosses): in every row of cells the columns of its part there."""
+    size = f"{cell_deg!r}D"
+    rows = segments.selectExpr(
+        "*", f"explode(sequence(floor((least(lat1, lat2) - {_EDGE}) / {size}), floor((greatest(lat1, lat2) + {_EDGE}) / {size}))) as cell_i"
     )
 
+    def lon_at(edge: str) -> str:
+        """Longitude where the segment meets a latitude, its ends included."""
+        share = f"greatest(0D, least(1D, (({edge}) - lat1) / (lat2 - lat1)))"
+        return f"(lon1 + {share} * (lon2 - lon1))"
+
+    low, high = lon_at(f"cell_i * {size}"), lon_at(f"(cell_i + 1) * {size}")
+    # along a parallel, or nearly so, the whole segment lies in its rows
+    flat = f"abs(lat2 - lat1) <= {_EDGE}"
+    west = f"floor((case when {flat} then least(lon1, lon2) else least({low}, {high}) end - {_EDGE}) / {size})"
+    east = f"floor((case when {flat} then greatest(lon1, lon2) else greatest({low}, {high}) end + {_EDGE}) / {size})"
+    return rows.selectExpr("*", f"explode(sequence({west}, {east})) as cell_j")
+
+
+def unwrapped(segments: DataFrame) -> DataFrame:
+    """Segments over the date line twice, with longitudes beyond 180 and below -180; the others as they are."""
+    over = "abs(lon2 - lon1) > 180"
+    others = [c for c in segments.columns if c not in ("lon1", "lon2")]
+    east = "struct(lon1 + if(lon1 < 0, 360D, 0D) as lon1, lon2 + if(lon2 < 0, 360D, 0D) as lon2)"
+    west = "struct(lon1 - if(lon1 > 0, 360D, 0D) as lon1, lon2 - if(lon2 > 0, 360D, 0D) as lon2)"
+    made = segments.selectExpr(*others, f"inline(if({over}, array({east}, {west}), array(struct(lon1 as lon1, lon2 as lon2))))")
+    return made.select(*segments.columns)
+
 
 def nearest_segment(
     points: DataFrame,
@@ -203,15 +223,15 @@ def nearest_segment(
 ) -> DataFrame:
     """Least distance in metres from each point to any segment in the cells searched.
 
-    ``reach`` is the number of cells around the point's own; with ``max_m`` it follows from the
-    latitude instead. Copies of a segment are dropped first, search points are folded to distinct
+    ``reach`` is the number of cells around the point's own; with ``max_m`` rows and columns follow from it and the
+    latitude instead, up to the poles. Points near the date line also search from the other turn of the globe. Copies of a segment are dropped first, search points are folded to distinct
     coordinates, and the minimum is pre-aggregated before the shuffle back. Where cells are crowded,
     points first search cells an eighth as wide: a hit closer than such a cell is final. Left outer:
     no segment in reach gives null.
     """
     at = ["lat", "lon", *on]
     spots = points.select(*at).where("lat is not null and lon is not null").distinct()
-    unique = segments.select("lat1", "lon1", "lat2", "lon2", *on).distinct()
+    unique = unwrapped(segments.select("lat1", "lon1", "lat2", "lon2", *on).distinct())
     best = _segment_search(spots, unique, cell_deg, reach, max_m, at, on, local_plane, output, 0)
     best = best.withColumnsRenamed({c: f"_at_{c}" for c in at})
     return _attach(points, best, at).drop(*[f"_at_{c}" for c in at])
@@ -232,19 +252,27 @@ def _segment_search(spots, segments, cell_deg, reach, max_m, at, on, local_plane
         )
         done = close
         spots = spots.join(close.select(*at), at, "left_anti")
+    size = f"{cell_deg!r}D"
     if max_m is not None:
-        k = geo.grid_radius_cells(max_m, cell_deg, "lat")
+        # rows are as high everywhere, columns narrow towards the poles: all of them where a pole is in reach
+        up = max_m / geo.METERS_PER_DEGREE
+        tall = f"{math.floor(up / cell_deg) + 1}L"
+        narrow = f"cos(radians(least(abs(lat) + {up!r}D, 90D)))"
+        wide = f"cast(ceil(least(180D, if({narrow} < 1e-9, 180D, {up!r}D / {narrow})) / {size}) + 1 as long)"
     else:
-        k = F.lit(int(reach))
-    size = f"{cell_deg!r}D"
+        tall = wide = f"{int(reach)}L"
+    turned = (
+        f"array_compact(array(0D, if(lon - (_k + 1) * {size} < -180, 360D, null), if(lon + (_k + 1) * {size} > 180, -360D, null)))"
+    )
     probes = (
-        spots.withColumn("_k", k.cast("bigint"))
-        .selectExpr("*", f"explode(sequence(floor(lat / {size}) - _k, floor(lat / {size}) + _k)) as cell_i")
-        .selectExpr("*", f"explode(sequence(floor(lon / {size}) - _k, floor(lon / {size}) + _k)) as cell_j")
-        .drop("_k")
+        spots.selectExpr("*", f"{wide} as _k")
+        .selectExpr("*", f"explode(sequence(floor(lat / {size}) - {tall}, floor(lat / {size}) + {tall})) as cell_i")
+        .selectExpr("*", f"explode({turned}) as _turn")
+        .selectExpr("*", f"explode(sequence(floor((lon + _turn) / {size}) - _k, floor((lon + _turn) / {size}) + _k)) as cell_j", "lon + _turn as _lon")
+        .drop("_k", "_turn")
     )
     measure = geo.segment_distance_local if local_plane else geo.segment_distance_degrees
-    dist = measure("lat", "lon", "lat1", "lon1", "lat2", "lon2")
+    dist = measure("lat", "_lon", "lat1", "lon1", "lat2", "lon2")
     best = (
         probes.join(index, ["cell_i", "cell_j", *on])
         .select(*at, dist.alias("_d"))
