@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from waymark.llm import licences, sharding, warcfiles
+from waymark.llm import langid, licences, sharding, warcfiles
 
 
 @pytest.mark.parametrize("groups, own", [([2] * 10, 180), ([100, 99, 60, 40, 13, 300, 250], 738), ([3] * 400, 0)])
@@ -92,6 +92,19 @@ def test_windows_equal_brute_force(spark):
     assert {r.doc_id: (r.labels, r.score) for r in found} == want and len({w for w, _ in want.values()}) > 3
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 20)
+    monkeypatch.setattr(langid, "CALIBRATION", 5)
+    # one id for most rows, equal rows, and few rows of a language
+    rows = [(7, f"text {i % 150}", "en", 2) for i in range(300)] + [(i, "mot", "fr", 1 + i % 2) for i in range(16)]
+    labelled = spark.createDataFrame([*rows, (8, None, "fr", 1)], "doc_id long, text string, lang string, crc long")
+    got = [tuple(r) for r in langid.drawn_sample(labelled).collect()]
+    assert Counter((lang, calibrates) for _, _, lang, calibrates in got) == {("en", False): 20, ("fr", False): 8, ("fr", True): 5}
+    assert len(set(got)) == len(got)
+    again = [tuple(r) for r in langid.drawn_sample(labelled.repartition(7)).collect()]
+    assert set(again) == set(got)
+
+
 def test_payloads_go_through_one_shuffle(spark):
     html = ["<p>same</p>", "<p>other</p>", None, "<p>same</p>", "x" * 5000]
     rows = [(i if i % 7 else None, f"http://a/{i}", html[i % 5]) for i in range(60)] + [(1, "http://b", "<p>same</p>")]

@@ -5,7 +5,7 @@ letter counts as one and the same blank; hashed to FEATURES numbers. Values: (1
 unit length; document frequencies are taken over all labelled training rows.
 
 Training: follow-the-regularised-leader (per-coordinate rates, L1 and L2 penalties) on a bounded sample of
-SAMPLE labelled rows per language, the first by a hash of their id. A softmax temperature is then fitted on a second
+SAMPLE labelled rows per language, the first by a hash of the row. A softmax temperature is then fitted on a second
 sample of CALIBRATION rows per language that training has not seen. Rows with crc32(doc_id) mod 5 = 0 are held
 out of all of it. Predictions read nothing but the text.
 
@@ -33,6 +33,8 @@ FEATURES = 1 << 16
 ORDERS = (1, 2, 3)
 #: documents per language that training and calibration may use
 SAMPLE, CALIBRATION = 1000, 400
+#: parts of a language that find their first draws by themselves
+SALTS = 128
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.01
 #: a document below this calibrated probability is rejected by ``identified``
@@ -155,6 +157,27 @@ def fit(sample: pd.DataFrame, langs: list[str], idf: np.ndarray) -> tuple[np.nda
     return w, fit_temperature(np.array([v @ w[at] for at, v, _, _ in held]), np.array([r[2] for r in held]))
 
 
+def drawn_sample(labelled: DataFrame) -> DataFrame:
+    """(doc_id, text, lang, calibrates) of at most SAMPLE and CALIBRATION rows per language, the first by a hash.
+
+    ``labelled``: doc_id, text, lang and crc of the id. Rows that are equal count once, rows that share an id each. A
+    language is dealt over SALTS tasks before its first draws meet in one.
+    """
+    part = ["lang", "calibrates"]
+    drawn = labelled.select(
+        "doc_id", "text", "lang", F.expr("pmod(crc, 5) = 1").alias("calibrates"), F.xxhash64("doc_id", "text", "lang").alias("draw")
+    )
+    most = F.expr(f"if(calibrates, {CALIBRATION}, {SAMPLE})")
+
+    def leading(rows: DataFrame, keys: list[str]) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("draw"))
+        return rows.withColumn("place", place).where(F.col("place") <= most).drop("place")
+
+    draws = drawn.select(*part, "draw").distinct().withColumn("salt", F.pmod(F.hash("draw"), F.lit(SALTS)))
+    chosen = leading(leading(draws, [*part, "salt"]).drop("salt"), part).select("draw")
+    return drawn.join(chosen, "draw").dropDuplicates(["draw"]).drop("draw")
+
+
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float] | None:
     """(languages, idf, weights, temperature), or None without labelled rows."""
     spark = docs.sparkSession
@@ -170,21 +193,10 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float] |
     known = table.feature >= 0
     df[table.feature[known]] = table.n[known]
     idf = np.log((1 + table.n[~known].sum()) / (1 + df)) + 1
-    first = Window.partitionBy("lang", "calibrates").orderBy("draw", "doc_id")
-    chosen = (
-        labelled.select("doc_id", "lang", (remainder == 1).alias("calibrates"), F.xxhash64("doc_id").alias("draw"))
-        .withColumn("place", F.row_number().over(first))
-        .where(f"place <= {max(SAMPLE, CALIBRATION)}")
-        .where(f"place <= if(calibrates, {CALIBRATION}, {SAMPLE})")
-        .select("doc_id").distinct()
-    )
-    sample = stage(
-        labelled.join(chosen, "doc_id").select("doc_id", "text", "lang", (remainder == 1).alias("calibrates")),
-        "langid-sample",
-    )
+    sample = stage(drawn_sample(labelled), "langid-sample")
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        w, temperature = fit(rows.sort_values("doc_id"), langs, idf)
+        w, temperature = fit(rows.sort_values(["doc_id", "text", "lang"]), langs, idf)
         at, c = np.nonzero(w)
         return pd.DataFrame(
             {"feature": np.append(at, -1), "lang": np.append(c, -1), "weight": np.append(w[at, c], temperature)}
