@@ -4,8 +4,9 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from waymark.llm import langid, licences, sharding, warcfiles
+from waymark.llm import decontaminate, langid, licences, sharding, warcfiles
 
 
 @pytest.mark.parametrize("groups, own", [([2] * 10, 180), ([100, 99, 60, 40, 13, 300, 250], 738), ([3] * 400, 0)])
@@ -128,3 +129,26 @@ def test_payloads_go_through_one_shuffle(spark):
         refers = None if page is None or first[body or ""] == page else first[body or ""]
         want[page, len((body or "").encode()), "revisit" if refers is not None else "response", refers] += 1
     assert Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == want
+
+
+def test_common_phrase_of_items_and_documents_multiplies_nothing(spark):
+    phrase = "which of the following statements is most likely"
+    side = lambda name, i: " ".join(f"{name}{i}x{j}" for j in range(12))
+    items = [(str(i), f"{side('p', i)} {phrase} {side('q', i)}") for i in range(300)]
+    rows = [(i, f"{side('r', i)} {phrase} {side('s', i)}") for i in range(300)]
+    # one document shares the phrase and the two words after it with a single item, one with all that hold the passage
+    rows.append((900, f"{side('r', 900)} {phrase} q7x0 q7x1 {side('s', 900)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items + [("copy", items[7][1])], "item_id string, text string")
+    grams = decontaminate.item_grams(bench)
+    seen = decontaminate.document_grams(docs, decontaminate.bitmap(grams, "f", decontaminate.BITS), [10]).cache()
+    assert seen.selectExpr("sum(size(grams))").first()[0] >= 300
+    windows, _ = decontaminate.item_windows(grams)
+    assert windows.count() == windows.select("key").distinct().count()
+    assert decontaminate.meetings(seen, windows).count() <= 6
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert (got[900].n_hit, got[900].n_items, got[900].contaminated) == (10, 2, True)
+    assert sum(r.contaminated for r in got.values()) == 1
+    shared = spark.createDataFrame([(i, t + " " + " ".join(f"w{j}" for j in range(15))) for i, t in items], "item_id string, text string")
+    full = decontaminate.contamination(docs.withColumn("text", F.expr("concat(text, ' w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10')")), shared)
+    assert {(r.n_items, r.n_hit) for r in full.collect() if r.doc_id != 900} == {(300, 11)}

@@ -3,10 +3,12 @@
 Words are ``[0-9a-z]`` and everything beyond ASCII, after lower-casing A-Z. A window is LENGTH consecutive
 words of an item; an item of fewer words (one at least) is one window. Both sides keep the least k-gram hash
 of every run of w consecutive k-grams, where k + w - 1 is the window's length: a shared window holds
-one such run, so both sides keep the same k-gram of it. The kept k-grams are joined, and each meeting is
-extended word by word to both sides; where the shared run is as long as the window, its words are hit.
+one such run, so both sides keep the same k-gram of it. Each kept k-gram is extended by its neighbours to the
+windows around it, and the extended k-grams are joined: those of the items are one row per window, however many
+surroundings a common k-gram has. Where they meet, the window's words are hit. Windows name the list of items they
+stand in, and a document takes each list once.
 
-Before the join the documents' k-grams pass a bitmap of the items' k-grams. The bitmap has BITS bits at any
+Before the extension the documents' k-grams pass a bitmap of the items' k-grams. The bitmap has BITS bits at any
 size of the benchmark; a false pass costs a row, a true one is never lost.
 
 Cases: null or wordless texts have no words and no hits; items without words, and null items, are never
@@ -125,17 +127,11 @@ def _item_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([batch.column("item_id"), grams], names=["item_id", "grams"])
 
 
-def item_grams(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(distinct k-grams in their surroundings, items of each of them)."""
+def item_grams(items: DataFrame) -> DataFrame:
+    """Kept k-grams of the items in their surroundings."""
     own = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    flat = stage(
-        map_batches(own, _item_rows, f"item_id string, grams {_GRAM}")
-        .select("item_id", F.explode("grams").alias("g"))
-        .select("item_id", "g.f", "g.length", "g.around")
-        .withColumn("place", F.xxhash64("f", "length", "around")),
-        "decontaminate-items",
-    )
-    return flat.select("place", "f", "length", "around").distinct(), flat.select("place", "item_id").distinct()
+    flat = map_batches(own, _item_rows, f"item_id string, grams {_GRAM}")
+    return stage(flat.select("item_id", F.explode("grams").alias("g")).select("item_id", "g.*"), "decontaminate-items")
 
 
 def document_grams(docs: DataFrame, bits: np.ndarray, lengths: list[int]) -> DataFrame:
@@ -163,35 +159,59 @@ def document_grams(docs: DataFrame, bits: np.ndarray, lengths: list[int]) -> Dat
     return own.mapInArrow(run, f"row long, doc_id {kind}, text_md5 string, n_words long, grams {_GRAM}")
 
 
-def _shared_run(side: int) -> str:
-    """SQL for the number of equal words on one side of the k-gram."""
-    cases = " ".join(f"when around[{side + j}] <> i_around[{side + j}] then {j}" for j in range(REACH))
-    return f"case {cases} else {REACH} end"
+def extended(grams: DataFrame, outside: np.uint64, *keep: str) -> DataFrame:
+    """``keep``, start, length and key of the windows around each k-gram that lie inside its text.
+
+    A window of ``length`` words goes ``a`` words back from the k-gram and ``length div 2 - a`` beyond it.
+    """
+    return (
+        grams.select("*", F.expr("explode(sequence(0, length div 2))").alias("a"))
+        .withColumn("b", F.expr("length div 2 - a"))
+        .where(
+            f"(a = 0 or around[cast(a - 1 as int)] <> {outside}) "
+            f"and (b = 0 or around[cast({REACH} + b - 1 as int)] <> {outside})"
+        )
+        .select(
+            *keep, F.expr("cast(pos - a as int)").alias("start"), "length",
+            F.expr(
+                f"xxhash64(f, length, a, slice(around, 1, cast(a as int)), slice(around, {REACH + 1}, cast(b as int)))"
+            ).alias("key"),
+        )
+    )
+
+
+def item_windows(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(list of items of each window, items of each list)."""
+    listed = (
+        extended(grams, _OUTSIDE_ITEM, "item_id")
+        .groupBy("key")
+        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+        .withColumn("list", F.xxhash64("items"))
+    )
+    listed = stage(listed, "decontaminate-windows")
+    return listed.select("key", "list"), listed.groupBy("list").agg(F.first("items").alias("items"))
+
+
+def meetings(seen: DataFrame, windows: DataFrame) -> DataFrame:
+    """Windows of documents that are windows of items: one row each, as every window of an item is one row."""
+    own = seen.where("size(grams) > 0").select("row", F.explode("grams").alias("g")).select("row", "g.*")
+    met = extended(own, _OUTSIDE_DOC, "row").join(windows, "key")
+    return met.select("row", "list", "start", F.expr("start + length").alias("end"))
 
 
 def hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with n_words, shared runs (row, start, end, place), items of each place)."""
-    grams, places = item_grams(items)
-    grams = stage(grams, "decontaminate-grams")
+    """(documents with n_words, shared windows (row, start, end, list), items of each list)."""
+    grams = item_grams(items)
     lengths = sorted(r[0] for r in grams.select("length").distinct().collect()) or [LENGTH]  # 1 to LENGTH
     seen = stage(document_grams(docs, bitmap(grams, "f", BITS), lengths), "decontaminate-documents")
-    own = seen.where("size(grams) > 0").select("row", F.explode("grams").alias("g")).select("row", "g.*")
-    theirs = grams.select("f", "length", "place", F.col("around").alias("i_around"))
-    met = own.join(theirs, ["f", "length"]).select(
-        "row", "place", "length", "pos",
-        F.expr(_shared_run(0)).alias("before"), F.expr(_shared_run(REACH)).alias("after"),
-        F.expr("cast((length + 1) div 2 as int)").alias("k"),
-    )
-    runs = met.where("before + k + after >= length").select(
-        "row", "place", F.expr("pos - before").alias("start"), F.expr("pos + k + after").alias("end")
-    )
-    return seen, stage(runs.distinct(), "decontaminate-runs"), places
+    windows, lists = item_windows(grams)
+    return seen, stage(meetings(seen, windows).distinct(), "decontaminate-runs"), lists
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """n_words, n_hit, n_items, items_sha256 and contaminated of each document."""
     prepare(docs.sparkSession)
-    seen, runs, places = hits(docs, pick(items, "item_id", "text"))
+    seen, runs, lists = hits(docs, pick(items, "item_id", "text"))
     before = Window.partitionBy("row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     covered = (
         runs.groupBy("row", "start").agg(F.max("end").alias("end"))
@@ -200,7 +220,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         .agg(F.sum(F.expr("greatest(0, end - greatest(start, reached))")).alias("n_hit"))
     )
     listed = (
-        runs.select("row", "place").distinct().join(places, "place").where("item_id is not null")
+        runs.select("row", "list").distinct().join(lists, "list").select("row", F.explode("items").alias("item_id"))
         .groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
     items_of = F.coalesce("items", F.array().cast("array<string>"))
