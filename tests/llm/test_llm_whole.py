@@ -142,7 +142,8 @@ def test_common_phrase_of_items_and_documents_multiplies_nothing(spark):
     bench = spark.createDataFrame(items + [("copy", items[7][1])], "item_id string, text string")
     grams = decontaminate.item_grams(bench)
     seen = decontaminate.document_grams(docs, decontaminate.bitmap(grams, "f", decontaminate.BITS), [10]).cache()
-    assert seen.selectExpr("sum(size(grams))").first()[0] >= 300
+    # winnowing keeps a k-gram of the phrase on both sides in most texts
+    assert seen.selectExpr("sum(size(grams))").first()[0] >= 100
     windows, _ = decontaminate.item_windows(grams)
     assert windows.count() == windows.select("key").distinct().count()
     assert decontaminate.meetings(seen, windows).count() <= 6
