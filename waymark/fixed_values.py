@@ -251,6 +251,85 @@ CONFLICTING_RETAIL = [
 TRAVEL_STOP_PINS = ["travelstoppin.png", "travelstop2.png"]
 NON_FUEL_PINS = ["speedcopin.png"]
 
+# decision tables: (outcome, ways), a way is a list of (field, test, words); the first rule that holds decides
+PLAZA_NAME = [[("name", "has", ["onroute", "on route"])], [("blob", "has", ["onroute"])]]
+# plain retail brands in Canada that are no fuel stop of a chain
+CA_BRANDS_REFUSED = [
+    [("brand", "has", ["petro canada", "petrocanada"]), ("blob", "unlike", [r"petro\s*pass|petropass|petro-pass"])],
+    [("name", "is", ["petro canada", "petrocanada"]), ("blob", "unlike", [r"petro\s*pass|petropass|petro-pass"])],
+    [("name", "is", ["husky"]), ("blob", "lacks", ["travel", "truck"])],
+    [("brand", "is", ["husky"]), ("name", "lacks", ["esso"]), ("blob", "lacks", ["travel", "truck"])],
+    [("brand", "is", ["husky"]), ("name", "has", ["husky"]), ("blob", "lacks", ["travel", "truck"])],
+    [("brand", "has", ["irving"]), ("blob", "lacks", ["big stop"])],
+    [("name", "has", ["irving"]), ("blob", "lacks", ["big stop"])],
+]
+CA_BRAND_RULES = [
+    (
+        "petro_pass",
+        [
+            [("blob", "like", [r"petro[\s-]*pass|petropass"])],
+            [("brand", "tagged", ["Petro-Pass", "Petro Pass", "PetroPass"])],
+        ],
+    ),
+    ("onroute", PLAZA_NAME),
+    (
+        "irving_bigstop",
+        [
+            [("blob", "has", ["big stop"]), ("blob", "has", ["irving"])],
+            [("blob", "has", ["big stop"]), ("brand", "has", ["irving"])],
+            [("blob", "has", ["big stop"]), ("name", "has", ["irving", "big stop"])],
+            [("blob", "has", ["big stop"]), ("brand", "tagged", ["Irving Big Stop", "Big Stop"])],
+        ],
+    ),
+    (
+        "husky_travel",
+        [
+            [("blob", "has", ["husky travel", "husky truck"])],
+            [("brand", "tagged", ["Husky Travel Center", "Husky Travel Centre"])],
+            [("name", "listed", ["husky_travel"])],
+        ],
+    ),
+]
+# tried after the sister brands, each only where the catalogue lists it
+CA_CONVENIENCE_RULES = [
+    (
+        "couche_tard",
+        [[("brand", "tagged", ["Couche-Tard"])], [("operator", "tagged", ["Couche-Tard"])], [("name", "listed", ["couche_tard"])]],
+    ),
+    ("circle_k", [[("brand", "tagged", ["Circle K"])], [("name", "listed", ["circle_k"])]]),
+    (
+        "macs",
+        [[("brand", "tagged", ["Mac's", "Macs"])], [("operator", "tagged", ["Mac's"])], [("name", "listed", ["macs"])]],
+    ),
+]
+# type of a station by brand; "stored" and "listed" stand for the stored type and the type of the catalogue
+FUEL_TYPE_RULES = {
+    "loves": [
+        (TRAVEL_PLAZA, [[("pin", "is", TRAVEL_STOP_PINS)]]),
+        (CONVENIENCE_FUEL, [[("pinned", "is", ["true"])]]),
+        (CONVENIENCE_FUEL, [[("words", "has", ["country store"]), ("words", "lacks", ["travel stop", "travel center"])]]),
+        (TRAVEL_PLAZA, [[("words", "has", ["travel stop", "travel center"])]]),
+        ("stored", [[("stored", "is", [TRAVEL_PLAZA, CONVENIENCE_FUEL])]]),
+        ("listed", [[]]),
+    ],
+    "sister": [
+        (TRAVEL_PLAZA, [[("official", "is", ["true"]), ("full", "is", ["true"])]]),
+        (CONVENIENCE_FUEL, [[("official", "is", ["true"])]]),
+        (CONVENIENCE_FUEL, [[("words", "like", [r"\bfuel only\b|\bcardlock\b"])]]),
+        (CONVENIENCE_FUEL, [[("words", "like", [r"\bdealer\b"]), ("words", "lacks", ["travel center", "travel plaza"])]]),
+        (TRAVEL_PLAZA, [[("words", "has", ["travel center", "travel plaza", "flying j travel"])]]),
+        ("stored", [[("stored", "is", [TRAVEL_PLAZA, CONVENIENCE_FUEL])]]),
+        ("listed", [[]]),
+    ],
+    "cefco": [
+        (TRAVEL_PLAZA, [[("large", "is", ["true"])]]),
+        (CONVENIENCE_FUEL, [[("large", "is", ["false"])]]),
+        (TRAVEL_PLAZA, [[("words", "has", ["cefco kitchen", "cefco travel", "travel center", "travel plaza"])]]),
+        ("stored", [[("stored", "is", [TRAVEL_PLAZA])]]),
+        (CONVENIENCE_FUEL, [[]]),
+    ],
+}
+
 # --- fixed values: campgrounds -------------------------------------------------------------------
 COMMERCIAL_US = [
     r"\bkoa\b", r"\byogi\b", r"\bjellystone\b", r"\bthousand trails\b", r"\bescapees\b",
@@ -340,6 +419,49 @@ HUB_TITLE_EXCLUDED = (
 )
 COUNT_AGREEMENT_RATIO = 1.35
 
+# classes of tagged units: (ways of the gate, confidence, [((category, designation), ways)]); "title" stands for the
+# unit's own title
+UNIT_CLASSES = {
+    "CA": [
+        (
+            [[("name", "like", [CA_NAME_INCLUDED])], [("blob", "like", [CA_NAME_INCLUDED])]],
+            "name",
+            [
+                (("historic_site", "Site historique provincial"), [[("name", "like", ["site historique provincial"])]]),
+                (("historic_site", "Provincial Heritage Park"), [[("name", "like", ["provincial heritage park"])]]),
+                (("historic_site", "Provincial Historic Park"), [[("name", "like", ["provincial historic park"])]]),
+                (
+                    ("historic_site", "Provincial Historic Site"),
+                    [[("name", "like", ["historic|heritage|historique"])], [("blob", "like", ["historic|heritage|historique"])]],
+                ),
+                (("park", "Provincial Park"), [[]]),
+            ],
+        ),
+    ],
+    "US": [
+        (
+            [[("name", "like", [US_NAME_INCLUDED])]],
+            "name",
+            [
+                (("historic_site", "State Historical Park"), [[("name", "like", ["state historical park"])]]),
+                (("historic_site", "State Historic Park"), [[("name", "like", ["state historic park"])]]),
+                (("historic_site", "State Heritage Park"), [[("name", "like", ["state heritage park"])]]),
+                (("historic_site", "State Memorial"), [[("name", "like", ["state memorial"])]]),
+                (("historic_site", "State Historic Site"), [[("name", "like", ["historic|heritage|memorial|historical"])]]),
+                (("park", "State Park"), [[]]),
+            ],
+        ),
+        (
+            [[("title", "like", ["state park|state historic"])]],
+            "protection_title",
+            [
+                (("historic_site", "title"), [[("title", "like", ["historic"])]]),
+                (("park", "title"), [[]]),
+            ],
+        ),
+    ],
+}
+
 # --- fixed values: federal units -----------------------------------------------------------------
 UNIT_TYPE_RANK = {
     "National Park": 100,
