@@ -1,5 +1,5 @@
 """Registered queries and their SQL counterparts."""
-from catalogue import common, curation, extraction, geography, labels, layers, reports
+from catalogue import builders, common, curation, extraction, geography, labels, layers, reports
 def all_queries():
     return dict(common.QUERIES)
 def all_sql():
