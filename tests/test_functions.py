@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from waymark import fixed_values as fv
-from waymark.functions import access, brands, camping, geo, parks, tags, text
+from waymark.functions import access, brands, camping, geo, parks, rules, tags, text
 from waymark.operators.spatial import box_code, nearest_centre_code
 
 
@@ -121,3 +121,17 @@ def test_review_needs_more_than_information(spark):
     df = spark.createDataFrame(data, "f array<string>, r array<string>")
     got = [r[0] for r in df.select(brands.needs_review(F.col("f"), F.col("r"))).collect()]
     assert got == [False, True, True, False]
+
+
+def test_decision_tables_take_the_first_rule_that_holds(spark):
+    table = [
+        ("both", [[("a", "has", ["x", "y"]), ("b", "is", ["1"])]]),
+        ("either", [[("a", "like", ["^Z"])], [("b", "is", ["2"]), ("a", "lacks", ["q"])]]),
+        ("rest", [[("b", "unlike", ["none"])]]),
+    ]
+    rows = [("xa", "1"), ("ya", "2"), ("zq", "3"), ("q", "2"), ("q", "None"), ("", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", rules.decided(table, {"a": F.col("a"), "b": F.col("b")}).alias("o")).collect()
+    assert {(r.a, r.b): r.o for r in got} == {
+        ("xa", "1"): "both", ("ya", "2"): "either", ("zq", "3"): "either", ("q", "2"): "rest", ("q", "None"): None, ("", ""): "rest"
+    }
