@@ -17,3 +17,17 @@ def test_small_files_with_many_rows_are_not_broadcast_by_their_size(spark, tmp_p
     assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
     before = dict(session.conf.getAll)
     assert dict(configure(session).conf.getAll) == before
+
+
+def test_keys_with_the_same_partners_take_turns_in_few_rounds(spark, monkeypatch):
+    from waymark.operators import matching
+
+    labels = []
+    real = matching.stage
+    monkeypatch.setattr(matching, "stage", lambda df, label: labels.append(label) or real(df, label))
+    left = spark.createDataFrame([("s", "kg"[i % 2], i, f"l{i:02d}") for i in range(40)], "a string, key string, seq int, lid string")
+    right = spark.createDataFrame([("s", "xyz"[i % 3], i, f"r{i:02d}") for i in range(30)], "a string, key string, seq int, rid string")
+    pairs = spark.createDataFrame([("s", l, r) for l in "kg" for r in "xyz"], "a string, l_key string, r_key string")
+    got = sorted(tuple(r) for r in matching.first_free_match(left, right, pairs, "lid", "rid", ["a"]).collect())
+    assert got == [(f"l{i:02d}", f"r{i:02d}") for i in range(30)]
+    assert labels.count("heads") <= 3

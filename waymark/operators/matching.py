@@ -194,6 +194,15 @@ def first_resolved(
     )
 
 
+def _like_keys(pairs: DataFrame, scope: list[str], mine: str, other: str) -> DataFrame:
+    """(scope, key, _group): keys of one side with the same partners have one group, named by the least of them."""
+    partners = pairs.groupBy(*scope, mine).agg(
+        F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64(other)).alias("_x"), F.bit_xor(F.xxhash64(F.lit("again"), other)).alias("_y")
+    )
+    least = partners.groupBy(*scope, "_n", "_x", "_y").agg(F.min(mine).alias("_group"))
+    return stage(partners.join(least, [*scope, "_n", "_x", "_y"]).select(*scope, mine, "_group"), "groups")
+
+
 def first_free_match(
     left: DataFrame, right: DataFrame, compatible: DataFrame, left_key: str, right_key: str, scope: Sequence[str]
 ) -> DataFrame:
@@ -205,18 +214,27 @@ def first_free_match(
     Alike rows are served in order, so what is taken of a key is a prefix and one number per key is the whole state.
     A round matches each pair of keys whose first free rows want each other, and with them as many further rows
     of both as come before the next rival on either side. No pairs of rows are listed before they are matched.
+    Keys that are compatible with the same keys are one key from the start: their rows take turns, and a round would
+    end at each turn.
     """
     scope = list(scope)
+    every = stage(compatible.select(*scope, "l_key", "r_key").distinct(), "compatible")
+    l_groups, r_groups = _like_keys(every, scope, "l_key", "r_key"), _like_keys(every, scope, "r_key", "l_key")
 
     def ranked(rows: DataFrame, row_key: str, p: str) -> DataFrame:
-        out = rank_in_groups(rows.select(*scope, "key", "seq", row_key), [*scope, "key"], ["seq", row_key], "rank")
+        grouped = rows.select(*scope, F.col("key").alias(f"{p}_key"), "seq", row_key).join(
+            l_groups if p == "l" else r_groups, [*scope, f"{p}_key"]
+        )
+        grouped = grouped.select(*scope, F.col("_group").alias("key"), "seq", row_key)
+        out = rank_in_groups(grouped, [*scope, "key"], ["seq", row_key], "rank")
         return stage(
             out.select(*scope, F.col("key").alias(f"{p}_key"), F.col("rank").cast("long").alias(f"{p}_rank"), F.struct("seq", row_key).alias(f"{p}_row")),
             f"{p}-ranked",
         )
 
     l_rows, r_rows = ranked(left, left_key, "l"), ranked(right, right_key, "r")
-    pairs = stage(compatible.select(*scope, "l_key", "r_key").distinct(), "compatible")
+    pairs = every.join(l_groups.withColumnRenamed("_group", "_l"), [*scope, "l_key"]).join(r_groups.withColumnRenamed("_group", "_r"), [*scope, "r_key"])
+    pairs = stage(pairs.select(*scope, F.col("_l").alias("l_key"), F.col("_r").alias("r_key")).distinct(), "compatible")
     batches = None
     while True:
         taken = {}
