@@ -31,3 +31,32 @@ def test_keys_with_the_same_partners_take_turns_in_few_rounds(spark, monkeypatch
     got = sorted(tuple(r) for r in matching.first_free_match(left, right, pairs, "lid", "rid", ["a"]).collect())
     assert got == [(f"l{i:02d}", f"r{i:02d}") for i in range(30)]
     assert labels.count("heads") <= 3
+
+
+def test_first_polygon_of_large_and_small_rings_lists_few_cells(spark):
+    """Boxes of up to 100 degrees over cells of 0.001 degrees, many over each other; against brute force."""
+    import random
+
+    rng, rings, edges = random.Random(5), {}, []
+    for p in range(60):
+        lat, lon, size = rng.uniform(-40, 40), rng.uniform(-100, 100), 10 ** rng.uniform(-2, 1.7)
+        rings[p] = [(lat + size * rng.uniform(-1, 1), lon + size * rng.uniform(-1, 1)) for _ in range(rng.choice([3, 4, 40]))]
+        edges += [(p, 0, *a, *b) for a, b in zip(rings[p], rings[p][1:] + rings[p][:1])]
+    points = [(i, *(rng.choice(rings[i % 60]) if i % 3 else (rng.uniform(-60, 60), rng.uniform(-120, 120)))) for i in range(300)]
+    points = [(i, a + rng.uniform(-0.004, 0.004), b) for i, a, b in points] + [(300, None, 1.0)]
+
+    def inside(p, lat, lon):
+        odd = False
+        for (a1, o1), (a2, o2) in zip(rings[p], rings[p][1:] + rings[p][:1]):
+            odd ^= (a1 > lat) != (a2 > lat) and lon < (o2 - o1) * (lat - a1) / (a2 - a1) + o1
+        return odd
+
+    wanted = {i: min(((-p % 7, p) for p in rings if lat is not None and inside(p, lat, lon)), default=(0, None))[1] for i, lat, lon in points}
+    got = spatial.first_polygon(
+        spark.createDataFrame(points, "id int, lat double, lon double"),
+        spark.createDataFrame(edges, "polygon_id int, ring int, lat1 double, lon1 double, lat2 double, lon2 double"),
+        spark.createDataFrame([(p, -p % 7) for p in rings], "polygon_id int, priority int"),
+        0.001,
+    )
+    assert {r.id: r.polygon_id for r in got.collect()} == wanted
+    assert len(set(wanted.values())) > 15
