@@ -224,6 +224,13 @@ def test_pieces_equal_the_library_on_odd_texts():
         assert list(ids) == encode.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_byte_letters_of_many_pieces_at_once():
+    odd = ["", "a", " é", "\x00", "ÿ", "½ ok", "\n\n", "⹿", ""]
+    letters = pieces._byte_letters()
+    assert pieces.byte_letters(odd) == [x.encode().decode("latin-1").translate(letters) for x in odd]
+    assert [pieces._beyond(x) for x in ("a", "⹿", "⺀", "a🙂")] == [False, False, True, True]
+
+
 def test_archives_give_every_page_back(spark, con):
     rows = con.execute("select page_id, url, html from pages order by page_id").fetchall()
     rows += [(100000 + i, "http://again", rows[i % 7][2]) for i in range(40)]

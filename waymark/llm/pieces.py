@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -30,6 +31,21 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in prints} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=1)
+def _letter_points() -> np.ndarray:
+    """``_byte_letters`` as UTF-32 code points by byte."""
+    return np.array([_byte_letters()[b] for b in range(256)], "<u4")
+
+
+def byte_letters(texts: list[str]) -> list[str]:
+    """Each text with its UTF-8 bytes as letters of a byte-level vocabulary.
+
+    All texts are looked up at once; byte FF, which UTF-8 never holds, stands between them and for itself.
+    """
+    joined = np.frombuffer(b"\xff".join([x.encode() for x in texts]), np.uint8)
+    return _letter_points()[joined].tobytes().decode("utf-32-le").split("\xff")
+
+
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
     import unicodedata
@@ -69,6 +85,10 @@ def cuts(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _beyond(text: str) -> bool:
+    return bool(np.frombuffer(text.encode("utf-32-le"), np.uint32).max() > PLAIN)
+
+
 class Encoder:
     """ids of texts under one tokenizer file; with ``plain``, strings of special tokens are ordinary text."""
 
@@ -88,9 +108,9 @@ class Encoder:
         self.start = np.zeros(KEPT + 1, np.int64)
 
     def _add(self, hashes: list[int], texts: list[str]) -> None:
-        model, letters = self.tokenizer.model, _byte_letters()
-        found = [[t.id for t in model.tokenize(x.encode().decode("latin-1").translate(letters))] for x in texts]
-        flat = np.fromiter((x for ids in found for x in ids), np.int32)
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(x)] for x in byte_letters(texts)]
+        flat = np.fromiter(chain.from_iterable(found), np.int32)
         while self.used + len(flat) > len(self.arena):
             self.arena = np.concatenate([self.arena, np.zeros_like(self.arena)])
         self.arena[self.used : self.used + len(flat)] = flat
@@ -134,7 +154,7 @@ class Encoder:
         made: list[np.ndarray | None] = [None] * len(texts)
         group, size = [], 0
         for i, text in enumerate(texts):
-            if not text.isascii() and ord(max(text)) > PLAIN or any(s in text for s in self.special):
+            if not text.isascii() and _beyond(text) or any(s in text for s in self.special):
                 made[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
                 continue
             group.append(i)
