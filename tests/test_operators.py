@@ -547,3 +547,54 @@ def test_map_pins_labels(spark):
         ("p", "South Unit", "primary"), ("p", "Upper", "secondary"), ("p", "Island", "secondary"), ("q", "", "primary"),
         ("q", "Additional unit", "secondary"),
     }
+
+
+def test_fold_streams_many_keys_and_keeps_idle_states(spark):
+    from pyspark.sql import types as T
+
+    state = T.StructType([T.StructField("total", T.LongType())])
+    output = T.StructType([T.StructField("v", T.LongType()), T.StructField("running", T.LongType())])
+
+    def step(rows, held):
+        total = held[0]["total"]
+        outs = []
+        for _, v in rows:
+            total += v
+            outs.append({"v": v, "running": total})
+        return outs, [{"total": total}]
+
+    df = spark.range(0, 9000).selectExpr("id % 3000 as k", "-id as at", "id as v")
+    initial = spark.range(0, 3001).selectExpr("id as k", "id * 10 as total")
+    out, states = folding.ordered_fold(df, "k", ["at"], step, output, state, initial=initial, frames=False)
+    running = {(r.k, r.v): r.running for r in out.collect()}
+    want = {}
+    for k in range(3000):
+        total = k * 10
+        for v in (k + 6000, k + 3000, k):
+            total += v
+            want[k, v] = total
+    assert running == want
+    assert {r.k: r.total for r in states.collect()} == {**{k: want[k, k] for k in range(3000)}, 3000: 30000}
+
+
+def test_labels_take_the_centres_once(spark):
+    met = spark.sparkContext.accumulator(0)
+    centres = spark.createDataFrame(
+        [("p", i, 40.0 + i / 10, -100.0, 1, 1.0) for i in range(6)],
+        "park_code string, cluster int, lat double, lon double, section_count long, area double",
+    )
+
+    def counted(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    centers = spark.createDataFrame(
+        [("p", 1, "Island Center", 40.31, -100.0), ("p", 2, "Island Center", 40.1, -100.0), ("q", 1, "Other", 40.0, -100.0)],
+        "park_code string, seq long, name string, lat double, lon double",
+    )
+    overrides = spark.createDataFrame([("p", 0, "Upper")], "park_code string, cluster int, label string")
+    pins = clusters.label_clusters(centres.mapInArrow(counted, centres.schema), centers, overrides)
+    got = [r.label for r in pins.orderBy("cluster").collect()]
+    assert got == ["Upper", "Area 4", "Area 3", "Island", "Area 2", "Area 1"]
+    assert met.value == 6

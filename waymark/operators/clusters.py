@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,22 +219,24 @@ def label_clusters(centres: DataFrame, centers: DataFrame, overrides: DataFrame,
     ``centers``: key, seq, name, lat, lon. ``overrides``: key, cluster, label. A visitor center gives
     its label to the nearest unlabelled cluster within 80 km when the label is still free.
     """
+    centres = stage(centres, "centres")
     start = centres.select(key, "cluster", "lat", "lon").join(
         overrides.select(key, "cluster", F.col("label")), [key, "cluster"], "left"
     )
-    named = (
+    named = stage(
         centers.withColumn("label", pin_label("name"))
         .where((F.col("label") != "") & F.col("lat").isNotNull() & F.col("lon").isNotNull())
         # a later copy of a label on the same spot can never act when the first did not
         .groupBy(key, "label", "lat", "lon")
         .agg(F.min("seq").alias("seq"))
-        .join(centres.select(key).distinct(), key, "left_semi")
+        .join(centres.select(key).distinct(), key, "left_semi"),
+        "named",
     )
 
-    def step(chunk: pd.DataFrame, state: list[dict]) -> tuple[list[dict], list[dict]]:
+    def step(chunk: list[tuple], state: list[dict]) -> tuple[list[dict], list[dict]]:
         state = sorted((dict(s, label=s["label"] or "") for s in state), key=lambda s: s["cluster"])
         used = {s["label"] for s in state if s["label"]}
-        for label, lat, lon in chunk[["label", "lat", "lon"]].itertuples(index=False, name=None):
+        for _, label, lat, lon in chunk:
             best, best_d = None, math.inf
             for s in state:
                 if s["label"]:
@@ -250,7 +251,7 @@ def label_clusters(centres: DataFrame, centers: DataFrame, overrides: DataFrame,
 
     _, state = ordered_fold(
         named.select(key, "seq", "label", "lat", "lon"), key, ["seq", "label", "lat", "lon"], step, LABEL_OUT, LABEL_STATE,
-        initial=start.select(key, "cluster", "lat", "lon", "label"),
+        initial=start.select(key, "cluster", "lat", "lon", "label"), frames=False,
     )
     labelled = centres.join(state.select(key, "cluster", F.nullif("label", F.lit("")).alias("label")), [key, "cluster"], "left")
     counts = centres.groupBy(key).agg(F.count(F.lit(1)).alias("_clusters"))
@@ -273,7 +274,7 @@ def map_pins(
     sections: DataFrame, centers: DataFrame, overrides: DataFrame, extra_pins: DataFrame | None = None, key: str = "park_code"
 ) -> DataFrame:
     """One pin per section cluster (primary first), labelled, plus the extra pins of the overrides."""
-    kept = main_sections(sections, key)
+    kept = stage(main_sections(sections, key), "kept")
     clusters = section_clusters(kept, key=key)
     labelled = label_clusters(cluster_centres(kept, clusters, key), centers, overrides, key)
     slug = F.when(text("label") != "", slugify("label")).otherwise(
