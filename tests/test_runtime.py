@@ -60,3 +60,34 @@ def test_first_polygon_of_large_and_small_rings_lists_few_cells(spark):
     )
     assert {r.id: r.polygon_id for r in got.collect()} == wanted
     assert len(set(wanted.values())) > 15
+
+
+def test_shuffles_have_enough_partitions_whatever_the_session_says(spark):
+    session = spark.newSession()
+    session.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    session.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    configure(session)
+    plan = session.range(100).groupBy((F.col("id") % 7).alias("k")).count()._jdf.queryExecution().executedPlan().toString()
+    assert ", 200)" in plan
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == f"{32 << 20}b"
+    session.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "900")
+    assert configure(session).conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "900"
+
+
+def test_relation_centres_weigh_nodes_without_a_list_per_relation_and_node(spark):
+    import re
+
+    from waymark.operators import elements
+
+    nodes = spark.createDataFrame([(i, float(i), -2.0 * i) for i in range(6)], "id long, lat double, lon double")
+    ways = spark.createDataFrame([(1, [0, 1, 2, 0]), (2, [2, 3, 9]), (3, [4, 5])], "id long, refs array<long>")
+    relations = spark.createDataFrame(
+        [(1, [("way", 1, "outer"), ("way", 2, ""), ("way", 2, "outer"), ("way", 3, "inner")]), (2, [("way", 3, "inner"), ("node", 1, "outer")])],
+        "id long, members array<struct<type: string, ref: long, role: string>>",
+    )
+    made = elements.relation_centres(relations, ways, nodes)
+    got = {r.id: (round(r.lat, 9), round(r.lon, 9)) for r in made.collect()}
+    mean = (0 + 1 + 2 + 0 + 2 * (2 + 3)) / 8
+    assert got == {1: (round(mean, 9), round(-2 * mean, 9)), 2: (4.5, -9.0)}
+    assert not re.search(r"Aggregate \[id#\d+L?, _ref#\d+L?\]", made._jdf.queryExecution().optimizedPlan().toString())

@@ -52,10 +52,10 @@ def relation_centres(relations: DataFrame, ways: DataFrame, nodes: DataFrame) ->
         .groupBy("_way", "_ref")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    # a relation's nodes are weighed once per way: few ways of a relation share nodes, so no list of (relation, node) is made first
     weighted = (
         hops.join(way_refs, "_way")
-        .groupBy("id", "_ref")
-        .agg(F.sum(F.col("_times") * F.col("_n")).alias("_w"))
+        .select("id", "_ref", (F.col("_times") * F.col("_n")).alias("_w"))
         .join(nodes.select(F.col("id").alias("_ref"), "lat", "lon"), "_ref")
     )
     return weighted.groupBy("id").agg(
