@@ -91,3 +91,20 @@ def test_relation_centres_weigh_nodes_without_a_list_per_relation_and_node(spark
     mean = (0 + 1 + 2 + 0 + 2 * (2 + 3)) / 8
     assert got == {1: (round(mean, 9), round(-2 * mean, 9)), 2: (4.5, -9.0)}
     assert not re.search(r"Aggregate \[id#\d+L?, _ref#\d+L?\]", made._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_amenity_rules_run_behind_the_deal_of_rows(spark, monkeypatch):
+    from waymark.plans import amenities
+
+    seen = []
+    real = amenities.stage
+    monkeypatch.setattr(amenities, "stage", lambda df, label: seen.append(df) or real(df, label))
+    points = spark.createDataFrame(
+        [("node", 1, 37.0, -120.0, {"amenity": "toilets"}), ("node", 2, 37.0, -120.0, {"amenity": "x"}), ("node", 3, 37.0, -120.0, {"tourism": "camp_site"})],
+        "osm_type string, osm_id long, lat double, lon double, tags map<string, string>",
+    )
+    catalogue = spark.createDataFrame([("p", 1, "", "Park", "CA", 37.0, -120.0)], "park_id string, seq int, code string, name string, state string, lat double, lon double")
+    rows, _ = amenities.park_map_records(points, catalogue)
+    assert [(r.osm_key, r.kind, r.parent_id) for r in rows.collect()] == [("node:1", "restroom", "p")]
+    above, deal, below = seen[0]._jdf.queryExecution().optimizedPlan().toString().partition("Repartition")
+    assert deal and "Filter" in above and "Filter" not in below and "Generate" not in below

@@ -15,7 +15,7 @@ from waymark.operators import dedupe, rollup, spatial
 from waymark.plans import parks as park_plans
 from waymark.plans import units as unit_plans
 from waymark.plans.camping import road_distances
-from waymark.runtime import stage
+from waymark.runtime import derive, spread, stage
 
 
 def federal_records(features: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -49,8 +49,9 @@ def park_map_records(points: DataFrame, catalogue: DataFrame, country: str = "US
     run_by_park = tags.provincial_park_run() if country == "CA" else tags.state_park_run()
     box = fv.CA_BOX if country == "CA" else fv.US_BOX
     boxes = (fv.PROVINCE_BOXES, ()) if country == "CA" else (fv.STATE_BOXES, fv.STATE_OVERLAPS)
-    kind = tags.amenity_kind()
-    rows = points.withColumn("kind", kind).where(F.col("kind").isNotNull() & (run_by_park | (F.col("kind") != "campground")))
+    # the rules of a tag cost far more than its bytes; as finished values they stay behind the deal, and run once a row
+    rows = derive(spread(points), kind=tags.amenity_kind(), _run=run_by_park)
+    rows = rows.where(F.col("kind").isNotNull() & (F.col("_run") | (F.col("kind") != "campground"))).drop("_run")
     name = F.trim(F.coalesce(first_filled(tag("name"), tag("name:fr"), tag("ref")), F.replace("kind", F.lit("_"), F.lit(" "))))
     rows = rows.withColumn("name", name).withColumn("state", F.coalesce(spatial.box_code("lat", "lon", *boxes), F.lit("")))
     rows = rows.withColumn("id", F.concat_ws(":", "osm_type", F.col("osm_id").cast("string")))
