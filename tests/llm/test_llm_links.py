@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from waymark.llm import alignment, anchors, collocations, queries
@@ -193,6 +194,31 @@ def test_collocations_of_empty_table(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
 
 
+def test_runs_of_phrases_hold_word_keys(spark):
+    texts = spark.createDataFrame([("en", "a b a b"), ("de", "a b")], "lang string, text string")
+    keyed, salt = collocations.keyed_words(collocations.counted(texts, 1))
+    key = {(r.lang, r.word): r.key for r in keyed.collect()}
+    table = spark.sparkContext.broadcast(np.full(2, 2**64 - 1, np.uint64))
+    for salt in (salt, salt + 1):
+        pairs = collocations.counted(texts, 2, table, salt)
+        assert pairs.dtypes == [("w0", "bigint"), ("w1", "bigint"), ("n", "bigint")]
+        if salt:
+            word = collocations.word_key(F.col("lang"), F.col("word"), salt)
+            key = {(r.lang, r.word): r.key for r in keyed.withColumn("key", word).collect()}
+        en, de = [[key[lang, w] for w in "ab"] for lang in ("en", "de")]
+        assert {tuple(r) for r in pairs.collect()} == {(*en, 2), (en[1], en[0], 1), (*de, 1)}
+
+
+def test_words_that_share_a_key_get_another_salt(spark, monkeypatch):
+    true_key = collocations.word_key
+    monkeypatch.setattr(
+        collocations, "word_key", lambda lang, word, salt: true_key(lang, word, salt) if salt > 1 else F.length(word).cast("long")
+    )
+    words = spark.createDataFrame([("en", "a"), ("en", "b"), ("de", "a")], "lang string, word string")
+    keyed, salt = collocations.keyed_words(words)
+    assert salt == 2 and len({r.key for r in keyed.collect()}) == 3
+
+
 def test_trie_bursts_spills_and_keeps_counts(monkeypatch):
     monkeypatch.setattr(collocations, "BURST", 8)
     draw = np.random.default_rng(5)

@@ -10,8 +10,10 @@ phrases tells which places to count. A false pass only costs work, none is lost,
 Each task counts in a HAT-trie: a hash container of packed word-id paths that bursts at BURST entries into containers
 for ranges of first words, then single words, then ranges of the next, and so on down. When a task's tries hold ENTRIES paths, whole subtrees are spilled, largest first,
 as runs sorted by path, until half of the largest trie is left; all is spilled and word ids begin anew when there are
-VOCABULARY of them. Runs are rows (lang, prefix, rest, n) with a prefix of two words at most; Spark merges them per prefix
-partition and adds up, a prefix being spread over SALTS partitions by what follows it.
+VOCABULARY of them. Runs of level 1 are rows (lang, word, n). Runs of the other levels hold a 64-bit key for each word instead
+of its text, as most of their rows are phrases that do not occur often enough. Spark merges them per prefix partition (two words at
+most) and adds up, a prefix being spread over SALTS partitions by what follows it. Words come back by joins with level 1 once rare
+phrases are gone. Keys are exact: all words of level 1 are compared, and another salt is taken until no two share a key.
 
 A candidate has a count of at least ``least``. Of its cuts into two parts with counts l and r, the one with the lowest
 score floor(1000000 * a * a / (l * r)) counts, the shortest first part on ties; the arithmetic is on decimals. A candidate
@@ -42,10 +44,12 @@ INSIDE = 50
 SCALE = 1_000_000
 #: entries of a container that bursts, of a task's tries before they spill, and word ids of a task
 BURST, ENTRIES, VOCABULARY = 1 << 12, 600_000, 1 << 20
-#: characters of text and tokens counted at once
-CHUNK, STRETCH = 1 << 18, 1 << 17
+#: characters of a lang's text and tokens counted at once, and characters of all langs that wait for it
+CHUNK, STRETCH, WAITING = 1 << 20, 1 << 17, 1 << 22
 #: bits of a packed word id, rows of an output batch, bits of the bitmap of passed phrases, partitions of a prefix
 ID_BITS, ROWS, BITS, SALTS = 21, 8192, 1 << 25, 32
+#: follows a lang as often as the salt of its keys says
+SALT = "\0"
 #: bits of a path by which a container bursts
 FAN = 7
 #: fixed values: every byte as it counts; pieces end at a line feed
@@ -55,7 +59,6 @@ _PLAIN = bytes.maketrans(
 )
 #: a token that no word equals, as it is a piece end itself
 _END = b"."
-RUNS = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("rest", pa.string()), ("n", pa.int64())])
 
 
 class Trie:
@@ -116,30 +119,33 @@ class Trie:
 
 
 class Book:
-    """Word ids of one lang, the hashes of its words, and its trie."""
+    """Word ids of one lang, the keys of its words, and its trie."""
 
-    def __init__(self, lang: str, depth: int, passed: np.ndarray | None):
+    def __init__(self, lang: str, depth: int, passed: np.ndarray | None, salt: int):
         self.lang, self.depth, self.passed = lang, depth, passed
-        self.seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+        self.seed = xxhash.xxh64_intdigest((lang + SALT * salt).encode(), 42)
         self.trie = Trie(ID_BITS * depth)
         self.ids, self.words = {_END: 0}, [_END]
         self.hashes = np.zeros(1 << 12, np.uint64)
 
-    def _numbers(self, tokens: list[bytes]) -> np.ndarray:
+    def _numbers(self, tokens: pa.Array) -> np.ndarray:
         ids, words = self.ids, self.words
-        known = len(words)
-        for token in set(tokens).difference(ids):
-            ids[token] = len(words)
-            words.append(token)
-        while len(words) > len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-        fresh = words[known:]
-        self.hashes[known : len(words)] = np.fromiter(
-            (xxhash.xxh64_intdigest(w, self.seed) for w in fresh), np.uint64, len(fresh)
-        )
-        return np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-
-    def count(self, tokens: list[bytes]) -> None:
+        known, coded = len(words), tokens.dictionary_encode()
+        found = coded.dictionary.to_pylist()
+        for token in found:
+            if token not in ids:
+                ids[token] = len(words)
+                words.append(token)
+        if self.depth > 1:
+            while len(words) > len(self.hashes):
+                self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+            fresh = words[known:]
+            self.hashes[known : len(words)] = np.fromiter(
+                (xxhash.xxh64_intdigest(w, self.seed) for w in fresh), np.uint64, len(fresh)
+            )
+        return np.fromiter(map(ids.__getitem__, found), np.int64, len(found))[coded.indices.to_numpy()]
+
+    def count(self, tokens: pa.Array) -> None:
         """Count the phrases of ``depth`` tokens that hold no piece end and whose parts passed."""
         at, depth = self._numbers(tokens), self.depth
         inside = at > 0
@@ -157,22 +163,26 @@ class Book:
     def runs(self, keep: int = 0) -> Iterator[pa.RecordBatch]:
         """Spilled subtrees as rows in the order of the trie."""
         paths, counts = self.trie.spill(keep)
-        names = pa.array(self.words, pa.string())
+        names = pa.array(self.words, pa.string()) if self.depth == 1 else self.hashes.view(np.int64)
         for a in range(0, len(paths), ROWS):
-            some = paths[a : a + ROWS]
-            word = [
-                names.take(pa.array((some >> (ID_BITS * (self.depth - 1 - j))) & ((1 << ID_BITS) - 1)))
-                for j in range(self.depth)
-            ]
-            head = pc.binary_join_element_wise(*word[:2], " ") if self.depth > 1 else word[0]
-            rest = pc.binary_join_element_wise(*word[2:], " ") if self.depth > 2 else pa.array([""] * len(some))
-            lang = pa.array([self.lang] * len(some))
-            yield pa.record_batch([lang, head, rest, pa.array(counts[a : a + ROWS])], schema=RUNS)
-
-
-def tokens_of(texts: list[str], depth: int) -> Iterator[list[bytes]]:
+            some, n = paths[a : a + ROWS], pa.array(counts[a : a + ROWS])
+            if self.depth == 1:
+                columns = [pa.array([self.lang] * len(some)), names.take(pa.array(some)), n]
+            else:
+                word = [(some >> (ID_BITS * (self.depth - 1 - j))) & ((1 << ID_BITS) - 1) for j in range(self.depth)]
+                columns = [*[pa.array(names[at]) for at in word], n]
+            yield pa.record_batch(columns, names=run_columns(self.depth))
+
+
+def run_columns(depth: int) -> list[str]:
+    return ["lang", "word", "n"] if depth == 1 else [*[f"w{j}" for j in range(depth)], "n"]
+
+
+def tokens_of(texts: list[str], depth: int) -> Iterator[pa.Array]:
     """Words and piece ends of the texts in stretches; each holds the last ``depth - 1`` tokens of the one before."""
-    tokens = "\n".join(texts).encode().translate(_PLAIN).replace(b"\n", b" . ").split()
+    plain = "\n".join(texts).encode().translate(_PLAIN).replace(b"\n", b" . ")
+    tokens = pc.split_pattern(pa.array([plain], pa.large_binary()), b" ").flatten()
+    tokens = tokens.filter(pc.not_equal(tokens, b""))
     for a in range(0, len(tokens) - depth + 1, STRETCH):
         yield tokens[a : a + STRETCH + depth - 1]
 
@@ -186,24 +196,41 @@ def phrase_keys(hashes: np.ndarray, k: int) -> np.ndarray:
     return key
 
 
-def phrase_key(lang: Column, words: list[Column]) -> Column:
-    key = F.xxhash64(lang, words[0])
+def phrase_key(words: list[Column]) -> Column:
+    key = words[0]
     for word in words[1:]:
-        key = F.shiftleft(key, 23).bitwiseOR(F.shiftrightunsigned(key, 41)).bitwiseXOR(F.xxhash64(lang, word))
+        key = F.shiftleft(key, 23).bitwiseOR(F.shiftrightunsigned(key, 41)).bitwiseXOR(word)
     return key
 
 
-def counted(texts: DataFrame, depth: int, passed=None) -> DataFrame:
-    """Merged counts (lang, prefix, rest, n) of the phrases of ``depth`` words whose parts passed."""
+def word_key(lang: Column, word: Column, salt: int) -> Column:
+    """Key of a word of a lang, as ``Book`` makes it."""
+    return F.xxhash64(F.concat(lang, F.lit(SALT * salt)), word)
+
+
+def keyed_words(words: DataFrame) -> tuple[DataFrame, int]:
+    """(words with their ``key``, salt): the first salt by which no two words of ``words`` (lang, word) share a key."""
+    salt = 0
+    while True:
+        keyed = words.withColumn("key", word_key(F.col("lang"), F.col("word"), salt))
+        if keyed.groupBy("key").agg(F.count(F.lit(1)).alias("words")).where("words > 1").isEmpty():
+            return keyed, salt
+        salt += 1
+
+
+def counted(texts: DataFrame, depth: int, passed=None, salt: int = 0) -> DataFrame:
+    """Merged counts of the phrases of ``depth`` words whose parts passed: lang, word, n or w0, w1 and so on, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books: dict[str, Book] = {}
+        waiting, sizes = {}, Counter()
         table = passed.value if passed is not None else None
 
-        def read(lang: str, some: list[str]) -> Iterator[pa.RecordBatch]:
-            for tokens in tokens_of(some, depth):
+        def read(lang: str) -> Iterator[pa.RecordBatch]:
+            del sizes[lang]
+            for tokens in tokens_of(waiting.pop(lang), depth):
                 if lang not in books:
-                    books[lang] = Book(lang, depth, table)
+                    books[lang] = Book(lang, depth, table, salt)
                 books[lang].count(tokens)
                 while sum(b.trie.size for b in books.values()) > ENTRIES:
                     largest = max(books.values(), key=lambda b: b.trie.size)
@@ -214,43 +241,48 @@ def counted(texts: DataFrame, depth: int, passed=None) -> DataFrame:
                     books.clear()
 
         for batch in batches:
-            waiting, sizes = {}, Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 waiting.setdefault(lang, []).append(text)
                 sizes[lang] += len(text)
                 if sizes[lang] >= CHUNK:
-                    del sizes[lang]
-                    yield from read(lang, waiting.pop(lang))
-            for lang, some in waiting.items():
-                yield from read(lang, some)
+                    yield from read(lang)
+            while sizes.total() > WAITING:
+                yield from read(max(sizes, key=sizes.get))
+        for lang in list(waiting):
+            yield from read(lang)
         for book in books.values():
             yield from book.runs()
 
-    rows = texts.mapInArrow(run, "lang string, prefix string, rest string, n long")
-    rows = rows.withColumn("salt", F.expr(f"pmod(xxhash64(rest), {SALTS})")).repartition("lang", "prefix", "salt")
-    return rows.groupBy("lang", "prefix", "salt", "rest").agg(F.sum("n").alias("n")).drop("salt")
+    *words, n = run_columns(depth)
+    kind = "string" if depth == 1 else "long"
+    rows = texts.mapInArrow(run, ", ".join([*[f"{c} {kind}" for c in words], f"{n} long"]))
+    if depth > 2:
+        rows = rows.withColumn("salt", F.expr(f"pmod(xxhash64({', '.join(words[2:])}), {SALTS})"))
+        return rows.repartition(*words[:2], "salt").groupBy(*words, "salt").agg(F.sum(n).alias(n)).drop("salt")
+    return rows.repartition(*words).groupBy(*words).agg(F.sum(n).alias(n))
 
 
 def phrase_counts(texts: DataFrame, least: int = LEAST, most_words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(words per lang, counts): ``lang, n``, and ``lang, words, phrase, f`` of all phrases with a count of ``least``."""
     spark = texts.sparkSession
-    found, total, passed = [], None, None
-    for depth in range(1, most_words + 1):
-        merged = counted(texts, depth, passed)
-        if depth == 1:
-            merged = stage(merged, "phrases-words")
-            total = merged.groupBy("lang").agg(F.sum("n").alias("n"))
-        phrase = F.when(F.col("rest") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "rest"))
-        level = merged.where(F.col("n") >= least).select(
-            "lang", F.split(phrase, " ").alias("words"), phrase.alias("phrase"), F.col("n").alias("f")
-        )
-        found.append(stage(level, f"phrases-{depth}"))
-        if depth < most_words:
-            key = phrase_key(F.col("lang"), [F.col("words")[j] for j in range(depth)])
-            passed = spark.sparkContext.broadcast(bitmap(found[-1].select(key.alias("key")), "key", BITS))
-    counts = found[0]
-    for level in found[1:]:
-        counts = counts.union(level)
+    words = stage(counted(texts, 1), "phrases-words")
+    total = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    keyed, salt = keyed_words(words)
+    names = stage(keyed.where(F.col("n") >= least), "phrases-1")
+    counts = names.select("lang", F.array("word").alias("words"), F.col("word").alias("phrase"), F.col("n").alias("f"))
+    passed, key = names, F.col("key")
+    for depth in range(2, most_words + 1):
+        table = spark.sparkContext.broadcast(bitmap(passed.select(key.alias("key")), "key", BITS))
+        passed = stage(counted(texts, depth, table, salt).where(F.col("n") >= least), f"phrases-keys-{depth}")
+        parts = run_columns(depth)[:-1]
+        key = phrase_key([F.col(c) for c in parts])
+        level = passed
+        for j, part in enumerate(parts):
+            named = names.select(F.col("key").alias(part), F.col("word").alias(f"t{j}"), *(["lang"] if j == 0 else []))
+            level = level.join(named, part)
+        text = [F.col(f"t{j}") for j in range(depth)]
+        level = level.select("lang", F.array(*text).alias("words"), F.concat_ws(" ", *text).alias("phrase"), F.col("n").alias("f"))
+        counts = counts.union(stage(level, f"phrases-{depth}"))
     return total, counts
 
 
